@@ -1,0 +1,67 @@
+"""Oracle SQL per registered key (DuckDB dialect)."""
+
+from __future__ import annotations
+
+import oracle.stand_ins  # noqa: F401  (registers the stand-in CTEs)
+from oracle.ctes import sql
+
+SHOP = ("customers", "customer_orders", "customer_order_products", "products")
+BOOK = "ECONOMY"
+EAST = "('MACHINERY', 'FURNITURE')"
+
+ORACLE_SQL: dict[str, str] = {}
+
+# ---------------------------------------------------------------- shop
+ORACLE_SQL["retail_q1"] = sql("""
+SELECT name FROM customers
+WHERE customer_id IN (SELECT customer_id FROM customer_orders WHERE month(order_date) = 5)
+""", *SHOP)
+
+ORACLE_SQL["retail_q2"] = sql(f"""
+SELECT name FROM customers WHERE customer_id NOT IN (
+  SELECT customer_id FROM customer_orders WHERE order_id IN (
+    SELECT order_id FROM customer_order_products WHERE product_id IN (
+      SELECT product_id FROM products WHERE product_type = '{BOOK}')))
+""", *SHOP)
+
+ORACLE_SQL["retail_q3"] = sql("""
+SELECT p.product_type, CAST(SUM(p.price * cop.quantity) AS DOUBLE) AS revenue
+FROM products p JOIN customer_order_products cop ON p.product_id = cop.product_id
+GROUP BY p.product_type
+ORDER BY revenue DESC
+""", *SHOP)
+
+ORACLE_SQL["retail_q3_rows"] = sql("""
+SELECT p.product_type, CAST(p.price AS DOUBLE) AS price, cop.quantity,
+       CAST(p.price * cop.quantity AS DOUBLE) AS revenue
+FROM products p JOIN customer_order_products cop ON p.product_id = cop.product_id
+ORDER BY revenue DESC
+""", *SHOP)
+
+ORACLE_SQL["retail_q4"] = sql(f"""
+SELECT p.product_type, c.name, c.state
+FROM products p
+JOIN customer_order_products cop ON p.product_id = cop.product_id
+JOIN customer_orders co ON cop.order_id = co.order_id
+JOIN customers c ON co.customer_id = c.customer_id
+WHERE c.state IN {EAST}
+""", *SHOP)
+
+ORACLE_SQL["retail_q4_semi"] = sql(f"""
+SELECT product_type FROM products WHERE product_id IN (
+  SELECT product_id FROM customer_order_products WHERE order_id IN (
+    SELECT order_id FROM customer_orders WHERE customer_id IN (
+      SELECT customer_id FROM customers WHERE state IN {EAST})))
+""", *SHOP)
+
+_Q5 = """
+SELECT c.name, CAST(SUM(n.quantity) AS BIGINT) AS total_quantity
+FROM customers c
+JOIN (SELECT co.order_id, co.customer_id, cop.product_id, cop.quantity
+      FROM customer_orders co JOIN customer_order_products cop ON co.order_id = cop.order_id) n
+  ON c.customer_id = n.customer_id
+GROUP BY c.name
+ORDER BY total_quantity DESC
+"""
+ORACLE_SQL["retail_q5"] = sql(_Q5, *SHOP)
+ORACLE_SQL["retail_q5_ctas"] = sql(_Q5, *SHOP)

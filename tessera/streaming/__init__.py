@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source workloads are one-shot batch statements: no watermark, event-time
+window, trigger, state or late-data rule appears in any of them, so there is
+no streaming operator to rebuild. The batch functions take DataFrames and
+would run unchanged inside ``foreachBatch`` if a user wanted incremental
+refreshes; nothing here adds operators the workloads do not have.
+"""
