@@ -177,7 +177,7 @@ cte("token_requests", f"""
 SELECT event_id AS request_id,
        CASE event_id % 4 WHEN 2 THEN {tag('x', 'event_id')} WHEN 3 THEN {tag('T', 'event_id')}
                          ELSE {tag('t', 'event_id')} END AS authToken,
-       CASE WHEN event_id % 4 = 1 THEN {tag('u', 'user_id + 1')} ELSE {tag('u', 'user_id')} END AS userName
+       CASE WHEN event_id % 4 = 1 THEN {tag('u', 'user_id + 100000')} ELSE {tag('u', 'user_id')} END AS userName
 FROM events""")
 cte("users", f"""
 SELECT {tag('u', 'c_custkey')} AS userName, {tag('p', 'c_custkey')} AS userPersonID FROM customer""")
@@ -191,3 +191,22 @@ SELECT {tag('p', 'c_custkey')} AS id, {tag('u', 'c_custkey // 10')} AS descendan
 FROM customer""")
 cte("delete_users", f"""
 SELECT {tag('u', 'c_custkey')} AS userName FROM customer WHERE c_mktsegment = 'AUTOMOBILE'""")
+cte("person_requests", f"""
+SELECT c_custkey AS request_id,
+       CASE WHEN c_custkey % 3 = 2 THEN {tag('z', 'c_custkey')} ELSE {tag('p', 'c_custkey')} END AS id,
+       CASE WHEN c_custkey % 3 = 1 THEN {tag('u', 'c_custkey // 10 + 1')}
+            ELSE {tag('u', 'c_custkey // 10')} END AS descendant
+FROM customer""")
+cte("user_requests", f"""
+SELECT o_orderkey AS request_id, {tag('u', 'o_orderkey % 2000')} AS userName FROM orders""")
+cte("person_id_requests", f"""
+SELECT o_orderkey AS request_id, {tag('p', 'o_orderkey % 2000')} AS id FROM orders""")
+cte("family_requests", f"SELECT {tag('u', 'n_nationkey')} AS userName FROM nation")
+cte("new_persons", f"""
+SELECT {tag('q', 'c_custkey')} AS id, {tag('u', 'c_custkey // 10')} AS descendant,
+       c_name AS firstName, c_mktsegment AS lastName,
+       CASE WHEN c_custkey % 2 = 0 THEN 'f' ELSE 'm' END AS gender,
+       CASE WHEN c_custkey % 2 = 0 THEN {tag('p', 'c_custkey')} END AS fatherID,
+       CAST(NULL AS VARCHAR) AS motherID,
+       CASE WHEN c_custkey % 3 = 0 THEN {tag('q', 'c_custkey + 1')} END AS spouseID
+FROM customer WHERE c_mktsegment = 'BUILDING'""")

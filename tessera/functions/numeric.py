@@ -32,13 +32,6 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.when(d != 0, as_double(num) / d)
 
 
-def mean_of(col: str | Column) -> Column:
-    """``AVG(x)`` for exact (integer or decimal) inputs: the exact sum, then a
-    single division, so the value does not depend on summation order."""
-    c = _c(col)
-    return F.sum(c).cast("double") / F.count(c)
-
-
 def money(col: str | Column, scale: int = 2) -> Column:
     """A double amount with ``scale`` decimals as an exact decimal."""
     return _c(col).cast(f"decimal(18,{scale})")

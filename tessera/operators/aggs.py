@@ -39,7 +39,7 @@ def activity_score(possible: str | Column, correct: str | Column, mastered: str
     p = _c(possible)
     num = F.sum(F.when(p == 0, _c(mastered)).otherwise(_c(correct)))
     den = F.sum(F.when(p == 0, F.lit(1)).otherwise(p))
-    return num.cast("double") / den.cast("double")
+    return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
 def rate(cond: Column) -> Column:

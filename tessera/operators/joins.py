@@ -120,13 +120,23 @@ def with_names(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str, str, dic
 def exists_flag(df: DataFrame, other: DataFrame, pairs: Sequence[tuple[str, str]],
                 name: str) -> DataFrame:
     """Add boolean ``name``: does ``other`` hold a row matching on all
-    ``(df_col, other_col)`` pairs. Planned as an existence join: one probe per
-    row, however many matches ``other`` holds."""
+    ``(df_col, other_col)`` pairs (``EXISTS`` with equality, so NULL keys never
+    match). ``other`` is reduced to its distinct key tuples first (partial
+    aggregation folds a hot key inside each task), so every ``df`` row meets
+    at most one match and is never multiplied.
+
+    A correlated ``DataFrame.exists()`` subquery would express the same, but
+    when both sides derive from one scan Spark can bind the outer column to
+    the inner plan; the join form has no such ambiguity."""
+    keys = (other.select(*[F.col(rc).alias(f"__ex{i}") for i, (_, rc) in enumerate(pairs)])
+            .distinct().withColumn("__ex_hit", F.lit(True)))
     cond = None
-    for left_col, right_col in pairs:
-        c = F.col(right_col) == F.col(left_col).outer()
+    for i, (lc, _) in enumerate(pairs):
+        c = F.col(lc) == F.col(f"__ex{i}")
         cond = c if cond is None else cond & c
-    return df.withColumn(name, other.where(cond).exists())
+    out = df.join(keys, cond, "left")
+    return (out.withColumn(name, F.coalesce(F.col("__ex_hit"), F.lit(False)))
+            .drop("__ex_hit", *[f"__ex{i}" for i in range(len(pairs))]))
 
 
 def expand_dates(keys: DataFrame, start: dt.date, end: dt.date, date_col: str = "date") -> DataFrame:

@@ -325,13 +325,13 @@ def auth_tokens(t: Tables) -> DataFrame:
 
 
 def token_requests(t: Tables) -> DataFrame:
-    """Probe rows derived from the tokens: a quarter exact, a quarter with the
-    wrong user, a quarter with an unknown token and a quarter differing only
+    """Probe rows derived from the tokens: a quarter exact, a quarter with a
+    user that does not exist, a quarter with an unknown token and a quarter differing only
     in case (the lookups are case-sensitive)."""
     eid = F.col("event_id")
     r = eid % 4
     token = (F.when(r == 2, tag("x", eid)).when(r == 3, tag("T", eid)).otherwise(tag("t", eid)))
-    user = F.when(r == 1, tag("u", F.col("user_id") + 1)).otherwise(tag("u", "user_id"))
+    user = F.when(r == 1, tag("u", F.col("user_id") + 100000)).otherwise(tag("u", "user_id"))
     return t.events.select(eid.alias("request_id"), token.alias("authToken"), user.alias("userName"))
 
 
@@ -361,3 +361,46 @@ def delete_users(t: Tables) -> DataFrame:
     """Users whose rows are to be removed: the customers of one segment."""
     return (t.customer.where(F.col("c_mktsegment") == "AUTOMOBILE")
             .select(tag("u", "c_custkey").alias("userName")))
+
+
+def person_requests(t: Tables) -> DataFrame:
+    """``(request_id, id, descendant)`` probes: a third exact, a third with
+    another descendant, a third with an unknown id."""
+    k = F.col("c_custkey")
+    r = k % 3
+    return t.customer.select(
+        k.alias("request_id"),
+        F.when(r == 2, tag("z", k)).otherwise(tag("p", k)).alias("id"),
+        F.when(r == 1, tag("u", F.floor(k / 10) + 1)).otherwise(tag("u", F.floor(k / 10))).alias("descendant"))
+
+
+def user_requests(t: Tables) -> DataFrame:
+    """User names to resolve, one per order; some name no user."""
+    return t.orders.select(F.col("o_orderkey").alias("request_id"),
+                           tag("u", F.col("o_orderkey") % 2000).alias("userName"))
+
+
+def person_id_requests(t: Tables) -> DataFrame:
+    """Person ids to read, one per order; some are unknown."""
+    return t.orders.select(F.col("o_orderkey").alias("request_id"),
+                           tag("p", F.col("o_orderkey") % 2000).alias("id"))
+
+
+def family_requests(t: Tables) -> DataFrame:
+    """Users whose family records are requested: one per nation key."""
+    return t.nation.select(tag("u", "n_nationkey").alias("userName"))
+
+
+def new_persons(t: Tables) -> DataFrame:
+    """A batch of persons to add (one segment's customers under new ids),
+    some without father, mother or spouse."""
+    k = F.col("c_custkey")
+    return (t.customer.where(F.col("c_mktsegment") == "BUILDING").select(
+        tag("q", k).alias("id"),
+        tag("u", F.floor(k / 10)).alias("descendant"),
+        F.col("c_name").alias("firstName"),
+        F.col("c_mktsegment").alias("lastName"),
+        F.when(k % 2 == 0, "f").otherwise("m").alias("gender"),
+        F.when(k % 2 == 0, tag("p", k)).alias("fatherID"),
+        F.lit(None).cast("string").alias("motherID"),
+        F.when(k % 3 == 0, tag("q", k + 1)).alias("spouseID")))
