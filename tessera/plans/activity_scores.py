@@ -19,6 +19,7 @@ from tessera.operators.joins import join_ci
 from tessera.operators.windows import asc, desc, row_number
 from tessera.plans.rosters import guid_roster
 from tessera.sources.params import Params
+from tessera.sources.sinks import materialize
 
 OUTPUT = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
           "Lesson_Number", "DateTime", "Order_Num", "Name", "Skill", "NumPossible",
@@ -91,7 +92,8 @@ def activity_scores(org: DataFrame, student_orgs: DataFrame, students: DataFrame
     NumCorrect``. The roster is joined in the lessons step and again here, so a
     student listed under n schools appears n x n times (J16), as in the
     source; ``dedupe_roster=True`` joins distinct students the second time."""
-    roster = guid_roster(org, student_orgs, students, documents, p.district)
+    # The roster is read twice (lessons, then the re-join); written once.
+    roster = materialize(guid_roster(org, student_orgs, students, documents, p.district), "roster")
     b = lessons(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
     a = roster.select("Student_GUID")
     if dedupe_roster:

@@ -33,6 +33,7 @@ from tessera.operators.aggs import mean_exact, revenue_to_pace
 from tessera.operators.joins import expand_dates
 from tessera.operators.sets import union_all, union_distinct
 from tessera.operators.windows import share_of_total
+from tessera.sources.sinks import materialize
 
 
 def _one_year_earlier(day: dt.date) -> dt.date:
@@ -127,13 +128,20 @@ def monthly_average(actuals: DataFrame) -> DataFrame:
 
 def revenue_with_forecast(actuals: DataFrame, as_of: dt.date) -> DataFrame:
     """Actual revenue before today; this month's mean from today to month end;
-    the (NULL) revenue for later months."""
-    avg = monthly_average(actuals)
+    the (NULL) revenue for later months.
+
+    The source joins the actuals to their own monthly means; the mean is a
+    window over (month, brand) here, so the actuals are computed and shuffled
+    once instead of twice."""
+    w = Window.partitionBy("month", "Brand")
+    pace = F.col("revenue_to_pace")
+    n = F.count(pace).over(w)
+    avg = F.when(n > 0, F.sum(pace).over(w).cast("double") / n)
     rev = F.col("revenue").cast("double")
     forecast = (F.when(F.col("event_date") < F.lit(as_of), rev)
                 .when(F.month("event_date") == as_of.month, F.col("monthly_average_revenue"))
                 .otherwise(rev))
-    return (actuals.join(avg, ["month", "Brand"], "left")
+    return (actuals.withColumn("monthly_average_revenue", avg)
             .select("event_date", "month", "Brand", rev.alias("actual_revenue"),
                     "monthly_average_revenue", forecast.alias("actual_plus_forecast_revenue")))
 
@@ -177,7 +185,10 @@ def budget_forecast(calendar_source: DataFrame, revenue: DataFrame, clicks: Data
                     budget: DataFrame, as_of: dt.date, sort: bool = True) -> DataFrame:
     """One row per calendar date and brand: daily budget and reforecast
     targets, month totals, actual revenue and actual-plus-forecast revenue."""
-    cal = month_calendar(calendar_source, as_of)
+    # The calendar is read three times below and each read would re-scan the
+    # calendar source (a fact table) twice; it is at most 366 rows, so it is
+    # computed once and written to the shared folder.
+    cal = materialize(month_calendar(calendar_source, as_of), "calendar")
     budget_rows = monthly_budget(budget, as_of)
     targets = dayofweek_budget(daily_weights(weekday_shares(clicks, as_of), days_in_month(cal)),
                                budget_rows)

@@ -18,6 +18,7 @@ from tessera.operators.windows import asc, desc, row_number
 from tessera.plans.activity_scores import completed_lessons
 from tessera.plans.rosters import guid_roster
 from tessera.sources.params import Params
+from tessera.sources.sinks import materialize
 
 GROUP = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
          "OrderID", "DateTime", "StrandID"]
@@ -86,6 +87,8 @@ def lesson_summary(org: DataFrame, student_orgs: DataFrame, students: DataFrame,
                    documents: DataFrame, history: DataFrame, seq_nodes: DataFrame,
                    lesson_nodes: DataFrame, strands: DataFrame, scores: DataFrame,
                    p: Params) -> DataFrame:
-    roster = guid_roster(org, student_orgs, students, documents, p.district, lower_match=True)
+    # The roster is read twice (lessons, then the re-join); written once.
+    roster = materialize(guid_roster(org, student_orgs, students, documents, p.district,
+                                     lower_match=True), "roster")
     rows = lessons(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
     return student_summary(roster, rows)

@@ -18,6 +18,7 @@ from tessera.operators.aggs import count_if, pick, rate
 from tessera.operators.windows import asc, first_last
 from tessera.plans.rosters import named_roster
 from tessera.sources.params import Params
+from tessera.sources.sinks import materialize
 
 ROSTER_COLS = ["district_name", "district_guid", "school_name", "school_guid", "grade",
                "student_id", "student_firstname", "student_lastname", "student_language",
@@ -84,7 +85,8 @@ def usage_by_student(organizations: DataFrame, student_orgs: DataFrame, info: Da
                      daily: DataFrame, progress: DataFrame, p: Params, sort: bool = True) -> DataFrame:
     """``roster JOIN usage LEFT JOIN lesson summary`` (J11): students without
     usage drop out, students without lessons stay with NULL lesson columns."""
-    roster = named_roster(organizations, student_orgs, info, p.district)
+    # The roster is read three times (usage, lessons, final join); written once.
+    roster = materialize(named_roster(organizations, student_orgs, info, p.district), "roster")
     u = usage(daily, roster, p)
     ls = lessons_per_student(ranked_lessons(progress, roster, p))
     out = (roster.join(u, "student_id").join(ls, "student_id", "left")

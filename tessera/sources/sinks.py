@@ -72,3 +72,19 @@ def drop_table(spark: SparkSession, name: str) -> None:
     replaced whole by ``write_table(..., mode="overwrite")``."""
     spark.catalog.dropTempView(name)
     spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+
+
+def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
+    """Compute ``df`` once and return it re-read from the shared folder.
+
+    For intermediates that a pipeline reads several times (a calendar, a
+    roster, monthly actuals): without it every reader re-runs the upstream
+    scans and shuffles. The result has no lineage back to the sources, so a
+    lost executor re-reads files instead of recomputing the plan. Writing
+    parquet costs one job; ``DataFrame.checkpoint()`` would run the plan twice
+    (once for its count, once to write) unless it were also persisted.
+    """
+    spark = df.sparkSession
+    path = table_path(spark, unique_name(prefix))
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

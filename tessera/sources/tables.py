@@ -19,16 +19,24 @@ def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
 
 
 class Tables:
-    """Attribute access to the tables of one data directory: ``t.lineitem``."""
+    """Attribute access to the tables of one data directory: ``t.lineitem``.
+
+    Table handles are kept per application and directory, so a session that
+    runs many reports resolves each table's file listing and parquet schema
+    once instead of once per report. Only the handle is kept, never data.
+    """
+
+    _handles: dict[tuple[str, str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLE_NAMES:
             raise AttributeError(name)
-        if name not in self._cache:
-            self._cache[name] = load(self.spark, self.sf_dir, name)
-        return self._cache[name]
+        key = (self.spark.sparkContext.applicationId, self.sf_dir.rstrip("/"), name)
+        df = Tables._handles.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = Tables._handles[key] = load(self.spark, self.sf_dir, name)
+        return df
