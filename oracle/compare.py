@@ -1,0 +1,40 @@
+"""Order-insensitive comparison of a Spark result with an oracle result."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+from collections import Counter
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def duckdb_views(sf_dir: str):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def norm(v, approx: bool = False):
+    if v is None:
+        return None
+    if isinstance(v, decimal.Decimal):
+        v = float(v)
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.9g}") if approx else repr(v)
+    if isinstance(v, dt.datetime):
+        return v.isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return v
+
+
+def bag(cols, rows, approx: bool = False) -> Counter:
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return Counter(tuple(norm(r[i], approx) for i in order) for r in rows)
