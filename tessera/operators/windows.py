@@ -34,12 +34,13 @@ def row_number(partition: Sequence[str | Column], order: Sequence[Column]) -> Co
 
 def first_last(df: DataFrame, partition: Sequence[str], order_col: str, tie: Sequence[str],
                first_name: str = "taken_order", last_name: str = "rev_taken_order") -> DataFrame:
-    """Ascending and descending rank on the same partition (N3). Both windows
-    share the partitioning, so Spark shuffles once and sorts twice."""
+    """Ascending and descending rank on the same partition (N3), each with the
+    split row number so a hot partition key is never gathered in one task.
+    (Where only the rank-1 rows are needed, ``min_by`` / ``max_by`` aggregates
+    are cheaper; see ``usage_by_student.lessons_per_student``.)"""
     fwd = [asc(order_col), *[asc(c) for c in tie]]
     rev = [desc(order_col), *[desc(c) for c in tie]]
-    return (df.withColumn(first_name, row_number(partition, fwd))
-              .withColumn(last_name, row_number(partition, rev)))
+    return row_number_split(row_number_split(df, partition, fwd, first_name), partition, rev, last_name)
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order_col: str, tie: Sequence[str] = (),
@@ -68,3 +69,50 @@ def share_of_total(df: DataFrame, part_keys: Sequence[str], total_keys: Sequence
 def normalise(value: Column, keys: Sequence[str | Column]) -> Column:
     """``value / SUM(value) OVER (PARTITION BY keys)``."""
     return value / F.sum(value).over(Window.partitionBy(*_cols(keys)))
+
+
+def row_number_split(df: DataFrame, partition: Sequence[str], order: Sequence[Column], name: str,
+                     num_partitions: int | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY order)`` that never
+    holds one key's rows in a single task.
+
+    A plain window shuffles every row of a key to one task; a key holding a
+    third of the data would then be sorted by one core. Here:
+
+    1. rows are range-partitioned on (key, order), so a hot key's rows are
+       spread, in order, over consecutive partitions;
+    2. each (partition, key) slice is numbered locally (the window's shuffle
+       is on (partition id, key), so a hot key is split as well), and the
+       result is written once to the shared folder, which fixes every row's
+       partition id;
+    3. a slice's offset is the number of rows of its key in earlier
+       partitions. Only a partition's first key can continue from an earlier
+       partition, so the offsets table has fewer rows than there are
+       partitions: a proven bound, and it is broadcast.
+
+    ``order`` should end in a tie-break that makes it total, as with any
+    deterministic row number.
+    """
+    from tessera.sources.sinks import materialize
+
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(partition)
+    ranged = (df.repartitionByRange(n, *[asc(k) for k in keys], *order)
+              .withColumn("__pid", F.spark_partition_id()))
+    local = ranged.withColumn(
+        "__lrn", F.row_number().over(Window.partitionBy("__pid", *keys).orderBy(*order)))
+    fixed = materialize(local, "rank")
+    slices = fixed.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (slices.withColumn("__off", F.sum("__n").over(before))
+               .where(F.col("__off") > 0)
+               .select(F.col("__pid").alias("__opid"), *[F.col(k).alias(f"__ok{i}") for i, k in enumerate(keys)],
+                       "__off"))
+    cond = F.col("__pid") == F.col("__opid")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__ok{i}"))
+    out = fixed.join(F.broadcast(offsets), cond, "left")
+    rn = (F.col("__lrn") + F.coalesce(F.col("__off"), F.lit(0))).cast("bigint")
+    return out.withColumn(name, rn).drop("__pid", "__lrn", "__opid", "__off",
+                                         *[f"__ok{i}" for i in range(len(keys))])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions.dates import in_window
 from tessera.functions.text import like_ci, not_like_ci
 from tessera.operators.joins import join_ci
-from tessera.operators.windows import asc, desc, row_number
+from tessera.operators.windows import asc, desc, row_number_split
 from tessera.plans.rosters import guid_roster
 from tessera.sources.params import Params
 from tessera.sources.sinks import materialize
@@ -59,7 +59,7 @@ def spanish_catalogue(seq_nodes: DataFrame, lesson_nodes: DataFrame, strands: Da
 def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_nodes: DataFrame,
             strands: DataFrame, scores: DataFrame, p: Params) -> DataFrame:
     """``tbl_lessons``: roster x history x catalogue x scores on (document,
-    lesson) (J1, J4, J5), ranked newest first per document (N1). Every score
+    lesson) (J1, J4, J5), ranked newest first per document (N1) with the split row number. Every score
     row of a lesson shares the lesson's time, so the rank's tie-break runs
     over all output columns."""
     studs = roster.select("Student_GUID", "SqlStudentDocumentId")
@@ -73,10 +73,11 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
     tie = ["Lesson", "Name", "sc_date", "Activity", "Skill", "NumPossible", "NumCorrect",
            "Mastered", "SatisfiedReason", "LessonState", "OrderID", "Student_GUID"]
     order = [desc("DateTime"), *[asc(c) for c in tie]]
-    return j.select(
+    # A student's rows are numbered without gathering them into one task.
+    ranked = row_number_split(j, ["SqlStudentDocumentId"], order, "Order_Num")
+    return ranked.select(
         "Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
-        F.col("OrderID").cast("bigint").alias("Lesson_Number"), "DateTime",
-        row_number(["SqlStudentDocumentId"], order).alias("Order_Num"),
+        F.col("OrderID").cast("bigint").alias("Lesson_Number"), "DateTime", "Order_Num",
         "Name", "Skill",
         F.col("NumPossible").cast("bigint").alias("NumPossible"),
         F.col("NumCorrect").cast("bigint").alias("NumCorrect"),

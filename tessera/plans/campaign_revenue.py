@@ -28,7 +28,7 @@ from tessera.functions.mapping import nz
 from tessera.functions.text import campaign_id
 from tessera.operators.joins import with_names
 from tessera.operators.sets import union_all
-from tessera.operators.windows import desc, row_number
+from tessera.operators.windows import desc, row_number, row_number_split
 
 ID_GRAIN = ["event_date", "advertiser_id", "offer_id", "affiliate_id", "affiliate_source",
             "affiliate_sub3", "affiliate_sub4"]
@@ -105,12 +105,19 @@ def combined(conversions: DataFrame, clicks: DataFrame, advertisers: DataFrame,
                      click_clean(clicks, advertisers, offers, affiliates, from_date))
 
 
-def campaign_lookup(history: DataFrame) -> DataFrame:
+def campaign_lookup(history: DataFrame, split: bool = False) -> DataFrame:
     """``SELECT DISTINCT campaign_id, campaign_name, ROW_NUMBER() OVER
     (PARTITION BY campaign_id ORDER BY created_date DESC) AS rank``. The rank
     makes every row distinct already, so no DISTINCT shuffle is needed; ties on
-    the date are broken by name."""
-    rank = row_number(["campaign_id"], [desc("created_date"), desc("campaign_name")])
+    the date are broken by name. When only ``rank = 1`` is read (the final
+    join) the plain window is best: Spark limits it per task before the
+    shuffle. ``split=True`` numbers every row without gathering a campaign's
+    history in one task."""
+    order = [desc("created_date"), desc("campaign_name")]
+    if split:
+        h = history.select("campaign_id", "campaign_name", "created_date")
+        return row_number_split(h, ["campaign_id"], order, "rank").drop("created_date")
+    rank = row_number(["campaign_id"], order)
     return history.select("campaign_id", "campaign_name", rank.alias("rank"))
 
 

@@ -358,6 +358,10 @@ def _w3_ranked(t):
     return w3.ranked_lessons(si.progress_by_lesson(t), _w3_roster(t), USAGE_PARAMS)
 
 
+def _w3_per_student(t):
+    return w3.lessons_per_student(w3.worked_lessons(si.progress_by_lesson(t), _w3_roster(t), USAGE_PARAMS))
+
+
 def _w3_usage_by_student(t, sort=True):
     return w3.usage_by_student(si.organizations(t), si.student_organizations2(t), si.student_info(t),
                                si.daily_usage(t), si.progress_by_lesson(t), USAGE_PARAMS, sort=sort)
@@ -421,20 +425,20 @@ def _win_first_last(t):
 @register("agg_conditional")
 def _agg_conditional(t):
     """Conditional sums, ELSE 0."""
-    return w3.lessons_per_student(_w3_ranked(t))
+    return _w3_per_student(t)
 
 
 @register("agg_pick_null")
 def _agg_pick_null(t):
     """Pick by rank with ELSE NULL."""
-    return w3.lessons_per_student(_w3_ranked(t)).select(
+    return _w3_per_student(t).select(
         "student_id", "literacy_first", "literacy_last", "grade_level_first", "grade_level_latest")
 
 
 @register("agg_rate")
 def _agg_rate(t):
     """``1.0 * SUM(flag) / COUNT(*)``."""
-    return w3.lessons_per_student(_w3_ranked(t)).select("student_id", "lessons_worked", "pass_rate")
+    return _w3_per_student(t).select("student_id", "lessons_worked", "pass_rate")
 
 
 @register("join_inner_left")
@@ -591,7 +595,7 @@ def _fn_cast(t):
 @register("win_rn_desc")
 def _win_rn_desc(t):
     """``ROW_NUMBER`` descending by date per key."""
-    return w4.campaign_lookup(si.campaign_history(t))
+    return w4.campaign_lookup(si.campaign_history(t), split=True)
 
 
 @register("win_latest")

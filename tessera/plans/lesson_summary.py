@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import in_window
 from tessera.functions.mapping import LESSON_STRANDS, lesson_number, subject_of
-from tessera.operators.aggs import activity_score, count_if, pick
+from tessera.operators.aggs import activity_score, count_if
 from tessera.operators.joins import join_ci
-from tessera.operators.windows import asc, desc, row_number
+from tessera.operators.windows import desc, row_number_split
 from tessera.plans.activity_scores import completed_lessons
 from tessera.plans.rosters import guid_roster
 from tessera.sources.params import Params
@@ -34,12 +34,12 @@ def activity_ratios(scores: DataFrame, p: Params, product: str = "ILE") -> DataF
             .agg(activity_score("NumPossible", "NumCorrect", "Mastered").alias("Activity_Score")))
 
 
-def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_nodes: DataFrame,
-            strands: DataFrame, scores: DataFrame, p: Params) -> DataFrame:
-    """``tbl_lessons``: lessons of the listed strands with their mean activity
-    score (LEFT join: lessons without scores keep a NULL accuracy), then a
-    newest-first rank per student and subject computed over the grouped rows
-    (N4, N5)."""
+def lesson_rows(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame,
+                lesson_nodes: DataFrame, strands: DataFrame, scores: DataFrame,
+                p: Params) -> DataFrame:
+    """``tbl_lessons`` without its rank: lessons of the listed strands with
+    their mean activity score (LEFT join: lessons without scores keep a NULL
+    accuracy)."""
     studs = roster.select("Student_GUID", "SqlStudentDocumentId")
     ldata = completed_lessons(history, p, end_plus_days=1)
     nodes = lesson_nodes.where(F.col("StrandID").isin(*LESSON_STRANDS))
@@ -48,38 +48,78 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
     j = join_ci(studs.join(ldata, "SqlStudentDocumentId"), cat, "Lesson", "NodeGUID")
     j = j.join(sc, ["SqlStudentDocumentId", "Lesson"], "left")
     g = j.groupBy(*GROUP).agg(F.avg("Activity_Score").alias("Lesson_Accuracy"))
-    subject = subject_of("StrandID")
-    order = [desc("DateTime"), asc("SqlStudentDocumentId"), asc("Lesson"), asc("SatisfiedReason"),
-             asc("LessonState"), asc("OrderID"), asc("StrandID")]
     return g.select(
         "Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
         lesson_number("StrandID", "OrderID").cast("bigint").alias("Lesson_Number"),
         F.col("DateTime").alias("Lesson_Date"),
-        row_number([F.col("Student_GUID"), subject], order).alias("Order_Num"),
-        subject.alias("Lesson_Type"),
-        "Lesson_Accuracy")
+        subject_of("StrandID").alias("Lesson_Type"),
+        "Lesson_Accuracy", "OrderID", "StrandID")
+
+
+# Rank order inside (student, subject): newest first; ties broken by the
+# grouping columns, all descending, so the rank-1 row is also the maximum of
+# ``rank_key()`` and an aggregate can find it without a window.
+RANK_COLS = ["Lesson_Date", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
+             "OrderID", "StrandID"]
 
 
-def student_summary(roster: DataFrame, lesson_rows: DataFrame, accuracy_digits: int = 6) -> DataFrame:
-    """One pass of conditional sums per student (A8, A10, A13, F15). The
-    roster is re-joined as in the source, so a student listed twice counts
-    twice in the sums (means are unaffected). ``Overall_Accuracy`` is a mean of
-    means of doubles and is rounded to ``accuracy_digits`` places."""
-    b = lesson_rows
+def rank_key():
+    return F.struct(*[F.col(c) for c in RANK_COLS])
+
+
+def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_nodes: DataFrame,
+            strands: DataFrame, scores: DataFrame, p: Params) -> DataFrame:
+    """``tbl_lessons`` with ``Order_Num``: newest-first rank per student and
+    subject, computed over the grouped rows (N4, N5)."""
+    rows = lesson_rows(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
+    order = [desc(c) for c in RANK_COLS]
+    ranked = row_number_split(rows, ["Student_GUID", "Lesson_Type"], order, "Order_Num")
+    return ranked.select(
+        "Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
+        "Lesson_Number", "Lesson_Date", "Order_Num", "Lesson_Type", "Lesson_Accuracy")
+
+
+def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6) -> DataFrame:
+    """One pass of conditional sums per student.
+
+    The source re-joins the lessons to the roster before summing, so a
+    student listed m times counts m times in every sum (means are
+    unaffected). Here the lessons are aggregated per student first (partial
+    aggregation, so a student with a huge history is folded inside each task)
+    and the per-student row is joined to the roster multiplicity m. The
+    latest literacy lesson is the ``max_by`` of the rank key rather than the
+    ``Order_Num = 1`` row of a window, which would hold a student's whole
+    history in one task. ``Overall_Accuracy`` is a mean of means of doubles
+    and is rounded to ``accuracy_digits`` places.
+    """
     t = F.col("Lesson_Type")
     achieved = F.col("SatisfiedReason") == "StudentAchievement"
-    j = roster.select("Student_GUID").join(b, "Student_GUID")
-    return j.groupBy("Student_GUID").agg(
-        pick("Lesson_Number", (t == "Literacy") & (F.col("Order_Num") == 1), empty=0)
-        .cast("bigint").alias("Last_literacy_lesson"),
-        F.round(F.avg("Lesson_Accuracy"), accuracy_digits).alias("Overall_Accuracy"),
-        count_if(F.col("Lesson_Accuracy") >= 0.70).alias("Lessons_Passed_Current"),
-        count_if(achieved & (t == "Literacy")).alias("Literacy_Lessons_Passed_Current"),
-        count_if(achieved & (t == "Language")).alias("Language_Lessons_Passed_Current"),
-        count_if(achieved & (t == "Grammar")).alias("Grammar_Lessons_Passed_Current"),
-        count_if(t == "Literacy").alias("Literacy_Lessons_Attempted_Current"),
-        count_if(t == "Language").alias("Language_Lessons_Attempted_Current"),
-        count_if(t == "Grammar").alias("Grammar_Lessons_Attempted_Current"),
+    literacy = t == "Literacy"
+    per_student = rows.groupBy("Student_GUID").agg(
+        F.max_by("Lesson_Number", F.when(literacy, rank_key())).alias("last_lit"),
+        F.avg("Lesson_Accuracy").alias("acc"),
+        count_if(F.col("Lesson_Accuracy") >= 0.70).alias("passed"),
+        count_if(achieved & literacy).alias("lit_passed"),
+        count_if(achieved & (t == "Language")).alias("lang_passed"),
+        count_if(achieved & (t == "Grammar")).alias("gram_passed"),
+        count_if(literacy).alias("lit_tried"),
+        count_if(t == "Language").alias("lang_tried"),
+        count_if(t == "Grammar").alias("gram_tried"),
+    )
+    m = roster.groupBy("Student_GUID").agg(F.count(F.lit(1)).alias("m"))
+    j = per_student.join(m, "Student_GUID")
+    times = F.col("m")
+    return j.select(
+        "Student_GUID",
+        (F.coalesce(F.col("last_lit"), F.lit(0)) * times).cast("bigint").alias("Last_literacy_lesson"),
+        F.round("acc", accuracy_digits).alias("Overall_Accuracy"),
+        (F.col("passed") * times).alias("Lessons_Passed_Current"),
+        (F.col("lit_passed") * times).alias("Literacy_Lessons_Passed_Current"),
+        (F.col("lang_passed") * times).alias("Language_Lessons_Passed_Current"),
+        (F.col("gram_passed") * times).alias("Grammar_Lessons_Passed_Current"),
+        (F.col("lit_tried") * times).alias("Literacy_Lessons_Attempted_Current"),
+        (F.col("lang_tried") * times).alias("Language_Lessons_Attempted_Current"),
+        (F.col("gram_tried") * times).alias("Grammar_Lessons_Attempted_Current"),
     )
 
 
@@ -87,8 +127,8 @@ def lesson_summary(org: DataFrame, student_orgs: DataFrame, students: DataFrame,
                    documents: DataFrame, history: DataFrame, seq_nodes: DataFrame,
                    lesson_nodes: DataFrame, strands: DataFrame, scores: DataFrame,
                    p: Params) -> DataFrame:
-    # The roster is read twice (lessons, then the re-join); written once.
+    # The roster is read twice (lessons, then the multiplicity); written once.
     roster = materialize(guid_roster(org, student_orgs, students, documents, p.district,
                                      lower_match=True), "roster")
-    rows = lessons(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
+    rows = lesson_rows(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
     return student_summary(roster, rows)

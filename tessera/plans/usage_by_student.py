@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions.dates import between_dates, in_window
 from tessera.functions.mapping import grade_to_int
 from tessera.functions.numeric import per_unit
-from tessera.operators.aggs import count_if, pick, rate
+from tessera.operators.aggs import count_if, rate
 from tessera.operators.windows import asc, first_last
 from tessera.plans.rosters import named_roster
 from tessera.sources.params import Params
@@ -54,21 +54,37 @@ def ranked_lessons(progress: DataFrame, roster: DataFrame, p: Params) -> DataFra
                          grade_to_int("lesson_grade_level").alias("grade_numeric"))
 
 
-def lessons_per_student(ranked: DataFrame) -> DataFrame:
+def worked_lessons(progress: DataFrame, roster: DataFrame, p: Params) -> DataFrame:
+    """Not-skipped lessons in the window (F12) of roster students, with the
+    numeric grade (P10). The roster join keeps the source's multiplicity."""
+    pr = progress.where(in_window("date_updated", p.start, p.end) & ~F.col("skipped"))
+    return (pr.join(roster.select("student_id"), "student_id")
+            .withColumn("grade_numeric", grade_to_int("lesson_grade_level")))
+
+
+def lessons_per_student(lessons: DataFrame) -> DataFrame:
     """``tbl_lessons_stud``: first/last picks (ELSE NULL, A9), counts, pass
-    rate (A12) and passed / attempted per area (A8) in one aggregate."""
+    rate (A12) and passed / attempted per area (A8) in one aggregate.
+
+    The source numbers every lesson per (student, area) with two windows and
+    keeps the rows ranked 1. Only those rows are read, so they are found with
+    ``min_by`` / ``max_by`` on (update time, lesson name), the same order and
+    tie-break as the windows: an aggregate folds each task's rows before the
+    shuffle, where a window would sort a student's whole history in one
+    task.
+    """
     reading = F.col("progress_area") == "Reading"
-    first, last = F.col("taken_order") == 1, F.col("rev_taken_order") == 1
+    order = F.when(reading, F.struct("date_updated", "lesson_name"))
     passed = F.col("passed")
 
     def dcount(cond):
         return count_if(cond).cast("double")
 
-    return ranked.groupBy("student_id").agg(
-        pick("lesson_order", first & reading).cast("bigint").alias("literacy_first"),
-        pick("lesson_order", last & reading).cast("bigint").alias("literacy_last"),
-        pick("grade_numeric", first & reading).cast("bigint").alias("grade_level_first"),
-        pick("grade_numeric", last & reading).cast("bigint").alias("grade_level_latest"),
+    return lessons.groupBy("student_id").agg(
+        F.min_by("lesson_order", order).cast("bigint").alias("literacy_first"),
+        F.max_by("lesson_order", order).cast("bigint").alias("literacy_last"),
+        F.min_by("grade_numeric", order).cast("bigint").alias("grade_level_first"),
+        F.max_by("grade_numeric", order).cast("bigint").alias("grade_level_latest"),
         F.count(F.lit(1)).alias("lessons_worked"),
         dcount(passed).alias("lessons_passed"),
         rate(passed).alias("pass_rate"),
@@ -88,7 +104,7 @@ def usage_by_student(organizations: DataFrame, student_orgs: DataFrame, info: Da
     # The roster is read three times (usage, lessons, final join); written once.
     roster = materialize(named_roster(organizations, student_orgs, info, p.district), "roster")
     u = usage(daily, roster, p)
-    ls = lessons_per_student(ranked_lessons(progress, roster, p))
+    ls = lessons_per_student(worked_lessons(progress, roster, p))
     out = (roster.join(u, "student_id").join(ls, "student_id", "left")
            .select(*ROSTER_COLS, "first_sessiondate", "last_sessiondate",
                    "total_session_minutes", *LESSON_COLS))
