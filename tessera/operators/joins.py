@@ -4,8 +4,8 @@ Physical strategy is left to Catalyst and AQE: with adaptive execution on, a
 side whose *measured* shuffle output is under the broadcast threshold is
 re-planned as a broadcast hash join, everything else stays sort-merge, and
 skewed partitions of a hot key are split. An explicit ``broadcast`` is used
-only for sides whose size is bounded by construction (an organisation tree,
-a one-year calendar) or after ``broadcast_if_small`` has counted the rows.
+only for sides whose size is bounded by construction (a district's schools, a
+one-year calendar, a table with fewer rows than there are partitions).
 """
 
 from __future__ import annotations
@@ -16,17 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) that ``broadcast_if_small`` ships to every executor.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a checked size; beyond it the planner's shuffle
-    join is kept. The count is one cheap job over a dimension."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_ci(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
             how: str = "inner") -> DataFrame:
     """Join on ``LOWER(left_key) = LOWER(right_key)`` (J4). The lowered keys
@@ -38,11 +27,19 @@ def join_ci(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return l2.join(r2, l2[lk] == r2[rk], how).drop(lk, rk)
 
 
+def distinct_keys(other: DataFrame, key: str, alias: str) -> DataFrame:
+    """The distinct values of ``other.key``. A semi or anti join only asks
+    whether a key occurs, so duplicates can go before the shuffle: partial
+    aggregation folds a hot key to one row per task, and the aggregate's hash
+    partitioning on the key is reused by the join (no extra exchange)."""
+    return other.select(F.col(key).alias(alias)).distinct()
+
+
 def semi(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
-    """``WHERE key IN (SELECT key FROM other)`` (J13): a left-semi join, so
-    duplicates on the right never multiply the left."""
-    rk = right_key or left_key
-    o = other.select(F.col(rk).alias("__semi_k"))
+    """``WHERE key IN (SELECT key FROM other)`` (J13): a left-semi join against
+    the subquery's distinct keys, so duplicates on the right never multiply
+    the left or pile up in one task."""
+    o = distinct_keys(other, right_key or left_key, "__semi_k")
     return df.join(o, df[left_key] == o["__semi_k"], "left_semi")
 
 
@@ -70,8 +67,7 @@ def semi_chain(df: DataFrame, key: str, levels: Sequence[tuple[DataFrame, str, s
 def anti(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
     """``NOT EXISTS`` (left anti join): NULL keys on either side never match,
     so left rows with a NULL key are kept."""
-    rk = right_key or left_key
-    o = other.select(F.col(rk).alias("__anti_k"))
+    o = distinct_keys(other, right_key or left_key, "__anti_k")
     return df.join(o, df[left_key] == o["__anti_k"], "left_anti")
 
 

@@ -30,7 +30,7 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Foreign-key violations (D14, D16): child rows whose non-NULL key has no
     parent row. NULL keys satisfy a foreign key and are not reported."""
-    p = parent.select(F.col(parent_key).alias("__parent_k"))
+    p = parent.select(F.col(parent_key).alias("__parent_k")).distinct()
     return (child.where(F.col(child_key).isNotNull())
             .join(p, F.col(child_key) == F.col("__parent_k"), "left_anti"))
 

@@ -35,7 +35,7 @@ def lookup_value(requests: DataFrame, table: DataFrame, key: str, value: str, ou
     (D3, D7). Only keys some request asks for are grouped (a semi join first);
     a key stored twice resolves to its greatest value, a deterministic stand-in
     for the source's "last row read wins"."""
-    wanted = table.join(requests.select(key), key, "left_semi")
+    wanted = table.join(requests.select(key).distinct(), key, "left_semi")
     found = wanted.groupBy(key).agg(F.max(value).alias("__found"))
     res = requests.join(found, key, "left")
     val = F.col("__found") if default is None else F.coalesce(F.col("__found"), F.lit(default))
@@ -54,7 +54,7 @@ def insert_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str]) ->
     ``(new_table, accepted_rows)``."""
     cols = table.columns
     batch = rows.select(*cols).dropDuplicates(list(keys))
-    accepted = batch.join(table.select(*keys), list(keys), "left_anti").select(*cols)
+    accepted = batch.join(table.select(*keys).distinct(), list(keys), "left_anti").select(*cols)
     return table.unionByName(accepted), accepted
 
 
@@ -62,7 +62,7 @@ def delete_by_key(table: DataFrame, keys: DataFrame, col: str, keys_col: str | N
     """``DELETE FROM t WHERE col = :k`` for a set of keys (D5, D10): a left anti
     join, written out by the caller as the table's new version."""
     kc = keys_col or col
-    return table.join(keys.select(F.col(kc).alias(col)), col, "left_anti")
+    return table.join(keys.select(F.col(kc).alias(col)).distinct(), col, "left_anti")
 
 
 def person_record(requests: DataFrame, persons: DataFrame, id_col: str = "id") -> DataFrame:
