@@ -52,10 +52,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     the context). Only when neither exists, as in local tests, a private
     directory is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client, use the conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tessera-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def session_key(spark: SparkSession) -> str:
+    """An identifier of the running application (classic or Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.session import session_key
+
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -35,7 +37,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLE_NAMES:
             raise AttributeError(name)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir.rstrip("/"), name)
+        key = (session_key(self.spark), self.sf_dir.rstrip("/"), name)
         df = Tables._handles.get(key)
         if df is None or df.sparkSession is not self.spark:
             df = Tables._handles[key] = load(self.spark, self.sf_dir, name)
