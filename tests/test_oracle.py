@@ -10,6 +10,8 @@ from oracle.compare import bag, duckdb_views
 from tests.conftest import SF_SMALL
 
 KEYS = sorted(entry.queries())
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                   "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +33,6 @@ def test_query_matches_oracle(spark, con, key):
     assert sorted(df.columns) == sorted(ocols)
     assert len(got) == len(want)
     assert bag(df.columns, got) == bag(ocols, want)
+    otypes = dict(con.execute(f"DESCRIBE {entry.oracle_sql()[key]}").fetchall()[i][:2]
+                  for i in range(len(ocols)))
+    assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in df.dtypes} == otypes
