@@ -66,8 +66,8 @@ ORDER BY total_quantity DESC
 ORACLE_SQL["retail_q5"] = sql(_Q5, *SHOP)
 ORACLE_SQL["retail_q5_ctas"] = sql(_Q5, *SHOP)
 
-import oracle.pipelines  # noqa: E402,F401  (registers the pipeline CTEs)
-from oracle.pipelines import CAMPAIGN_CASE, GRADE_CASE, SUBJECT_CASE  # noqa: E402
+import oracle.workloads  # noqa: E402,F401  (registers the workload CTEs)
+from oracle.workloads import CAMPAIGN_CASE, GRADE_CASE, SUBJECT_CASE  # noqa: E402
 
 Q = ORACLE_SQL
 
@@ -226,7 +226,7 @@ Q["filter_from_date"] = sql("""
 SELECT CAST(conversion_time AS DATE) AS event_date, advertiser_id, offer_id, affiliate_id,
        affiliate_source, affiliate_sub3, affiliate_sub4, transaction_id,
        CASE WHEN revenue_cents IS NULL THEN 0 ELSE revenue_cents END AS cr_rev, payout_cents
-FROM conversions WHERE CAST(conversion_time AS DATE) >= DATE '2024-01-15'""", "conversions")
+FROM conversions WHERE CAST(conversion_time AS DATE) >= DATE '2023-01-01'""", "conversions")
 Q["fn_to_date"] = sql("""
 SELECT transaction_id, click_time, CAST(click_time AS DATE) AS event_date FROM clicks""", "clicks")
 Q["fn_cast"] = sql("""

@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera import fixed as fx
+
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -48,7 +50,7 @@ def rate(cond: Column) -> Column:
 
 
 def revenue_to_pace(date: str | Column, revenue: str | Column, kind: str | Column,
-                    as_of: dt.date, excluded_kind: str = "Addition") -> Column:
+                    as_of: dt.date, excluded_kind: str = fx.W5_EXCLUDED_KIND) -> Column:
     """``SUM(CASE WHEN date = today THEN NULL WHEN kind != 'Addition' THEN
     revenue ELSE 0 END)`` (A17): today's partial day is left out; additions
     and rows of unknown kind count as 0."""

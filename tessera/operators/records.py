@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import fixed as fx
 from tessera.operators.joins import exists_flag
 
 
@@ -45,7 +46,7 @@ def lookup_value(requests: DataFrame, table: DataFrame, key: str, value: str, ou
 def token_user_name(requests: DataFrame, tokens: DataFrame) -> DataFrame:
     """``getUserName``: user of each requested token, ``''`` when absent (D3)."""
     return lookup_value(requests.select("request_id", "authToken"), tokens, "authToken",
-                        "userName", "userName", default="")
+                        "userName", "userName", default=fx.MISSING_USER_NAME)
 
 
 def insert_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -88,7 +89,7 @@ def append_person(table: DataFrame, rows: DataFrame, null_text: bool = False) ->
     text ``'null'``; ``null_text=True`` reproduces that, the default stores a
     real NULL."""
     if null_text:
-        rows = rows.select(*[F.coalesce(F.col(c), F.lit("null")).alias(c)
+        rows = rows.select(*[F.coalesce(F.col(c), F.lit(fx.MISSING_PARENT_TEXT)).alias(c)
                              if c in ("fatherID", "motherID", "spouseID") else F.col(c)
                              for c in rows.columns])
     return table.unionByName(rows.select(*table.columns))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import fixed as fx
 from tessera.functions.dates import in_window
 from tessera.functions.text import like_ci, not_like_ci
 from tessera.operators.joins import join_ci
@@ -26,15 +27,15 @@ OUTPUT = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "
           "NumCorrect", "Mastered", "sc_date", "Activity"]
 
 
-def spanish_scores(scores: DataFrame, p: Params, product: str = "Spanish") -> DataFrame:
+def spanish_scores(scores: DataFrame, p: Params, product: str = fx.W1_PRODUCT) -> DataFrame:
     """``tbl_scores``: window closed at midnight of the end day (F2), equality
     filters (F1), ``NOT LIKE '%assessment%'`` (F8), ``IS NULL`` (F10)."""
     return scores.where(
         in_window("DateTime", p.start, p.end)
         & (F.col("Product") == product)
-        & not_like_ci("Skill", "%assessment%")
+        & not_like_ci("Skill", fx.W1_SKILL_EXCLUDED)
         & F.col("ActivitySkippedType").isNull()
-        & (F.col("LessonBranch") == "Main"))
+        & (F.col("LessonBranch") == fx.W1_BRANCH))
 
 
 def completed_lessons(history: DataFrame, p: Params, end_plus_days: int = 0) -> DataFrame:
@@ -42,17 +43,17 @@ def completed_lessons(history: DataFrame, p: Params, end_plus_days: int = 0) ->
     fail ``NOT LIKE`` and drop out."""
     return history.where(
         in_window("DateTime", p.start, p.end, end_plus_days)
-        & not_like_ci("LessonState", "%Skip%")
-        & not_like_ci("SatisfiedReason", "%Skip%")
-        & not_like_ci("SatisfiedReason", "SatisfiedByAlternateLesson"))
+        & not_like_ci("LessonState", fx.STATE_EXCLUDED)
+        & not_like_ci("SatisfiedReason", fx.REASON_EXCLUDED)
+        & not_like_ci("SatisfiedReason", fx.REASON_ALTERNATE))
 
 
 def spanish_catalogue(seq_nodes: DataFrame, lesson_nodes: DataFrame, strands: DataFrame,
-                      strand_id: int = 26) -> DataFrame:
+                      strand_id: int = fx.W1_STRAND) -> DataFrame:
     """Lesson GUIDs of one strand whose enum mentions Spanish, reviews left
     out. Built first (it is a dimension) so the history joins a small side."""
-    nodes = lesson_nodes.where((F.col("StrandID") == strand_id) & not_like_ci("Name", "%review%"))
-    st = strands.where((F.col("StrandID") == strand_id) & like_ci("Enum", "%Spanish%")).select("StrandID")
+    nodes = lesson_nodes.where((F.col("StrandID") == strand_id) & not_like_ci("Name", fx.W1_NAME_EXCLUDED))
+    st = strands.where((F.col("StrandID") == strand_id) & like_ci("Enum", fx.W1_STRAND_ENUM)).select("StrandID")
     return seq_nodes.join(nodes, "NodeID").join(st, "StrandID")
 
 

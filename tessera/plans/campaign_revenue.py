@@ -24,6 +24,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import fixed as fx
+from tessera.functions.numeric import per_unit
 from tessera.functions.mapping import nz
 from tessera.functions.text import campaign_id
 from tessera.operators.joins import with_names
@@ -64,7 +66,7 @@ def raw_events(facts: DataFrame, time_col: str, rev_name: str) -> DataFrame:
 def conversion_raw(conversions: DataFrame, advertisers: DataFrame, offers: DataFrame,
                    affiliates: DataFrame, from_date: dt.date | None = None) -> DataFrame:
     """Approved conversions with their names, one row per conversion."""
-    c = _since(conversions, "conversion_time", from_date).where(F.col("status") == "approved")
+    c = _since(conversions, "conversion_time", from_date).where(F.col("status") == fx.W4_STATUS)
     return _names(raw_events(c, "conversion_time", "cr_rev"), advertisers, offers, affiliates)
 
 
@@ -72,7 +74,7 @@ def conversion_clean(conversions: DataFrame, advertisers: DataFrame, offers: Dat
                      affiliates: DataFrame, from_date: dt.date | None = None) -> DataFrame:
     """Conversions per name grain: ``COUNT(transaction_id)`` (rows with an id),
     ``0 AS clicks``, revenue and payout sums."""
-    c = _since(conversions, "conversion_time", from_date).where(F.col("status") == "approved")
+    c = _since(conversions, "conversion_time", from_date).where(F.col("status") == fx.W4_STATUS)
     by_id = (raw_events(c, "conversion_time", "cr_rev").groupBy(*ID_GRAIN)
              .agg(F.count("transaction_id").alias("n"), F.sum("cr_rev").alias("rev"),
                   F.sum("payout_cents").alias("pay")))
@@ -135,7 +137,7 @@ def revenue_final(union: DataFrame) -> DataFrame:
             .groupBy(*FINAL_GRAIN)
             .agg(F.sum("clicks").cast("bigint").alias("tune_clicks"),
                  F.sum("conversions").cast("bigint").alias("tune_conversions"),
-                 (F.sum("revenue_cents").cast("double") / F.lit(100.0)).alias("tune_revenue")))
+                 per_unit(F.sum("revenue_cents"), fx.W4_CENTS_PER_UNIT).alias("tune_revenue")))
 
 
 def campaign_revenue(conversions: DataFrame, clicks: DataFrame, advertisers: DataFrame,

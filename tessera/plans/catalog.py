@@ -574,7 +574,7 @@ def _filter_not_null(t):
 def _filter_from_date(t):
     """Lower bound only, on the event day."""
     return (w4.raw_events(si.conversions(t), "conversion_time", "cr_rev")
-            .where(on_or_after("event_date", "2024-01-15")))
+            .where(on_or_after("event_date", CAMPAIGN_FROM_DATE)))
 
 
 @register("fn_to_date")

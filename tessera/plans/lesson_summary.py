@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import fixed as fx
 from tessera.functions.dates import in_window
 from tessera.functions.mapping import LESSON_STRANDS, lesson_number, subject_of
 from tessera.operators.aggs import activity_score, count_if
@@ -24,7 +25,7 @@ GROUP = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "L
          "OrderID", "DateTime", "StrandID"]
 
 
-def activity_ratios(scores: DataFrame, p: Params, product: str = "ILE") -> DataFrame:
+def activity_ratios(scores: DataFrame, p: Params, product: str = fx.W2_PRODUCT) -> DataFrame:
     """``tbl_scores``: per (document, lesson, activity) the share of correct
     answers, an item worth nothing scoring its mastery out of 1 (A11). The
     window ends at midnight of ``end + 1 day`` (F3, X11)."""
@@ -93,18 +94,18 @@ def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6
     and is rounded to ``accuracy_digits`` places.
     """
     t = F.col("Lesson_Type")
-    achieved = F.col("SatisfiedReason") == "StudentAchievement"
-    literacy = t == "Literacy"
+    achieved = F.col("SatisfiedReason") == fx.W2_ACHIEVED
+    literacy = t == fx.SUBJECT_LITERACY
     per_student = rows.groupBy("Student_GUID").agg(
         F.max_by("Lesson_Number", F.when(literacy, rank_key())).alias("last_lit"),
         F.avg("Lesson_Accuracy").alias("acc"),
-        count_if(F.col("Lesson_Accuracy") >= 0.70).alias("passed"),
+        count_if(F.col("Lesson_Accuracy") >= fx.W2_PASS_THRESHOLD).alias("passed"),
         count_if(achieved & literacy).alias("lit_passed"),
-        count_if(achieved & (t == "Language")).alias("lang_passed"),
-        count_if(achieved & (t == "Grammar")).alias("gram_passed"),
+        count_if(achieved & (t == fx.SUBJECT_LANGUAGE)).alias("lang_passed"),
+        count_if(achieved & (t == fx.SUBJECT_GRAMMAR)).alias("gram_passed"),
         count_if(literacy).alias("lit_tried"),
-        count_if(t == "Language").alias("lang_tried"),
-        count_if(t == "Grammar").alias("gram_tried"),
+        count_if(t == fx.SUBJECT_LANGUAGE).alias("lang_tried"),
+        count_if(t == fx.SUBJECT_GRAMMAR).alias("gram_tried"),
     )
     m = roster.groupBy("Student_GUID").agg(F.count(F.lit(1)).alias("m"))
     j = per_student.join(m, "Student_GUID")

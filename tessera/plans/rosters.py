@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import fixed as fx
 from tessera.functions.mapping import grade_to_int
 from tessera.operators.joins import join_ci
 
@@ -21,10 +22,10 @@ def district_schools(org: DataFrame, district: str, lower_match: bool = False) -
     dist._id``. ``lower_match`` compares ``LOWER(dist._id)`` with the
     parameter instead of ``dist._id``."""
     dist_id = F.lower(F.col("_id")) if lower_match else F.col("_id")
-    dist = org.where((F.col("OrgType") == 0) & (dist_id == district)).select(
+    dist = org.where((F.col("OrgType") == fx.ORG_TYPE_DISTRICT) & (dist_id == district)).select(
         F.col("_id").alias("dist_id"), F.col("ParentID").alias("dist_parent"))
-    top = org.where(F.col("OrgType") == 2).select(F.col("_id").alias("top_id"))
-    sch = org.where(F.col("OrgType") == 1).select(F.col("_id").alias("school_id"),
+    top = org.where(F.col("OrgType") == fx.ORG_TYPE_TOP).select(F.col("_id").alias("top_id"))
+    sch = org.where(F.col("OrgType") == fx.ORG_TYPE_SCHOOL).select(F.col("_id").alias("school_id"),
                                                   F.col("ParentID").alias("school_parent"))
     levels = (dist.join(top, F.col("top_id") == F.col("dist_parent"))
               .join(sch, F.col("school_parent") == F.col("dist_id")))
@@ -54,7 +55,7 @@ def named_roster(organizations: DataFrame, student_orgs: DataFrame, info: DataFr
     DISTINCT, as in the source: a student in two schools is listed twice."""
     dist = organizations.where(F.col("organizationID") == district).select(
         F.col("organizationID").alias("district_guid"), F.col("name").alias("district_name"))
-    sch = organizations.where(F.col("orgtype") == "School").select(
+    sch = organizations.where(F.col("orgtype") == fx.W3_SCHOOL).select(
         F.col("organizationID").alias("school_guid"), F.col("name").alias("school_name"),
         F.col("parent").alias("school_parent"))
     schools = F.broadcast(dist.join(sch, F.col("school_parent") == F.col("district_guid")))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import fixed as fx
 from tessera.functions.dates import between_dates, in_window
 from tessera.functions.mapping import grade_to_int
 from tessera.functions.numeric import per_unit
@@ -29,7 +30,7 @@ LESSON_COLS = ["lessons_worked", "lessons_passed", "pass_rate", "literacy_first"
                "Language_Lessons_Attempted", "Grammar_Lessons_Attempted"]
 
 
-def usage(daily: DataFrame, roster: DataFrame, p: Params, product: str = "ILE") -> DataFrame:
+def usage(daily: DataFrame, roster: DataFrame, p: Params, product: str = fx.W3_PRODUCT_TAG) -> DataFrame:
     """``tbl_usage``: first and last session day and total minutes.
     The roster join comes before the sum, as in the source, so a student
     listed twice is summed twice."""
@@ -38,7 +39,7 @@ def usage(daily: DataFrame, roster: DataFrame, p: Params, product: str = "ILE")
     return j.groupBy("student_id").agg(
         F.min("usage_date").alias("first_sessiondate"),
         F.max("usage_date").alias("last_sessiondate"),
-        per_unit(F.sum("session_seconds"), 60.0).alias("total_session_minutes"))
+        per_unit(F.sum("session_seconds"), fx.SECONDS_PER_MINUTE).alias("total_session_minutes"))
 
 
 def ranked_lessons(progress: DataFrame, roster: DataFrame, p: Params) -> DataFrame:
@@ -73,7 +74,7 @@ def lessons_per_student(lessons: DataFrame) -> DataFrame:
     shuffle, where a window would sort a student's whole history in one
     task.
     """
-    reading = F.col("progress_area") == "Reading"
+    reading = F.col("progress_area") == fx.AREA_READING
     order = F.when(reading, F.struct("date_updated", "lesson_name"))
     passed = F.col("passed")
 
@@ -89,11 +90,11 @@ def lessons_per_student(lessons: DataFrame) -> DataFrame:
         dcount(passed).alias("lessons_passed"),
         rate(passed).alias("pass_rate"),
         dcount(passed & reading).alias("Literacy_Lessons_Passed"),
-        dcount(passed & (F.col("progress_area") == "Vocabulary")).alias("Language_Lessons_Passed"),
-        dcount(passed & (F.col("progress_area") == "Grammar")).alias("Grammar_Lessons_Passed"),
+        dcount(passed & (F.col("progress_area") == fx.AREA_VOCABULARY)).alias("Language_Lessons_Passed"),
+        dcount(passed & (F.col("progress_area") == fx.AREA_GRAMMAR)).alias("Grammar_Lessons_Passed"),
         dcount(reading).alias("Literacy_Lessons_Attempted"),
-        dcount(F.col("progress_area") == "Vocabulary").alias("Language_Lessons_Attempted"),
-        dcount(F.col("progress_area") == "Grammar").alias("Grammar_Lessons_Attempted"),
+        dcount(F.col("progress_area") == fx.AREA_VOCABULARY).alias("Language_Lessons_Attempted"),
+        dcount(F.col("progress_area") == fx.AREA_GRAMMAR).alias("Grammar_Lessons_Attempted"),
     )
 
 

@@ -235,3 +235,9 @@ def test_person_record_for_unknown_id_has_only_the_id(spark):
     got = {r.request_id: r for r in records.person_record(req, persons).collect()}
     assert got[1].firstName == "A"
     assert got[2].id == "p2" and got[2].firstName is None
+
+
+def test_lower_bound_only_filter(spark):
+    from tessera.functions.dates import on_or_after
+    df = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (14, 15, 16)], "d date")
+    assert rows(df.where(on_or_after("d", "2024-01-15"))) == [(dt.date(2024, 1, 15),), (dt.date(2024, 1, 16),)]
