@@ -64,8 +64,16 @@ def future_calendar(source: DataFrame, as_of: dt.date) -> DataFrame:
             .distinct())
 
 
-def month_calendar(source: DataFrame, as_of: dt.date) -> DataFrame:
-    """``SELECT DISTINCT * FROM (ytd UNION ALL future)``."""
+def month_calendar(source: DataFrame, as_of: dt.date, full_year: bool = False) -> DataFrame:
+    """``SELECT DISTINCT * FROM (ytd UNION ALL future)`` (U3): only dates seen
+    in the source this year or last year, as the source builds it.
+    ``full_year=True`` instead lists every day of the year with ``sequence``
+    (the source's evident intent, independent of gaps in the data)."""
+    if full_year:
+        days = source.sparkSession.range(1).select(
+            F.explode(F.sequence(F.lit(year_start(as_of)), F.lit(year_end(as_of)))).alias("future_date"))
+        return days.select("future_date", day_of_week("future_date").alias("dayofweek"),
+                           F.month("future_date").alias("month"))
     return union_distinct(ytd_calendar(source, as_of), future_calendar(source, as_of))
 
 
@@ -182,13 +190,14 @@ def dayofweek_budget(weights: DataFrame, budget_rows: DataFrame) -> DataFrame:
 
 
 def budget_forecast(calendar_source: DataFrame, revenue: DataFrame, clicks: DataFrame,
-                    budget: DataFrame, as_of: dt.date, sort: bool = True) -> DataFrame:
+                    budget: DataFrame, as_of: dt.date, sort: bool = True,
+                    full_year_calendar: bool = False) -> DataFrame:
     """One row per calendar date and brand: daily budget and reforecast
     targets, month totals, actual revenue and actual-plus-forecast revenue."""
     # The calendar is read three times below and each read would re-scan the
     # calendar source (a fact table) twice; it is at most 366 rows, so it is
     # computed once and written to the shared folder.
-    cal = materialize(month_calendar(calendar_source, as_of), "calendar")
+    cal = materialize(month_calendar(calendar_source, as_of, full_year_calendar), "calendar")
     budget_rows = monthly_budget(budget, as_of)
     targets = dayofweek_budget(daily_weights(weekday_shares(clicks, as_of), days_in_month(cal)),
                                budget_rows)

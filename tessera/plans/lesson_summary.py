@@ -80,7 +80,8 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
         "Lesson_Number", "Lesson_Date", "Order_Num", "Lesson_Type", "Lesson_Accuracy")
 
 
-def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6) -> DataFrame:
+def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6,
+                    dedupe_roster: bool = False) -> DataFrame:
     """One pass of conditional sums per student.
 
     The source re-joins the lessons to the roster before summing, so a
@@ -91,7 +92,8 @@ def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6
     latest literacy lesson is the ``max_by`` of the rank key rather than the
     ``Order_Num = 1`` row of a window, which would hold a student's whole
     history in one task. ``Overall_Accuracy`` is a mean of means of doubles
-    and is rounded to ``accuracy_digits`` places.
+    and is rounded to ``accuracy_digits`` places. ``dedupe_roster=True``
+    counts each student once however many times the roster lists them.
     """
     t = F.col("Lesson_Type")
     achieved = F.col("SatisfiedReason") == fx.W2_ACHIEVED
@@ -108,6 +110,8 @@ def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6
         count_if(t == fx.SUBJECT_GRAMMAR).alias("gram_tried"),
     )
     m = roster.groupBy("Student_GUID").agg(F.count(F.lit(1)).alias("m"))
+    if dedupe_roster:
+        m = m.withColumn("m", F.lit(1).cast("bigint"))
     j = per_student.join(m, "Student_GUID")
     times = F.col("m")
     return j.select(
@@ -127,9 +131,9 @@ def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6
 def lesson_summary(org: DataFrame, student_orgs: DataFrame, students: DataFrame,
                    documents: DataFrame, history: DataFrame, seq_nodes: DataFrame,
                    lesson_nodes: DataFrame, strands: DataFrame, scores: DataFrame,
-                   p: Params) -> DataFrame:
+                   p: Params, dedupe_roster: bool = False) -> DataFrame:
     # The roster is read twice (lessons, then the multiplicity); written once.
     roster = materialize(guid_roster(org, student_orgs, students, documents, p.district,
                                      lower_match=True), "roster")
     rows = lesson_rows(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
-    return student_summary(roster, rows)
+    return student_summary(roster, rows, dedupe_roster=dedupe_roster)

@@ -30,12 +30,14 @@ LESSON_COLS = ["lessons_worked", "lessons_passed", "pass_rate", "literacy_first"
                "Language_Lessons_Attempted", "Grammar_Lessons_Attempted"]
 
 
-def usage(daily: DataFrame, roster: DataFrame, p: Params, product: str = fx.W3_PRODUCT_TAG) -> DataFrame:
+def usage(daily: DataFrame, roster: DataFrame, p: Params, product: str = fx.W3_PRODUCT_TAG,
+          dedupe_roster: bool = False) -> DataFrame:
     """``tbl_usage``: first and last session day and total minutes.
     The roster join comes before the sum, as in the source, so a student
-    listed twice is summed twice."""
+    listed twice is summed twice; ``dedupe_roster=True`` sums once."""
     d = daily.where(between_dates("usage_date", p.start, p.end) & (F.col("product_tag") == product))
-    j = d.join(roster.select("student_id"), "student_id")
+    students = roster.select("student_id")
+    j = d.join(students.distinct() if dedupe_roster else students, "student_id")
     return j.groupBy("student_id").agg(
         F.min("usage_date").alias("first_sessiondate"),
         F.max("usage_date").alias("last_sessiondate"),
@@ -55,11 +57,14 @@ def ranked_lessons(progress: DataFrame, roster: DataFrame, p: Params) -> DataFra
                          grade_to_int("lesson_grade_level").alias("grade_numeric"))
 
 
-def worked_lessons(progress: DataFrame, roster: DataFrame, p: Params) -> DataFrame:
+def worked_lessons(progress: DataFrame, roster: DataFrame, p: Params,
+                   dedupe_roster: bool = False) -> DataFrame:
     """Not-skipped lessons in the window (F12) of roster students, with the
-    numeric grade (P10). The roster join keeps the source's multiplicity."""
+    numeric grade (P10). The roster join keeps the source's multiplicity
+    unless ``dedupe_roster=True``."""
     pr = progress.where(in_window("date_updated", p.start, p.end) & ~F.col("skipped"))
-    return (pr.join(roster.select("student_id"), "student_id")
+    students = roster.select("student_id")
+    return (pr.join(students.distinct() if dedupe_roster else students, "student_id")
             .withColumn("grade_numeric", grade_to_int("lesson_grade_level")))
 
 
@@ -99,13 +104,17 @@ def lessons_per_student(lessons: DataFrame) -> DataFrame:
 
 
 def usage_by_student(organizations: DataFrame, student_orgs: DataFrame, info: DataFrame,
-                     daily: DataFrame, progress: DataFrame, p: Params, sort: bool = True) -> DataFrame:
+                     daily: DataFrame, progress: DataFrame, p: Params, sort: bool = True,
+                     dedupe_roster: bool = False) -> DataFrame:
     """``roster JOIN usage LEFT JOIN lesson summary`` (J11): students without
-    usage drop out, students without lessons stay with NULL lesson columns."""
+    usage drop out, students without lessons stay with NULL lesson columns.
+    The roster has no DISTINCT (as in the source), so a student listed under
+    two schools is summed twice; ``dedupe_roster=True`` sums each student
+    once (the output still lists each roster row)."""
     # The roster is read three times (usage, lessons, final join); written once.
     roster = materialize(named_roster(organizations, student_orgs, info, p.district), "roster")
-    u = usage(daily, roster, p)
-    ls = lessons_per_student(worked_lessons(progress, roster, p))
+    u = usage(daily, roster, p, dedupe_roster=dedupe_roster)
+    ls = lessons_per_student(worked_lessons(progress, roster, p, dedupe_roster=dedupe_roster))
     out = (roster.join(u, "student_id").join(ls, "student_id", "left")
            .select(*ROSTER_COLS, "first_sessiondate", "last_sessiondate",
                    "total_session_minutes", *LESSON_COLS))

@@ -241,3 +241,23 @@ def test_lower_bound_only_filter(spark):
     from tessera.functions.dates import on_or_after
     df = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (14, 15, 16)], "d date")
     assert rows(df.where(on_or_after("d", "2024-01-15"))) == [(dt.date(2024, 1, 15),), (dt.date(2024, 1, 16),)]
+
+
+def test_full_year_calendar_option(spark):
+    from tessera.plans import budget_forecast as w5
+    src = spark.createDataFrame([(dt.date(1998, 3, 1),)], "date date")
+    seen = w5.month_calendar(src, dt.date(1998, 6, 15))
+    full = w5.month_calendar(src, dt.date(1998, 6, 15), full_year=True)
+    assert seen.count() == 1 and full.count() == 365
+    assert full.where("future_date = DATE'1998-01-04'").first().dayofweek == 1  # a Sunday
+
+
+def test_usage_sums_twice_for_a_student_in_two_schools_unless_deduped(spark):
+    from tessera.plans import usage_by_student as w3
+    from tessera.sources.params import Params
+    roster = spark.createDataFrame([("a",), ("a",)], "student_id string")
+    daily = spark.createDataFrame([("a", dt.date(2021, 8, 3), 120, "ILE")],
+                                  "student_id string, usage_date date, session_seconds bigint, product_tag string")
+    p = Params("2021-08-01", "2021-09-02", "D")
+    assert w3.usage(daily, roster, p).first().total_session_minutes == 4.0
+    assert w3.usage(daily, roster, p, dedupe_roster=True).first().total_session_minutes == 2.0

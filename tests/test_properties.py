@@ -74,3 +74,12 @@ def test_insert_accepts_exactly_the_absent_pairs(q):
     # rejected; the other three quarters are new pairs
     before = q("token_exists").count()
     assert q("insert_if_absent").count() == before + q("token_user_exists").where("NOT pair_exists").count()
+
+
+def test_budget_has_one_row_per_brand_and_month(spark):
+    # duplicates would multiply targets twice in the final joins
+    from tessera.operators.quality import duplicate_keys
+    from tessera.sources import stand_ins as si
+    from tessera.sources.tables import Tables
+    b = si.budgets(Tables(spark, SF_SMALL))
+    assert duplicate_keys(b, ["year", "period", "brand_domain"]).count() == 0
