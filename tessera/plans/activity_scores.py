@@ -101,4 +101,7 @@ def activity_scores(org: DataFrame, student_orgs: DataFrame, students: DataFrame
     if dedupe_roster:
         a = a.distinct()
     out = a.join(b, "Student_GUID").select(*OUTPUT)
-    return out.orderBy(asc("Name"), asc("NumCorrect")) if sort else out
+    # ORDER BY Name, NumCorrect; the remaining columns only break ties, so rows
+    # sharing a name are spread over range partitions instead of one.
+    tie = ["SqlStudentDocumentId", "DateTime", "Lesson", "Activity", "sc_date", "Order_Num"]
+    return out.orderBy(asc("Name"), asc("NumCorrect"), *[asc(c) for c in tie]) if sort else out

@@ -381,7 +381,8 @@ def _project_alias(t):
 @register("sort_multi")
 def _sort_multi(t):
     """Multi-key ascending sort with explicit NULL placement (O1, O3)."""
-    return _w3_roster(t).orderBy(asc("district_name"), asc("school_name"), asc("grade"))
+    return _w3_roster(t).orderBy(asc("district_name"), asc("school_name"), asc("grade"),
+                                 asc("student_id"))
 
 
 @register("label_to_ordinal")

@@ -49,7 +49,7 @@ def revenue_by_type(tables: dict[str, DataFrame]) -> DataFrame:
     return (_lines_with_price(tables)
             .groupBy("product_type")
             .agg(F.sum("revenue").cast("double").alias("revenue"))
-            .orderBy(F.col("revenue").desc_nulls_last()))
+            .orderBy(F.col("revenue").desc_nulls_last(), F.col("product_type").asc_nulls_last()))
 
 
 def revenue_rows(tables: dict[str, DataFrame]) -> DataFrame:
@@ -58,16 +58,19 @@ def revenue_rows(tables: dict[str, DataFrame]) -> DataFrame:
             .select("product_type", F.col("price").cast("double").alias("price"),
                     F.col("quantity").cast("bigint").alias("quantity"),
                     F.col("revenue").cast("double").alias("revenue"))
-            .orderBy(F.col("revenue").desc_nulls_last()))
+            .orderBy(F.col("revenue").desc_nulls_last(), "product_type", "price", "quantity"))
 
 
 def products_by_state(tables: dict[str, DataFrame], states: Sequence[str] = ("VA", "MD")) -> DataFrame:
     """Q4: product type, customer name and state for customers in ``states``:
-    a four-table inner join chain (one row per order line)."""
+    a four-table inner join chain (one row per order line). The chain starts
+    from the filtered customers: inner joins commute, and without table
+    statistics Catalyst keeps the written order, so starting from the
+    selective side keeps every intermediate proportional to the answer."""
     p, cop = tables["products"], tables["customer_order_products"]
     co, c = tables["customer_orders"], tables["customers"]
     c = c.where(F.col("state").isin(*states))
-    return (p.join(cop, "product_id").join(co, "order_id").join(c, "customer_id")
+    return (c.join(co, "customer_id").join(cop, "order_id").join(p, "product_id")
             .select("product_type", "name", "state"))
 
 
@@ -92,7 +95,7 @@ def _quantity_per_name(customers: DataFrame, lines: DataFrame) -> DataFrame:
     return (customers.join(lines, "customer_id")
             .groupBy("name")
             .agg(F.sum("quantity").cast("bigint").alias("total_quantity"))
-            .orderBy(F.col("total_quantity").desc_nulls_last()))
+            .orderBy(F.col("total_quantity").desc_nulls_last(), F.col("name").asc_nulls_last()))
 
 
 def quantity_by_customer(tables: dict[str, DataFrame]) -> DataFrame:

@@ -119,5 +119,6 @@ def usage_by_student(organizations: DataFrame, student_orgs: DataFrame, info: Da
            .select(*ROSTER_COLS, "first_sessiondate", "last_sessiondate",
                    "total_session_minutes", *LESSON_COLS))
     if sort:
-        out = out.orderBy(asc("district_name"), asc("school_name"), asc("grade"))
+        # student_id only breaks ties (spreads a school's rows over partitions)
+        out = out.orderBy(asc("district_name"), asc("school_name"), asc("grade"), asc("student_id"))
     return out
