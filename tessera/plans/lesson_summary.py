@@ -7,7 +7,7 @@ student and subject; one pass of conditional sums per student.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import fixed as fx
@@ -19,7 +19,6 @@ from tessera.operators.windows import desc, row_number_split
 from tessera.plans.activity_scores import completed_lessons
 from tessera.plans.rosters import guid_roster
 from tessera.sources.params import Params
-from tessera.sources.sinks import materialize
 
 GROUP = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
          "OrderID", "DateTime", "StrandID"]
@@ -41,20 +40,21 @@ def lesson_rows(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame,
     """``tbl_lessons`` without its rank: lessons of the listed strands with
     their mean activity score (LEFT join: lessons without scores keep a NULL
     accuracy)."""
-    studs = roster.select("Student_GUID", "SqlStudentDocumentId")
+    carried = [c for c in ("m",) if c in roster.columns]
+    studs = roster.select("Student_GUID", "SqlStudentDocumentId", *carried)
     ldata = completed_lessons(history, p, end_plus_days=1)
     nodes = lesson_nodes.where(F.col("StrandID").isin(*LESSON_STRANDS))
     cat = seq_nodes.join(nodes, "NodeID").join(strands.select("StrandID"), "StrandID")
     sc = activity_ratios(scores, p)
     j = join_ci(studs.join(ldata, "SqlStudentDocumentId"), cat, "Lesson", "NodeGUID")
     j = j.join(sc, ["SqlStudentDocumentId", "Lesson"], "left")
-    g = j.groupBy(*GROUP).agg(F.avg("Activity_Score").alias("Lesson_Accuracy"))
+    g = j.groupBy(*GROUP, *carried).agg(F.avg("Activity_Score").alias("Lesson_Accuracy"))
     return g.select(
         "Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
         lesson_number("StrandID", "OrderID").cast("bigint").alias("Lesson_Number"),
         F.col("DateTime").alias("Lesson_Date"),
         subject_of("StrandID").alias("Lesson_Type"),
-        "Lesson_Accuracy", "OrderID", "StrandID")
+        "Lesson_Accuracy", "OrderID", "StrandID", *carried)
 
 
 # Rank order inside (student, subject): newest first; ties broken by the
@@ -80,7 +80,14 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
         "Lesson_Number", "Lesson_Date", "Order_Num", "Lesson_Type", "Lesson_Accuracy")
 
 
-def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6,
+def with_multiplicity(roster: DataFrame) -> DataFrame:
+    """The roster with ``m``, the number of roster rows of each student: the
+    factor by which the source's re-join multiplies that student's sums. A
+    window per student (bounded by the schools one student belongs to)."""
+    return roster.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("Student_GUID")))
+
+
+def student_summary(rows: DataFrame, accuracy_digits: int = 6,
                     dedupe_roster: bool = False) -> DataFrame:
     """One pass of conditional sums per student.
 
@@ -88,7 +95,8 @@ def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6
     student listed m times counts m times in every sum (means are
     unaffected). Here the lessons are aggregated per student first (partial
     aggregation, so a student with a huge history is folded inside each task)
-    and the per-student row is joined to the roster multiplicity m. The
+    and the sums are scaled by the roster multiplicity ``m`` the rows carry
+    (``with_multiplicity``), so the roster is read once. The
     latest literacy lesson is the ``max_by`` of the rank key rather than the
     ``Order_Num = 1`` row of a window, which would hold a student's whole
     history in one task. ``Overall_Accuracy`` is a mean of means of doubles
@@ -108,12 +116,10 @@ def student_summary(roster: DataFrame, rows: DataFrame, accuracy_digits: int = 6
         count_if(literacy).alias("lit_tried"),
         count_if(t == fx.SUBJECT_LANGUAGE).alias("lang_tried"),
         count_if(t == fx.SUBJECT_GRAMMAR).alias("gram_tried"),
+        F.max("m").alias("m"),
     )
-    m = roster.groupBy("Student_GUID").agg(F.count(F.lit(1)).alias("m"))
-    if dedupe_roster:
-        m = m.withColumn("m", F.lit(1).cast("bigint"))
-    j = per_student.join(m, "Student_GUID")
-    times = F.col("m")
+    j = per_student
+    times = F.lit(1) if dedupe_roster else F.col("m")
     return j.select(
         "Student_GUID",
         (F.coalesce(F.col("last_lit"), F.lit(0)) * times).cast("bigint").alias("Last_literacy_lesson"),
@@ -132,8 +138,7 @@ def lesson_summary(org: DataFrame, student_orgs: DataFrame, students: DataFrame,
                    documents: DataFrame, history: DataFrame, seq_nodes: DataFrame,
                    lesson_nodes: DataFrame, strands: DataFrame, scores: DataFrame,
                    p: Params, dedupe_roster: bool = False) -> DataFrame:
-    # The roster is read twice (lessons, then the multiplicity); written once.
-    roster = materialize(guid_roster(org, student_orgs, students, documents, p.district,
-                                     lower_match=True), "roster")
+    roster = with_multiplicity(guid_roster(org, student_orgs, students, documents, p.district,
+                                           lower_match=True))
     rows = lesson_rows(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
-    return student_summary(roster, rows, dedupe_roster=dedupe_roster)
+    return student_summary(rows, dedupe_roster=dedupe_roster)

@@ -261,3 +261,32 @@ def test_usage_sums_twice_for_a_student_in_two_schools_unless_deduped(spark):
     p = Params("2021-08-01", "2021-09-02", "D")
     assert w3.usage(daily, roster, p).first().total_session_minutes == 4.0
     assert w3.usage(daily, roster, p, dedupe_roster=True).first().total_session_minutes == 2.0
+
+
+def test_lesson_summary_counts_a_student_in_two_schools_twice(spark):
+    from tessera.plans import lesson_summary as w2
+    from tessera.sources.params import Params
+    org = spark.createDataFrame([("W", None, 2), ("D", "W", 0), ("S1", "D", 1), ("S2", "D", 1)],
+                                "_id string, ParentID string, OrgType int")
+    so = spark.createDataFrame([("s9", "s1"), ("s9", "s2")], "StudentID string, OrganizationID string")
+    st = spark.createDataFrame([("S9",)], "_id string")
+    docs = spark.createDataFrame([("S9", 9)], "_id string, SqlStudentDocumentId bigint")
+    ts = dt.datetime(2021, 11, 12)
+    hist = spark.createDataFrame([(9, "g1", "StudentAchievement", "Done", ts)],
+                                 "SqlStudentDocumentId bigint, Lesson string, SatisfiedReason string, "
+                                 "LessonState string, DateTime timestamp_ntz")
+    seq = spark.createDataFrame([("G1", 1)], "NodeGUID string, NodeID bigint")
+    nodes = spark.createDataFrame([(1, 3, 4, "Lesson one")], "NodeID bigint, OrderID int, StrandID int, Name string")
+    strands = spark.createDataFrame([(4, "Reading")], "StrandID int, Enum string")
+    scores = spark.createDataFrame([(9, "g1", "A1", "Skill", "ILE", "Main", None, 4, 3, 0, ts)],
+                                   "SqlStudentDocumentId bigint, Lesson string, Activity string, Skill string, "
+                                   "Product string, LessonBranch string, ActivitySkippedType string, "
+                                   "NumPossible int, NumCorrect int, Mastered int, DateTime timestamp_ntz")
+    args = dict(org=org, student_orgs=so, students=st, documents=docs, history=hist, seq_nodes=seq,
+                lesson_nodes=nodes, strands=strands, scores=scores,
+                p=Params("2021-11-10", "2022-11-20", "d"))
+    r = w2.lesson_summary(**args).first()
+    assert (r.Last_literacy_lesson, r.Literacy_Lessons_Attempted_Current, r.Lessons_Passed_Current) == (6, 2, 2)
+    assert r.Overall_Accuracy == 0.75
+    d = w2.lesson_summary(**args, dedupe_roster=True).first()
+    assert (d.Last_literacy_lesson, d.Literacy_Lessons_Attempted_Current) == (3, 1)
