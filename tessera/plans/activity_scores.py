@@ -18,9 +18,8 @@ from tessera.functions.dates import in_window
 from tessera.functions.text import like_ci, not_like_ci
 from tessera.operators.joins import join_ci
 from tessera.operators.windows import asc, desc, row_number_split
-from tessera.plans.rosters import guid_roster
+from tessera.plans.rosters import guid_roster, with_multiplicity
 from tessera.sources.params import Params
-from tessera.sources.sinks import materialize
 
 OUTPUT = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
           "Lesson_Number", "DateTime", "Order_Num", "Name", "Skill", "NumPossible",
@@ -63,7 +62,8 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
     lesson) (J1, J4, J5), ranked newest first per document (N1) with the split row number. Every score
     row of a lesson shares the lesson's time, so the rank's tie-break runs
     over all output columns."""
-    studs = roster.select("Student_GUID", "SqlStudentDocumentId")
+    carried = [c for c in ("m",) if c in roster.columns]
+    studs = roster.select("Student_GUID", "SqlStudentDocumentId", *carried)
     ldata = completed_lessons(history, p)
     cat = spanish_catalogue(seq_nodes, lesson_nodes, strands)
     sc = spanish_scores(scores, p).select(
@@ -83,7 +83,7 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
         F.col("NumPossible").cast("bigint").alias("NumPossible"),
         F.col("NumCorrect").cast("bigint").alias("NumCorrect"),
         F.col("Mastered").cast("bigint").alias("Mastered"),
-        "sc_date", "Activity")
+        "sc_date", "Activity", *carried)
 
 
 def activity_scores(org: DataFrame, student_orgs: DataFrame, students: DataFrame,
@@ -94,13 +94,15 @@ def activity_scores(org: DataFrame, student_orgs: DataFrame, students: DataFrame
     NumCorrect``. The roster is joined in the lessons step and again here, so a
     student listed under n schools appears n x n times (J16), as in the
     source; ``dedupe_roster=True`` joins distinct students the second time."""
-    # The roster is read twice (lessons, then the re-join); written once.
-    roster = materialize(guid_roster(org, student_orgs, students, documents, p.district), "roster")
+    # The re-join only repeats each lesson row once per roster row of its
+    # student, so the roster is read once: its multiplicity m rides along with
+    # the rows and each row is emitted m times (m is bounded by the schools a
+    # student belongs to).
+    roster = with_multiplicity(guid_roster(org, student_orgs, students, documents, p.district))
     b = lessons(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
-    a = roster.select("Student_GUID")
-    if dedupe_roster:
-        a = a.distinct()
-    out = a.join(b, "Student_GUID").select(*OUTPUT)
+    copies = F.lit(1) if dedupe_roster else F.col("m")
+    out = (b.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
+           .select(*OUTPUT))
     # ORDER BY Name, NumCorrect; the remaining columns only break ties, so rows
     # sharing a name are spread over range partitions instead of one.
     tie = ["SqlStudentDocumentId", "DateTime", "Lesson", "Activity", "sc_date", "Order_Num"]

@@ -7,7 +7,7 @@ student and subject; one pass of conditional sums per student.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera import fixed as fx
@@ -17,7 +17,7 @@ from tessera.operators.aggs import activity_score, count_if
 from tessera.operators.joins import join_ci
 from tessera.operators.windows import desc, row_number_split
 from tessera.plans.activity_scores import completed_lessons
-from tessera.plans.rosters import guid_roster
+from tessera.plans.rosters import guid_roster, with_multiplicity
 from tessera.sources.params import Params
 
 GROUP = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
@@ -80,13 +80,6 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
         "Lesson_Number", "Lesson_Date", "Order_Num", "Lesson_Type", "Lesson_Accuracy")
 
 
-def with_multiplicity(roster: DataFrame) -> DataFrame:
-    """The roster with ``m``, the number of roster rows of each student: the
-    factor by which the source's re-join multiplies that student's sums. A
-    window per student (bounded by the schools one student belongs to)."""
-    return roster.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("Student_GUID")))
-
-
 def student_summary(rows: DataFrame, accuracy_digits: int = 6,
                     dedupe_roster: bool = False) -> DataFrame:
     """One pass of conditional sums per student.

@@ -8,7 +8,7 @@ broadcast; the per-student tables are joined with shuffles on their keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import fixed as fx
@@ -74,3 +74,11 @@ def named_roster(organizations: DataFrame, student_orgs: DataFrame, info: DataFr
         F.col("sync_id").alias("alternate_student_number"),
         F.col("tag").alias("student_tag"),
     )
+
+
+def with_multiplicity(roster: DataFrame, key: str = "Student_GUID") -> DataFrame:
+    """The roster with ``m``, the number of roster rows of each student: the
+    factor by which re-joining a result to the roster multiplies that
+    student's rows (J16). A window per student, bounded by the schools one
+    student belongs to."""
+    return roster.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy(key)))
