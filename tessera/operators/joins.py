@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.sinks import materialize
+
 def join_ci(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
             how: str = "inner") -> DataFrame:
     """Join on ``LOWER(left_key) = LOWER(right_key)`` (J4). The lowered keys
@@ -81,18 +83,20 @@ def anti_null_aware(df: DataFrame, other: DataFrame, left_key: str,
     * otherwise: rows whose key is not NULL and not in the subquery.
 
     Spark plans ``NOT IN`` as a null-aware anti join only when it can
-    broadcast the subquery, and as a nested-loop join otherwise. Here two
-    counts (one partial/final aggregate, a single row to the driver) pick the
-    case, and the general case is a shuffled ``left_anti`` that scales with
-    both sides.
+    broadcast the subquery, and as a nested-loop join otherwise. Here the
+    subquery's distinct keys are computed once and written to the shared
+    folder; two counts over that small set (a single row to the driver) pick
+    the case, and the general case is a shuffled ``left_anti`` against the
+    written keys, so the subquery is never evaluated twice.
     """
-    rk = right_key or left_key
-    stats = other.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(rk)).alias("nn")).first()
+    keys = materialize(distinct_keys(other, right_key or left_key, "__anti_k"), "notin")
+    stats = keys.agg(F.count(F.lit(1)).alias("n"), F.count("__anti_k").alias("nn")).first()
     if stats["n"] == 0:
         return df
     if stats["nn"] < stats["n"]:
         return df.where(F.lit(False))
-    return anti(df.where(F.col(left_key).isNotNull()), other, left_key, rk)
+    probe = df.where(F.col(left_key).isNotNull())
+    return probe.join(keys, probe[left_key] == keys["__anti_k"], "left_anti")
 
 
 def left_join_filtered(left: DataFrame, right: DataFrame, on: Column | list,
