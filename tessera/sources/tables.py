@@ -34,6 +34,14 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @classmethod
+    def refresh(cls, sf_dir: str | None = None) -> None:
+        """Forget cached handles (all, or those of one directory), e.g. after
+        the files under a directory were replaced."""
+        for key in list(cls._handles):
+            if sf_dir is None or key[1] == sf_dir.rstrip("/"):
+                del cls._handles[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLE_NAMES:
             raise AttributeError(name)

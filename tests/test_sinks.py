@@ -35,3 +35,12 @@ def test_materialize_cuts_lineage_and_lives_in_the_checkpoint_folder(spark):
     from urllib.parse import urlparse
     folder = urlparse(checkpoint_dir(spark)).path.rstrip("/")
     assert urlparse(m.inputFiles()[0]).path.startswith(folder + "/tables/")
+
+
+def test_table_handles_are_cached_and_refreshable(spark):
+    from tessera.sources.tables import Tables
+    from tests.conftest import SF_SMALL
+    a, b = Tables(spark, SF_SMALL).region, Tables(spark, SF_SMALL).region
+    assert a is b
+    Tables.refresh(SF_SMALL)
+    assert Tables(spark, SF_SMALL).region is not a
