@@ -17,9 +17,18 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def ntz(value: dt.datetime | dt.date) -> Column:
+    """A ``TIMESTAMP_NTZ`` literal built from text, so it does not depend on the
+    Python process's or the session's time zone (a ``datetime`` literal would
+    be converted through both)."""
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _midnight(day: dt.date | str) -> Column:
     d = dt.date.fromisoformat(day) if isinstance(day, str) else day
-    return F.lit(dt.datetime.combine(d, dt.time())).cast("timestamp_ntz")
+    return ntz(d)
 
 
 def in_window(col: str | Column, start: dt.date | str, end: dt.date | str,

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera import fixed as fx
 from tessera.functions.numeric import per_unit
+from tessera.functions.dates import ntz
 from tessera.functions.mapping import nz
 from tessera.functions.text import campaign_id
 from tessera.operators.joins import with_names
@@ -44,7 +45,7 @@ def _since(df: DataFrame, time_col: str, from_date: dt.date | None) -> DataFrame
     predicate is pushed into the parquet scan."""
     if from_date is None:
         return df
-    return df.where(F.col(time_col) >= F.lit(dt.datetime.combine(from_date, dt.time())).cast("timestamp_ntz"))
+    return df.where(F.col(time_col) >= ntz(from_date))
 
 
 def _names(df: DataFrame, advertisers: DataFrame, offers: DataFrame, affiliates: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+from tessera.functions.dates import ntz
 
 
 def as_date(value: str | dt.date) -> dt.date:
@@ -36,12 +36,11 @@ class Params:
 
     def start_ts(self) -> Column:
         """The start string compared with a datetime means midnight of it."""
-        return F.lit(dt.datetime.combine(self.start_date, dt.time())).cast("timestamp_ntz")
+        return ntz(self.start_date)
 
     def end_ts(self, plus_days: int = 0) -> Column:
         """Midnight of ``end + plus_days`` (``DATEADD(dd, n, end)``)."""
-        day = self.end_date + dt.timedelta(days=plus_days)
-        return F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+        return ntz(self.end_date + dt.timedelta(days=plus_days))
 
 
 # Parameters used by the registered queries on the stand-in tables. Each

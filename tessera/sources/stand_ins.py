@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.dates import ntz
 from tessera.functions.mapping import GRADE_LABELS
 from tessera.sources.tables import Tables
 
@@ -250,8 +251,7 @@ def campaign_history(t: Tables) -> DataFrame:
 def _shipped_until(t: Tables, as_of: dt.date) -> DataFrame:
     """Lines shipped up to ``as_of``: the fact table as it stood that day.
     The cut is a range on the raw column, so it reaches the parquet scan."""
-    last = dt.datetime.combine(as_of, dt.time())
-    return t.lineitem.where(F.col("l_shipdate") <= F.lit(last).cast("timestamp_ntz"))
+    return t.lineitem.where(F.col("l_shipdate") <= ntz(as_of))
 
 
 def calendar_source(t: Tables, as_of: dt.date) -> DataFrame:

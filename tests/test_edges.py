@@ -290,3 +290,15 @@ def test_lesson_summary_counts_a_student_in_two_schools_twice(spark):
     assert r.Overall_Accuracy == 0.75
     d = w2.lesson_summary(**args, dedupe_roster=True).first()
     assert (d.Last_literacy_lesson, d.Literacy_Lessons_Attempted_Current) == (3, 1)
+
+
+def test_window_bounds_do_not_depend_on_the_session_time_zone(spark):
+    from tessera.plans.catalog import QUERIES
+    from tests.conftest import SF_SMALL
+    before = rows(QUERIES["param_window"](spark, SF_SMALL))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert rows(QUERIES["param_window"](spark, SF_SMALL)) == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
