@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.functions.dates import between_dates, in_window, on_or_after, recent, year_end_col, year_start_col
+from tessera.functions.dates import (between_dates, in_window, on_or_after, recent, year_end_col,
+                                    year_start, year_start_col)
 from tessera.functions.mapping import LESSON_STRANDS, grade_to_int, lesson_number, nz, subject_of
 from tessera.functions.numeric import as_double, per_unit
 from tessera.operators import quality, records
-from tessera.operators.joins import anti, anti_null_aware, join_ci, left_join_filtered, semi, semi_chain
+from tessera.operators.joins import (anti, anti_null_aware, exists_flag, join_ci, left_join_filtered,
+                                     nested_in, semi, semi_chain)
 from tessera.operators.windows import asc
 from tessera.plans import activity_scores as w1
 from tessera.plans import budget_forecast as w5
@@ -111,7 +113,6 @@ def _semi_join(t):
 
 
 def _book_buyers(s: dict[str, DataFrame]) -> tuple[DataFrame, str]:
-    from tessera.operators.joins import nested_in
     books = s["products"].where(F.col("product_type") == si.SHOP_BOOK_TYPE)
     return nested_in([(s["customer_orders"], "customer_id", "order_id"),
                       (s["customer_order_products"], "order_id", "product_id"),
@@ -671,7 +672,6 @@ def _agg_pace(t):
 @register("case_null")
 def _case_null(t):
     """CASE with a NULL branch first and ``!=`` falling to ELSE for NULL."""
-    from tessera.functions.dates import year_start
     r = si.revenue_facts(t, AS_OF).where(F.col("date").between(F.lit(year_start(AS_OF)), F.lit(AS_OF)))
     pace = (F.when(F.col("date") == F.lit(AS_OF), F.lit(None))
             .when(F.col("revenue_type") != "Addition", F.col("revenue")).otherwise(F.lit(0)))
@@ -778,7 +778,6 @@ def _delete_by_key(t):
 @register("person_exists")
 def _person_exists(t):
     p = si.persons(t).select(F.col("id").alias("__id"), F.col("descendant").alias("__d"))
-    from tessera.operators.joins import exists_flag
     return exists_flag(si.person_requests(t), p, [("id", "__id"), ("descendant", "__d")], "person_exists")
 
 

@@ -58,3 +58,14 @@ def test_budget_scan_reads_only_needed_columns(plans):
 def test_count_distinct_is_partially_aggregated(plans):
     # partial_count(distinct ..) after a map-side aggregate on (keys, txn)
     assert plans["agg_count_distinct"].count("HashAggregate") >= 3
+
+
+def test_ranked_keys_never_window_rows_over_the_bare_key(plans):
+    # the split row number numbers rows per (partition id, key) slice; the only
+    # window partitioned by the key alone runs over the slices table (at most
+    # one row per partition), ordered by the partition id
+    import re
+    for key, part in (("join_composite", "SqlStudentDocumentId"), ("win_rn_case", "Student_GUID")):
+        specs = re.findall(r"windowspecdefinition\(([^)]*)\)", plans[key])
+        by_key = [w for w in specs if w.startswith(part)]
+        assert by_key and all("__pid" in w.split("ASC")[0] for w in by_key), by_key
