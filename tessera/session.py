@@ -32,15 +32,20 @@ def build_session(master: str | None = None, app_name: str = "tessera",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Return a session with the package defaults.
 
-    On a cluster leave ``master`` unset (spark-submit provides it) and size
-    ``shuffle_partitions`` to roughly total input / 128 MB; locally it defaults
-    to the core count.
+    On a cluster leave ``master`` unset (spark-submit provides it): the
+    cluster's ``spark.sql.shuffle.partitions`` is kept unless
+    ``shuffle_partitions`` is given (size it to roughly the largest shuffle /
+    128 MB; AQE coalesces small partitions and splits skewed join partitions
+    from there). For a local master it defaults to the core count.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or os.cpu_count() or 8)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif master and master.startswith("local"):
+        conf["spark.sql.shuffle.partitions"] = str(os.cpu_count() or 8)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
