@@ -20,3 +20,14 @@ def test_split_row_number_matches_window_with_a_hot_key(spark):
     a = {(r.id, r.rn) for r in want.select("id", "rn").collect()}
     b = {(r.id, r.rn) for r in got.select("id", "rn").collect()}
     assert len(b) == 20000 and a == b
+
+
+def test_split_row_number_degenerate_inputs(spark):
+    empty = spark.createDataFrame([], "k int, v int")
+    assert row_number_split(empty, ["k"], [asc("v")], "rn").count() == 0
+    nulls = spark.createDataFrame([(None, i) for i in range(50)], "k int, v int")
+    got = sorted(r.rn for r in row_number_split(nulls, ["k"], [desc("v")], "rn", num_partitions=4).collect())
+    assert got == list(range(1, 51))
+    one = spark.range(0, 1000).select(F.lit(7).alias("k"), F.col("id").alias("v"))
+    got = {(r.v, r.rn) for r in row_number_split(one, ["k"], [asc("v")], "rn", num_partitions=8).collect()}
+    assert got == {(v, v + 1) for v in range(1000)}
