@@ -54,41 +54,49 @@ def register(*names: str):
 # ================================================================ shop
 @register("retail_q1")
 def _q1(t):
+    """Q1: customers with a May order (W6; J13, F14)."""
     return retail.may_customers(si.shop_tables(t))
 
 
 @register("retail_q2")
 def _q2(t):
+    """Q2: customers with no order of the book type, NOT IN over nested IN (W6; J14, J15)."""
     return retail.customers_without_type(si.shop_tables(t), si.SHOP_BOOK_TYPE)
 
 
 @register("retail_q3")
 def _q3(t):
+    """Q3: revenue per product type, largest first (W6; J1, A2, O2)."""
     return retail.revenue_by_type(si.shop_tables(t))
 
 
 @register("retail_q3_rows")
 def _q3_rows(t):
+    """Q3 commented variant: row-level revenue lines (W6; P6, O2)."""
     return retail.revenue_rows(si.shop_tables(t))
 
 
 @register("retail_q4")
 def _q4(t):
+    """Q4: product type, name and state for customers in two states (W6; J2, F6)."""
     return retail.products_by_state(si.shop_tables(t), si.SHOP_EAST_STATES)
 
 
 @register("retail_q4_semi")
 def _q4_semi(t):
+    """Q4 commented variant: product types by nested IN, no duplicates (W6; J14)."""
     return retail.product_types_by_state(si.shop_tables(t), si.SHOP_EAST_STATES)
 
 
 @register("retail_q5")
 def _q5(t):
+    """Q5: items ordered per customer name via a derived table (W6; J12, A1, O2)."""
     return retail.quantity_by_customer(si.shop_tables(t))
 
 
 @register("retail_q5_ctas")
 def _q5_ctas(t):
+    """Q5 commented variant: SELECT INTO a table, then the question (W6; S7)."""
     return retail.quantity_by_customer_ctas(si.shop_tables(t))
 
 
@@ -197,6 +205,7 @@ def _w2_lessons(t):
 # ================================================================ W1
 @register("activity_scores")
 def _activity_scores(t):
+    """W1 pipeline: raw activity-score rows per student and lesson for one district."""
     return w1.activity_scores(**_learning(t), p=ACTIVITY_PARAMS)
 
 
@@ -258,6 +267,7 @@ def _join_composite(t):
 # ================================================================ W2
 @register("lesson_summary")
 def _lesson_summary(t):
+    """W2 pipeline: per-student latest literacy lesson, accuracy, passed/attempted counts."""
     return w2.lesson_summary(**_learning(t), p=LESSON_PARAMS)
 
 
@@ -370,6 +380,7 @@ def _w3_usage_by_student(t, sort=True):
 
 @register("usage_by_student")
 def _usage_by_student(t):
+    """W3 pipeline: roster, session usage, first/last lessons and pass rates per student."""
     return _w3_usage_by_student(t)
 
 
@@ -470,6 +481,7 @@ def _w4_combined(t):
 
 @register("campaign_revenue")
 def _campaign_revenue(t):
+    """W4 pipeline: clicks, conversions and revenue per day, affiliate and campaign."""
     return w4.campaign_revenue(si.conversions(t), si.clicks(t), **_w4_inputs(t),
                                history=si.campaign_history(t), from_date=_w4_from())
 
@@ -626,6 +638,7 @@ def _w5(t):
 
 @register("budget_forecast")
 def _budget_forecast(t):
+    """W5 pipeline: weekday-weighted daily budget targets with actual and forecast revenue."""
     return w5.budget_forecast(**_w5(t), as_of=AS_OF)
 
 
@@ -747,16 +760,19 @@ def _filter_self_range(t):
 # ================================================================ records
 @register("token_exists")
 def _token_exists(t):
+    """Token existence per request, case-sensitive."""
     return records.token_exists(si.token_requests(t), si.auth_tokens(t))
 
 
 @register("token_user_exists")
 def _token_user_exists(t):
+    """Token and user both match."""
     return records.token_user_exists(si.token_requests(t), si.auth_tokens(t))
 
 
 @register("token_lookup")
 def _token_lookup(t):
+    """User name per requested token, '' when absent (D3)."""
     return records.token_user_name(si.token_requests(t), si.auth_tokens(t))
 
 
@@ -767,37 +783,44 @@ def _tokens_after_insert(t):
 
 @register("insert_if_absent")
 def _insert_if_absent(t):
+    """Batch insert rejecting existing (token, user) pairs."""
     return _tokens_after_insert(t)
 
 
 @register("delete_by_key")
 def _delete_by_key(t):
+    """Delete all tokens of a set of users."""
     return records.delete_by_key(si.auth_tokens(t), si.delete_users(t), "userName")
 
 
 @register("person_exists")
 def _person_exists(t):
+    """Person id and descendant both match."""
     p = si.persons(t).select(F.col("id").alias("__id"), F.col("descendant").alias("__d"))
     return exists_flag(si.person_requests(t), p, [("id", "__id"), ("descendant", "__d")], "person_exists")
 
 
 @register("user_person_lookup")
 def _user_person_lookup(t):
+    """Person id of each requested user, NULL when absent."""
     return records.lookup_value(si.user_requests(t), si.users(t), "userName", "userPersonID", "userPersonID")
 
 
 @register("person_lookup")
 def _person_lookup(t):
+    """Person record per requested id; unknown id keeps only the id."""
     return records.person_record(si.person_id_requests(t), si.persons(t))
 
 
 @register("persons_of_user")
 def _persons_of_user(t):
+    """All persons of each requested user, one per id."""
     return records.persons_of_user(si.family_requests(t), si.persons(t))
 
 
 @register("append_person")
 def _append_person(t):
+    """Batch append of persons, missing parents as NULL."""
     return records.append_person(si.persons(t), si.new_persons(t))
 
 
@@ -809,6 +832,7 @@ def _dq_unique(t):
 
 @register("dq_not_null")
 def _dq_not_null(t):
+    """NULL count per column of the person table."""
     return quality.null_counts(si.persons(t), si.persons(t).columns)
 
 
@@ -820,6 +844,7 @@ def _dq_foreign_key(t):
 
 @register("dq_self_foreign_key")
 def _dq_self_foreign_key(t):
+    """Father / mother / spouse ids that point at no person."""
     return quality.self_orphans(si.persons(t), "id", ["fatherID", "motherID", "spouseID"])
 
 
