@@ -1,9 +1,17 @@
 """Window operators.
 
-Every window has a partition key, so each runs as one hash shuffle on that
-key plus a sort inside each partition; there is no global (single-task)
-window anywhere. Orders always name their NULL placement and end with a
-tie-break, so row numbers are deterministic and engine-independent.
+Every window has a partition key (there is no global, single-task window),
+every order names its NULL placement and ends with a tie-break, so row
+numbers are deterministic and engine-independent. Which form runs where:
+
+* ``row_number`` - a plain window: one shuffle on the key and a sort. Used
+  where the partitions are bounded (aggregated rows, a dimension) or where
+  only ``rank = 1`` is read, which Spark limits per task before the shuffle
+  (``latest_per_key``).
+* ``row_number_split`` - full numbering over keys that may be hot: the key's
+  rows are spread over several tasks and stitched with a bounded offsets
+  table (see its docstring).
+* ``share_of_total`` / ``normalise`` - window totals over aggregated rows.
 """
 
 from __future__ import annotations
