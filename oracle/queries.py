@@ -249,7 +249,7 @@ Q["fn_date_shift"] = sql("SELECT * FROM w5_future", "w5_future")
 Q["fn_year_bounds"] = sql("""
 SELECT DISTINCT date, CAST(date_trunc('year', date) AS DATE) AS year_start,
        make_date(year(date), 12, 31) AS year_end
-FROM tune_looker""", "tune_looker")
+FROM calendar_src""", "calendar_src")
 Q["union_distinct"] = sql("SELECT * FROM w5_calendar", "w5_calendar")
 Q["agg_count"] = sql("SELECT * FROM w5_days", "w5_days")
 Q["agg_pace"] = sql("""

@@ -151,7 +151,7 @@ FROM part""")
 # ---------------------------------------------------------------- budget (as of 1998-06-15)
 cte("shipped", """
 SELECT * FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-06-15 00:00:00'""")
-cte("tune_looker", "SELECT CAST(l_shipdate AS DATE) AS date FROM shipped", "shipped")
+cte("calendar_src", "SELECT CAST(l_shipdate AS DATE) AS date FROM shipped", "shipped")
 cte("brand_lines", """
 SELECT s.*, p.p_brand FROM shipped s JOIN part p ON s.l_partkey = p.p_partkey""", "shipped")
 cte("revenue_facts", """

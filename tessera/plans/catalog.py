@@ -463,7 +463,7 @@ def _join_inner_left(t):
 @register("named_view")
 def _named_view(t):
     """Publish the model as a named view and read it back."""
-    return register_view(_w3_usage_by_student(t, sort=False), "vw_ill_usage_lesson_student")
+    return register_view(_w3_usage_by_student(t, sort=False), "usage_by_student_view")
 
 
 # ================================================================ W4
