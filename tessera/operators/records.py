@@ -77,10 +77,11 @@ def person_record(requests: DataFrame, persons: DataFrame, id_col: str = "id") -
 def persons_of_user(requests: DataFrame, persons: DataFrame, user_col: str = "userName") -> DataFrame:
     """``readPersons`` (D9): all persons whose ``descendant`` is the requested
     user, one per distinct id (the source collects ids into a set), in one
-    join instead of one query per id."""
-    p = persons.dropDuplicates(["id"])
-    return (requests.select(F.col(user_col).alias("descendant")).distinct()
-            .join(p, "descendant"))
+    join instead of one query per id. Persons are filtered to the requested
+    users first, so only their rows are de-duplicated."""
+    users = requests.select(F.col(user_col).alias("descendant")).distinct()
+    matched = persons.join(users, "descendant", "left_semi")
+    return matched.dropDuplicates(["descendant", "id"])
 
 
 def append_person(table: DataFrame, rows: DataFrame, null_text: bool = False) -> DataFrame:
