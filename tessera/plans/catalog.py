@@ -789,7 +789,7 @@ def _insert_if_absent(t):
 
 @register("delete_by_key")
 def _delete_by_key(t):
-    """Delete all tokens of a set of users."""
+    """Delete all tokens of a set of users (D5; D10 is the same job on persons by descendant)."""
     return records.delete_by_key(si.auth_tokens(t), si.delete_users(t), "userName")
 
 
@@ -838,7 +838,7 @@ def _dq_not_null(t):
 
 @register("dq_foreign_key")
 def _dq_foreign_key(t):
-    """Token rows whose user is not in the user table."""
+    """Token rows whose user is not in the user table (D14; the dangling-child case D16 is tested on the shop rows)."""
     return quality.orphans(_tokens_after_insert(t), "userName", si.users(t), "userName")
 
 
@@ -851,7 +851,7 @@ def _dq_self_foreign_key(t):
 # ================================================================ sinks
 @register("sink_overwrite")
 def _sink_overwrite(t):
-    """Full refresh: the table is replaced whole by the second write."""
+    """Full refresh: the table is replaced whole by the second write (S5; S9 drop is tested)."""
     name = unique_name("authToken")
     write_table(si.auth_tokens(t), name, mode="overwrite")
     return write_table(records.delete_by_key(si.auth_tokens(t), si.delete_users(t), "userName"),
