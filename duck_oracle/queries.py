@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import oracle.stand_ins  # noqa: F401  (registers the stand-in CTEs)
-from oracle.ctes import sql
+import duck_oracle.stand_ins  # noqa: F401  (registers the stand-in CTEs)
+from duck_oracle.ctes import sql
 
 SHOP = ("customers", "customer_orders", "customer_order_products", "products")
 BOOK = "ECONOMY"
@@ -66,8 +66,8 @@ ORDER BY total_quantity DESC
 ORACLE_SQL["retail_q5"] = sql(_Q5, *SHOP)
 ORACLE_SQL["retail_q5_ctas"] = sql(_Q5, *SHOP)
 
-import oracle.workloads  # noqa: E402,F401  (registers the workload CTEs)
-from oracle.workloads import CAMPAIGN_CASE, GRADE_CASE, SUBJECT_CASE  # noqa: E402
+import duck_oracle.workloads  # noqa: E402,F401  (registers the workload CTEs)
+from duck_oracle.workloads import CAMPAIGN_CASE, GRADE_CASE, SUBJECT_CASE  # noqa: E402
 
 Q = ORACLE_SQL
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.ctes import cte
+from duck_oracle.ctes import cte
 
 
 def tag(prefix: str, expr: str) -> str:

@@ -5,7 +5,7 @@ Every adapter is a narrow projection (plus, where a fact needs a parent's
 attribute, one equi-join), so it adds no shuffle of its own beyond that join
 and keeps column pruning and filter pushdown intact: a filter on a derived
 column that is a plain rename (dates, keys) still reaches the parquet scan.
-The oracle SQL in ``oracle/`` builds the same tables independently.
+The oracle SQL in ``duck_oracle/`` builds the same tables independently.
 """
 
 from __future__ import annotations

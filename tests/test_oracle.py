@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from oracle.compare import bag, duckdb_views
+from duck_oracle.compare import bag, duckdb_views
 from tests.conftest import SF_SMALL
 
 KEYS = sorted(entry.queries())
