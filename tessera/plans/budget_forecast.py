@@ -191,7 +191,7 @@ def dayofweek_budget(weights: DataFrame, budget_rows: DataFrame) -> DataFrame:
 
 def budget_forecast(calendar_source: DataFrame, revenue: DataFrame, clicks: DataFrame,
                     budget: DataFrame, as_of: dt.date, sort: bool = True,
-                    full_year_calendar: bool = False) -> DataFrame:
+                    full_year_calendar: bool = False, write_budget: bool = False) -> DataFrame:
     """One row per calendar date and brand: daily budget and reforecast
     targets, month totals, actual revenue and actual-plus-forecast revenue."""
     # The calendar is read three times below and each read would re-scan the
@@ -199,6 +199,8 @@ def budget_forecast(calendar_source: DataFrame, revenue: DataFrame, clicks: Data
     # computed once and written to the shared folder.
     cal = materialize(month_calendar(calendar_source, as_of, full_year_calendar), "calendar")
     budget_rows = monthly_budget(budget, as_of)
+    if write_budget:
+        budget_rows = materialize(budget_rows, "budget")
     targets = dayofweek_budget(daily_weights(weekday_shares(clicks, as_of), days_in_month(cal)),
                                budget_rows)
     forecast = revenue_with_forecast(actual_revenue(revenue, cal, budget_rows, as_of), as_of)
