@@ -26,17 +26,6 @@ def typed_null(type_name: str = "decimal(38,9)") -> Column:
     return F.lit(None).cast(type_name)
 
 
-def ratio(num: str | Column, den: str | Column) -> Column:
-    """``1.0 * num / den`` as double; NULL when the denominator is NULL or 0."""
-    d = as_double(den)
-    return F.when(d != 0, as_double(num) / d)
-
-
-def money(col: str | Column, scale: int = 2) -> Column:
-    """A double amount with ``scale`` decimals as an exact decimal."""
-    return _c(col).cast(f"decimal(18,{scale})")
-
-
 def per_unit(total: Column, units: float) -> Column:
     """Unit conversion after SUM: seconds / 60.0, cents / 100."""
     return total.cast("double") / F.lit(float(units))

@@ -28,10 +28,6 @@ def like(col: str | Column, pattern: str) -> Column:
     return _c(col).like(pattern)
 
 
-def lower_id(col: str | Column) -> Column:
-    return F.lower(_c(col))
-
-
 def ltrim_set(col: str | Column, chars: str) -> Column:
     """Strip leading characters that belong to the set ``chars`` (not a prefix):
     ``ltrim('cmp-123', 'cmp-')`` is ``'123'`` and ``ltrim('mc-9', 'cmp-')`` is ``'9'``."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera import fixed as fx
 from tessera.operators.joins import exists_flag
+from tessera.sources.sinks import append_named
 
 
 def token_exists(requests: DataFrame, tokens: DataFrame, token_col: str = "authToken",
@@ -56,7 +57,7 @@ def insert_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str]) ->
     cols = table.columns
     batch = rows.select(*cols).dropDuplicates(list(keys))
     accepted = batch.join(table.select(*keys).distinct(), list(keys), "left_anti").select(*cols)
-    return table.unionByName(accepted), accepted
+    return append_named(table, accepted), accepted
 
 
 def delete_by_key(table: DataFrame, keys: DataFrame, col: str, keys_col: str | None = None) -> DataFrame:
@@ -93,4 +94,4 @@ def append_person(table: DataFrame, rows: DataFrame, null_text: bool = False) ->
         rows = rows.select(*[F.coalesce(F.col(c), F.lit(fx.MISSING_PARENT_TEXT)).alias(c)
                              if c in ("fatherID", "motherID", "spouseID") else F.col(c)
                              for c in rows.columns])
-    return table.unionByName(rows.select(*table.columns))
+    return append_named(table, rows.select(*table.columns))

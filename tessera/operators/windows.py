@@ -11,7 +11,8 @@ numbers are deterministic and engine-independent. Which form runs where:
 * ``row_number_split`` - full numbering over keys that may be hot: the key's
   rows are spread over several tasks and stitched with a bounded offsets
   table (see its docstring).
-* ``share_of_total`` / ``normalise`` - window totals over aggregated rows.
+* ``share_of_total`` - a count's share of its group total, as a window
+  over aggregated rows.
 """
 
 from __future__ import annotations
@@ -76,11 +77,6 @@ def share_of_total(df: DataFrame, part_keys: Sequence[str], total_keys: Sequence
     return counts.withColumn(name, F.col(count_name).cast("double") / total.cast("double"))
 
 
-def normalise(value: Column, keys: Sequence[str | Column]) -> Column:
-    """``value / SUM(value) OVER (PARTITION BY keys)``."""
-    return value / F.sum(value).over(Window.partitionBy(*_cols(keys)))
-
-
 def row_number_split(df: DataFrame, partition: Sequence[str], order: Sequence[Column], name: str,
                      num_partitions: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY order)`` that never

@@ -15,6 +15,7 @@ def test_overwrite_then_append_by_name(spark):
     c = spark.createDataFrame([("u4", "t4")], "userName string, authToken string")
     got = sinks.write_table(c, name, mode="append")                   # column-list insert
     assert rows(got, "authToken", "userName") == [("t3", "u3"), ("t4", "u4")]
+    assert rows(sinks.read_table(spark, name)) == rows(got)
 
 
 def test_ctas_view_and_drop(spark):
