@@ -28,6 +28,8 @@ MAX_HOST_RATE = 0.5
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 RULES = ("short", "repeats", "symbols", "dup_lines", "word_length")
+# Repeated lines (licences, menus) occur on good pages: they count for the host only.
+HOST_ONLY = ("dup_lines",)
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -124,7 +126,8 @@ def quality_rules(docs: DataFrame, host: str = "source", max_rate: float = MAX_H
     """Each document with its counts, rule failures, host verdict and ``kept``.
 
     ``base_failed``: fewer than 50 words, or over half of the words in repeated
-    3-word windows. ``kept``: no rule failed and the host is not rejected. A
+    3-word windows. ``kept``: no rule failed but those of ``HOST_ONLY``, and the host is not
+    rejected. A
     null or empty text has 0 words and fails; a document without a host is
     judged by itself only; repeated rows count as often as they occur. The
     counts are written once (narrow rows, no text) and read twice. The verdicts
@@ -135,7 +138,7 @@ def quality_rules(docs: DataFrame, host: str = "source", max_rate: float = MAX_H
     rejected = materialize(host_verdicts(judged, max_rate).where("host_rejected")
                            .select(F.col("host").alias("_host"), "host_rejected"), "rejected")
     passed = ~F.col("host_rejected")
-    for rule in RULES:
+    for rule in sorted({*RULES} - {*HOST_ONLY}):
         passed = passed & ~F.col(f"fails_{rule}")
     return (judged.join(rejected, F.col("host") == F.col("_host"), "left").drop("_host")
             .withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
