@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import documents
+from tessera.llm.near_duplicates import near_duplicate_classes
+from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import quality_scores
 from tessera.llm.quality_rules import quality_rules
+from tessera.llm.sentence_pieces import encode_digests
+from tessera.llm.sharding import shard_documents
 from tessera.llm.token_counts import token_counts
 
 
@@ -15,6 +19,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op2_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -26,7 +34,20 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), labels).drop("raw")
 
 
+def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(documents(spark, sf_dir))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(documents(spark, sf_dir))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op3_quality_rules, op4_quality_classifier)}
+    op1_token_counts, op2_label_propagation_shards, op3_quality_rules, op4_quality_classifier,
+    op6_retrieval_packing, op7_sentence_pieces, op8_near_duplicates)}
 
 LLM_ORACLE_SQL: dict[str, str] = {}
