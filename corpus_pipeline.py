@@ -1,21 +1,74 @@
-"""From raw documents to packed training sequences: five stages over ``documents``."""
+"""From raw documents to packed training sequences: five stages over ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and
+read again as the next stage's documents; all but the last return the columns
+of ``documents``. Rows are told apart by all of their columns, so a repeated
+row passes or goes as a whole.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import documents, materialize
+from tessera.llm.near_duplicates import near_duplicate_classes
+from tessera.llm.packing import pack
 from tessera.llm.quality_rules import quality_rules
+from tessera.llm.secret_scan import mask_secrets
+from tessera.llm.suffix_dedup import remove_repeats
 
+# Signatures, suffix arrays and packing are beyond SQL; tests hold the stages
+# against plain versions instead.
 ORACLE_SQL = None
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents that a rule or their host's verdict rejects go."""
-    raise NotImplementedError
+    """Quality rules: documents that a rule or their host's verdict rejects go. Of rows
+    that repeat a doc_id all stay if one passes (they are one document)."""
+    kept = materialize(quality_rules(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct(), "kept")
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: the document with the smallest id of each class stays, once."""
+    kept = materialize(near_duplicate_classes(docs).where("kept AND doc_id IS NOT NULL")
+                       .select(F.col("doc_id").alias("_id")).distinct(), "kept")
+    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_id"))
+    one = named.select(*docs.columns).dropDuplicates(["doc_id"])
+    return one.union(docs.where("doc_id IS NULL"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup: repeated passages go; documents without a word left go as a whole."""
+    left = remove_repeats(docs).where("n_removed > 0").select(
+        F.col("doc_id").alias("_id"), F.col("kept_text").alias("_text"))
+    left = materialize(left, "cut")
+    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("_text"))
+    joined = docs.join(left, F.col("doc_id") == F.col("_id"), "left").withColumn("_new", text)
+    return joined.where("_id IS NULL OR _new RLIKE '[^\\\\s]'").select(*[
+        F.col("_new").alias("text") if c == "text"
+        else F.when(F.col("_id").isNull(), F.col(c)).otherwise(F.length("_new")).cast(
+            docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scan: secrets are masked in the text, documents stay."""
+    return mask_secrets(docs)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Retrieval packing: one row per piece of a sequence."""
+    return pack(docs)
 
 
-STAGES = [("quality_rules", keep_quality)]
+STAGES = [
+    ("quality_rules", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("suffix_dedup", cut_repeats),
+    ("secret_scan", hide_secrets),
+    ("packing", pack_documents),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,12 @@ def _learn(tokenizer, memo: dict, missing: list[str]) -> None:
             begin = end
 
 
+def _base(chunk: str) -> str:
+    """The letters before one closing comma or full stop, which is a word by itself."""
+    base = chunk[:-1]
+    return base if chunk[-1:] in (",", ".") and base.isalpha() and max(base) < "\u0250" else ""
+
+
 def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
     """Little-endian 32-bit ids of each text, the end id last. Pieces never reach
     across white space, so a text's ids are those of its chunks in a row."""
@@ -65,13 +71,19 @@ def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
     end = END_ID.to_bytes(4, "little")
     out = []
     for text in texts:
+        if text.isascii() and "<|" not in text:
+            text = text.lower()  # as the tokenizer does; ASCII letters have one form
         chunks = text.replace("\n", " ").split(" ")
         missing = set(chunks).difference(memo)
         if missing:
-            if len(memo) + len(missing) > MEMO_ENTRIES:
+            if len(memo) + 2 * len(missing) > MEMO_ENTRIES:
                 memo.clear()
                 missing = set(chunks)
-            _learn(tokenizer, memo, list(missing))
+            closed = {c: b for c in missing if (b := _base(c))}
+            plain = ({*missing, *closed.values(), ",", "."}).difference(closed).difference(memo)
+            _learn(tokenizer, memo, list(plain))
+            for chunk, base in closed.items():
+                memo[chunk] = memo[base] + memo[chunk[-1]]
         out.append(b"".join(map(memo.__getitem__, chunks)) + end)
     return out
 

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import documents
+from tessera.llm.embedding_links import embedding_links
 from tessera.llm.near_duplicates import near_duplicate_classes
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import quality_scores
 from tessera.llm.quality_rules import quality_rules
+from tessera.llm.secret_scan import scan_secrets
 from tessera.llm.sentence_pieces import encode_digests
 from tessera.llm.sharding import shard_documents
+from tessera.llm.suffix_dedup import remove_repeats
 from tessera.llm.token_counts import token_counts
 
 
@@ -34,6 +37,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), labels).drop("raw")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(documents(spark, sf_dir))
+
+
 def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
@@ -46,8 +53,17 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(documents(spark, sf_dir))
 
 
+def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_label_propagation_shards, op3_quality_rules, op4_quality_classifier,
-    op6_retrieval_packing, op7_sentence_pieces, op8_near_duplicates)}
+    op5_secret_scan, op6_retrieval_packing, op7_sentence_pieces, op8_near_duplicates,
+    op9_embedding_links, op10_suffix_dedup)}
 
 LLM_ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,214 @@
+"""Near-duplicates, embeddings, suffix dedup and sharding against brute force."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tessera.llm import embedding_links as el
+from tessera.llm import near_duplicates as nd
+from tessera.llm import suffix_dedup as sd
+from tessera.llm.sharding import shard_documents
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts], DOCS)
+
+
+def words(rng, n):
+    return ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """Distinct texts, exact copies, near copies, a hot group, shared passages, odd rows."""
+    rng = random.Random(3)
+    base = [words(rng, rng.randint(30, 150)) for _ in range(40)]
+    passage = words(rng, 60)
+    out = [" ".join(b) for b in base]
+    for b in base[:10]:
+        out.append(" ".join(b))
+        for edits in (1, 2, 4):
+            c = list(b)
+            for _ in range(edits):
+                c[rng.randrange(len(c))] = "edit"
+            out.append(" ".join(c))
+    hot = words(rng, 120)
+    for _ in range(60):
+        c = list(hot)
+        c[rng.randrange(len(c))] = "".join(rng.choices("xyz", k=5))
+        out.append(" ".join(c))
+    for b in base[20:30]:
+        out.append(" ".join(b[:10] + passage + b[10:]))
+    out += [None, "", "  \n", "a b c", "a b c", "x" * 400, "x" * 400, "ab " * 300, "é" * 100 + " end", "ü" + "é" * 100]
+    rng.shuffle(out)
+    return list(enumerate(out))
+
+
+def classes_by_force(texts):
+    bags = {}
+    for i, t in texts:
+        w = (t or "").encode().split()
+        if w:
+            bags[i] = Counter(zip(*(w[k:] for k in range(5)))) if len(w) >= 5 else Counter([tuple(w)])
+    root = {i: i for i, _ in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in bags:
+        for b in bags:
+            if a < b:
+                both = sum((bags[a] & bags[b]).values())
+                if both >= 0.8 * sum((bags[a] | bags[b]).values()):
+                    x, y = sorted((find(a), find(b)))
+                    root[y] = x
+    return {i: find(i) for i in root}
+
+
+def test_near_duplicate_classes(spark, texts):
+    got = {r.doc_id: (r.class_id, r.kept) for r in nd.near_duplicate_classes(frame(spark, texts)).collect()}
+    want = classes_by_force(texts)
+    assert {i: c for i, (c, _) in got.items()} == want
+    assert all(k == (i == c) for i, (c, k) in got.items())
+
+
+def test_near_duplicates_odd_tables(spark):
+    assert nd.near_duplicate_classes(frame(spark, [])).collect() == []
+    rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, None)]
+    got = nd.near_duplicate_classes(frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.kept) for r in got) == [
+        (0, 0, True), (1, 1, True), (1, 1, True), (2, 2, True)]
+
+
+def test_signatures_estimate_weighted_jaccard():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(1, 2**63, 60).astype(np.uint64)
+    a, b = rng.integers(1, 9, 60), rng.integers(1, 9, 60)
+    want = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+    same = [np.mean(nd.signature(keys ^ np.uint64(s), a) == nd.signature(keys ^ np.uint64(s), b)) for s in range(60)]
+    assert abs(np.mean(same) - want) < 0.03
+
+
+def test_suffix_array_orders_suffixes():
+    rng = random.Random(1)
+    for n in (1, 2, 9, 60, 700):
+        for letters in (1, 2, 20):
+            t = np.array([rng.randrange(letters) for _ in range(n)])
+            data = bytes(t.tolist())
+            order = sd.suffix_array(t).tolist()
+            keys = [data[i:i + 50] for i in order]
+            assert sorted(order) == list(range(n)) and keys == sorted(keys)
+            common = sd.common_prefixes(t, np.array(order))
+            for k in range(1, n):
+                x, y = keys[k - 1], keys[k]
+                want = next((j for j, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+                assert common[k] == want
+
+
+def removed_by_force(texts):
+    first = {}
+    for i, t in texts:
+        data = (t or "").encode()
+        for s in range(len(data) - 49):
+            w = data[s:s + 50]
+            first[w] = min(first.get(w, i), i)
+    out = {}
+    for i, t in texts:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for s in range(len(data) - 49):
+            if first[data[s:s + 50]] < i:
+                gone[s:s + 50] = b"\1" * 50
+        spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
+        out[i] = (len(data), sum(gone), spans, bytes(b for b, g in zip(data, gone) if not g))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [2000, 3])
+def test_remove_repeats(spark, texts, monkeypatch, crowd):
+    import hashlib
+
+    monkeypatch.setattr(sd, "SUFFIX_CONTEXTS", crowd)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+           for r in sd.remove_repeats(frame(spark, texts)).collect()}
+    want = {i: (*w[:3], hashlib.sha256(w[3]).hexdigest()) for i, w in removed_by_force(texts).items()}
+    assert got == want
+    assert any(w[1] for w in want.values())
+
+
+def test_remove_repeats_odd_tables(spark):
+    assert sd.remove_repeats(frame(spark, [])).collect() == []
+    long = "".join(random.Random(2).choices("abcdefgh", k=200))
+    rows = [(None, long), (1, long), (1, long), (1, "x" + long), (2, "y" + long), (3, None)]
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in sd.remove_repeats(frame(spark, rows)).collect())
+    assert got == [(0, 200, 0), (1, 200, 0), (1, 200, 0), (1, 201, 0), (2, 201, 200), (3, 0, 0)]
+
+
+def test_embedding_links(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(30, 24))
+    rows, hot = [], rng.normal(size=24)
+    for i in range(200):
+        v = hot + 0.1 * rng.normal(size=24) if i % 3 == 0 else base[i % 30] + rng.choice([0.05, 0.4]) * rng.normal(size=24)
+        rows.append((i, [float(x) for x in v], int(i % 4) if i % 17 else None))
+    rows += [(300, None, 1), (301, [0.0] * 24, 1), (302, [float("nan")] * 24, 1), (303, [1.0] * 23 + [None], 1),
+             (304, [1.0, 2.0], 1), (305, [1.0, 2.0], 1), (305, [1.0, 2.0], 1), (None, [1.0, 2.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = el.embedding_links(df, block=16).collect()
+    ok = [v is not None and l is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)
+          for _, v, l in rows]
+    links = Counter()
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            (_, a, la), (_, b, lb) = rows[i], rows[j]
+            if ok[i] and ok[j] and la == lb and len(a) == len(b):
+                a, b = np.array(a), np.array(b)
+                if a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) >= 0.93:
+                    links[i] += 1
+                    links[j] += 1
+                    root[find(i)] = find(j)
+    least = {}
+    for i in range(len(rows)):
+        least.setdefault(find(i), []).append(rows[i][0])
+    least = {r: min((x for x in ids if x is not None), default=None) for r, ids in least.items()}
+    want = Counter((rows[i][0], links[i], least[find(i)]) for i in range(len(rows)))
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in got) == want
+    assert el.embedding_links(df.limit(0)).collect() == []
+
+
+def test_shards_follow_the_rows_law(spark, texts):
+    import zlib
+
+    rows = texts + [(7, texts[7][1]), (None, "x")]
+    got = shard_documents(frame(spark, rows), 4).collect()
+    sizes = Counter(r.shard for r in got)
+    assert len(got) == len(rows) and max(sizes.values()) - min(sizes.values()) <= 1
+    for s in sizes:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sizes[s]))
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == want
+    groups = {}
+    for r in got:
+        groups.setdefault(r.text_crc32, set()).add(r.shard)
+    assert all(len(g) == 1 for g in groups.values())
+    assert shard_documents(frame(spark, []), 4).collect() == []
+
+
+def test_shards_split_a_group_larger_than_a_shard(spark):
+    got = shard_documents(frame(spark, [(i, "same" if i < 30 else f"t{i}") for i in range(60)]), 4).collect()
+    assert sorted(Counter(r.shard for r in got).values()) == [15] * 4
