@@ -82,10 +82,10 @@ def features(found: DataFrame) -> DataFrame:
         "dictionary_share": 1 - covered / length,
         "path_marks": _count(F.col("word"), "[/\\\\.]"),
         "named_before": context.rlike(names).cast("double"),
-        "named_within": F.substring_index("word", value, 1).rlike(names).cast("double"),
-        "assigned": (F.col("before").rlike("[=:]$") | F.substring_index("word", value, 1).rlike("[=:][\"']?$")
+        "named_within": F.expr("substring_index(word, value, 1)").rlike(names).cast("double"),
+        "assigned": (F.col("before").rlike("[=:]$") | F.expr("substring_index(word, value, 1)").rlike("[=:][\"']?$")
                      ).cast("double"),
-        "quoted": F.substring_index("word", value, 1).rlike("[\"']$").cast("double"),
+        "quoted": F.expr("substring_index(word, value, 1)").rlike("[\"']$").cast("double"),
     })
 
 
