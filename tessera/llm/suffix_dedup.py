@@ -37,6 +37,7 @@ SPAN = LENGTH - GRAM  # starts per anchor: 0 to SPAN before it
 BLOCK_BYTES = 1 << 20  # context bytes sorted together
 SUFFIX_CONTEXTS = 2_000  # contexts of one anchor that one suffix array takes
 BUCKET_BYTES = 4 << 20  # text bytes per hash bucket
+PACKED_BYTES = 8 << 20  # text bytes whose contexts a task holds at once
 
 _P = np.uint64(0x100000001B3 | 1 << 44)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -250,15 +251,21 @@ def _packed_contexts(docs: DataFrame, bits: int) -> DataFrame:
     packed = [f"{p}{k} binary" for p in ("", "s_") for k in _PACKED]
 
     def rows(batch):
-        parts = []
+        parts, size = [], 0
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = (text.as_py() or "").encode()
             h, c, _, first, last = contexts(data)
             if doc is not None and len(h):
                 parts.append((h, c, np.full(len(h), doc, np.int64), np.full(len(h), zlib.crc32(data) & 0xFFFF),
                               first, last - first))
-        if not parts:
-            return
+                size += len(data)
+            if size >= PACKED_BYTES:
+                yield packed_rows(parts)
+                parts, size = [], 0
+        if parts:
+            yield packed_rows(parts)
+
+    def packed_rows(parts):
         cols = dict(zip(_PACKED, (np.concatenate(x) for x in zip(*parts))))
         bucket = (cols["h"] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(cols["h"]), np.int64)
         cols["h"], cols["c"] = cols["h"] & np.uint64((1 << 40) - 1), cols["c"] & np.uint64((1 << 40) - 1)
@@ -273,7 +280,7 @@ def _packed_contexts(docs: DataFrame, bits: int) -> DataFrame:
             for prefix, some in (("", ~settled), ("s_", settled)):
                 for k, v in _pack(cols, np.sort(at[order[some]])).items():
                     out[prefix + k].append(v)
-        yield out
+        return out
 
     return map_batches(docs.select("doc_id", "text"), rows, ", ".join(["bucket long", *packed]))
 
