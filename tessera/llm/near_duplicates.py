@@ -32,8 +32,9 @@ WORDS = 5
 SIMILARITY = 0.8
 SLOTS = 64
 BAND_ROWS = 4  # 16 bands: a pair at 0.8 shares one with probability 0.9998
-LEADERS = (1, 4)  # members each bucket's others are compared with, by round
+LEADERS = (1, 1, 2, 4, 8)  # members each bucket's others are compared with, by round
 ESTIMATE_MARGIN = 0.2  # four standard deviations of a 64-slot estimate at 0.8
+BATCH_WORDS = 200_000  # words whose signatures a task draws together
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -71,11 +72,10 @@ def shingles(words: list[bytes], memo: dict) -> np.ndarray:
     return out
 
 
-def _blocks(bag: np.ndarray, counts: np.ndarray):
-    """The dyadic blocks each shingle's weight reaches: (bag place, block number,
-    lower bound, length)."""
-    place, block, low, length = [np.arange(len(bag))], [np.zeros(len(bag), np.int64)], [
-        np.zeros(len(bag), np.int64)], [np.ones(len(bag), np.int64)]
+def _blocks(counts: np.ndarray):
+    """The dyadic blocks each weight reaches: (place, block number, lower bound, length)."""
+    place, block, low, length = [np.arange(len(counts))], [np.zeros(len(counts), np.int64)], [
+        np.zeros(len(counts), np.int64)], [np.ones(len(counts), np.int64)]
     j, start = 1, 1
     more = np.flatnonzero(counts > 1)
     while len(more):
@@ -89,40 +89,44 @@ def _blocks(bag: np.ndarray, counts: np.ndarray):
     return tuple(map(np.concatenate, (place, block, low, length)))
 
 
-def signature(bag: np.ndarray, counts: np.ndarray, slots: int = SLOTS) -> np.ndarray:
-    """The slots' smallest points, as 32-bit fingerprints, of a multiset of hashes."""
-    place, block, low, length = _blocks(bag, counts)
-    best = np.full(slots, np.inf)
-    mark = np.zeros(slots, dtype=np.uint64)
-    state = _mix(bag[place] ^ _mix(block.astype(np.uint64)))
-    weight, time = counts[place], np.zeros(len(place))
-    rate = length.astype(np.float64)
-    levels = int(max(length.max(), 1)).bit_length()
+def signatures_of(bags: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) -> np.ndarray:
+    """Per multiset of hashes the slots' smallest points, as 32-bit fingerprints.
+    All multisets advance together, a point of each live process a round."""
+    keys = np.concatenate([b for b, _ in bags])
+    counts = np.concatenate([c for _, c in bags])
+    owner = np.repeat(np.arange(len(bags)), [len(b) for b, _ in bags])
+    place, block, low, length = _blocks(counts)
+    best = np.full(len(bags) * slots, np.inf)
+    mark = np.zeros(len(bags) * slots, dtype=np.uint64)
+    state = _mix(keys[place] ^ _mix(block.astype(np.uint64)))
+    weight, owner, time = counts[place], owner[place], np.zeros(len(place))
     while len(state):
         # the next point of each process: waiting time, slot, level within the block
         state = _mix(state)
-        time = time + -np.log(((state >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / rate
-        draw = _mix(state ^ _MIX[1])
-        slot = (draw % np.uint64(slots)).astype(np.int64)
-        lower, size, bits = low.copy(), length.copy(), _mix(draw)
-        for _ in range(levels):  # halve the block until one unit of weight is left
-            half = size > 1
-            size = np.where(half, size >> 1, size)
-            lower = np.where(half & ((bits & np.uint64(1)) == 1), lower + size, lower)
-            bits = bits >> np.uint64(1)
-        mine = np.flatnonzero(lower < weight)
-        if len(mine):
-            order = mine[np.argsort(-time[mine], kind="stable")]  # the smallest is written last
-            first = np.full(slots, -1)
-            first[slot[order]] = order
-            filled = np.flatnonzero(first >= 0)
-            at = first[filled]
-            better = time[at] < best[filled]
-            best[filled[better]], mark[filled[better]] = time[at[better]], draw[at[better]]
-        on = time < best.max()
-        state, time, rate, weight = state[on], time[on], rate[on], weight[on]
+        time = time - np.log(((state >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / length
+        on = time < best.reshape(-1, slots).max(axis=1)[owner]
+        state, time, weight, owner = state[on], time[on], weight[on], owner[on]
         low, length = low[on], length[on]
-    return (mark >> np.uint64(32)).astype(np.uint32)
+        draw = _mix(state ^ _MIX[1])
+        at = owner * slots + (draw % np.uint64(slots)).astype(np.int64)
+        mine = np.ones(len(at), dtype=bool)
+        deep = np.flatnonzero(length > 1)
+        if len(deep):  # halve the block until one unit of weight is left
+            lower, size, bits = low[deep], length[deep], _mix(draw[deep])
+            while (size > 1).any():
+                half = size > 1
+                size = np.where(half, size >> 1, size)
+                lower = np.where(half & ((bits & np.uint64(1)) == 1), lower + size, lower)
+                bits = bits >> np.uint64(1)
+            mine[deep] = lower < weight[deep]
+        np.minimum.at(best, at[mine], time[mine])
+        won = mine & (time == best[at])
+        mark[at[won]] = draw[won]
+    return (mark >> np.uint64(32)).astype(np.uint32).reshape(len(bags), slots)
+
+
+def signature(bag: np.ndarray, counts: np.ndarray, slots: int = SLOTS) -> np.ndarray:
+    return signatures_of([(bag, counts)], slots)[0]
 
 
 def multiset(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,29 +145,36 @@ def signatures(docs: DataFrame) -> DataFrame:
     memo: dict = {}
 
     def rows(batch):
-        ids, digests, sigs = [], [], []
+        ids, digests, bags, size = [], [], [], 0
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = (text.as_py() or "").encode().split()
             if i is None or not words:
                 continue
             ids.append(i)
             digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-            sigs.append(signature(*multiset(shingles(words, memo))).tobytes())
-        yield {"doc_id": ids, "digest": digests, "sig": sigs}
+            bags.append(multiset(shingles(words, memo)))
+            size += len(words)
+            if size > BATCH_WORDS:
+                yield {"doc_id": ids, "digest": digests, "sig": [x.tobytes() for x in signatures_of(bags)]}
+                ids, digests, bags, size = [], [], [], 0
+        if bags:
+            yield {"doc_id": ids, "digest": digests, "sig": [x.tobytes() for x in signatures_of(bags)]}
 
     return map_batches(docs.select("doc_id", "text"), rows, "doc_id long, digest binary, sig binary")
 
 
 def _bands(reps: DataFrame) -> DataFrame:
-    """(key, rep, sig): one row per band; the key holds the band's number and slots."""
+    """(key, rep): one row per band; the key is of the band's number and slots."""
     width = 4 * BAND_ROWS
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 1 + b * width, width))
                      for b in range(SLOTS // BAND_ROWS)])
-    return reps.select("rep", "sig", F.explode(keys).alias("key"))
+    return reps.select("rep", F.explode(keys).alias("key"))
 
 
-def _agreement(pairs: DataFrame) -> DataFrame:
+def _agreement(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Keeps pairs whose signatures agree in enough slots."""
+    pairs = (pairs.join(reps.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
+             .join(reps.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b"))
     least = int((SIMILARITY - ESTIMATE_MARGIN) * SLOTS)
 
     def rows(batch):
@@ -245,40 +256,34 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     bands = materialize(bands.join(crowded, F.col("key") == F.col("crowded")).drop("crowded"), "bands")
     bags = materialize(_bags(docs, bands.select("rep").distinct()), "bags")
 
-    links = materialize(members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "links")
+    copies = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     comp, tested = None, None
     for turn, leaders in enumerate((*LEADERS, 0)):
         rows = _open_buckets(bands, comp)
         if leaders:  # a few members, chosen by hash, face the rest of their bucket
-            picks = rows
-            for i in range(leaders):
-                top = F.min(F.struct(F.xxhash64("rep", F.lit(turn * 100 + i)).alias("h"), F.col("rep"),
-                                     F.col("component"), F.col("sig"))).alias(f"p{i}")
-                one = rows.groupBy("key").agg(top).select("key", F.col(f"p{i}.*")).drop("h")
-                picks = one if i == 0 else picks.union(one)
-            few = picks.distinct()
+            picks = rows.select("key", F.explode(F.array(*[
+                F.struct(F.lit(i).alias("i"), F.xxhash64("rep", F.lit(turn * 100 + i)).alias("h"), F.col("rep"),
+                         F.col("component")) for i in range(leaders)])).alias("p"))
+            few = (picks.groupBy("key", F.col("p.i").alias("i")).agg(F.min("p").alias("p"))
+                   .select("key", "p.rep", "p.component").distinct())
         else:  # what is left: members outside their bucket's largest component face all others
             sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
             top = materialize(sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"))
                               .select(F.col("key").alias("top_key"), F.col("top.component").alias("top")), "top")
             few = (rows.join(top, F.col("key") == F.col("top_key"))
-                   .where("component <> top").select("key", "rep", "component", "sig"))
+                   .where("component <> top").select("key", "rep", "component"))
         few = materialize(few, "leaders").select(
-            F.col("key").alias("_key"), F.col("rep").alias("lead"), F.col("component").alias("lead_component"),
-            F.col("sig").alias("lead_sig"))
+            F.col("key").alias("_key"), F.col("rep").alias("lead"), F.col("component").alias("lead_component"))
         pairs = rows.join(few, F.col("key") == F.col("_key")).where("component <> lead_component")
-        pairs = pairs.select(
-            F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"),
-            F.when(F.col("rep") < F.col("lead"), F.col("sig")).otherwise(F.col("lead_sig")).alias("sig_a"),
-            F.when(F.col("rep") < F.col("lead"), F.col("lead_sig")).otherwise(F.col("sig")).alias("sig_b"))
-        close = _agreement(pairs).distinct()
+        pairs = pairs.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
         if tested is not None:
-            close = close.join(tested, ["a", "b"], "left_anti")
-        close = materialize(close, "close")
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        close = materialize(_agreement(materialize(pairs, "pairs"), reps), "close")
         tested = close if tested is None else tested.union(close)
         found = materialize(_verified(close, bags), "verified")
-        links = links.union(found)
-        comp = materialize(components(links), "components")
+        # components so far stand for the links already found
+        links = found if comp is None else found.union(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        comp = materialize(components(links if turn else links.union(copies)), "components")
     return _with_component(docs.select("doc_id"), comp, "doc_id").select(
         "doc_id", F.col("component").alias("class_id"),
         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
