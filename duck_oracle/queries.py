@@ -139,7 +139,7 @@ Q["win_rn_case"] = sql("""
 SELECT Student_GUID, Lesson_Type, Lesson, Lesson_Date, Order_Num FROM w2_lessons""", "w2_lessons")
 Q["threshold_flag"] = sql("""
 SELECT Student_GUID, Lesson, Lesson_Date,
-       CAST(CASE WHEN Lesson_Accuracy >= .70 THEN 1 ELSE 0 END AS BIGINT) AS passed
+       CAST(coalesce(Lesson_Passed, false) AS BIGINT) AS passed
 FROM w2_lessons""", "w2_lessons")
 Q["join_fanout"] = sql("""
 SELECT a.Student_GUID, a.School_GUID, b.Lesson, b.Lesson_Date, b.Lesson_Type
@@ -293,10 +293,20 @@ _AFTER_INSERT = """
 SELECT authToken, userName FROM auth_token
 UNION ALL
 SELECT DISTINCT authToken, userName FROM token_requests r
-WHERE NOT EXISTS (SELECT 1 FROM auth_token t
-                  WHERE t.authToken = r.authToken AND t.userName = r.userName)"""
+WHERE r.authToken NOT IN (SELECT authToken FROM auth_token)"""
 Q["insert_if_absent"] = sql(_AFTER_INSERT, "token_requests", "auth_token")
 Q["sink_append"] = Q["insert_if_absent"]
+Q["insert_rejected"] = sql("""
+SELECT r.authToken, r.userName,
+       CASE WHEN bool_or(t.userName = r.userName) THEN 'row exists' ELSE 'key exists' END AS reason
+FROM token_requests r JOIN auth_token t USING (authToken)
+GROUP BY r.request_id, r.authToken, r.userName""", "token_requests", "auth_token")
+Q["delete_persons"] = sql("""
+SELECT * FROM person WHERE descendant NOT IN (SELECT userName FROM delete_users)""", "person", "delete_users")
+Q["dq_dangling_child"] = sql("""
+SELECT * FROM customer_order_products
+WHERE product_id IN (SELECT product_id FROM products WHERE product_type = 'ECONOMY')""",
+                             "customer_order_products", "products")
 _DELETE = """
 SELECT * FROM auth_token WHERE userName NOT IN (SELECT userName FROM delete_users)"""
 Q["delete_by_key"] = sql(_DELETE, "auth_token", "delete_users")
@@ -334,10 +344,10 @@ UNPIVOT (SELECT count(*) FILTER (WHERE id IS NULL) AS id,
          FROM person)
 ON id, descendant, firstName, lastName, gender, fatherID, motherID, spouseID
 INTO NAME column_name VALUE null_count""", "person")
-Q["dq_foreign_key"] = sql(f"""
-SELECT * FROM ({_AFTER_INSERT}) t
+Q["dq_foreign_key"] = sql("""
+SELECT authToken, userName FROM token_requests
 WHERE userName IS NOT NULL AND userName NOT IN (SELECT userName FROM users)""",
-                          "token_requests", "auth_token", "users")
+                          "token_requests", "users")
 Q["dq_self_foreign_key"] = sql("""
 SELECT id, 'fatherID' AS role, fatherID AS missing_id FROM person
 WHERE fatherID IS NOT NULL AND fatherID NOT IN (SELECT id FROM person)

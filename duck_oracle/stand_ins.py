@@ -47,7 +47,7 @@ cte("student_docs", f"""
 SELECT {tag('S', 'c_custkey')} AS _id, c_custkey AS SqlStudentDocumentId FROM customer""")
 cte("lesson_history", f"""
 SELECT o_custkey AS SqlStudentDocumentId,
-       {tag('g', 'o_orderkey % 200')} AS Lesson,
+       {tag('g', 'o_orderkey // 8')} AS Lesson,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'StudentAchievement'
                             WHEN '2-HIGH' THEN 'TeacherSkip'
                             WHEN '5-LOW' THEN 'SatisfiedByAlternateLesson'
@@ -71,7 +71,7 @@ SELECT DISTINCT StrandID,
 FROM lesson_node""", "lesson_node")
 cte("scores", f"""
 SELECT o.o_custkey AS SqlStudentDocumentId,
-       {tag('g', 'l.l_orderkey % 200')} AS Lesson,
+       {tag('g', 'l.l_orderkey // 8')} AS Lesson,
        {tag('A', 'l.l_linenumber')} AS Activity,
        CASE WHEN l.l_linenumber = 7 THEN 'Assessment' ELSE 'Skill' END AS Skill,
        CASE WHEN l.l_linestatus = 'O' THEN 'Spanish' ELSE 'ILE' END AS Product,
@@ -121,8 +121,8 @@ FROM orders""")
 # ---------------------------------------------------------------- marketing
 _AFF_COLS = f"""
        ts AS {{time_col}},
-       event_id % 128 AS advertiser_id,
-       (event_id * 7) % 2500 AS offer_id,
+       event_id // 95 AS advertiser_id,
+       event_id // 4 AS offer_id,
        user_id AS affiliate_id,
        CASE (event_id // 3) % 3 WHEN 0 THEN 'cmp-' || json_extract_string(props, '$.k')
                                 WHEN 1 THEN json_extract_string(props, '$.k') || '_b'
@@ -177,7 +177,7 @@ cte("token_requests", f"""
 SELECT event_id AS request_id,
        CASE event_id % 4 WHEN 2 THEN {tag('x', 'event_id')} WHEN 3 THEN {tag('T', 'event_id')}
                          ELSE {tag('t', 'event_id')} END AS authToken,
-       CASE WHEN event_id % 4 = 1 THEN {tag('u', 'user_id + 100000')} ELSE {tag('u', 'user_id')} END AS userName
+       CASE WHEN event_id % 4 = 1 THEN {tag('w', 'user_id')} ELSE {tag('u', 'user_id')} END AS userName
 FROM events""")
 cte("users", f"""
 SELECT {tag('u', 'c_custkey')} AS userName, {tag('p', 'c_custkey')} AS userPersonID FROM customer""")
@@ -198,10 +198,10 @@ SELECT c_custkey AS request_id,
             ELSE {tag('u', 'c_custkey // 10')} END AS descendant
 FROM customer""")
 cte("user_requests", f"""
-SELECT o_orderkey AS request_id, {tag('u', 'o_orderkey % 2000')} AS userName FROM orders""")
+SELECT o_orderkey AS request_id, {tag('u', 'o_orderkey // 8')} AS userName FROM orders""")
 cte("person_id_requests", f"""
-SELECT o_orderkey AS request_id, {tag('p', 'o_orderkey % 2000')} AS id FROM orders""")
-cte("family_requests", f"SELECT {tag('u', 'n_nationkey')} AS userName FROM nation")
+SELECT o_orderkey AS request_id, {tag('p', 'o_orderkey // 8')} AS id FROM orders""")
+cte("family_requests", f"SELECT DISTINCT {tag('u', 'c_custkey // 40')} AS userName FROM customer")
 cte("new_persons", f"""
 SELECT {tag('q', 'c_custkey')} AS id, {tag('u', 'c_custkey // 10')} AS descendant,
        c_name AS firstName, c_mktsegment AS lastName,

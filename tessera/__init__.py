@@ -6,7 +6,6 @@ Layout
 - ``tessera.functions`` Column-returning helpers (text, dates, mappings, casts)
 - ``tessera.operators`` joins, aggregates, windows, set operations, record jobs
 - ``tessera.plans``     whole pipelines composed from the operators
-- ``tessera.streaming`` intentionally empty (the workloads are batch only)
 
 Every function takes and returns ``DataFrame`` or ``Column`` objects, so Catalyst
 plans the whole pipeline; nothing here loops over rows in Python.

@@ -38,9 +38,6 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 def self_orphans(df: DataFrame, id_col: str, ref_cols: Sequence[str]) -> DataFrame:
     """Self-referencing foreign keys (D15): for each role column, rows pointing
     at an id the table does not hold, with the role and the dangling value."""
-    out = None
-    for c in ref_cols:
-        o = orphans(df, c, df, id_col).select(F.col(id_col), F.lit(c).alias("role"),
-                                             F.col(c).alias("missing_id"))
-        out = o if out is None else out.unionByName(o)
-    return out
+    refs = df.select(F.col(id_col), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("role"), F.col(c).alias("missing_id")) for c in ref_cols])).alias("ref"))
+    return orphans(refs.select(id_col, "ref.role", "ref.missing_id"), "missing_id", df, id_col)

@@ -50,21 +50,34 @@ def token_user_name(requests: DataFrame, tokens: DataFrame) -> DataFrame:
                         "userName", "userName", default=fx.MISSING_USER_NAME)
 
 
-def insert_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """``addAuthToken`` for a batch (D4): a row is rejected when the table
-    already holds its ``keys``; repeats inside the batch insert once. Returns
-    ``(new_table, accepted_rows)``."""
+def insert_if_absent(table: DataFrame, rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``addAuthToken`` for a batch (D4): a row is rejected when the table already
+    holds its ``key``, with the same values ("row exists") or others ("key
+    exists", which the primary key refuses). Of rows that repeat a key inside the
+    batch the smallest goes in, other ones are rejected ("key repeated").
+    Returns ``(new_table, accepted_rows, rejected_rows with reason)``."""
     cols = table.columns
-    batch = rows.select(*cols).dropDuplicates(list(keys))
-    accepted = batch.join(table.select(*keys).distinct(), list(keys), "left_anti").select(*cols)
-    return append_named(table, accepted), accepted
+    rest = [c for c in cols if c != key]
+    batch = exists_flag(rows.select(*cols), table, [(key, key)], "__known")
+    batch = exists_flag(batch, table, [(c, c) for c in cols], "__same")
+    fresh = batch.where(~F.col("__known")).select(*cols)
+    counted = fresh.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    first = fresh.groupBy(key).agg(F.min(F.struct(*rest)).alias("__first"))
+    accepted = first.select(key, "__first.*").select(*cols)
+    again = (counted.join(first.withColumnRenamed(key, "__k"), F.col(key) == F.col("__k"))
+             .where((F.col("__n") > 1) | (F.struct(*rest) != F.col("__first")))
+             .select(*cols, F.lit("key repeated").alias("reason")))
+    held = batch.where("__known").select(
+        *cols, F.when(F.col("__same"), "row exists").otherwise("key exists").alias("reason"))
+    return append_named(table, accepted), accepted, held.unionByName(again)
 
 
 def delete_by_key(table: DataFrame, keys: DataFrame, col: str, keys_col: str | None = None) -> DataFrame:
     """``DELETE FROM t WHERE col = :k`` for a set of keys (D5, D10): a left anti
-    join, written out by the caller as the table's new version."""
+    join, written out by the caller as the table's new version. Columns keep
+    their order."""
     kc = keys_col or col
-    return table.join(keys.select(F.col(kc).alias(col)).distinct(), col, "left_anti")
+    return table.join(keys.select(F.col(kc).alias(col)).distinct(), col, "left_anti").select(*table.columns)
 
 
 def person_record(requests: DataFrame, persons: DataFrame, id_col: str = "id") -> DataFrame:
@@ -82,7 +95,10 @@ def persons_of_user(requests: DataFrame, persons: DataFrame, user_col: str = "us
     users first, so only their rows are de-duplicated."""
     users = requests.select(F.col(user_col).alias("descendant")).distinct()
     matched = persons.join(users, "descendant", "left_semi")
-    return matched.dropDuplicates(["descendant", "id"])
+    # one row per id, the smallest of a repeated id; columns keep their order
+    rest = [c for c in persons.columns if c not in ("descendant", "id")]
+    one = matched.groupBy("descendant", "id").agg(F.min(F.struct(*rest)).alias("__one"))
+    return one.select("descendant", "id", "__one.*").select(*persons.columns)
 
 
 def append_person(table: DataFrame, rows: DataFrame, null_text: bool = False) -> DataFrame:

@@ -268,7 +268,7 @@ def _join_composite(t):
 @register("lesson_summary")
 def _lesson_summary(t):
     """W2 pipeline: per-student latest literacy lesson, accuracy, passed/attempted counts."""
-    return w2.lesson_summary(**_learning(t), p=LESSON_PARAMS)
+    return _w2_rounded(w2.lesson_summary(**_learning(t), p=LESSON_PARAMS))
 
 
 @register("fn_lower")
@@ -311,8 +311,13 @@ def _project_math(t):
         lesson_number("StrandID", "OrderID").cast("bigint").alias("Lesson_Number"))
 
 
+def _w2_rounded(summary):
+    """Rounded for the comparison with another engine's doubles."""
+    return summary.withColumn("Overall_Accuracy", F.round("Overall_Accuracy", 6))
+
+
 def _w2_lessons_rounded(t):
-    return _w2_lessons(t).withColumn("Lesson_Accuracy", F.round("Lesson_Accuracy", 6))
+    return _w2_lessons(t).drop("Lesson_Passed").withColumn("Lesson_Accuracy", F.round("Lesson_Accuracy", 6))
 
 
 @register("win_over_agg")
@@ -332,7 +337,7 @@ def _threshold_flag(t):
     """``CASE WHEN accuracy >= .70 THEN 1 ELSE 0 END``; NULL is not passed."""
     return _w2_lessons(t).select(
         "Student_GUID", "Lesson", "Lesson_Date",
-        F.when(F.col("Lesson_Accuracy") >= 0.70, 1).otherwise(0).cast("bigint").alias("passed"))
+        F.when(F.col("Lesson_Passed"), 1).otherwise(0).cast("bigint").alias("passed"))
 
 
 @register("join_fanout")
@@ -344,7 +349,7 @@ def _join_fanout(t):
 
 
 def _w2_summary(t):
-    return w2.lesson_summary(**_learning(t), p=LESSON_PARAMS)
+    return _w2_rounded(w2.lesson_summary(**_learning(t), p=LESSON_PARAMS))
 
 
 @register("agg_pick_zero")
@@ -356,7 +361,7 @@ def _agg_pick_zero(t):
 @register("agg_two_level")
 def _agg_two_level(t):
     """Activity ratio -> lesson mean -> student mean."""
-    return _w2_summary(t).select("Student_GUID", "Overall_Accuracy", "Lessons_Passed_Current")
+    return _w2_rounded(_w2_summary(t)).select("Student_GUID", "Overall_Accuracy", "Lessons_Passed_Current")
 
 
 # ================================================================ W3
@@ -777,16 +782,35 @@ def _token_lookup(t):
 
 
 def _tokens_after_insert(t):
-    new, _ = records.insert_if_absent(si.auth_tokens(t), si.token_requests(t), ["authToken", "userName"])
-    return new
+    return records.insert_if_absent(si.auth_tokens(t), si.token_requests(t), "authToken")[0]
 
 
 @register("insert_if_absent")
 def _insert_if_absent(t):
-    """Batch insert rejecting existing (token, user) pairs."""
+    """Batch insert rejecting rows whose token, the primary key, exists."""
     return _tokens_after_insert(t)
 
 
+@register("insert_rejected")
+def _insert_rejected(t):
+    """The rows the batch insert rejects, with the reason."""
+    return records.insert_if_absent(si.auth_tokens(t), si.token_requests(t), "authToken")[2]
+
+
+@register("delete_persons")
+def _delete_persons(t):
+    """Delete all persons of a set of users."""
+    return records.delete_by_key(si.persons(t), si.delete_users(t), "descendant", "userName")
+
+
+@register("dq_dangling_child")
+def _dq_dangling_child(t):
+    """Order lines whose product is not for sale: a product of another type counts as missing."""
+    shop = si.shop_tables(t)
+    sold = shop["products"].where(F.col("product_type") != si.SHOP_BOOK_TYPE)
+    return quality.orphans(shop["customer_order_products"], "product_id", sold, "product_id")
+
+
 @register("delete_by_key")
 def _delete_by_key(t):
     """Delete all tokens of a set of users (D5; D10 is the same job on persons by descendant)."""
@@ -838,8 +862,8 @@ def _dq_not_null(t):
 
 @register("dq_foreign_key")
 def _dq_foreign_key(t):
-    """Token rows whose user is not in the user table (D14; the dangling-child case D16 is tested on the shop rows)."""
-    return quality.orphans(_tokens_after_insert(t), "userName", si.users(t), "userName")
+    """Requested token rows whose user is not in the user table."""
+    return quality.orphans(si.token_requests(t).select("authToken", "userName"), "userName", si.users(t), "userName")
 
 
 @register("dq_self_foreign_key")
@@ -863,6 +887,5 @@ def _sink_append(t):
     """Append of the accepted batch rows, matched by column name."""
     name = unique_name("authToken")
     write_table(si.auth_tokens(t), name, mode="overwrite")
-    _, accepted = records.insert_if_absent(si.auth_tokens(t), si.token_requests(t),
-                                           ["authToken", "userName"])
+    accepted = records.insert_if_absent(si.auth_tokens(t), si.token_requests(t), "authToken")[1]
     return write_table(accepted.select("userName", "authToken"), name, mode="append")

@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 from tessera import fixed as fx
 from tessera.functions.dates import in_window
 from tessera.functions.mapping import LESSON_STRANDS, lesson_number, subject_of
-from tessera.operators.aggs import activity_score, count_if
+from tessera.operators.aggs import activity_score, count_if, mean_exact
 from tessera.operators.joins import join_ci
 from tessera.operators.windows import desc, row_number_split
 from tessera.plans.activity_scores import completed_lessons
 from tessera.plans.rosters import guid_roster, with_multiplicity
 from tessera.sources.params import Params
 
+# Scores are kept to twelve decimal places.
+SCORE_TYPE = "decimal(18,12)"
+
 GROUP = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
          "OrderID", "DateTime", "StrandID"]
 
@@ -48,13 +51,17 @@ def lesson_rows(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame,
     sc = activity_ratios(scores, p)
     j = join_ci(studs.join(ldata, "SqlStudentDocumentId"), cat, "Lesson", "NodeGUID")
     j = j.join(sc, ["SqlStudentDocumentId", "Lesson"], "left")
-    g = j.groupBy(*GROUP, *carried).agg(F.avg("Activity_Score").alias("Lesson_Accuracy"))
+    # decimals: sums do not depend on row order, and exactly 70 % passes
+    exact = F.col("Activity_Score").cast(SCORE_TYPE)
+    g = j.groupBy(*GROUP, *carried).agg(
+        mean_exact(exact).alias("Lesson_Accuracy"),
+        (F.sum(exact) >= F.lit(fx.W2_PASS_THRESHOLD).cast("decimal(3,2)") * F.count(exact)).alias("Lesson_Passed"))
     return g.select(
         "Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
         lesson_number("StrandID", "OrderID").cast("bigint").alias("Lesson_Number"),
         F.col("DateTime").alias("Lesson_Date"),
         subject_of("StrandID").alias("Lesson_Type"),
-        "Lesson_Accuracy", "OrderID", "StrandID", *carried)
+        "Lesson_Accuracy", "Lesson_Passed", "OrderID", "StrandID", *carried)
 
 
 # Rank order inside (student, subject): newest first; ties broken by the
@@ -77,11 +84,10 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
     ranked = row_number_split(rows, ["Student_GUID", "Lesson_Type"], order, "Order_Num")
     return ranked.select(
         "Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
-        "Lesson_Number", "Lesson_Date", "Order_Num", "Lesson_Type", "Lesson_Accuracy")
+        "Lesson_Number", "Lesson_Date", "Order_Num", "Lesson_Type", "Lesson_Accuracy", "Lesson_Passed")
 
 
-def student_summary(rows: DataFrame, accuracy_digits: int = 6,
-                    dedupe_roster: bool = False) -> DataFrame:
+def student_summary(rows: DataFrame, dedupe_roster: bool = False) -> DataFrame:
     """One pass of conditional sums per student.
 
     The source re-joins the lessons to the roster before summing, so a
@@ -92,8 +98,8 @@ def student_summary(rows: DataFrame, accuracy_digits: int = 6,
     (``with_multiplicity``), so the roster is read once. The
     latest literacy lesson is the ``max_by`` of the rank key rather than the
     ``Order_Num = 1`` row of a window, which would hold a student's whole
-    history in one task. ``Overall_Accuracy`` is a mean of means of doubles
-    and is rounded to ``accuracy_digits`` places. ``dedupe_roster=True``
+    history in one task. ``Overall_Accuracy`` is the mean of the
+    lessons' means, summed as decimals. ``dedupe_roster=True``
     counts each student once however many times the roster lists them.
     """
     t = F.col("Lesson_Type")
@@ -101,8 +107,8 @@ def student_summary(rows: DataFrame, accuracy_digits: int = 6,
     literacy = t == fx.SUBJECT_LITERACY
     per_student = rows.groupBy("Student_GUID").agg(
         F.max_by("Lesson_Number", F.when(literacy, rank_key())).alias("last_lit"),
-        F.avg("Lesson_Accuracy").alias("acc"),
-        count_if(F.col("Lesson_Accuracy") >= fx.W2_PASS_THRESHOLD).alias("passed"),
+        mean_exact(F.col("Lesson_Accuracy").cast(SCORE_TYPE)).alias("acc"),
+        count_if(F.col("Lesson_Passed")).alias("passed"),
         count_if(achieved & literacy).alias("lit_passed"),
         count_if(achieved & (t == fx.SUBJECT_LANGUAGE)).alias("lang_passed"),
         count_if(achieved & (t == fx.SUBJECT_GRAMMAR)).alias("gram_passed"),
@@ -116,7 +122,7 @@ def student_summary(rows: DataFrame, accuracy_digits: int = 6,
     return j.select(
         "Student_GUID",
         (F.coalesce(F.col("last_lit"), F.lit(0)) * times).cast("bigint").alias("Last_literacy_lesson"),
-        F.round("acc", accuracy_digits).alias("Overall_Accuracy"),
+        F.col("acc").alias("Overall_Accuracy"),
         (F.col("passed") * times).alias("Lessons_Passed_Current"),
         (F.col("lit_passed") * times).alias("Literacy_Lessons_Passed_Current"),
         (F.col("lang_passed") * times).alias("Language_Lessons_Passed_Current"),

@@ -37,7 +37,7 @@ def guid_roster(org: DataFrame, student_orgs: DataFrame, students: DataFrame,
     """``SELECT DISTINCT LOWER(dist._id), LOWER(sch._id), LOWER(studs._id),
     e.SqlStudentDocumentId`` over the hierarchy, case-insensitive membership
     joins and the document join (W1, W2)."""
-    schools = F.broadcast(district_schools(org, district, lower_match))
+    schools = district_schools(org, district, lower_match)
     members = join_ci(schools, student_orgs, "school_id", "OrganizationID")
     with_students = join_ci(members, students, "StudentID", "_id")
     docs = documents.select(F.col("_id").alias("doc_student_id"), "SqlStudentDocumentId")
@@ -58,7 +58,7 @@ def named_roster(organizations: DataFrame, student_orgs: DataFrame, info: DataFr
     sch = organizations.where(F.col("orgtype") == fx.W3_SCHOOL).select(
         F.col("organizationID").alias("school_guid"), F.col("name").alias("school_name"),
         F.col("parent").alias("school_parent"))
-    schools = F.broadcast(dist.join(sch, F.col("school_parent") == F.col("district_guid")))
+    schools = dist.join(sch, F.col("school_parent") == F.col("district_guid"))
     stud = student_orgs.select(F.col("studentid").alias("student_id"),
                                F.col("organizationID").alias("member_of"))
     j = (schools.join(stud, F.col("member_of") == F.col("school_guid"))

@@ -58,22 +58,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a directory set earlier on
-    the context). Only when neither exists, as in local tests, a private
-    directory is created and registered.
+    the context). Only when neither exists and the master is local, as in tests,
+    a private directory is created; on a cluster that is an error.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no context on the client, use the conf
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tessera-ckpt-"))
+    if not configured:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 

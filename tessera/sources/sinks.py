@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
 
@@ -24,21 +26,35 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}-{uuid.uuid4().hex[:12]}"
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The written table, None if there is none. Any other read error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_table(df: DataFrame, name: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as table ``name`` and return the re-read table.
 
     ``mode="overwrite"`` is DROP + CREATE (full refresh), ``"append"`` is
-    INSERT of the rows; columns are matched by name, as a column-list INSERT.
+    INSERT of the rows; columns are matched by name, as a column-list INSERT: one
+    that the rows lack is NULL, one that the table lacks is an error.
     """
     spark = df.sparkSession
     path = table_path(spark, name)
     if mode == "append":
-        try:
-            existing = spark.read.parquet(path)
-            df = df.select(*existing.columns)
-        except Exception:  # first append creates the table
-            pass
+        stored = _stored(spark, path)
+        if stored is not None:
+            unknown = [c for c in df.columns if c not in stored.columns]
+            if unknown:
+                raise ValueError(f"table {name} has no column {', '.join(unknown)}")
+            have = set(df.columns)
+            df = df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                             for f in stored.schema])
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -68,8 +84,9 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """``DROP TABLE IF EXISTS`` for a view or catalog table. Path tables are
-    replaced whole by ``write_table(..., mode="overwrite")``."""
+    """``DROP TABLE IF EXISTS`` for a view, a catalog table or a written table."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(spark, name))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     spark.catalog.dropTempView(name)
     spark.sql(f"DROP TABLE IF EXISTS `{name}`")
 

@@ -64,7 +64,7 @@ def student_documents(t: Tables) -> DataFrame:
 
 
 def lesson_key(order_key: str) -> Column:
-    return tag("g", F.col(order_key) % 200)
+    return tag("g", F.floor(F.col(order_key) / 8))
 
 
 def lesson_history(t: Tables) -> DataFrame:
@@ -205,8 +205,8 @@ def _affiliate_events(t: Tables, event_type: str, time_col: str) -> DataFrame:
             .otherwise(F.lit("zz")))
     return e.select(
         F.col("ts").alias(time_col),
-        (eid % 128).alias("advertiser_id"),
-        ((eid * 7) % 2500).alias("offer_id"),
+        F.floor(eid / 95).alias("advertiser_id"),
+        F.floor(eid / 4).alias("offer_id"),
         F.col("user_id").alias("affiliate_id"),
         sub3.alias("affiliate_sub3"),
         sub4.alias("affiliate_sub4"),
@@ -331,7 +331,7 @@ def token_requests(t: Tables) -> DataFrame:
     eid = F.col("event_id")
     r = eid % 4
     token = (F.when(r == 2, tag("x", eid)).when(r == 3, tag("T", eid)).otherwise(tag("t", eid)))
-    user = F.when(r == 1, tag("u", F.col("user_id") + 100000)).otherwise(tag("u", "user_id"))
+    user = F.when(r == 1, tag("w", "user_id")).otherwise(tag("u", "user_id"))
     return t.events.select(eid.alias("request_id"), token.alias("authToken"), user.alias("userName"))
 
 
@@ -377,18 +377,18 @@ def person_requests(t: Tables) -> DataFrame:
 def user_requests(t: Tables) -> DataFrame:
     """User names to resolve, one per order; some name no user."""
     return t.orders.select(F.col("o_orderkey").alias("request_id"),
-                           tag("u", F.col("o_orderkey") % 2000).alias("userName"))
+                           tag("u", F.floor(F.col("o_orderkey") / 8)).alias("userName"))
 
 
 def person_id_requests(t: Tables) -> DataFrame:
     """Person ids to read, one per order; some are unknown."""
     return t.orders.select(F.col("o_orderkey").alias("request_id"),
-                           tag("p", F.col("o_orderkey") % 2000).alias("id"))
+                           tag("p", F.floor(F.col("o_orderkey") / 8)).alias("id"))
 
 
 def family_requests(t: Tables) -> DataFrame:
-    """Users whose family records are requested: one per nation key."""
-    return t.nation.select(tag("u", "n_nationkey").alias("userName"))
+    """Users whose family records are requested: a quarter of the descendants."""
+    return t.customer.select(tag("u", F.floor(F.col("c_custkey") / 40)).alias("userName")).distinct()
 
 
 def new_persons(t: Tables) -> DataFrame:

@@ -200,13 +200,40 @@ def test_usage_without_lessons_stays_lessons_without_usage_drop(spark):
     assert [(r.student_id, r.total_session_minutes, r.lessons_worked) for r in got] == [("a", 2.0, None)]
 
 
-def test_same_token_other_user_passes_pair_check_then_breaks_key(spark):
-    tokens = spark.createDataFrame([("t1", "u1")], "authToken string, userName string")
-    batch = spark.createDataFrame([("t1", "u2"), ("t1", "u1"), ("t2", "u3"), ("t2", "u3")],
-                                  "authToken string, userName string")
-    new, accepted = records.insert_if_absent(tokens, batch, ["authToken", "userName"])
-    assert rows(accepted) == [("t1", "u2"), ("t2", "u3")]
-    assert rows(quality.duplicate_keys(new, ["authToken"])) == [("t1", 2)]
+def test_insert_keeps_the_key_and_returns_rejected_rows(spark):
+    schema = "authToken string, userName string"
+    tokens = spark.createDataFrame([("t1", "u1")], schema)
+    batch = spark.createDataFrame([("t1", "u1"), ("t1", "u2"), ("t2", "u3"), ("t2", "u4"), ("t3", "u5"), ("t3", "u5")], schema)
+    new, accepted, rejected = records.insert_if_absent(tokens, batch, "authToken")
+    assert rows(accepted) == [("t2", "u3"), ("t3", "u5")]
+    assert rows(new) == [("t1", "u1"), ("t2", "u3"), ("t3", "u5")]
+    assert rows(rejected) == [("t1", "u1", "row exists"), ("t1", "u2", "key exists"),
+                              ("t2", "u4", "key repeated"), ("t3", "u5", "key repeated")]
+    assert quality.duplicate_keys(new, ["authToken"]).count() == 0
+
+
+@pytest.mark.parametrize("n", range(2, 8))
+def test_exactly_seventy_per_cent_passes(spark, n):
+    from tessera.functions.mapping import LESSON_STRANDS
+    from tessera.plans import lesson_summary as w2
+    from tessera.sources.params import LESSON_PARAMS as p
+    import datetime as dt
+
+    at = dt.datetime.combine(p.start, dt.time(12))
+    strand = LESSON_STRANDS[0]
+    make = spark.createDataFrame
+    for correct, passed in ((70, True), (69, False)):
+        got = w2.lesson_rows(
+            make([("s", 1)], "Student_GUID string, SqlStudentDocumentId long"),
+            make([(1, "g1", "StudentAchievement", "Done", at)],
+                 "SqlStudentDocumentId long, Lesson string, SatisfiedReason string, LessonState string, DateTime timestamp_ntz"),
+            make([("G1", 1)], "NodeGUID string, NodeID long"),
+            make([(1, 5, strand, "n")], "NodeID long, OrderID long, StrandID int, Name string"),
+            make([(strand, "e")], "StrandID int, Enum string"),
+            make([(1, "g1", f"A{i}", "Skill", "ILE", "Main", 100, correct, 0, at) for i in range(n)],
+                 "SqlStudentDocumentId long, Lesson string, Activity string, Skill string, Product string, "
+                 "LessonBranch string, NumPossible int, NumCorrect int, Mastered int, DateTime timestamp_ntz"), p)
+        assert [r.Lesson_Passed for r in got.collect()] == [passed]
 
 
 def test_token_lookup_default_and_case(spark):

@@ -6,10 +6,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from duck_oracle import ORACLE_SQL
 from duck_oracle.compare import bag, duckdb_views
+from tessera.plans.catalog import QUERIES as CATALOG
 from tests.conftest import SF_SMALL
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(CATALOG)
 SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
                    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
@@ -20,7 +22,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE_SQL) == set(CATALOG)
 
 
 @pytest.mark.parametrize("key", KEYS)

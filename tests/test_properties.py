@@ -73,7 +73,7 @@ def test_insert_accepts_exactly_the_absent_pairs(q):
     # a quarter of the probes repeat an existing (token, user) pair and are
     # rejected; the other three quarters are new pairs
     before = q("token_exists").count()
-    assert q("insert_if_absent").count() == before + q("token_user_exists").where("NOT pair_exists").count()
+    assert q("insert_if_absent").count() == before + q("token_exists").where("NOT token_exists").count()
 
 
 def test_budget_has_one_row_per_brand_and_month(spark):

@@ -45,3 +45,20 @@ def test_table_handles_are_cached_and_refreshable(spark):
     assert a is b
     Tables.refresh(SF_SMALL)
     assert Tables(spark, SF_SMALL).region is not a
+
+
+def test_append_checks_columns_and_drop_removes_the_table(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    name = sinks.unique_name("t")
+    schema = "authToken string, userName string"
+    sinks.write_table(spark.createDataFrame([("t1", "u1")], schema), name)
+    got = sinks.write_table(spark.createDataFrame([("t2",)], "authToken string"), name, mode="append")
+    assert got.columns == ["authToken", "userName"]
+    assert rows(got) == [("t1", "u1"), ("t2", None)]
+    with pytest.raises(ValueError):
+        sinks.write_table(spark.createDataFrame([("t3", "x")], "authToken string, other string"), name, mode="append")
+    sinks.drop_table(spark, name)
+    with pytest.raises(AnalysisException):
+        sinks.read_table(spark, name)
