@@ -219,7 +219,7 @@ def test_exactly_seventy_per_cent_passes(spark, n):
     from tessera.sources.params import LESSON_PARAMS as p
     import datetime as dt
 
-    at = dt.datetime.combine(p.start, dt.time(12))
+    at = dt.datetime.fromisoformat(str(p.start)[:10]) + dt.timedelta(hours=12)
     strand = LESSON_STRANDS[0]
     make = spark.createDataFrame
     for correct, passed in ((70, True), (69, False)):
