@@ -27,7 +27,6 @@ MASK = "[SECRET]"
 NAMES = ("token", "password", "passwd", "secret", "apikey", "api_key", "access_key", "auth", "credential")
 KEY_FORMATS = ("AKIA[0-9A-Z]{16}", "gh[pousr]_[0-9A-Za-z]{36}", "xox[baprs]-[0-9A-Za-z-]{10,}",
                "sk_live_[0-9A-Za-z]{24,}", "AIza[0-9A-Za-z_-]{35}")
-RUN = "[A-Za-z0-9+/_=.-]"
 VALUE = f"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}={{0,2}}"
 # Frequent short words that a random key does not spell.
 DICTIONARY = ("the", "and", "ing", "tion", "for", "that", "with", "ment", "able", "test", "example", "your",
