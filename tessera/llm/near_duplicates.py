@@ -260,6 +260,8 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     comp, tested = None, None
     for turn, leaders in enumerate((*LEADERS, 0)):
         rows = _open_buckets(bands, comp)
+        if rows.isEmpty():  # every bucket is one component: nothing is left to compare
+            break
         if leaders:  # a few members, chosen by hash, face the rest of their bucket
             picks = rows.select("key", F.explode(F.array(*[
                 F.struct(F.lit(i).alias("i"), F.xxhash64("rep", F.lit(turn * 100 + i)).alias("h"), F.col("rep"),
@@ -281,9 +283,13 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
         close = materialize(_agreement(materialize(pairs, "pairs"), reps), "close")
         tested = close if tested is None else tested.union(close)
         found = materialize(_verified(close, bags), "verified")
+        if turn and found.isEmpty():
+            continue
         # components so far stand for the links already found
         links = found if comp is None else found.union(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
         comp = materialize(components(links if turn else links.union(copies)), "components")
+    if comp is None:  # no bucket held two texts
+        comp = materialize(components(copies), "components")
     return _with_component(docs.select("doc_id"), comp, "doc_id").select(
         "doc_id", F.col("component").alias("class_id"),
         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
