@@ -67,7 +67,7 @@ ORACLE_SQL["retail_q5"] = sql(_Q5, *SHOP)
 ORACLE_SQL["retail_q5_ctas"] = sql(_Q5, *SHOP)
 
 import duck_oracle.workloads  # noqa: E402,F401  (registers the workload CTEs)
-from duck_oracle.workloads import CAMPAIGN_CASE, GRADE_CASE, SUBJECT_CASE  # noqa: E402
+from duck_oracle.workloads import CAMPAIGN_CASE, SUBJECTS, grade_number  # noqa: E402
 
 Q = ORACLE_SQL
 
@@ -125,7 +125,8 @@ WHERE "DateTime" >= TIMESTAMP '1997-01-01' AND "DateTime" <= CAST(DATE '1998-06-
 Q["agg_ratio"] = sql("SELECT * FROM w2_scores", "w2_scores")
 Q["filter_in_list"] = sql("SELECT * FROM lesson_node WHERE StrandID IN (4, 8, 13, 7, 14)", "lesson_node")
 Q["case_category"] = sql(f"""
-SELECT NodeID, StrandID, {SUBJECT_CASE.format(s='StrandID')} AS Lesson_Type FROM lesson_node""",
+SELECT NodeID, StrandID, coalesce(subject, 'Other') AS Lesson_Type
+FROM lesson_node LEFT JOIN {SUBJECTS} AS s(StrandID, subject) USING (StrandID)""",
                          "lesson_node")
 Q["project_math"] = sql("""
 SELECT NodeID, StrandID, OrderID,
@@ -154,7 +155,7 @@ SELECT * FROM w3_final ORDER BY district_name, school_name, grade""", "w3_final"
 Q["project_alias"] = sql("SELECT * FROM w3_roster", "w3_roster")
 Q["sort_multi"] = sql("SELECT * FROM w3_roster ORDER BY district_name, school_name, grade", "w3_roster")
 Q["label_to_ordinal"] = sql(f"""
-SELECT lesson_name, lesson_grade_level, {GRADE_CASE.format(c='lesson_grade_level')} AS grade_numeric
+SELECT lesson_name, lesson_grade_level, {grade_number('lesson_grade_level')}::INTEGER AS grade_numeric
 FROM progress_by_lesson""", "progress_by_lesson")
 Q["filter_between"] = sql("""
 SELECT * FROM daily_usage WHERE usage_date BETWEEN DATE '1998-01-01' AND DATE '2024-01-20'""",
