@@ -375,7 +375,7 @@ def _w3_ranked(t):
 
 
 def _w3_per_student(t):
-    return w3.lessons_per_student(w3.worked_lessons(si.progress_by_lesson(t), _w3_roster(t), USAGE_PARAMS))
+    return w3.lessons_per_student(w3.worked_lessons(si.progress_by_lesson(t), USAGE_PARAMS), _w3_roster(t))
 
 
 def _w3_usage_by_student(t, sort=True):

@@ -30,18 +30,27 @@ LESSON_COLS = ["lessons_worked", "lessons_passed", "pass_rate", "literacy_first"
                "Language_Lessons_Attempted", "Grammar_Lessons_Attempted"]
 
 
+def _listed(roster: DataFrame, dedupe_roster: bool) -> DataFrame:
+    """(student_id, m): how often the roster lists each student, 1 if deduped."""
+    times = F.max(F.lit(1)) if dedupe_roster else F.count(F.lit(1))
+    return roster.groupBy("student_id").agg(times.alias("m"))
+
+
 def usage(daily: DataFrame, roster: DataFrame, p: Params, product: str = fx.W3_PRODUCT_TAG,
           dedupe_roster: bool = False) -> DataFrame:
     """``tbl_usage``: first and last session day and total minutes.
-    The roster join comes before the sum, as in the source, so a student
-    listed twice is summed twice; ``dedupe_roster=True`` sums once."""
+    The source joins the roster before it sums, so a student listed twice is
+    summed twice; ``dedupe_roster=True`` sums once. Here the days are folded
+    per student first, in the map tasks, and the roster's count scales the sum:
+    no task receives a student's raw rows."""
     d = daily.where(between_dates("usage_date", p.start, p.end) & (F.col("product_tag") == product))
-    students = roster.select("student_id")
-    j = d.join(students.distinct() if dedupe_roster else students, "student_id")
-    return j.groupBy("student_id").agg(
+    per_student = d.groupBy("student_id").agg(
         F.min("usage_date").alias("first_sessiondate"),
         F.max("usage_date").alias("last_sessiondate"),
-        per_unit(F.sum("session_seconds"), fx.SECONDS_PER_MINUTE).alias("total_session_minutes"))
+        F.sum("session_seconds").alias("seconds"))
+    return per_student.join(_listed(roster, dedupe_roster), "student_id").select(
+        "student_id", "first_sessiondate", "last_sessiondate",
+        per_unit(F.col("seconds") * F.col("m"), fx.SECONDS_PER_MINUTE).alias("total_session_minutes"))
 
 
 def ranked_lessons(progress: DataFrame, roster: DataFrame, p: Params) -> DataFrame:
@@ -57,20 +66,18 @@ def ranked_lessons(progress: DataFrame, roster: DataFrame, p: Params) -> DataFra
                          grade_to_int("lesson_grade_level").alias("grade_numeric"))
 
 
-def worked_lessons(progress: DataFrame, roster: DataFrame, p: Params,
-                   dedupe_roster: bool = False) -> DataFrame:
-    """Not-skipped lessons in the window (F12) of roster students, with the
-    numeric grade (P10). The roster join keeps the source's multiplicity
-    unless ``dedupe_roster=True``."""
+def worked_lessons(progress: DataFrame, p: Params) -> DataFrame:
+    """Not-skipped lessons in the window (F12) with the numeric grade (P10)."""
     pr = progress.where(in_window("date_updated", p.start, p.end) & ~F.col("skipped"))
-    students = roster.select("student_id")
-    return (pr.join(students.distinct() if dedupe_roster else students, "student_id")
-            .withColumn("grade_numeric", grade_to_int("lesson_grade_level")))
+    return pr.withColumn("grade_numeric", grade_to_int("lesson_grade_level"))
 
 
-def lessons_per_student(lessons: DataFrame) -> DataFrame:
+def lessons_per_student(lessons: DataFrame, roster: DataFrame, dedupe_roster: bool = False) -> DataFrame:
     """``tbl_lessons_stud``: first/last picks (ELSE NULL, A9), counts, pass
-    rate (A12) and passed / attempted per area (A8) in one aggregate.
+    rate (A12) and passed / attempted per area (A8) in one aggregate, for the
+    roster's students. The aggregate runs before the roster join; a student
+    whom the roster lists m times has every count m times, as when the rows
+    were joined (``dedupe_roster=True``: once). Picks and rate do not change.
 
     The source numbers every lesson per (student, area) with two windows and
     keeps the rows ranked 1. Only those rows are read, so they are found with
@@ -86,7 +93,7 @@ def lessons_per_student(lessons: DataFrame) -> DataFrame:
     def dcount(cond):
         return count_if(cond).cast("double")
 
-    return lessons.groupBy("student_id").agg(
+    per_student = lessons.groupBy("student_id").agg(
         F.min_by("lesson_order", order).cast("bigint").alias("literacy_first"),
         F.max_by("lesson_order", order).cast("bigint").alias("literacy_last"),
         F.min_by("grade_numeric", order).cast("bigint").alias("grade_level_first"),
@@ -101,6 +108,9 @@ def lessons_per_student(lessons: DataFrame) -> DataFrame:
         dcount(F.col("progress_area") == fx.AREA_VOCABULARY).alias("Language_Lessons_Attempted"),
         dcount(F.col("progress_area") == fx.AREA_GRAMMAR).alias("Grammar_Lessons_Attempted"),
     )
+    counts = [c for c in per_student.columns if c.startswith("lessons_") or "_Lessons_" in c]
+    return per_student.join(_listed(roster, dedupe_roster), "student_id").select(*[
+        (F.col(c) * F.col("m")).alias(c) if c in counts else F.col(c) for c in per_student.columns])
 
 
 def usage_by_student(organizations: DataFrame, student_orgs: DataFrame, info: DataFrame,
@@ -114,7 +124,7 @@ def usage_by_student(organizations: DataFrame, student_orgs: DataFrame, info: Da
     # The roster is read three times (usage, lessons, final join); written once.
     roster = materialize(named_roster(organizations, student_orgs, info, p.district), "roster")
     u = usage(daily, roster, p, dedupe_roster=dedupe_roster)
-    ls = lessons_per_student(worked_lessons(progress, roster, p, dedupe_roster=dedupe_roster))
+    ls = lessons_per_student(worked_lessons(progress, p), roster, dedupe_roster=dedupe_roster)
     out = (roster.join(u, "student_id").join(ls, "student_id", "left")
            .select(*ROSTER_COLS, "first_sessiondate", "last_sessiondate",
                    "total_session_minutes", *LESSON_COLS))

@@ -108,6 +108,21 @@ def test_same_transaction_twice_counts_one_click_two_conversions(spark):
     assert (k["conversions"], k["clicks"], k["revenue_cents"]) == (0, 1, 200)
 
 
+def test_affiliate_listed_twice_multiplies_sums_not_clicks(spark):
+    from tessera.plans import campaign_revenue as w4
+    t = dt.datetime(2024, 1, 2, 10)
+    r = [(t, 1, 1, 1, "cmp-5", None, "search", "tx1", 100, 10, "approved")] * 2
+    one = spark.createDataFrame([(1, "A")], "id bigint, company string")
+    twice = spark.createDataFrame([(1, "A"), (1, "A"), (1, "B")], "id bigint, company string")
+    offers = spark.createDataFrame([(1, "O")], "id bigint, name string")
+    conv = w4.conversion_clean(_facts(spark, "conversion_time", r), one, offers, twice)
+    clk = w4.click_clean(_facts(spark, "click_time", r).drop("status"), one, offers, twice)
+    of = {x["affiliate_name"]: (x["conversions"], x["revenue_cents"], x["payout_cents"]) for x in conv.collect()}
+    assert of == {"A": (4, 400, 40), "B": (2, 200, 20)}
+    assert {x["affiliate_name"]: (x["clicks"], x["revenue_cents"]) for x in clk.collect()} == {
+        "A": (1, 400), "B": (1, 200)}
+
+
 def test_campaign_renamed_and_missing(spark):
     from tessera.plans import campaign_revenue as w4
     hist = spark.createDataFrame([("5", "old", dt.date(2023, 1, 1)), ("5", "new", dt.date(2023, 6, 1))],
