@@ -99,37 +99,36 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str,
             .drop("_bucket", "_rank", "_b", "_offset", *[f"_k{i}" for i in range(len(keys))]))
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour, which has none itself."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
+        "up > 1 OR up = 1 AND down = 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b) long pairs.
 
     Alternating large-star and small-star steps: every step replaces a node's
-    links by links to its smallest neighbour, so the graph turns into stars on
-    each component's smallest node in a logarithmic number of steps. A step is a
+    links by links to its smallest neighbour, until the graph is stars on
+    each component's smallest node, after a logarithmic number of steps. A step is a
     grouped minimum (folded in the map tasks) and a join on written tables,
-    which Spark can split at a hot node. Nothing but one count per step
+    which Spark can split at a hot node. Nothing but one flag per step
     reaches the driver. Nodes without links are not returned.
     """
-    spark = edges.sparkSession
     edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
                                                      F.least("a", "b").alias("b")).distinct(), "edges")
-    while True:
+    while not _are_stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = materialize(both.groupBy("a").agg(F.min("b").alias("m"))
-                          .select(F.col("a").alias("u"), F.least("a", "m").alias("m")), "low")
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
         # large star: each larger neighbour of u moves to u's minimum
         large = materialize(both.join(low, both.a == low.u).where("b > a")
-                            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-                            .where("a <> b").distinct(), "large")
+                            .select(F.col("b").alias("a"), F.col("m").alias("b")), "large")
         # small star: u and its smaller neighbours move to u's minimum
-        small_low = materialize(large.groupBy("a").agg(F.min("b").alias("m"))
-                                .withColumnRenamed("a", "u"), "low")
-        joined = large.join(small_low, large.a == small_low.u)
-        new = materialize(joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
-                          .union(small_low.select("u", "m")).where("a <> b").distinct(), "edges")
-        changed = new.exceptAll(edges).limit(1).count() + edges.exceptAll(new).limit(1).count()
-        edges = new
-        if not changed:
-            break
+        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        edges = materialize(large.join(low, large.a == low.u).select(F.col("b").alias("a"), F.col("m").alias("b"))
+                            .union(low.select("u", "m")).where("a <> b").distinct(), "edges")
     roots = edges.select("b").distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select("b", "b"))

@@ -11,10 +11,11 @@ sum(min weights) / sum(max weights). Points are drawn in ascending order and a
 process stops once it has passed the document's largest slot.
 
 Equal texts are one class from the start. Signatures are cut into bands;
-documents that share a band are verified on their multisets against a few
-members of the band's bucket, linked into components, and only members still in
-different components are compared further. Every link between buckets' members
-that the components need is found; pairs inside a component are never listed.
+documents that share a band are verified on their multisets, first against the
+leading members of the band's bucket. Those who are still in different
+components of their bucket are then compared exactly, in blocks of bounded size
+whose overlaps are one matrix product; a block returns only the links that join
+components, so pairs are never listed.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +34,9 @@ WORDS = 5
 SIMILARITY = 0.8
 SLOTS = 64
 BAND_ROWS = 4  # 16 bands: a pair at 0.8 shares one with probability 0.9998
-LEADERS = (1, 1, 2, 4, 8)  # members each bucket's others are compared with, by round
+LEADERS = 2  # members of each bucket that all others are compared with first
+BLOCK_ROWS = 256  # members of a bucket that a task compares with as many others
+BLOCK_BYTES = 16 << 20  # bytes of their multisets
 ESTIMATE_MARGIN = 0.2  # four standard deviations of a 64-slot estimate at 0.8
 BATCH_WORDS = 200_000  # words whose signatures a task draws together
 
@@ -163,18 +167,18 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), rows, "doc_id long, digest binary, sig binary")
 
 
-def _bands(reps: DataFrame) -> DataFrame:
+def _bands(texts: DataFrame) -> DataFrame:
     """(key, rep): one row per band; the key is of the band's number and slots."""
     width = 4 * BAND_ROWS
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 1 + b * width, width))
                      for b in range(SLOTS // BAND_ROWS)])
-    return reps.select("rep", F.explode(keys).alias("key"))
+    return texts.select("rep", F.explode(keys).alias("key"))
 
 
-def _agreement(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _agreement(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Keeps pairs whose signatures agree in enough slots."""
-    pairs = (pairs.join(reps.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
-             .join(reps.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b"))
+    pairs = (pairs.join(texts.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
+             .join(texts.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b"))
     least = int((SIMILARITY - ESTIMATE_MARGIN) * SLOTS)
 
     def rows(batch):
@@ -206,15 +210,15 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 def _bags(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(rep, bag): sorted shingle hashes of the representatives in ``reps``."""
+    """(rep, bag, size): sorted shingle hashes of the texts of the documents in ``reps``."""
     memo: dict = {}
 
     def rows(batch):
-        yield {"rep": batch.column(0), "bag": [
-            np.sort(shingles((t.as_py() or "").encode().split(), memo)).tobytes() for t in batch.column(1)]}
+        bags = [np.sort(shingles((t.as_py() or "").encode().split(), memo)).tobytes() for t in batch.column(1)]
+        yield {"rep": batch.column(0), "bag": bags, "size": [len(b) for b in bags]}
 
     wanted = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep", "left_semi")
-    return map_batches(wanted.groupBy("rep").agg(F.max("text").alias("text")), rows, "rep long, bag binary")
+    return map_batches(wanted.distinct(), rows, "rep long, bag binary, size long")
 
 
 def _with_component(rows: DataFrame, comp: DataFrame, column: str = "rep") -> DataFrame:
@@ -223,13 +227,97 @@ def _with_component(rows: DataFrame, comp: DataFrame, column: str = "rep") -> Da
             .withColumn("component", F.coalesce("_component", F.col(column))).drop("_node", "_component"))
 
 
-def _open_buckets(bands: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """Band rows with their component, of buckets that hold two components or more."""
-    rows = bands.withColumn("component", F.col("rep")) if comp is None else _with_component(bands, comp)
-    rows = materialize(rows, "bands")
-    mixed = materialize(rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                        .where("lo < hi").select(F.col("key").alias("open_key")), "mixed")
-    return materialize(rows.join(mixed, F.col("key") == F.col("open_key")).drop("open_key"), "open")
+def _members(texts: DataFrame) -> DataFrame:
+    """(rep, keys, weight): the buckets each text shares with others, and their sizes' sum.
+    The text that others were copied from shares more buckets with them than they
+    share with one another, so weight tells the middle of a group."""
+    bands = _bands(texts)
+    shared = (bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("n"))
+              .where("lo < hi").select(F.col("key").alias("bucket"), "n"))
+    return bands.join(shared, F.col("key") == F.col("bucket")).groupBy("rep").agg(
+        F.collect_set("key").alias("keys"), F.sum("n").alias("weight"))
+
+
+def _leaders(rows: DataFrame, n: int) -> DataFrame:
+    """(bucket, lead): a bucket's members are dealt by hash into ``n`` parts, and the
+    heaviest of each part leads."""
+    part = F.pmod(F.xxhash64("rep"), F.lit(n))
+    picks = [F.max(F.when(part == i, F.struct("weight", "rep"))) for i in range(n)]
+    found = rows.groupBy("key").agg(F.array_compact(F.array(*picks)).alias("picks"))
+    return found.select(F.col("key").alias("bucket"), F.explode("picks").alias("p")).select(
+        "bucket", F.col("p.rep").alias("lead"))
+
+
+def _blocks_of(rows: DataFrame, bags: DataFrame) -> DataFrame:
+    """(key, i, j, outside, rep, component, bag): the members outside their bucket's largest
+    component, in blocks i, meet all its members, in blocks j. A bucket in one
+    component has no rows."""
+    sizes = rows.join(bags.select("rep", "size"), "rep")
+    by = sizes.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    tops = by.groupBy("key").agg(F.max(F.struct("n", "component", "bytes")).alias("top"), F.sum("n").alias("n"),
+                                 F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("held")).where("held > 1")
+
+    def parts(n, size):
+        return F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(size / BLOCK_BYTES))
+
+    tops = materialize(tops.select(
+        F.col("key").alias("bucket"), F.col("top.component").alias("top"), parts(F.col("n"), F.col("bytes")).alias("all"),
+        parts(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("out")), "open")
+    met = rows.join(tops, F.col("key") == F.col("bucket"))
+    mark = F.xxhash64("rep", F.lit(1))
+    sides = [met.where(where).select(
+        "key", i.alias("i"), j.alias("j"), F.lit(outside).alias("outside"), "rep", "component")
+        for where, outside, i, j in (
+            ("component <> top", True, F.pmod(mark, F.col("out")), F.explode(F.expr("sequence(0L, `all` - 1)"))),
+            ("true", False, F.explode(F.expr("sequence(0L, out - 1)")), F.pmod(mark, F.col("all"))))]
+    return sides[0].union(sides[1]).join(bags.select("rep", "bag"), "rep")
+
+
+def _elements(bag: bytes) -> np.ndarray:
+    """A sorted multiset as a set: each occurrence is marked with its number."""
+    h = np.frombuffer(bag, np.uint64)
+    at = np.arange(len(h))
+    first = np.maximum.accumulate(np.where(np.concatenate([[True], h[1:] != h[:-1]]), at, 0))
+    return h ^ _mix((at - first).astype(np.uint64))
+
+
+def _block_links(frame: pd.DataFrame) -> pd.DataFrame:
+    """(a, b): links between components that join members of the block, a forest of them."""
+    sets = [_elements(b) for b in frame["bag"]]
+    size = np.array([len(x) for x in sets])
+    outside, comp = frame["outside"].to_numpy(), frame["component"].to_numpy()
+    left, right = np.flatnonzero(outside), np.flatnonzero(~outside)
+    names, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    times = np.bincount(place)
+    shared = (np.cumsum(times > 1) - 1)[place]  # elements of one member overlap with nothing
+    on = times[place] > 1
+    shared, owner = shared[on], owner[on]
+    by = np.argsort(shared, kind="stable")
+    shared, owner = shared[by], owner[by]
+    both = np.zeros((len(left), len(right)))
+    width = int(shared[-1]) + 1 if len(shared) else 0
+    for at in range(0, width, 4096):
+        some = slice(*np.searchsorted(shared, [at, at + 4096]))
+        holds = np.zeros((len(sets), min(4096, width - at)), np.float32)
+        holds[owner[some], shared[some] - at] = 1
+        both += holds[left] @ holds[right].T
+    near = both / (size[left][:, None] + size[right][None] - both) >= SIMILARITY
+    near &= comp[left][:, None] != comp[right][None]
+    root: dict[int, int] = {}
+
+    def top(x):
+        while x in root:
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in zip(*np.nonzero(near)):
+        a, b = top(int(comp[left[x]])), top(int(comp[right[y]]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((a, b))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -244,52 +332,26 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     keeps one.
     """
     sigs = materialize(signatures(docs), "signatures")
-    same = materialize(sigs.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"),
-                                                  F.min("sig").alias("sig")), "texts")
-    members = materialize(sigs.select("doc_id", "digest").join(
-        same.where("n > 1").select(F.col("digest").alias("_d"), "rep"), F.col("digest") == F.col("_d"))
-        .select("doc_id", "rep").where("doc_id <> rep").distinct(), "copies")
-    reps = materialize(same.groupBy("rep").agg(F.min("sig").alias("sig")), "reps")
-    bands = _bands(reps)
-    crowded = materialize(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                          .select(F.col("key").alias("crowded")), "crowded")
-    bands = materialize(bands.join(crowded, F.col("key") == F.col("crowded")).drop("crowded"), "bands")
-    bags = materialize(_bags(docs, bands.select("rep").distinct()), "bags")
-
-    copies = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    comp, tested = None, None
-    for turn, leaders in enumerate((*LEADERS, 0)):
-        rows = _open_buckets(bands, comp)
-        if rows.isEmpty():  # every bucket is one component: nothing is left to compare
-            break
-        if leaders:  # a few members, chosen by hash, face the rest of their bucket
-            picks = rows.select("key", F.explode(F.array(*[
-                F.struct(F.lit(i).alias("i"), F.xxhash64("rep", F.lit(turn * 100 + i)).alias("h"), F.col("rep"),
-                         F.col("component")) for i in range(leaders)])).alias("p"))
-            few = (picks.groupBy("key", F.col("p.i").alias("i")).agg(F.min("p").alias("p"))
-                   .select("key", "p.rep", "p.component").distinct())
-        else:  # what is left: members outside their bucket's largest component face all others
-            sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-            top = materialize(sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"))
-                              .select(F.col("key").alias("top_key"), F.col("top.component").alias("top")), "top")
-            few = (rows.join(top, F.col("key") == F.col("top_key"))
-                   .where("component <> top").select("key", "rep", "component"))
-        few = materialize(few, "leaders").select(
-            F.col("key").alias("_key"), F.col("rep").alias("lead"), F.col("component").alias("lead_component"))
-        pairs = rows.join(few, F.col("key") == F.col("_key")).where("component <> lead_component")
-        pairs = pairs.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        close = materialize(_agreement(materialize(pairs, "pairs"), reps), "close")
-        tested = close if tested is None else tested.union(close)
-        found = materialize(_verified(close, bags), "verified")
-        if turn and found.isEmpty():
-            continue
-        # components so far stand for the links already found
-        links = found if comp is None else found.union(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        comp = materialize(components(links if turn else links.union(copies)), "components")
-    if comp is None:  # no bucket held two texts
-        comp = materialize(components(copies), "components")
+    texts = materialize(sigs.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"),
+                                                   F.min("sig").alias("sig")), "texts")
+    copies = sigs.select("doc_id", "digest").join(
+        texts.where("n > 1").select(F.col("digest").alias("_d"), "rep"), F.col("digest") == F.col("_d")
+    ).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
+    members = materialize(_members(texts), "members")
+    bags = materialize(_bags(docs, members.select("rep")), "bags")
+
+    rows = members.select("rep", "weight", F.explode("keys").alias("key"))
+    few = _leaders(rows, LEADERS)
+    pairs = (rows.join(few, F.col("key") == F.col("bucket")).where("rep <> lead")
+             .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
+    close = materialize(_agreement(pairs, texts), "close")
+    comp = materialize(components(_verified(close, bags).union(copies)), "components")
+    # what the leaders have not joined is compared exactly; components stand for the links found
+    rows = materialize(_with_component(members, comp).select("rep", "component", F.explode("keys").alias("key")), "rows")
+    more = materialize(_blocks_of(rows, bags).groupBy("key", "i", "j").applyInPandas(_block_links, "a long, b long")
+                       .distinct(), "links")
+    if not more.isEmpty():
+        comp = materialize(components(more.union(comp.select("node", "component"))), "components")
     return _with_component(docs.select("doc_id"), comp, "doc_id").select(
         "doc_id", F.col("component").alias("class_id"),
         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
