@@ -215,7 +215,9 @@ def _bags(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
     def rows(batch):
         bags = [np.sort(shingles((t.as_py() or "").encode().split(), memo)).tobytes() for t in batch.column(1)]
-        yield {"rep": batch.column(0), "bag": bags, "size": [len(b) for b in bags]}
+        some = [k for k, b in enumerate(bags) if b]  # a repeated doc_id may have a text without words too
+        yield {"rep": batch.column(0).take(pa.array(some, pa.int64())), "bag": [bags[k] for k in some],
+               "size": [len(bags[k]) for k in some]}
 
     wanted = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep", "left_semi")
     return map_batches(wanted.distinct(), rows, "rep long, bag binary, size long")

@@ -88,6 +88,14 @@ def test_near_duplicates_odd_tables(spark):
         (0, 0, True), (1, 1, True), (1, 1, True), (2, 2, True)]
 
 
+def test_near_duplicates_of_repeated_ids_with_empty_texts(spark):
+    words_ = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, words_), (1, ""), (1, None), (2, words_ + " more"), (2, " "), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id) for r in nd.near_duplicate_classes(docs).collect())
+    assert got == [(1, 1), (1, 1), (1, 1), (2, 1), (2, 1), (3, 3)]
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(1)
     keys = rng.integers(1, 2**63, 60).astype(np.uint64)
