@@ -1,22 +1,23 @@
 """Lexical retrieval packing (operator 6).
 
-Windows are filled with documents about the same things: each window's seed
+Windows are filled with documents about the same things: each window's latest
 document asks a BM25 index for its best unused neighbours, which are appended
 until the window is full; a document that does not fit is cut and its rest
-seeds the next window. The index is sharded: a shard is a run of documents of
-one scan partition, its inverted index is built, queried and dropped inside the
-task, and document frequencies are counted over the whole corpus beforehand.
+seeds the next window. The index is sharded by runs of documents, and blocks of
+queries go to all shards, so a neighbour may lie anywhere in the corpus. All
+windows of a round ask at once; a document that several want goes to the one
+that scores it highest, and the others ask again among what is left.
 """
 
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import MEMO_ENTRIES, map_batches, materialize, tokenizer_path
@@ -25,10 +26,12 @@ TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
 K1, B = 1.2, 0.75
-SHARD_DOCS = 1024  # documents of one index shard: its postings fit a task's memory
-SHARD_TOKENS = 4_000_000
+SHARD_DOCS = 512  # documents of one index shard: its weights fit a task's memory
+BLOCK_BYTES = 16 << 20  # query terms that go to all shards together
+NEIGHBOURS = 16  # of a query in one round; it asks again while its window has room
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
+PLACED = "node long, start long, length long, sequence_id long, offset long"
 
 
 @lru_cache(maxsize=2)
@@ -89,13 +92,16 @@ def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
 
 
 def tokenized(docs: DataFrame, tokenizer_file: str | None = None) -> DataFrame:
-    """(doc_id, ids): ids of every whole text as 16-bit numbers if they fit, else 32-bit."""
+    """(node, doc_id, n, ids): a number for each row (fixed once written), and the ids
+    of its whole text, 16 bits each."""
 
     def rows(batch):
         got = token_bytes([t.as_py() or "" for t in batch.column(1)], tokenizer_file)
-        yield {"doc_id": batch.column(0), "ids": [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in got]}
+        yield {"doc_id": batch.column(0), "n": [len(x) // 4 for x in got],
+               "ids": [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in got]}
 
-    return map_batches(docs.select("doc_id", "text"), rows, "doc_id long, ids binary")
+    return map_batches(docs.select("doc_id", "text"), rows, "doc_id long, n long, ids binary").select(
+        F.monotonically_increasing_id().alias("node"), "doc_id", "n", "ids")
 
 
 def document_frequencies(ids: DataFrame) -> tuple[np.ndarray, int, float]:
@@ -126,77 +132,229 @@ def document_frequencies(ids: DataFrame) -> tuple[np.ndarray, int, float]:
 
 
 class Index:
-    """The inverted BM25 index of one shard."""
+    """The inverted BM25 index of one shard: weights of terms that many documents of
+    the shard hold as a matrix, postings of the others."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        lengths = np.array([len(d) for d in docs], dtype=np.float64)
-        key = np.concatenate([d.astype(np.int64) for d in docs])
-        key = key * len(docs) + np.repeat(np.arange(len(docs)), lengths.astype(np.int64))
-        key, tf = np.unique(key, return_counts=True)
-        term, self.doc = np.divmod(key, len(docs))
-        norm = K1 * (1 - B + B * lengths / mean_length)
-        self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
-        self.ends = np.searchsorted(term, np.arange(len(idf) + 1))
-        order = np.argsort(self.doc, kind="stable")  # the forward index: terms by document
-        self.term_of = term[order]
-        self.doc_ends = np.searchsorted(self.doc[order], np.arange(len(docs) + 1))
         self.n = len(docs)
+        lengths = np.array([len(d) for d in docs], dtype=np.int64)
+        key = np.concatenate([d.astype(np.int64) for d in docs]) * self.n + np.repeat(np.arange(self.n), lengths)
+        key, tf = np.unique(key, return_counts=True)
+        term, doc = np.divmod(key, self.n)
+        weight = idf[term] * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lengths / mean_length))[doc])
+        held = np.bincount(term, minlength=len(idf))
+        common = np.flatnonzero(held > self.n // 16)
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        dense = self.row[term] >= 0
+        self.matrix = np.zeros((len(common), self.n), dtype=np.float32)
+        self.matrix[self.row[term[dense]], doc[dense]] = weight[dense]
+        self.doc, self.weight = doc[~dense], weight[~dense]
+        self.size = np.where(self.row >= 0, 0, held)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def scores(self, query: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        """BM25 of every document for ``n`` queries given as (query, term) pairs."""
+        row = self.row[term]
+        asked = np.zeros((n, len(self.matrix)), dtype=np.float32)
+        asked[query[row >= 0], row[row >= 0]] = 1
+        size = self.size[term]
+        at = np.repeat(self.begin[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        rare = np.bincount(np.repeat(query, size) * self.n + self.doc[at], weights=self.weight[at],
+                           minlength=n * self.n)
+        return (asked @ self.matrix) + rare.reshape(n, self.n)
+
+
+def _spread(wids: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """A number in [0, 1) for each (query, document)."""
+    x = (wids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None] ^ (
+        nodes.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))[None]
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return (x >> np.uint64(40)).astype(np.float64) / (1 << 24)
+
+
+def _search_block(block: list, corpus: DataFrame, idf, mean_length: float, k: int) -> DataFrame:
+    spark = corpus.sparkSession
+    terms = [np.unique(np.frombuffer(x, "<u2")) for _, x, _ in block]
+    queries = spark.sparkContext.broadcast((
+        np.array([w for w, *_ in block], dtype=np.int64), np.concatenate(terms),
+        np.cumsum([0, *map(len, terms)]),
+        np.array([1e-6 if not lost else min(0.01 * 2 ** (lost - 1), 1.0) for *_, lost in block])))
 
-    def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document for all terms of ``seed``."""
-        terms = self.term_of[self.doc_ends[seed]:self.doc_ends[seed + 1]]
-        begin, size = self.ends[terms], self.ends[terms + 1] - self.ends[terms]
-        at = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        return np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
-
-
-def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int = WINDOW):
-    """Yields (doc, start, length, sequence, offset). All windows but the last are
-    full; the last is cut into powers of two, which need no padding."""
-    index = Index(docs, idf, mean_length)
-    used = np.zeros(len(docs), dtype=bool)
-    left = [len(d) for d in docs]
-    pending: list[int] = []  # best neighbours of the seed, worst first
-    sequence, room, offset, next_seed = 0, window, 0, 0
-    total = sum(left)
-    limits = [window] * (total // window) + [1 << b for b in range(window.bit_length(), -1, -1)
-                                             if total % window >> b & 1]
-    room = limits[0] if limits else 0
-    current = None
-    while sequence < len(limits):
-        if current is None:
-            if not pending and offset:  # neighbours used up: the best of the rest follow
-                pending = None
-            if pending is None or not pending:
-                while next_seed < len(docs) and used[next_seed]:
-                    next_seed += 1
-                current, pending = next_seed, []
-            else:
-                current = pending.pop()
-                if used[current]:
-                    current = None
-                    continue
-            used[current] = True
-        take = min(room, left[current])
-        yield current, len(docs[current]) - left[current], take, sequence, offset
-        left[current] -= take
-        room -= take
-        offset += take
-        seed = current
-        if not left[current]:
-            current = None
-        if room == 0:
-            sequence, offset = sequence + 1, 0
-            room = limits[sequence] if sequence < len(limits) else 0
-            pending = []
-        if current is None and not pending and room and not used.all():
-            # the window's latest document asks for unused neighbours
-            found = np.where(used, -1.0, index.scores(seed))
-            free = int((found >= 0).sum())
-            k = min(free, 64)
-            best = np.argpartition(-found, k - 1)[:k] if k < len(found) else np.flatnonzero(found >= 0)
-            best = best[found[best] >= 0]
-            pending = best[np.lexsort((-best, found[best]))].tolist()
+    def run(batches):
+        wids, term, ends, amplitude = queries.value
+        best = np.full((len(wids), k), -np.inf)
+        who = np.full((len(wids), k), -1, dtype=np.int64)
+
+        def search(nodes, docs):
+            index = Index(docs, idf.value, mean_length)
+            nodes = np.array(nodes, dtype=np.int64)
+            for a in range(0, len(wids), 1024):
+                b = min(a + 1024, len(wids))
+                cut = slice(ends[a], ends[b])
+                query = np.repeat(np.arange(b - a), np.diff(ends[a:b + 1]))
+                found = index.scores(query, term[cut], b - a)
+                found *= 1 - amplitude[a:b, None] * _spread(wids[a:b], nodes)
+                found[found <= 0] = -np.inf
+                found = np.concatenate([best[a:b], found], axis=1)
+                names = np.concatenate([who[a:b], np.broadcast_to(nodes, (b - a, len(nodes)))], axis=1)
+                top = np.argpartition(-found, k - 1, axis=1)[:, :k]
+                best[a:b] = np.take_along_axis(found, top, axis=1)
+                who[a:b] = np.take_along_axis(names, top, axis=1)
+
+        nodes, docs = [], []
+        for batch in batches:
+            for node, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                nodes.append(node)
+                docs.append(np.frombuffer(x.as_py(), "<u2"))
+                if len(docs) >= SHARD_DOCS:
+                    search(nodes, docs)
+                    nodes, docs = [], []
+        if docs:
+            search(nodes, docs)
+        for a in range(0, len(wids), 4096):
+            q, at = np.nonzero(np.isfinite(best[a:a + 4096]))
+            yield pa.RecordBatch.from_arrays([pa.array(wids[a + q]), pa.array(who[a + q, at]),
+                                              pa.array(best[a + q, at])], names=["wid", "node", "score"])
+
+    found = corpus.select("node", "ids").mapInArrow(run, "wid long, node long, score double")
+    rank = F.row_number().over(Window.partitionBy("wid").orderBy(F.desc("score"), "node"))
+    found = materialize(found.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank"), "neighbours")
+    queries.unpersist()
+    return found
+
+
+def search(queries: DataFrame, corpus: DataFrame, idf, mean_length: float, k: int = NEIGHBOURS) -> DataFrame:
+    """(wid, node, score): the ``k`` documents of ``corpus`` (node, ids) with the best
+    BM25 for all terms of each query (wid, ids, lost); none that shares no term.
+
+    Every query meets every document of every shard, so the result is that of one
+    index over all rows; work is queries times documents. Queries travel in blocks
+    of bounded size. Scores of a query that ``lost`` all it asked for are spread by a
+    hash, by one per cent and twice as much each time, so that many queries with the
+    same best neighbours do not meet there again; otherwise only ties are.
+    """
+    found, block, size = [], [], 0
+    for r in queries.select("wid", "ids", "lost").toLocalIterator():
+        block.append((r["wid"], r["ids"], r["lost"]))
+        size += len(r["ids"])
+        if size >= BLOCK_BYTES:
+            found.append(_search_block(block, corpus, idf, mean_length, k))
+            block, size = [], 0
+    if block or not found:
+        found.append(_search_block(block, corpus, idf, mean_length, k) if block else
+                     corpus.sparkSession.createDataFrame([], "wid long, node long, score double"))
+    return reduce(DataFrame.union, found)
+
+
+def _pick_seeds(pool: DataFrame, round_: int, windows: int, open_room: int, window: int):
+    """Rests, and as many other documents as further windows are needed for all tokens
+    left; None when the pool is empty."""
+    n, rests, tokens = pool.agg(F.count(F.lit(1)), F.count(F.when(F.col("rest"), 1)),
+                                F.coalesce(F.sum("length"), F.lit(0))).first()
+    if not n:
+        return None
+    more = min(n - rests, max(-(-(tokens - open_room) // window) - rests, 0 if rests + windows else 1))
+    free, order = pool.where("NOT rest"), F.xxhash64("node", F.lit(round_))
+    if more <= 1000:
+        picked = free.orderBy(order, "node").limit(more)
+    else:
+        picked = free.where(F.pmod(order, F.lit(1 << 30)) < int(more / (n - rests) * (1 << 30)))
+    return pool.where("rest").union(picked)
+
+
+def _stitched(pieces: DataFrame, tails: DataFrame, base: int, window: int) -> DataFrame:
+    """Windows that found no further neighbour, one after the other: cut into full
+    windows, and what is left at the end into powers of two, which need no padding."""
+    n, total = tails.agg(F.count(F.lit(1)), F.coalesce(F.sum("fill"), F.lit(0))).first()
+    buckets = max(1, -(-n // 20_000))
+    tails = materialize(tails.select(F.col("wid").alias("tail"), "fill",
+                                     F.pmod(F.xxhash64("wid"), F.lit(buckets)).alias("bucket")), "tails")
+    ahead = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sums = tails.groupBy("bucket").agg(F.sum("fill").alias("sum")).select(
+        F.col("bucket").alias("b"), F.coalesce(F.sum("sum").over(ahead.orderBy("bucket")), F.lit(0)).alias("before"))
+    within = F.coalesce(F.sum("fill").over(ahead.partitionBy("bucket").orderBy("tail")), F.lit(0))
+    tails = tails.withColumn("within", within).join(sums, F.col("bucket") == F.col("b")).select(
+        "tail", (F.col("before") + F.col("within")).alias("at"))
+    full = total // window
+    ends = [full * window]
+    for bit in range(window.bit_length(), -1, -1):
+        if total % window >> bit & 1:
+            ends.append(ends[-1] + (1 << bit))
+
+    def rows(batch):
+        out = {"node": [], "start": [], "length": [], "sequence_id": [], "offset": []}
+        for node, start, length, at in zip(*(c.to_pylist() for c in batch.columns)):
+            while length:
+                if at < ends[0]:
+                    q, begin, end = at // window, at // window * window, (at // window + 1) * window
+                else:
+                    k = int(np.searchsorted(ends, at, side="right"))
+                    q, begin, end = full + k - 1, ends[k - 1], ends[k]
+                take = min(length, end - at)
+                for c, v in zip(out, (node, start, take, base + q, at - begin)):
+                    out[c].append(v)
+                start, length, at = start + take, length - take, at + take
+        yield out
+
+    placed = pieces.join(tails, F.col("sequence_id") == F.col("tail")).select(
+        "node", "start", "length", (F.col("at") + F.col("offset")).alias("at"))
+    return map_batches(placed, rows, PLACED)
+
+
+def _placed(ids: DataFrame, idf, mean_length: float, window: int) -> DataFrame:
+    """(node, start, length, sequence_id, offset) of all pieces."""
+    # whole windows of long documents; what they leave over seeds windows
+    pieces = [materialize(ids.where(F.col("n") >= window).select(
+        "node", "n", F.explode(F.expr(f"sequence(0, n div {window} - 1)")).alias("k")).select(
+        "node", (F.col("k") * window).alias("start"), F.lit(window).cast("long").alias("length"),
+        F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset")), "pieces")]
+    pool = ids.where(F.col("n") % window > 0).select(
+        "node", (F.col("n") - F.col("n") % window).alias("start"), (F.col("n") % window).alias("length"), "ids",
+        (F.col("n") >= window).alias("rest"))
+    windows, tails, round_, n_open, room = None, [], 0, 0, 0
+    while (picked := _pick_seeds(pool, round_, n_open, room, window)) is not None:
+        round_ += 1
+        seeds = materialize(picked.select((F.monotonically_increasing_id() + (round_ << 54)).alias("wid"),
+                                          "node", "start", "length", "ids"), "seeds")
+        pieces.append(seeds.select("node", "start", "length", F.col("wid").alias("sequence_id"),
+                                   F.lit(0).cast("long").alias("offset")))
+        opened = seeds.select("wid", F.col("length").alias("fill"), "ids", F.lit(0).alias("lost"))
+        windows = opened if windows is None else windows.union(opened)
+        left = materialize(pool.where("NOT rest").join(seeds.select("node"), "node", "left_anti"), "left")
+        found = search(windows, left, idf, mean_length)
+        # to the query that scores it highest
+        won = found.groupBy("node").agg(F.max(F.struct("score", F.xxhash64("node", "wid"), "wid")).alias("best")).select(
+            "node", "best.wid", "best.score")
+        best_first = Window.partitionBy("wid").orderBy(F.desc("score"), "node")
+        before = F.coalesce(F.sum("length").over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        taken = (won.join(left, "node").join(windows.select("wid", "fill"), "wid").withColumn("before", before)
+                 .withColumn("offset", F.col("fill") + F.col("before")).where(F.col("offset") < window)
+                 .withColumn("take", F.least("length", window - F.col("offset"))))
+        taken = materialize(taken.select("node", "wid", "length", "take", "offset", "ids"), "taken")
+        pieces.append(taken.select("node", F.lit(0).cast("long").alias("start"), F.col("take").alias("length"),
+                                   F.col("wid").alias("sequence_id"), "offset"))
+        rests = taken.where("take < length").select(
+            "node", F.col("take").alias("start"), (F.col("length") - F.col("take")).alias("length"), "ids",
+            F.lit(True).alias("rest"))
+        pool = materialize(left.join(taken.select("node"), "node", "left_anti").union(rests), "pool")
+        got = taken.groupBy("wid").agg(F.sum("take").alias("got"), F.max_by("ids", "offset").alias("latest"))
+        asked = found.select("wid").distinct().withColumn("asked", F.lit(True))
+        windows = materialize(
+            windows.join(got, "wid", "left").join(asked, "wid", "left").select(
+                "wid", (F.col("fill") + F.coalesce("got", F.lit(0))).alias("fill"),
+                F.coalesce("latest", "ids").alias("ids"),
+                F.when(F.col("got").isNull(), F.col("lost") + 1).otherwise(0).alias("lost"),
+                F.col("asked").isNull().alias("dry")).where(F.col("fill") < window), "windows")
+        tails.append(windows.where("dry").select("wid", "fill"))
+        windows = windows.where("NOT dry").drop("dry")
+        n_open, room = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(window - F.col("fill")), F.lit(0))).first()
+    pieces = reduce(DataFrame.union, pieces)
+    if windows is None:
+        return pieces
+    tails = materialize(reduce(DataFrame.union, [*tails, windows.select("wid", "fill")]), "tails")
+    closed = pieces.join(tails, pieces.sequence_id == tails.wid, "left_anti")
+    return closed.union(_stitched(pieces, tails, (round_ + 1) << 54, window))
 
 
 def pack(docs: DataFrame, tokenizer_file: str | None = None, window: int = WINDOW) -> DataFrame:
@@ -207,48 +365,22 @@ def pack(docs: DataFrame, tokenizer_file: str | None = None, window: int = WINDO
     those that hold fewer hold a power of two, so none is padded. Repeated rows
     are packed as often as they occur; an empty table gives an empty one.
 
-    Ids are written once (16 bits each), document frequencies are counted over
-    all of them, and each scan partition is packed where it is read: no shuffle
-    but for the frequencies, no key that could be hot.
+    Ids are written once (16 bits each) and document frequencies are counted over
+    all of them. The end id, which all documents hold, is no term.
     """
     ids = materialize(tokenized(docs, tokenizer_file), "ids")
     df, n, mean_length = document_frequencies(ids)
     idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+    idf[END_ID] = 0
     shared = docs.sparkSession.sparkContext.broadcast(idf)  # one number per vocabulary term
+    placed = materialize(_placed(ids, shared, mean_length, window), "placed")
 
-    def run(batches):
-        import pandas as pd
-
-        base = TaskContext.get().partitionId() << 36
-        done = 0
-
-        def packed(doc_ids, shard):
-            nonlocal done
-            out = list(pack_shard(shard, shared.value, mean_length, window))
-            wide = [x.astype("<u4") for x in shard]
-            frame = pd.DataFrame({
-                "doc_id": pa.array([doc_ids[d] for d, *_ in out], pa.int64()).to_pandas(types_mapper=pd.ArrowDtype),
-                "start": [s for _, s, *_ in out], "length": [n for _, _, n, *_ in out],
-                "ids_crc32": [zlib.crc32(wide[d][s:s + n]) for d, s, n, *_ in out],
-                "doc_tokens": [len(shard[d]) for d, *_ in out],
-                "sequence_id": [base + done + q for *_, q, _ in out],
-                "offset": [o for *_, o in out]})
-            done += out[-1][3] + 1
-            return pa.RecordBatch.from_pandas(frame, schema=_PIECES, preserve_index=False)
-
-        doc_ids, shard, tokens = [], [], 0
-        for batch in batches:
-            for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                doc_ids.append(i)
-                shard.append(np.frombuffer(x.as_py(), "<u2"))
-                tokens += len(shard[-1])
-                if len(shard) >= SHARD_DOCS or tokens >= SHARD_TOKENS:
-                    yield packed(doc_ids, shard)
-                    doc_ids, shard, tokens = [], [], 0
-        if shard:
-            yield packed(doc_ids, shard)
-
-    return ids.mapInArrow(run, PIECES)
-
-
-_PIECES = pa.schema([(f.split()[0], pa.int64()) for f in PIECES.split(", ")])
+    def rows(batch):
+        out = {f.name: c for f, c in zip(batch.schema, batch.columns)}
+        out["ids_crc32"] = [zlib.crc32(np.frombuffer(x.as_buffer(), "<u2").astype("<u4")) for x in out.pop("ids")]
+        yield out
+
+    pieces = placed.join(ids, "node").select(
+        "doc_id", "start", "length", F.col("n").alias("doc_tokens"), "sequence_id", "offset",
+        F.expr("substring(ids, cast(2 * start + 1 as int), cast(2 * length as int))").alias("ids"))
+    return map_batches(pieces, rows, PIECES)
