@@ -11,7 +11,6 @@ most words of a corpus repeat.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import re
 from functools import lru_cache
@@ -19,12 +18,12 @@ from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.llm.common import MEMO_ENTRIES, map_batches, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 SPAN_SCHEMA = "doc_id long, ids array<int>, begins array<long>, ends array<long>"
 WIDE = 48  # symbols; longer parts are merged one by one
 
@@ -77,6 +76,9 @@ class Model:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         normal = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
         self.silent = {i for i, p in enumerate(proto.pieces) if p.type == kinds.CONTROL}
+        self.source_sizes = [len(p.piece.replace(SPACE, " ").encode()) if p.type == kinds.NORMAL else 0
+                             for p in proto.pieces]
+        self.texts = [p.piece.replace(SPACE, " ") if p.type == kinds.NORMAL else None for p in proto.pieces]
         if len(self.bytes) < 256 or proto.trainer_spec.model_type != 2 or any(
                 p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in proto.pieces):
             raise ValueError("a BPE model with byte fallback, without user-defined or unused pieces is expected")
@@ -293,6 +295,10 @@ class Model:
     def decode(self, ids: list[int]) -> str:
         """Pieces joined, marks as spaces without the dummy prefix; bytes that make
         no character become U+FFFD, one by one."""
+        texts = [self.texts[i] for i in ids]
+        if None not in texts:  # pieces only
+            text = "".join(texts)
+            return text[1:] if self.prefix and text.startswith(" ") else text
         out, raw = [], bytearray()
 
         def flush():
@@ -330,7 +336,8 @@ _LINES = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
 @lru_cache(maxsize=2)
 def _model(path: str | None) -> tuple[Model, dict]:
-    """A worker's model and memo: part -> (ids joined by commas, their text, their number)."""
+    """A worker's model and memo: part -> (32-bit triples of id, begin and end in
+    the part's source, the source's bytes); a mark's source is one space."""
     return Model(path or tokenizer_path(MODEL)), {}
 
 
@@ -341,15 +348,20 @@ def _learn(model: Model, memo: dict, texts: list[list[str]]) -> None:
         memo.clear()
         missing = set().union(*texts)
     missing = list(missing)
+    sizes = model.source_sizes
     for part, ids in zip(missing, model.merge_many(missing)):
-        text = "".join(part) if not any(i in model.byte_of for i in ids) else _text_of(model, ids)
-        memo[part] = (",".join(map(str, ids)), text.replace(SPACE, " "), len(ids))
-
-
-def _text_of(model: Model, ids: list[int]) -> str:
-    """The text of a part's ids: byte pieces spell whole characters."""
-    data = b"".join(bytes([model.byte_of[i]]) if i in model.byte_of else model.pieces[i].encode() for i in ids)
-    return data.decode(errors="replace")
+        lengths = [sizes[i] for i in ids]
+        if 0 not in lengths:  # pieces only: one after the other
+            ends = list(accumulate(lengths))
+            begins, at = [0, *ends[:-1]], ends[-1]
+        else:
+            source, at = [], 0
+            for c in part:
+                n = len(c.encode())
+                source += [at] * n
+                at += 1 if c == SPACE else n
+            begins, ends = model.spans(part, part, [*source, at], ids)
+        memo[part] = (np.array([ids, begins, ends], dtype="<i4").T.tobytes(), at)
 
 
 def _groups(texts, limit: int = 1 << 21):
@@ -366,30 +378,17 @@ def _groups(texts, limit: int = 1 << 21):
 
 
 def encode_digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text.
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text, by ``encode``
+    and ``decode``.
 
     Ids equal the library's without begin and end ids; the digests are those of
     the ids in decimal joined by commas and of the decoded text. Null and empty
     texts have no ids. Repeated rows stay repeated; no shuffle.
     """
-
-    def rows(batch):
-        model, memo = _model(model_path)
-        out = {"doc_id": batch.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for texts in _groups(t.as_py() or "" for t in batch.column(1)):
-            cut = [model.parts(model.normalise(t)[0]) for t in texts]
-            _learn(model, memo, cut)
-            for parts in cut:
-                found = [memo[p] for p in parts]
-                decoded = "".join([f[1] for f in found])
-                if model.prefix and decoded.startswith(" "):
-                    decoded = decoded[1:]
-                out["n_tokens"].append(sum([f[2] for f in found]))
-                out["ids_sha256"].append(hashlib.sha256(",".join([f[0] for f in found]).encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-        yield out
-
-    return map_batches(docs.select("doc_id", "text"), rows, SCHEMA)
+    return decode(encode(docs, model_path), model_path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
 def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
@@ -397,26 +396,38 @@ def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
     (UTF-8) it stands for. Null and empty texts have no ids."""
 
     def rows(batch):
-        model, _ = _model(model_path)
-        out = {"doc_id": batch.column(0), "ids": [], "begins": [], "ends": []}
-        for text in batch.column(1):
-            text = text.as_py() or ""
-            normal, source = model.normalise(text)
-            ids = [i for part in model.merge_many(model.parts(normal)) for i in part]
-            begins, ends = model.spans(text, normal, source, ids)
-            out["ids"].append(ids)
-            out["begins"].append(begins)
-            out["ends"].append(ends)
-        yield out
+        model, memo = _model(model_path)
+        done = 0
+        for texts in _groups(t.as_py() or "" for t in batch.column(1)):
+            out = {"doc_id": batch.column(0).slice(done, len(texts)), "ids": [], "begins": [], "ends": []}
+            done += len(texts)
+            normal = [model.normalise(t) for t in texts]
+            cut = [model.parts(n) for n, _ in normal]
+            _learn(model, memo, cut)
+            for text, (normalised, source), parts in zip(texts, normal, cut):
+                found = [memo[p] for p in parts]
+                got = np.frombuffer(b"".join([f[0] for f in found]), "<i4").reshape(-1, 3)
+                if source is None and SPACE not in text:  # parts lie one after the other
+                    sizes = np.array([f[1] for f in found], dtype=np.int64)
+                    n_ids = np.array([len(f[0]) // 12 for f in found], dtype=np.int64)
+                    at = np.repeat(np.cumsum(sizes) - sizes - model.prefix, n_ids)
+                    begins, ends = np.maximum(got[:, 1] + at, 0), np.maximum(got[:, 2] + at, 0)
+                else:
+                    begins, ends = model.spans(text, normalised, source, got[:, 0].tolist())
+                out["ids"].append(got[:, 0])
+                out["begins"].append(begins)
+                out["ends"].append(ends)
+            yield out
 
     return map_batches(docs.select("doc_id", "text"), rows, SPAN_SCHEMA)
 
 
 def decode(encoded: DataFrame, model_path: str | None = None) -> DataFrame:
-    """doc_id and text of (doc_id, ids); null ids give an empty text."""
+    """doc_id, ids and text of (doc_id, ids); null ids give an empty text."""
 
     def rows(batch):
         model, _ = _model(model_path)
-        yield {"doc_id": batch.column(0), "text": [model.decode(i.as_py() or []) for i in batch.column(1)]}
+        yield {"doc_id": batch.column(0), "ids": batch.column(1),
+               "text": [model.decode(i.values.to_pylist() if i.is_valid else []) for i in batch.column(1)]}
 
-    return map_batches(encoded.select("doc_id", "ids"), rows, "doc_id long, text string")
+    return map_batches(encoded.select("doc_id", "ids"), rows, "doc_id long, ids array<int>, text string")

@@ -1,0 +1,44 @@
+"""Byte spans and decoding of sentence pieces, with a character map that is not empty."""
+
+from __future__ import annotations
+
+import public_tokenizers
+
+from tessera.llm.sentence_pieces import Model, decode, encode, encode_digests
+from tests.llm.test_texts import docs, texts  # noqa: F401
+
+
+def test_sentence_pieces_with_a_character_map(spark, tmp_path):
+    import sentencepiece
+
+    words = ["ﬁne ﬂow", "Ⅷ ½ cup", "ｗｉｄｅ letters", "plain words", "café  cafe\u0301"]
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(words * 50), model_prefix=str(tmp_path / "m"), model_type="bpe", vocab_size=320,
+        byte_fallback=True, normalization_rule_name="nmt_nfkc", minloglevel=2)
+    path = str(tmp_path / "m.model")
+    assert Model(path).map.units and Model(path).map.longest("ﬁ".encode(), 0) == (3, b"fi")
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = [(i, t) for i, t in enumerate([*words, "  ﬁ  日本 ½ ", "", None])]
+    encoded = encode(spark.createDataFrame(rows, "doc_id long, text string"), path)
+    decoded = {r.doc_id: r.text for r in decode(encoded, path).collect()}
+    for r in encoded.collect():
+        text = rows[r.doc_id][1] or ""
+        assert r.ids == lib.encode(text) and decoded[r.doc_id] == lib.decode(r.ids)
+        for i, b, e, p in zip(r.ids, r.begins, r.ends, lib.encode(text, return_type="proto").pieces):
+            if not lib.is_byte(i) and p.surface.strip():
+                assert text.encode()[b:e].decode().strip() == p.surface.strip()
+
+
+def test_sentence_digests_come_from_spans_and_decoding(docs, texts, monkeypatch):
+    from tessera.llm import sentence_pieces
+
+    seen = []
+    for name in ("encode", "decode"):
+        f = getattr(sentence_pieces, name)
+        monkeypatch.setattr(sentence_pieces, name, lambda *a, f=f, name=name: seen.append(name) or f(*a))
+    assert encode_digests(docs).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert seen == ["encode", "decode"]
+    model = Model(public_tokenizers.path("piece_bpe_32k.model"))
+    for r in encode(docs).collect():  # remembered parts give the spans of the whole text
+        text = texts[r.doc_id]
+        assert model.spans(text, *model.normalise(text), r.ids) == (r.begins, r.ends)
