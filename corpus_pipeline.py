@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and
 read again as the next stage's documents; all but the last return the columns
-of ``documents``. Rows are told apart by all of their columns, so a repeated
-row passes or goes as a whole.
+of ``documents``. Stages that drop or cut rows number their input first and run
+on that row key, so rows that repeat a doc_id, or have none, are documents of
+their own.
 """
 
 from __future__ import annotations
@@ -23,29 +24,45 @@ from tessera.llm.suffix_dedup import remove_repeats
 ORACLE_SQL = None
 
 
+ROW = "_pipeline_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` and a written row key in the order of doc_id, rows without one last."""
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text")]
+    return materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order)
+                       .withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """The numbered documents with the row key as their doc_id."""
+    return rows.withColumn("doc_id", F.col(ROW)).drop(ROW)
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents that a rule or their host's verdict rejects go. Of rows
-    that repeat a doc_id all stay if one passes (they are one document)."""
-    kept = materialize(quality_rules(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct(), "kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*docs.columns)
+    """Quality rules: documents that a rule or their host's verdict rejects go, each
+    row by its own text."""
+    rows = numbered(docs)
+    kept = materialize(quality_rules(by_row(rows)).where("kept").select(F.col("doc_id").alias(ROW)), "kept")
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: the document with the smallest id of each class stays, once."""
-    kept = materialize(near_duplicate_classes(docs).where("kept AND doc_id IS NOT NULL")
-                       .select(F.col("doc_id").alias("_id")).distinct(), "kept")
-    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_id"))
-    one = named.select(*docs.columns).dropDuplicates(["doc_id"])
-    return one.union(docs.where("doc_id IS NULL"))
+    """MinHash near-dedup: the row with the smallest id of each class stays (a class of
+    rows without ids keeps one, too). Texts without words are in no class and stay."""
+    rows = numbered(docs)
+    kept = materialize(near_duplicate_classes(by_row(rows)).where("kept").select(F.col("doc_id").alias(ROW)), "kept")
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: repeated passages go; documents without a word left go as a whole."""
-    left = remove_repeats(docs).where("n_removed > 0").select(
+    rows = numbered(docs)
+    left = remove_repeats(by_row(rows)).where("n_removed > 0").select(
         F.col("doc_id").alias("_id"), F.col("kept_text").alias("_text"))
     left = materialize(left, "cut")
     text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("_text"))
-    joined = docs.join(left, F.col("doc_id") == F.col("_id"), "left").withColumn("_new", text)
+    joined = rows.join(left, F.col(ROW) == F.col("_id"), "left").withColumn("_new", text)
     return joined.where("_id IS NULL OR _new RLIKE '[^\\\\s]'").select(*[
         F.col("_new").alias("text") if c == "text"
         else F.when(F.col("_id").isNull(), F.col(c)).otherwise(F.length("_new")).cast(

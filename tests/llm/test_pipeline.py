@@ -1,0 +1,30 @@
+"""Stages of the pipeline over repeated and missing doc_ids."""
+
+from __future__ import annotations
+
+import random
+
+from corpus_pipeline import cut_repeats, drop_near_duplicates, keep_quality
+from tests.llm.test_duplicates import frame, words
+
+
+def stage(spark, f, rows):
+    return sorted(((r.doc_id or 0, r.text) for r in f(spark, frame(spark, rows), "").collect()), key=str)
+
+
+def test_repeated_ids_are_documents_of_their_own(spark):
+    rng = random.Random(5)
+    a, b, c, d = (" ".join(words(rng, 80)) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a), (None, c), (None, c), (None, d), (None, b)]
+    assert stage(spark, drop_near_duplicates, rows) == sorted([(1, a), (1, b), (0, c), (0, d)], key=str)
+    assert stage(spark, keep_quality, [(1, a), (1, "short"), (None, b), (None, "x")]) == sorted(
+        [(1, a), (0, b)], key=str)
+
+
+def test_cut_texts_stay_with_their_rows(spark):
+    rng = random.Random(6)
+    shared, a, b, c = (" ".join(words(rng, 40)) for _ in range(4))
+    rows = [(1, shared), (2, "A" + a + shared), (2, "B" + b + shared), (None, c)]
+    got = stage(spark, cut_repeats, rows)
+    assert len(got) == 4 and {t[:9] for _, t in got} == {t[:9] for _, t in rows}
+    assert all(shared[:50] not in t for i, t in got if i == 2) and (0, c) in got
