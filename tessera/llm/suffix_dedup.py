@@ -6,8 +6,10 @@ with a smaller id. Three steps find all such strings:
 1. Anchors. Every ``LENGTH``-byte window has one anchor, the smallest hash among
    its ``GRAM``-byte substrings; equal windows have equal anchors at equal
    places. A run of windows with the same anchor is a *context* (its bytes, and
-   where the anchor lies). Hashes of anchors and contexts are grouped over the
-   corpus; an anchor met in one document only can repeat nowhere.
+   where the anchor lies), known by a 64-bit hash. Anchors and
+   contexts are grouped over the corpus by Spark aggregates, folded before the
+   shuffle, so no anchor has to fit one task; an anchor met in one document only
+   can repeat nowhere.
 2. A context met in several documents as a whole settles its windows by the
    smallest of the ids, without its bytes being looked at again.
 3. Distinct contexts that share an anchor may still share windows (the ends of
@@ -36,8 +38,7 @@ GRAM = 16
 SPAN = LENGTH - GRAM  # starts per anchor: 0 to SPAN before it
 BLOCK_BYTES = 1 << 20  # context bytes sorted together
 SUFFIX_CONTEXTS = 2_000  # contexts of one anchor that one suffix array takes
-BUCKET_BYTES = 4 << 20  # text bytes per hash bucket
-PACKED_BYTES = 8 << 20  # text bytes whose contexts a task holds at once
+BATCH_BYTES = 8 << 20  # text bytes whose contexts a task holds at once
 
 _P = np.uint64(0x100000001B3 | 1 << 44)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -68,11 +69,11 @@ _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 
 
 def contexts(data: bytes) -> tuple[np.ndarray, ...]:
-    """(anchor hash, context hash, anchor place, first start, last start) of the
-    runs of windows of ``data`` that share an anchor; empty if it is too short."""
+    """(anchor hash, context hash, first start, last start) of the runs of
+    windows of ``data`` that share an anchor; empty if it is too short."""
     n = len(data)
     if n < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
     raw = np.frombuffer(data, np.uint8)
     sums, _ = _prefix_hashes(raw)
     inverse = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _INVERSE)]), dtype=np.uint64)
@@ -90,7 +91,7 @@ def contexts(data: bytes) -> tuple[np.ndarray, ...]:
     last = np.concatenate([first[1:] - 1, [len(low) - 1]])
     anchor = low[first]
     shape = _mix(((anchor - first) * 64 + (last - first)).astype(np.uint64) + _MIX[0])
-    return gram[anchor], _substring_hashes(sums, inverse, first, last + LENGTH) ^ shape, anchor, first, last
+    return (gram[anchor], _substring_hashes(sums, inverse, first, last + LENGTH) ^ shape, first, last)
 
 
 # -- the two-stage suffix array -------------------------------------------
@@ -205,115 +206,57 @@ def repeated_starts(pieces: list[bytes], owners: list[int]) -> list[tuple[int, i
 # -- the Spark jobs ---------------------------------------------------------
 
 
-def _planes(x: np.ndarray, dtype: str, n: int) -> bytes:
-    """The ``n`` low bytes of each number, byte plane after byte plane."""
-    return x.astype(dtype).view(np.uint8).reshape(len(x), 8)[:, :n].T.tobytes()
+CONTEXTS = "h long, c long, doc long, tag int, first int, width int"
 
 
-def _numbers(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(n, len(data) // n)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :n] = planes.T
-    return out.reshape(-1).view("<i8")
-
-
-# columns of a packed context and the bytes kept of each
-_PACKED = {"h": 5, "c": 5, "doc": 8, "tag": 2, "first": 5, "width": 1}
-
-
-def _pack(cols: dict, at) -> dict:
-    doc = cols["doc"][at]
-    parts = {**{k: cols[k][at] for k in _PACKED}, "doc": np.diff(doc, prepend=np.int64(0))}
-    return {k: _planes(v, "<i8" if v.dtype != np.uint64 else "<u8", _PACKED[k]) for k, v in parts.items()}
-
-
-def _unpack(frame: pd.DataFrame) -> dict:
-    out = {k: np.concatenate([_numbers(x, n) for x in frame[k]]) for k, n in _PACKED.items() if k != "doc"}
-    out["doc"] = np.concatenate([np.cumsum(_numbers(x, 8)) for x in frame["doc"]])
-    return out
-
-
-def _ordered(cols: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order by anchor, context, document; context group of each; smallest document of each)."""
-    order = np.lexsort([cols["doc"], cols["c"], cols["h"]])
-    h, c = cols["h"][order], cols["c"][order]
-    if not len(h):
-        return order, order, order
-    group = np.cumsum(np.concatenate([[False], (h[1:] != h[:-1]) | (c[1:] != c[:-1])]))
-    heads = np.searchsorted(group, np.arange(group[-1] + 1))
-    return order, group, cols["doc"][order][heads][group]
-
-
-def _packed_contexts(docs: DataFrame, bits: int) -> DataFrame:
-    """One row per batch and hash bucket with its contexts, packed. Contexts that a
-    smaller document of the batch already holds as a whole are settled here and
-    leave in the s_ columns, so many copies weigh once per batch."""
-    packed = [f"{p}{k} binary" for p in ("", "s_") for k in _PACKED]
+def _context_rows(docs: DataFrame) -> DataFrame:
+    """One row per context. Rows of a batch that are equal but for their document and
+    place are all there; aggregates fold them before the shuffle."""
 
     def rows(batch):
         parts, size = [], 0
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = (text.as_py() or "").encode()
-            h, c, _, first, last = contexts(data)
+            h, c, first, last = contexts(data)
             if doc is not None and len(h):
-                parts.append((h, c, np.full(len(h), doc, np.int64), np.full(len(h), zlib.crc32(data) & 0xFFFF),
-                              first, last - first))
+                parts.append((h.view(np.int64), c.view(np.int64), np.full(len(h), doc, np.int64),
+                              np.full(len(h), zlib.crc32(data) & 0xFFFF), first, last - first))
                 size += len(data)
-            if size >= PACKED_BYTES:
-                yield packed_rows(parts)
+            if size >= BATCH_BYTES:
+                yield columns(parts)
                 parts, size = [], 0
         if parts:
-            yield packed_rows(parts)
-
-    def packed_rows(parts):
-        cols = dict(zip(_PACKED, (np.concatenate(x) for x in zip(*parts))))
-        bucket = (cols["h"] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(cols["h"]), np.int64)
-        cols["h"], cols["c"] = cols["h"] & np.uint64((1 << 40) - 1), cols["c"] & np.uint64((1 << 40) - 1)
-        by = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[by], np.arange((1 << bits) + 1))
-        out = {"bucket": [], **{p + k: [] for p in ("", "s_") for k in _PACKED}}
-        for b in np.unique(bucket).tolist():
-            at = by[cuts[b]:cuts[b + 1]]
-            order, _, least = _ordered({k: v[at] for k, v in cols.items()})
-            settled = cols["doc"][at][order] > least
-            out["bucket"].append(b)
-            for prefix, some in (("", ~settled), ("s_", settled)):
-                for k, v in _pack(cols, np.sort(at[order[some]])).items():
-                    out[prefix + k].append(v)
-        return out
-
-    return map_batches(docs.select("doc_id", "text"), rows, ", ".join(["bucket long", *packed]))
-
-
-FOUND = "doc long, tag int, begin long, end long, anchor long"
-
-
-def _bucket_findings(frame: pd.DataFrame) -> pd.DataFrame:
-    """Settled byte ranges (anchor null) and open contexts (with their anchor)."""
-    settled = _unpack(frame[["s_" + k for k in _PACKED]].rename(columns=lambda c: c[2:]))
-    cols = _unpack(frame)
-    order, group, least = _ordered(cols)
-    h, doc = cols["h"][order], cols["doc"][order]
-    anchor = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]]))
-    n = anchor[-1] + 1
-    low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
-    np.minimum.at(low, anchor, doc)
-    np.maximum.at(high, anchor, doc)
-    first_group, last_group = np.full(n, len(doc)), np.zeros(n, np.int64)
-    np.minimum.at(first_group, anchor, group)
-    np.maximum.at(last_group, anchor, group)
-    copied = doc > least
-    open_ = ~copied & ((low < high) & (first_group < last_group))[anchor]
-    out = []
-    for src, at, anchored in ((settled, slice(None), False), (cols, order[copied], False),
-                              (cols, order[open_], True)):
-        begin = src["first"][at]
-        out.append(pd.DataFrame({
-            "doc": src["doc"][at], "tag": src["tag"][at], "begin": begin,
-            "end": begin + src["width"][at] + LENGTH,
-            "anchor": pd.array(src["h"][at] + (int(frame["bucket"].iloc[0]) << 40), dtype="Int64") if anchored
-            else pd.array([pd.NA] * len(begin), dtype="Int64")}))
-    return pd.concat(out)
+            yield columns(parts)
+
+    def columns(parts):
+        return dict(zip(("h", "c", "doc", "tag", "first", "width"), map(np.concatenate, zip(*parts))))
+
+    return map_batches(docs.select("doc_id", "text"), rows, CONTEXTS)
+
+
+def _findings(rows: DataFrame) -> DataFrame:
+    """(doc, tag, begin, end, anchor): settled byte ranges (anchor null) and open
+    contexts (with their anchor) of context rows.
+
+    A context that a smaller document holds, too, is settled; one that no smaller
+    document holds stays open if its anchor has other contexts in other documents.
+    """
+    anchors = rows.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    anchors = materialize(anchors.select(F.col("h").alias("_h")), "anchors")
+    rows = materialize(rows.join(anchors, F.col("h") == F.col("_h"), "left_semi"), "contexts")
+    least = materialize(rows.groupBy("h", "c").agg(F.min("doc").alias("least"), F.max("doc").alias("most")),
+                        "least")
+    # folded before the shuffle, a row per anchor: whether it has several contexts
+    several = least.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("_h"))
+    least = least.join(several, F.col("h") == F.col("_h"), "left").withColumn("several", F.col("_h").isNotNull())
+    # contexts of one document whose anchor has no other one say nothing
+    told = materialize(least.where("several OR least < most").select(
+        F.col("h").alias("_h"), F.col("c").alias("_c"), "least", "several"), "told")
+    joined = rows.join(told, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")))
+    return (joined.where("doc > least OR several").select(
+        "doc", "tag", F.col("first").cast("long").alias("begin"),
+        (F.col("first") + F.col("width") + LENGTH).cast("long").alias("end"),
+        F.when(F.col("doc") == F.col("least"), F.col("h")).alias("anchor")))
 
 
 def _merged(spans) -> list[list[int]]:
@@ -341,10 +284,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(doc, tag, begin, end): byte ranges to remove, possibly overlapping. tag is the
     low half of the text's CRC, which tells rows of one doc_id apart."""
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(20, max(6, (total // BUCKET_BYTES).bit_length()))
-    found = materialize(_packed_contexts(docs, bits).groupBy("bucket")
-                        .applyInPandas(_bucket_findings, FOUND), "found")
+    found = materialize(_findings(_context_rows(docs)), "found")
     source = docs.select(F.col("doc_id").alias("_id"), data.alias("_data"),
                          (F.crc32(data) % 65536).cast("int").alias("_tag"))
     # one copy of a repeated row is enough to read a context from

@@ -1,0 +1,11 @@
+"""Contexts of suffix dedup, grouped by Spark aggregates."""
+
+from __future__ import annotations
+
+import inspect
+
+from tessera.llm import suffix_dedup as sd
+
+
+def test_no_anchor_is_gathered_in_one_python_task():
+    assert "applyInPandas" not in inspect.getsource(sd._findings) + inspect.getsource(sd._context_rows)
