@@ -6,7 +6,7 @@ with a smaller id. Three steps find all such strings:
 1. Anchors. Every ``LENGTH``-byte window has one anchor, the smallest hash among
    its ``GRAM``-byte substrings; equal windows have equal anchors at equal
    places. A run of windows with the same anchor is a *context* (its bytes, and
-   where the anchor lies), known by a 64-bit hash. Anchors and
+   where the anchor lies), known by two independent 64-bit hashes. Anchors and
    contexts are grouped over the corpus by Spark aggregates, folded before the
    shuffle, so no anchor has to fit one task; an anchor met in one document only
    can repeat nowhere.
@@ -50,10 +50,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of byte * P**i (wrapping) and the powers: any substring's hash is a
+def _prefix_hashes(data: np.ndarray, base: np.uint64 = _P) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of byte * base**i (wrapping) and the powers: any substring's hash is a
     difference of two sums times a power."""
-    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), _P)]), dtype=np.uint64)
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), base)]), dtype=np.uint64)
     sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1],
                                                       dtype=np.uint64)])
     return sums, powers
@@ -66,14 +66,18 @@ def _substring_hashes(sums, inverse, begin, end):
 
 
 _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
+# the second hash: another base over other numbers for the bytes
+_P2 = np.uint64(0xD1342543DE82EF95)
+_INVERSE2 = np.uint64(pow(int(_P2), -1, 1 << 64))
+_BYTES2 = _mix(np.arange(1, 257, dtype=np.uint64) * _MIX[2])
 
 
 def contexts(data: bytes) -> tuple[np.ndarray, ...]:
-    """(anchor hash, context hash, first start, last start) of the runs of
+    """(anchor hash, two context hashes, first start, last start) of the runs of
     windows of ``data`` that share an anchor; empty if it is too short."""
     n = len(data)
     if n < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.uint64, np.int64, np.int64))
     raw = np.frombuffer(data, np.uint8)
     sums, _ = _prefix_hashes(raw)
     inverse = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _INVERSE)]), dtype=np.uint64)
@@ -91,7 +95,10 @@ def contexts(data: bytes) -> tuple[np.ndarray, ...]:
     last = np.concatenate([first[1:] - 1, [len(low) - 1]])
     anchor = low[first]
     shape = _mix(((anchor - first) * 64 + (last - first)).astype(np.uint64) + _MIX[0])
-    return (gram[anchor], _substring_hashes(sums, inverse, first, last + LENGTH) ^ shape, first, last)
+    again, _ = _prefix_hashes(_BYTES2[raw], _P2)
+    inverse2 = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _INVERSE2)]), dtype=np.uint64)
+    return (gram[anchor], _substring_hashes(sums, inverse, first, last + LENGTH) ^ shape,
+            _substring_hashes(again, inverse2, first, last + LENGTH) + shape, first, last)
 
 
 # -- the two-stage suffix array -------------------------------------------
@@ -206,7 +213,7 @@ def repeated_starts(pieces: list[bytes], owners: list[int]) -> list[tuple[int, i
 # -- the Spark jobs ---------------------------------------------------------
 
 
-CONTEXTS = "h long, c long, doc long, tag int, first int, width int"
+CONTEXTS = "h long, c long, c2 long, doc long, tag int, first int, width int"
 
 
 def _context_rows(docs: DataFrame) -> DataFrame:
@@ -217,9 +224,9 @@ def _context_rows(docs: DataFrame) -> DataFrame:
         parts, size = [], 0
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = (text.as_py() or "").encode()
-            h, c, first, last = contexts(data)
+            h, c, c2, first, last = contexts(data)
             if doc is not None and len(h):
-                parts.append((h.view(np.int64), c.view(np.int64), np.full(len(h), doc, np.int64),
+                parts.append((h.view(np.int64), c.view(np.int64), c2.view(np.int64), np.full(len(h), doc, np.int64),
                               np.full(len(h), zlib.crc32(data) & 0xFFFF), first, last - first))
                 size += len(data)
             if size >= BATCH_BYTES:
@@ -229,7 +236,7 @@ def _context_rows(docs: DataFrame) -> DataFrame:
             yield columns(parts)
 
     def columns(parts):
-        return dict(zip(("h", "c", "doc", "tag", "first", "width"), map(np.concatenate, zip(*parts))))
+        return dict(zip(("h", "c", "c2", "doc", "tag", "first", "width"), map(np.concatenate, zip(*parts))))
 
     return map_batches(docs.select("doc_id", "text"), rows, CONTEXTS)
 
@@ -244,15 +251,15 @@ def _findings(rows: DataFrame) -> DataFrame:
     anchors = rows.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     anchors = materialize(anchors.select(F.col("h").alias("_h")), "anchors")
     rows = materialize(rows.join(anchors, F.col("h") == F.col("_h"), "left_semi"), "contexts")
-    least = materialize(rows.groupBy("h", "c").agg(F.min("doc").alias("least"), F.max("doc").alias("most")),
+    least = materialize(rows.groupBy("h", "c", "c2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")),
                         "least")
     # folded before the shuffle, a row per anchor: whether it has several contexts
     several = least.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("_h"))
     least = least.join(several, F.col("h") == F.col("_h"), "left").withColumn("several", F.col("_h").isNotNull())
     # contexts of one document whose anchor has no other one say nothing
     told = materialize(least.where("several OR least < most").select(
-        F.col("h").alias("_h"), F.col("c").alias("_c"), "least", "several"), "told")
-    joined = rows.join(told, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")))
+        F.col("h").alias("_h"), F.col("c").alias("_c"), F.col("c2").alias("_c2"), "least", "several"), "told")
+    joined = rows.join(told, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")) & (F.col("c2") == F.col("_c2")))
     return (joined.where("doc > least OR several").select(
         "doc", "tag", F.col("first").cast("long").alias("begin"),
         (F.col("first") + F.col("width") + LENGTH).cast("long").alias("end"),

@@ -1,11 +1,33 @@
-"""Contexts of suffix dedup, grouped by Spark aggregates."""
+"""Contexts of suffix dedup: told apart by both whole hashes, grouped by Spark aggregates."""
 
 from __future__ import annotations
 
 import inspect
 
+import numpy as np
+
 from tessera.llm import suffix_dedup as sd
 
 
+def test_contexts_equal_in_part_of_their_hashes_are_not_copies(spark):
+    c = 0x1234567890ABCDEF
+    rows = [(7, c, 5, 1, 0, 0, 0), (7, c ^ 1 << 40, 5, 2, 0, 0, 0),  # as many as 40 bits equal
+            (7, c, 6, 3, 0, 0, 0),  # the second hash differs
+            (7, c, 5, 4, 0, 10, 2),  # a copy
+            (8, c, 5, 1, 0, 99, 0),  # an anchor of one document
+            (9, c, 5, 1, 0, 50, 0), (9, c, 5, 2, 0, 50, 0)]  # one context in two documents
+    got = {(r.doc, r.begin, r.end, r.anchor) for r in sd._findings(spark.createDataFrame(rows, sd.CONTEXTS)).collect()}
+    assert got == {(1, 0, 50, 7), (2, 0, 50, 7), (3, 0, 50, 7), (4, 10, 62, None), (2, 50, 100, None)}
+
+
+def test_context_hashes_are_independent_and_whole():
+    rng = np.random.default_rng(1)
+    data = bytes(rng.integers(97, 123, 20_000, dtype=np.uint8))
+    h, c, c2, first, last = sd.contexts(data)
+    assert len(set(c.tolist())) == len(set(c2.tolist())) == len(c) and c.max() > 1 << 62 and c2.max() > 1 << 62
+    shifted = sd.contexts(b"x" * 70 + data)  # hashes do not depend on the place
+    assert set(zip(c.tolist()[1:], c2.tolist()[1:])) <= set(zip(shifted[1].tolist(), shifted[2].tolist()))
+
+
 def test_no_anchor_is_gathered_in_one_python_task():
     assert "applyInPandas" not in inspect.getsource(sd._findings) + inspect.getsource(sd._context_rows)
