@@ -3,9 +3,10 @@
 Linked documents should share a shard while shards stay equally full. Links
 are memberships (document, group): members of a group are neighbours of one
 another, so a group of any size is as many rows as it has members, never pairs.
-Each round, every member proposes the shard that most of its neighbours hold;
-proposals between two shards are admitted best gain first, as far as capacities
-allow. Documents without links cost nothing to move and fill what is left.
+Each round, every member proposes the shard that most of its neighbours hold, of
+those that are not full; proposals between two shards are admitted best gain
+first, as far as capacities allow, until no admitted move brings neighbours
+together. Documents without links cost nothing to move and fill what is left.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize, number_rows
 
 N_SHARDS = 16
-ROUNDS = 4
 
 
 def capacities(n_rows: int, n_shards: int) -> list[int]:
@@ -46,23 +46,35 @@ def admitted_flows(sizes: list[int], wanted: dict[tuple[int, int], int], caps: l
             excess -= cut
 
 
-def _propose(state: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, shard, target, gain) of the nodes that would rather be elsewhere.
-
-    Votes are counts per (group, shard), folded before the shuffle; a member
-    reads its groups' at most ``N_SHARDS`` votes. Ties go to a shard that the
-    group's hash picks, so all members of a group agree and none swap for ever.
-    """
+def _heard(state: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, shard, group) of the members and (heard_group, votes): counts per (group,
+    shard), folded before the shuffle."""
     members = materialize(links.join(state, links.member == state.node)
                           .select("node", "shard", "group"), "members")
     votes = members.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
-    heard = materialize(votes.groupBy("group").agg(
+    return members, materialize(votes.groupBy("group").agg(
         F.collect_list(F.struct(F.col("shard"), F.col("n"))).alias("votes"))
         .withColumnRenamed("group", "heard_group"), "votes")  # at most one entry per shard
+
+
+def _kept_links(heard: DataFrame) -> int:
+    """Pairs of neighbours (both ways, and each with itself) that share a shard."""
+    return heard.select(F.explode("votes").alias("v")).agg(
+        F.sum(F.col("v.n").cast("decimal(38,0)") * F.col("v.n").cast("decimal(38,0)"))).first()[0] or 0
+
+
+def _propose(members: DataFrame, heard: DataFrame, closed: set[int]) -> DataFrame:
+    """(node, shard, target, gain) of the nodes that would rather be elsewhere, but
+    not in a ``closed`` shard.
+
+    A member reads its groups' at most ``N_SHARDS`` votes. Ties go to a shard that the
+    group's hash picks, so all members of a group agree and none swap for ever.
+    """
     told = (members.join(heard, members.group == heard.heard_group)
             .select("node", F.col("shard").alias("at"), "group", F.explode("votes").alias("v")))
     tally = (told.groupBy("node", "at", F.col("v.shard").alias("target"))
-             .agg(F.sum("v.n").alias("n"), F.min("group").alias("lead")))
+             .agg(F.sum("v.n").alias("n"), F.min("group").alias("lead"))
+             .where((F.col("target") == F.col("at")) | ~F.col("target").isin(*closed)))
     best = tally.groupBy("node", "at", ).agg(
         F.max(F.struct("n", F.xxhash64("lead", "target").alias("tie"), "target")).alias("best"),
         F.max(F.when(F.col("target") == F.col("at"), F.col("n"))).alias("here"))
@@ -71,8 +83,18 @@ def _propose(state: DataFrame, links: DataFrame) -> DataFrame:
                     (F.col("best.n") - F.coalesce("here", F.lit(0))).alias("gain")))
 
 
-def balanced_shards(nodes: DataFrame, links: DataFrame, n_shards: int = N_SHARDS,
-                    rounds: int = ROUNDS) -> DataFrame:
+def _regather(members: DataFrame, heard: DataFrame, open_: list[int]) -> DataFrame:
+    """(node, shard, target, gain): groups scattered over full shards propose a shard
+    with room that the group's hash picks, where none of them may be yet."""
+    targets = F.array(*[F.lit(s) for s in open_])
+    scattered = heard.where(F.size("votes") > 1)
+    told = members.join(scattered, members.group == scattered.heard_group).select(
+        "node", "shard", "group", targets[F.pmod(F.xxhash64("group"), F.lit(len(open_))).cast("int")].alias("target"))
+    return (told.groupBy("node", "shard").agg(F.min_by("target", "group").alias("target"))
+            .where("target <> shard").withColumn("gain", F.lit(0).cast("long")))
+
+
+def balanced_shards(nodes: DataFrame, links: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
     """(node, shard, slot): shard sizes at most one apart, slots gapless per shard.
 
     ``nodes``: one long column ``node`` without repeats. ``links``: (member,
@@ -85,14 +107,35 @@ def balanced_shards(nodes: DataFrame, links: DataFrame, n_shards: int = N_SHARDS
     linked = links.select(F.col("member").alias("node")).distinct()
     state = number_rows(linked, [], ["node"], "at")
     state = materialize(state.select("node", (F.col("at") % n_shards).cast("int").alias("shard")), "state")
-    for _ in range(rounds):
-        moves = materialize(_propose(state, links), "moves")
+    closed: set[int] = set()  # full shards that no move could enter
+    last, before, regathered = -1, state, False
+    members, heard = _heard(state, links)
+    while True:
+        kept = _kept_links(heard)
+        if kept <= last:  # the last moves brought nothing together
+            state = before
+            break
         sizes = [0] * n_shards
         for r in state.groupBy("shard").count().collect():
             sizes[r["shard"]] = r["count"]
-        wanted = {(r["shard"], r["target"]): r["count"]
-                  for r in moves.groupBy("shard", "target").count().collect()}
-        flow = admitted_flows(sizes, wanted, caps)
+        while True:
+            moves = materialize(_propose(members, heard, closed), "moves")
+            wanted = {(r["shard"], r["target"]): r["count"]
+                      for r in moves.groupBy("shard", "target").count().collect()}
+            flow = admitted_flows(sizes, wanted, caps)
+            if any(flow.values()):
+                break
+            full = {b for _, b in wanted}
+            if not full:  # nobody wants to an open shard
+                break
+            closed |= full
+        open_ = [s for s in range(n_shards) if sizes[s] < caps[s]]
+        if not any(flow.values()) and open_ and not regathered:
+            regathered = True
+            moves = materialize(_regather(members, heard, open_), "moves")
+            wanted = {(r["shard"], r["target"]): r["count"]
+                      for r in moves.groupBy("shard", "target").count().collect()}
+            flow = admitted_flows(sizes, wanted, caps)
         if not any(flow.values()):
             break
         if flow != wanted:
@@ -107,8 +150,13 @@ def balanced_shards(nodes: DataFrame, links: DataFrame, n_shards: int = N_SHARDS
                      .where(F.col("place") + F.col("ahead")
                             < quota[F.col("shard") * n_shards + F.col("target")]))
         moved = moves.select(F.col("node").alias("moved"), "target")
+        last, before = kept, state
         state = materialize(state.join(moved, F.col("node") == F.col("moved"), "left")
                             .select("node", F.coalesce("target", "shard").alias("shard")), "state")
+        members, heard = _heard(state, links)
+        for (a, b), n in flow.items():
+            sizes[a], sizes[b] = sizes[a] - n, sizes[b] + n
+        closed = {s for s in closed if sizes[s] >= caps[s]}
     sizes = [0] * n_shards
     for r in state.groupBy("shard").count().collect():
         sizes[r["shard"]] = r["count"]
