@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from tessera.llm.common import documents
 from tessera.llm.embedding_links import embedding_links
 from tessera.llm.near_duplicates import near_duplicate_classes
+from tessera.llm.oracle import OP11, OP12
 from tessera.llm.packing import pack
+from tessera.llm.phrase_collocations import collocations
 from tessera.llm.quality_classifier import quality_scores
 from tessera.llm.quality_rules import quality_rules
 from tessera.llm.secret_scan import scan_secrets
 from tessera.llm.sentence_pieces import encode_digests
 from tessera.llm.sharding import shard_documents
+from tessera.llm.spelling_variants import spelling_variants
 from tessera.llm.suffix_dedup import remove_repeats
 from tessera.llm.token_counts import token_counts
+from tessera.llm.toxicity import toxicity
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +65,22 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).drop("kept_text")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_label_propagation_shards, op3_quality_rules, op4_quality_classifier,
     op5_secret_scan, op6_retrieval_packing, op7_sentence_pieces, op8_near_duplicates,
-    op9_embedding_links, op10_suffix_dedup)}
+    op9_embedding_links, op10_suffix_dedup, op11_spelling_variants,
+    op12_phrase_collocations, op13_toxicity)}
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {"op11_spelling_variants": OP11, "op12_phrase_collocations": OP12}
