@@ -270,6 +270,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     other; texts are read whole; repeated rows stay repeated; an empty table
     gives an empty table.
     """
+    docs = docs.select("doc_id", "text")
     held_out = held_out_fold(F.col("doc_id"), folds).alias("held_out")
     marks = (labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id")
              .agg(F.max("toxic").cast("int").alias("y"))

@@ -1,0 +1,211 @@
+"""Spelling variants, collocations and toxicity against brute force."""
+
+from __future__ import annotations
+
+import itertools
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from tessera.llm import phrase_collocations as pcs
+from tessera.llm import spelling_variants as sv
+from tessera.llm import toxicity as tx
+
+# extra columns whose names the operators use themselves
+COLUMNS = "doc_id long, text string, lang string, word string, n long, _word string, y int, held_out int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", 7, "z", 3, 4) for r in rows], COLUMNS)
+
+
+def near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def variants_by_force(rows):
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 97 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += len(run) >= 5
+    n = {w: c for w, c in counts.items() if c >= 3 and len(w) >= 5}
+    links = {w: [v for v in n if near(v, w)] for w in n}
+    form = {}
+    for w in n:
+        best = min(links[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return {(w, form[w], root(w), n[w], len(links[w]), n.get(form[w])) for w in n}
+
+
+@pytest.fixture(scope="module")
+def word_rows():
+    rng = random.Random(2)
+    pool = ["".join(rng.choices("ab", k=rng.randint(5, 7))) for _ in range(60)]
+    pool += ["ÀbcdÿÉ", "×÷×÷×", "Abcde", "abcde", "abcdef", "x" * 3000, "x" * 2999, "y" * 2999]
+    weights = [3 ** rng.randrange(5) for _ in pool]  # chains of forms
+    rows = [(i, " ".join(rng.choices(pool, weights, k=rng.randint(1, 60)))) for i in range(120)]
+    return rows + [(None, None), (1, ""), (1, " . "), (None, " ".join(pool)), (5, rows[5][1]), (5, rows[5][1])]
+
+
+@pytest.mark.parametrize("block", [512, 2])
+def test_variants_equal_brute_force(spark, word_rows, monkeypatch, block):
+    monkeypatch.setattr(sv, "BLOCK", block)
+    got = sv.spelling_variants(frame(spark, [(i, t, "en") for i, t in word_rows])).collect()
+    want = variants_by_force(word_rows)
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert any(r.form is not None for r in got) and any(r.root != r.form and r.form for r in got)
+
+
+def collocations_by_force(rows, min_count, top):
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", "".join(c.lower() if c.isascii() else c for c in text or "")):
+            words = [w for w in re.split("[ \t]", piece) if w]
+            n[lang] += len(words)
+            f.update((lang, *words[i:i + k]) for k in range(1, 5) for i in range(len(words) - k + 1))
+    cand = {p: a for p, a in f.items() if len(p) > 2 and a >= min_count}
+    inside = {}
+    for p, a in cand.items():
+        for i, j in itertools.combinations(range(1, len(p) + 1), 2):
+            if 2 <= j - i < len(p) - 1:
+                q = (p[0], *p[i:j])
+                inside[q] = max(inside.get(q, 0), a)
+    out = []
+    for lang in n:
+        rows = []
+        for p, a in cand.items():
+            if p[0] == lang and 100 * inside.get(p, 0) < 80 * a:
+                score, _, l, r = min((2000000 * a // (f[p[:k + 1]] + f[(lang, *p[k + 1:])]), k, f[p[:k + 1]],
+                                      f[(lang, *p[k + 1:])]) for k in range(1, len(p) - 1))
+                rows.append((-score, -a, " ".join(p[1:]).encode(), l, r))
+        out += [(lang, i + 1, p.decode(), -a, l, r, n[lang], -s)
+                for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top])]
+    return out
+
+
+@pytest.mark.parametrize("min_count,top", [(3, 2000), (30, 5)])
+def test_collocations_equal_brute_force(spark, monkeypatch, min_count, top):
+    rng = random.Random(4)
+    pool = ["alpha", "Beta", "γάμμα", "d", "é f", "a", "a", "\u0085x", "(b)"]
+    seps = [" ", " ", " ", "  ", "\t", ". ", "\n", "\x0b", ", "]
+    rows = [(rng.choice(["en", "de", None, "und"]),
+             "".join(rng.choice(pool) + rng.choice(seps) for _ in range(rng.randint(0, 120)))) for _ in range(60)]
+    rows += [rows[0]] * 40 + [("en", None), ("en", ""), ("fr", " . . "), ("en", "a " * 5000)]
+    monkeypatch.setattr(pcs, "CHUNK_WORDS", 256)
+    got = pcs.collocations(frame(spark, [(i, t, l) for i, (l, t) in enumerate(rows)]), 4, min_count, top)
+    want = collocations_by_force(rows, min_count, top)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
+
+
+def test_bloom_filter_has_no_false_no(spark):
+    phrases = [("en", f"w{i} v{i}") for i in range(5000)]
+    bloom = pcs.bloom_of(spark.createDataFrame(phrases, "lang string, phrase string"), 5000)
+
+    def hashes(pairs):
+        out = pcs.word_hashes([p[0] for p in pairs])
+        for k in (0, 1):
+            out = pcs.continued(out, pcs.word_hashes([p[1].split()[k] for p in pairs]))
+        return out
+
+    assert bloom(hashes(phrases)).all()
+    assert bloom(hashes([("de", p) for _, p in phrases])).mean() < 0.02
+
+
+def test_chunks_cover_every_word_once_and_agree_on_copies():
+    rng = random.Random(9)
+    text = " ".join(f"w{rng.randrange(500)}" for _ in range(3000))
+    chunks = list(pcs.chunks_of("x y z. " + text))
+    assert [w for c, own in chunks for w in c.split(b" ")[:own]] == b"x y z \n".split(b" ") + text.encode().split()
+    again = {c for c, _ in pcs.chunks_of(text)}
+    assert len({c for c, _ in chunks} - again) <= 1
+    assert len(list(pcs.chunks_of("a " * 2000))) >= 2000 // pcs.CHUNK_WORDS
+
+
+def model():
+    text = "the idiot and the clown said that it is a stupid pathetic thing or not " * 30
+    at = tx.classes(f" {text} ")
+    counts = np.bincount((at[:-2] * 32 + at[1:-1]) * 32 + at[2:], minlength=32 ** 3)
+    return tx.character_costs(counts.astype(float))
+
+
+@pytest.mark.parametrize("span", ["1d10t", "cl0wn", "stuuupid", "s t u p", "p4th3t1c", "a.b.c", "aaa", "1", "th3"])
+def test_viterbi_is_the_best_path(span):
+    costs = model()
+
+    def price(path):
+        total, a, b = 0.0, 0, 0
+        for sign, cost in path:
+            total += cost
+            if sign:
+                c = int(tx.classes(sign)[0])
+                total, a, b = total + costs[a, b, c], b, c
+        return total
+
+    paths = list(itertools.product(*tx.lattice(span), [(" ", 0.0)]))
+    best = min(map(price, paths))
+    decoded = tx.decode(span, costs)
+    assert any(abs(price(p) - best) < 1e-9 and "".join(s for s, _ in p)[:-1] == decoded for p in paths)
+
+
+def test_disguises_are_restored(spark):
+    costs = model()
+    for seen in ("1d10t", "i d i o t", "i.d.i.o.t", "idiiiiot", "!diot"):
+        assert tx.restore(f"the {seen} said", costs) == ("the !diot said" if seen == "!diot" else "the idiot said")
+    assert tx.restore("the thing said that it is not 12 or 300", costs) == "the thing said that it is not 12 or 300"
+    assert tx.restore(None, costs) == "" and tx.restore("x" * 50_000 + " é", costs)
+    docs = frame(spark, [(1, None, "en"), (2, "", "en"), (2, "", "en")])
+    assert sorted(r.restored for r in tx.restored_texts(docs).collect()) == ["", "", ""]
+
+
+def test_toxic_documents_are_found(spark):
+    rng = random.Random(6)
+    clean = ["".join(rng.choices("abcdefgiklmnorstu", k=rng.randint(2, 7))) for _ in range(400)]
+    bad = ["idiot", "clown", "moron", "stupid"]
+    hidden = ["1d10t", "cl0wn", "m o r o n", "stuuuupid"]
+    rows, labels = [], []
+    for i in range(1500):
+        words, toxic = rng.choices(clean, k=rng.randint(3, 80)), i % 6 == 0
+        if toxic:
+            words.insert(rng.randrange(len(words)), rng.choice(hidden if i % 12 == 0 else bad))
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, int(toxic)))
+    rows += [(None, None, "en"), (None, "", "en"), (3, rows[3][1], "en")]
+    labels += [(3, 0), (None, 1), (4, None)]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = tx.toxicity(frame(spark, rows), marks).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    truth = {i: t for i, t in labels if i is not None and t is not None}
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.97
+    # labels of the held-out fold change nothing
+    flipped = [(i, 1 - t if i is not None and t is not None and crc32(str(i).encode()) % 5 == 0 else t)
+               for i, t in labels]
+    again = tx.toxicity(frame(spark, rows), spark.createDataFrame(flipped, "doc_id long, toxic int")).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_empty_tables(spark):
+    docs, marks = frame(spark, []), spark.createDataFrame([], "doc_id long, toxic int")
+    assert sv.spelling_variants(docs).count() == 0 and pcs.collocations(docs).count() == 0
+    assert tx.toxicity(docs, marks).count() == 0 and tx.restored_texts(docs).count() == 0
+    some = frame(spark, [(1, "a text", "en")])
+    assert [r.score for r in tx.toxicity(some, marks).collect()] == [0.5]
