@@ -31,7 +31,7 @@ MIN_TOXIC = 3  # toxic documents that must hold a sign
 PRIOR_WEIGHT = 4.0
 THRESHOLD = 0.5
 N_STATISTICS = 7
-MEMO_TOKENS = 100_000
+MEMO_TOKENS = 300_000
 MEMO_LENGTH = 48  # longer tokens are not remembered
 LM_SMOOTHING = 0.5
 # The letters a sign may stand for.
@@ -41,7 +41,7 @@ SEPARATORS = " .-_*"
 REPLACED, SEPARATED, REPEATED = 1.5, 0.5, 0.5  # costs of the channel, in nats
 LETTER = "a-zà-öø-ÿ"
 SPACED = re.compile(rf"(?<!\S)[{LETTER}0-9@$!|+](?:[ .\-_*][{LETTER}0-9@$!|+]){{2,}}(?![^\s.,;:!?])")
-MIXED = re.compile(rf"[{LETTER}][0-9@$!|+]+[{LETTER}]|^[0-9@$|+]+[{LETTER}]{{2}}|[{LETTER}]{{2}}[0-9@$|+]+$")
+MIXED = re.compile(rf"[{LETTER}][0-9@$!|+]+[{LETTER}]|^[0-9@$|+]+[{LETTER}]{{2}}|[{LETTER}]{{2}}[0-9@$|+]{{1,2}}$")
 STRETCHED = re.compile(rf"([{LETTER}])\1\1")
 CLASSES = 32  # of the language model: blank, a-z, digit, other letter, other sign
 _CLASS = np.full(256, 29, dtype=np.int64)
@@ -134,7 +134,9 @@ def decode(span: str, costs: np.ndarray) -> str:
 
 
 def restore_token(token: str, costs: np.ndarray) -> str:
-    return decode(token, costs) if MIXED.search(token) or STRETCHED.search(token) else token
+    if STRETCHED.search(token) or (not token.isalpha() and MIXED.search(token)):
+        return decode(token, costs)
+    return token
 
 
 def joined(text: str, costs: np.ndarray) -> str:
@@ -148,12 +150,22 @@ def restore(text: str | None, costs: np.ndarray) -> str:
     return re.sub(r"\S+", lambda m: restore_token(m[0], costs), joined(text or "", costs))
 
 
+WORD = re.compile(r"[^\W_]+")
+
+
 def signs(token: str) -> list[int]:
-    """Hashes of a restored token's words and of their first four to six letters."""
+    """Hashes of a restored token's words and of their first four to six bytes."""
+    bare = token.strip(".,;:!?")
     out = []
-    for word in re.findall(r"[^\W_]+", token):
-        out.append(crc32(word.encode()))
-        out += [crc32(f"{k}^{word[:k]}".encode()) for k in (4, 5, 6) if len(word) >= k]
+    for word in (bare,) if bare.isalpha() else WORD.findall(bare):
+        data = word.encode()
+        out.append(crc32(data))
+        if len(data) >= 4:
+            out.append(crc32(data[:4], 4))
+            if len(data) >= 5:
+                out.append(crc32(data[:5], 5))
+                if len(data) >= 6:
+                    out.append(crc32(data[:6], 6))
     return out
 
 
@@ -290,7 +302,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
             .where(F.col("toxic") * (1 - share) > F.col("clean") * share)
             .orderBy((F.col("toxic") / (F.col("clean") + 1)).desc(), "sign").limit(LEXICON))
     lexicon = {r["sign"]: (r["toxic"], r["clean"]) for r in kept.collect()}
-    fit = statistics(train, costs, lexicon, share, "y").limit(FIT_ROWS).toPandas()
+    if seen["n"] > FIT_ROWS:  # ids that repeat in the documents
+        train = train.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(seen["n"])) < FIT_ROWS)
+    fit = statistics(train, costs, lexicon, share, "y").select("y", "x").toPandas()
     x = np.array(fit["x"].tolist())
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     w = logistic((x - mean) / scale, fit["y"].to_numpy(dtype=float))
