@@ -4,8 +4,8 @@ Physical strategy is left to Catalyst and AQE: with adaptive execution on, a
 side whose *measured* shuffle output is under the broadcast threshold is
 re-planned as a broadcast hash join, everything else stays sort-merge, and
 skewed partitions of a hot key are split. An explicit ``broadcast`` is used
-only for sides whose size is bounded by construction (a district's schools, a
-one-year calendar, a table with fewer rows than there are partitions).
+only for sides whose size is bounded by construction (a one-year calendar, a
+table with at most two rows a partition).
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sources.sinks import materialize
-
 def join_ci(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
             how: str = "inner") -> DataFrame:
     """Join on ``LOWER(left_key) = LOWER(right_key)`` (J4). The lowered keys
@@ -83,20 +81,89 @@ def anti_null_aware(df: DataFrame, other: DataFrame, left_key: str,
     * otherwise: rows whose key is not NULL and not in the subquery.
 
     Spark plans ``NOT IN`` as a null-aware anti join only when it can
-    broadcast the subquery, and as a nested-loop join otherwise. Here the
-    subquery's distinct keys are computed once and written to the shared
-    folder; two counts over that small set (a single row to the driver) pick
-    the case, and the general case is a shuffled ``left_anti`` against the
-    written keys, so the subquery is never evaluated twice.
+    broadcast the subquery, and as a nested-loop join otherwise. Here the case is
+    picked inside the plan: two uncorrelated scalar subqueries (has the
+    subquery any row, has it a NULL) guard the rows, and a shuffled ``left_anti``
+    on the distinct keys does the rest. Nothing runs while the plan is built.
+    """
+    keys = distinct_keys(other, right_key or left_key, "__anti_k")
+    empty = keys.agg((F.count(F.lit(1)) == 0).alias("e")).scalar()
+    holds_null = keys.agg((F.count(F.lit(1)) > F.count("__anti_k")).alias("h")).scalar()
+    probe = df.where(empty | (~holds_null & F.col(left_key).isNotNull()))
+    return probe.join(keys, F.col(left_key) == F.col("__anti_k"), "left_anti")
+
+
+BLOOM_BITS = 1 << 23  # 1 MB: 1 % of other keys pass at 700,000 keys, 5 % at 1.5 million
+
+
+def _slots(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(bits)) for seed in range(4)]
+
+
+def _bit(slot: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int"))
+
+
+def may_hold(keys: DataFrame, key: str, tested: str, bits: int = BLOOM_BITS) -> Column:
+    """A condition that is true for every row whose ``tested`` column is a ``keys.key``
+    and, at the stated rate, for few others: a Bloom filter for the scan of a large table.
+
+    The filter is one value of ``bits / 8`` bytes, an uncorrelated scalar subquery made
+    of built-in functions: set bits are ORed per 64-bit word with partial aggregates, so
+    neither driver nor task holds the keys. With more than half of its bits set it
+    would let most rows through, so it is not used then (every row passes). An exact
+    semi or inner join has to follow; the filter only keeps rows out of its shuffle.
+    """
+    slots = keys.where(F.col(key).isNotNull()).select(F.explode(F.array(*_slots(F.col(key), bits))).alias("s"))
+    words = slots.groupBy(F.floor(F.col("s") / 64).alias("w")).agg(F.bit_or(_bit(F.col("s"))).alias("m"))
+    every = keys.sparkSession.range(bits // 64).select(F.col("id").alias("i"))
+    dense = every.join(words, F.col("i") == F.col("w"), "left").select("i", F.coalesce("m", F.lit(0)).alias("m"))
+    field = dense.agg(
+        F.sum(F.bit_count("m")).alias("n"),
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("f"))
+    field = field.select(F.when(F.col("n") * 2 <= bits, F.col("f")).alias("f")).scalar()
+    held = None
+    for slot in _slots(F.col(tested), bits):
+        # from bit 0 to the slot's word, then the slot's bit
+        hit = F.get(field, F.floor(slot / 64).cast("int")).bitwiseAND(_bit(slot)) != 0
+        held = hit if held is None else held & hit
+    return F.coalesce(held, F.col(tested).isNotNull())
+
+
+def semi_filtered(df: DataFrame, other: DataFrame, left_key: str, right_key: str | None = None,
+                  bits: int = BLOOM_BITS) -> DataFrame:
+    """``semi`` with a Bloom filter on the scan of ``df`` first. ``other`` is read twice:
+    pass it written or cheap."""
+    return semi(df.where(may_hold(other, right_key or left_key, left_key, bits)), other, left_key, right_key)
+
+
+def join_salted(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
+                rows_per_salt: int = 500_000) -> DataFrame:
+    """Equi-join whose hot keys of ``left`` are dealt over several tasks (``how`` is inner
+    or left).
+
+    Keys with more than ``rows_per_salt`` rows are counted (folded in the map tasks); there
+    are fewer of them than rows divided by that number. Their rows get a
+    salt by a hash of all columns and a random part, as many salts as they have that many
+    rows, and the matching rows of ``right`` are repeated once per salt. All other keys
+    have salt 0. ``left`` is read twice: pass it written or cheap. NULL keys match nothing and
+    are dealt over all tasks.
     """
-    keys = materialize(distinct_keys(other, right_key or left_key, "__anti_k"), "notin")
-    stats = keys.agg(F.count(F.lit(1)).alias("n"), F.count("__anti_k").alias("nn")).first()
-    if stats["n"] == 0:
-        return df
-    if stats["nn"] < stats["n"]:
-        return df.where(F.lit(False))
-    probe = df.where(F.col(left_key).isNotNull())
-    return probe.join(keys, probe[left_key] == keys["__anti_k"], "left_anti")
+    if how not in ("inner", "left"):
+        raise ValueError("inner or left")
+    hot = (left.where(F.col(left_key).isNotNull()).groupBy(F.col(left_key).alias("__hk"))
+           .agg(F.ceil(F.count(F.lit(1)) / rows_per_salt).alias("__salts")).where("__salts > 1"))
+    salts = F.coalesce(F.col("__salts"), F.lit(1))
+    dealt = (left.join(hot, F.col(left_key) == F.col("__hk"), "left")
+             .withColumn("__salt", F.when(F.col(left_key).isNull(), F.xxhash64(F.monotonically_increasing_id()))
+                         .otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), salts)))
+             .drop("__hk", "__salts"))
+    copies = (right.withColumnRenamed(right_key, "__rk").join(hot, F.col("__rk") == F.col("__hk"), "left")
+              .withColumn("__rsalt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+              .drop("__hk", "__salts"))
+    joined = dealt.join(copies, (F.col(left_key) == F.col("__rk")) & (F.col("__salt") == F.col("__rsalt")), how)
+    return joined.drop("__salt", "__rsalt").withColumnRenamed("__rk", right_key) \
+        if right_key != left_key else joined.drop("__salt", "__rsalt", "__rk")
 
 
 def left_join_filtered(left: DataFrame, right: DataFrame, on: Column | list,

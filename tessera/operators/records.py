@@ -34,11 +34,10 @@ def token_user_exists(requests: DataFrame, tokens: DataFrame, name: str = "pair_
 def lookup_value(requests: DataFrame, table: DataFrame, key: str, value: str, out: str,
                  default=None) -> DataFrame:
     """Per request: the value stored under ``key``, ``default`` when absent
-    (D3, D7). Only keys some request asks for are grouped (a semi join first);
-    a key stored twice resolves to its greatest value, a deterministic stand-in
-    for the source's "last row read wins"."""
-    wanted = table.join(requests.select(key).distinct(), key, "left_semi")
-    found = wanted.groupBy(key).agg(F.max(value).alias("__found"))
+    (D3, D7). The table is folded to one row a key first, inside each task, so a
+    hot key's rows never meet in one. A key stored twice resolves to its greatest
+    value, a deterministic stand-in for the source's "last row read wins"."""
+    found = table.groupBy(key).agg(F.max(value).alias("__found"))
     res = requests.join(found, key, "left")
     val = F.col("__found") if default is None else F.coalesce(F.col("__found"), F.lit(default))
     return res.withColumn(out, val).drop("__found")
@@ -91,14 +90,16 @@ def person_record(requests: DataFrame, persons: DataFrame, id_col: str = "id") -
 def persons_of_user(requests: DataFrame, persons: DataFrame, user_col: str = "userName") -> DataFrame:
     """``readPersons`` (D9): all persons whose ``descendant`` is the requested
     user, one per distinct id (the source collects ids into a set), in one
-    join instead of one query per id. Persons are filtered to the requested
-    users first, so only their rows are de-duplicated."""
-    users = requests.select(F.col(user_col).alias("descendant")).distinct()
-    matched = persons.join(users, "descendant", "left_semi")
+    join instead of one query per id. Persons are folded to one row per (descendant,
+    id) first, a shuffle that spreads a large family over the tasks; what is left of it
+    then meets the users in a join that the optimiser may broadcast or split."""
+    users = requests.select(F.col(user_col).alias("__user")).distinct()
     # one row per id, the smallest of a repeated id; columns keep their order
     rest = [c for c in persons.columns if c not in ("descendant", "id")]
-    one = matched.groupBy("descendant", "id").agg(F.min(F.struct(*rest)).alias("__one"))
-    return one.select("descendant", "id", "__one.*").select(*persons.columns)
+    one = (persons.where(F.col("descendant").isNotNull()).groupBy("descendant", "id")
+           .agg(F.min(F.struct(*rest)).alias("__one")))
+    return (one.join(users, F.col("descendant") == F.col("__user"), "left_semi")
+            .select("descendant", "id", "__one.*").select(*persons.columns))
 
 
 def append_person(table: DataFrame, rows: DataFrame, null_text: bool = False) -> DataFrame:

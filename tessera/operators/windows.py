@@ -44,14 +44,22 @@ def row_number(partition: Sequence[str | Column], order: Sequence[Column]) -> Co
 
 
 def first_last(df: DataFrame, partition: Sequence[str], order_col: str, tie: Sequence[str],
-               first_name: str = "taken_order", last_name: str = "rev_taken_order") -> DataFrame:
-    """Ascending and descending rank on the same partition (N3), each with the
-    split row number so a hot partition key is never gathered in one task.
+               first_name: str = "taken_order", last_name: str = "rev_taken_order",
+               num_partitions: int | None = None) -> DataFrame:
+    """Ascending and descending rank on the same partition (N3), NULLs of ``order_col``
+    last in both, from one split numbering: the reverse rank follows from the rows
+    after a row in its slice and in later slices, so there is one range shuffle and one
+    write. ``tie`` makes the order total; the reverse order reads it backwards.
     (Where only the rank-1 rows are needed, ``min_by`` / ``max_by`` aggregates
     are cheaper; see ``usage_by_student.lessons_per_student``.)"""
-    fwd = [asc(order_col), *[asc(c) for c in tie]]
-    rev = [desc(order_col), *[desc(c) for c in tie]]
-    return row_number_split(row_number_split(df, partition, fwd, first_name), partition, rev, last_name)
+    fixed, around = _slices(df, partition, [asc(order_col), *[asc(c) for c in tie]], num_partitions, order_col)
+    out = _with_offsets(fixed, around, partition)
+    valued = F.col("__vbefore") + F.col("__v") + F.col("__vafter")  # rows of the key with a value
+    rev = F.when(F.col(order_col).isNotNull(), F.col("__v") - F.col("__lrn") + 1 + F.col("__vafter")).otherwise(
+        valued + F.col("__n") - F.col("__lrn") + F.col("__after") - F.col("__vafter") + 1)
+    return (out.withColumn(first_name, (F.col("__lrn") + F.col("__before")).cast("bigint"))
+            .withColumn(last_name, rev.cast("bigint"))
+            .drop("__pid", "__lrn", "__n", "__v", *AROUND))
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order_col: str, tie: Sequence[str] = (),
@@ -92,31 +100,54 @@ def row_number_split(df: DataFrame, partition: Sequence[str], order: Sequence[Co
        result is written once to the shared folder, which fixes every row's
        partition id;
     3. a slice's offset is the number of rows of its key in earlier
-       partitions. Only a partition's first key can continue from an earlier
-       partition, so the offsets table has fewer rows than there are
-       partitions: a proven bound, and it is broadcast.
+       partitions. Only a partition's first and last key can lie in other
+       partitions as well, so the offsets table has at most two rows a
+       partition: a proven bound, and it is broadcast.
 
     ``order`` should end in a tie-break that makes it total, as with any
     deterministic row number.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fixed, around = _slices(df, partition, order, num_partitions)
+    out = _with_offsets(fixed, around, partition)
+    return (out.withColumn(name, (F.col("__lrn") + F.col("__before")).cast("bigint"))
+            .drop("__pid", "__lrn", "__n", "__v", *AROUND))
+
+
+AROUND = ["__before", "__vbefore", "__after", "__vafter"]
+
+
+def _slices(df: DataFrame, partition: Sequence[str], order: Sequence[Column], num_partitions: int | None = None,
+            value: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows range-partitioned on (key, order) and written, each with its partition
+    ``__pid``, its rank ``__lrn`` in its (partition, key) slice and the slice's rows
+    ``__n`` (``__v``: those with a ``value``); and, for slices whose key goes on in other
+    partitions, the rows before and after. Only a partition's first and last key can
+    go on, so that table has at most two rows a partition."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = list(partition)
-    ranged = (df.repartitionByRange(n, *[asc(k) for k in keys], *order)
-              .withColumn("__pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "__lrn", F.row_number().over(Window.partitionBy("__pid", *keys).orderBy(*order)))
-    fixed = materialize(local, "rank")
-    slices = fixed.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (slices.withColumn("__off", F.sum("__n").over(before))
-               .where(F.col("__off") > 0)
-               .select(F.col("__pid").alias("__opid"), *[F.col(k).alias(f"__ok{i}") for i, k in enumerate(keys)],
-                       "__off"))
+    slice_rows = Window.partitionBy("__pid", *keys)
+    counted = F.count(F.lit(1) if value is None else F.col(value))
+    fixed = materialize(
+        df.repartitionByRange(n, *[asc(k) for k in keys], *order).withColumn("__pid", F.spark_partition_id())
+        .withColumn("__lrn", F.row_number().over(slice_rows.orderBy(*order)))
+        .withColumn("__n", F.count(F.lit(1)).over(slice_rows)).withColumn("__v", counted.over(slice_rows)), "rank")
+    slices = fixed.groupBy("__pid", *keys).agg(F.first("__n").alias("__n"), F.first("__v").alias("__v"))
+    by_key = Window.partitionBy(*keys).orderBy("__pid")
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    after = by_key.rowsBetween(1, Window.unboundedFollowing)
+    none = F.lit(0).cast("bigint")
+    around = slices.select("__pid", *keys, *[
+        F.coalesce(F.sum(c).over(w), none).alias(a)
+        for a, c, w in zip(AROUND, ["__n", "__v"] * 2, [before, before, after, after])])
+    return fixed, around.where((F.col("__before") > 0) | (F.col("__after") > 0))
+
+
+def _with_offsets(fixed: DataFrame, around: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``fixed`` with its slices' rows around, 0 for keys that lie in one partition."""
+    offsets = around.select(F.col("__pid").alias("__opid"),
+                            *[F.col(k).alias(f"__ok{i}") for i, k in enumerate(keys)], *AROUND)
     cond = F.col("__pid") == F.col("__opid")
     for i, k in enumerate(keys):
         cond = cond & F.col(k).eqNullSafe(F.col(f"__ok{i}"))
-    out = fixed.join(F.broadcast(offsets), cond, "left")
-    rn = (F.col("__lrn") + F.coalesce(F.col("__off"), F.lit(0))).cast("bigint")
-    return out.withColumn(name, rn).drop("__pid", "__lrn", "__opid", "__off",
-                                         *[f"__ok{i}" for i in range(len(keys))])
+    return (fixed.join(F.broadcast(offsets), cond, "left")
+            .fillna(0, AROUND).drop("__opid", *[f"__ok{i}" for i in range(len(keys))]))
