@@ -72,6 +72,16 @@ from duck_oracle.workloads import CAMPAIGN_CASE, SUBJECTS, grade_number  # noqa:
 Q = ORACLE_SQL
 
 Q["scan_table"] = "SELECT * FROM orders"
+Q["scan_catalog_table"] = Q["scan_table"]
+Q["join_bloom_semi"] = """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+                     WHERE c.c_mktsegment = 'BUILDING')"""
+Q["join_salted"] = """
+SELECT l.l_orderkey, l.l_linenumber, p.p_brand FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey"""
+Q["join_bucketed"] = """
+SELECT o.o_orderkey, o.o_orderpriority, count(*) AS n_lines, max(l.l_quantity) AS max_quantity
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey, o.o_orderpriority"""
 Q["filter_month"] = sql("SELECT * FROM customer_orders WHERE month(order_date) = 5", *SHOP)
 Q["semi_join"] = sql("""
 SELECT customer_id, name FROM customers
@@ -312,6 +322,10 @@ _DELETE = """
 SELECT * FROM auth_token WHERE userName NOT IN (SELECT userName FROM delete_users)"""
 Q["delete_by_key"] = sql(_DELETE, "auth_token", "delete_users")
 Q["sink_overwrite"] = Q["delete_by_key"]
+Q["sink_refresh_in_place"] = Q["delete_by_key"]
+Q["sink_drop"] = sql("""
+SELECT userName, count(*) AS tokens, CAST(0 AS BIGINT) AS tokens_left FROM auth_token GROUP BY userName""",
+                     "auth_token")
 Q["person_exists"] = sql("""
 SELECT r.*, EXISTS (SELECT 1 FROM person p WHERE p.id = r.id AND p.descendant = r.descendant)
          AS person_exists

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from tessera import fixed as fx
 from tessera.functions.dates import in_window
 from tessera.functions.text import like_ci, not_like_ci
-from tessera.operators.joins import join_ci
+from tessera.operators.joins import join_ci, may_hold
 from tessera.operators.windows import asc, desc, row_number_split
-from tessera.plans.rosters import guid_roster, with_multiplicity
+from tessera.plans.rosters import ROSTER_BITS, guid_roster, with_multiplicity
 from tessera.sources.params import Params
+from tessera.sources.sinks import materialize
 
 OUTPUT = ["Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
           "Lesson_Number", "DateTime", "Order_Num", "Name", "Skill", "NumPossible",
@@ -64,9 +65,11 @@ def lessons(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame, lesson_
     over all output columns."""
     carried = [c for c in ("m",) if c in roster.columns]
     studs = roster.select("Student_GUID", "SqlStudentDocumentId", *carried)
-    ldata = completed_lessons(history, p)
+    known = lambda table: table.where(  # noqa: E731 - rows of other districts stay out of the shuffles
+        may_hold(roster, "SqlStudentDocumentId", "SqlStudentDocumentId", ROSTER_BITS))
+    ldata = known(completed_lessons(history, p))
     cat = spanish_catalogue(seq_nodes, lesson_nodes, strands)
-    sc = spanish_scores(scores, p).select(
+    sc = known(spanish_scores(scores, p)).select(
         "SqlStudentDocumentId", "Lesson", "Skill", "NumPossible", "NumCorrect", "Mastered",
         F.col("DateTime").alias("sc_date"), "Activity")
     j = join_ci(studs.join(ldata, "SqlStudentDocumentId"), cat, "Lesson", "NodeGUID")
@@ -98,7 +101,9 @@ def activity_scores(org: DataFrame, student_orgs: DataFrame, students: DataFrame
     # student, so the roster is read once: its multiplicity m rides along with
     # the rows and each row is emitted m times (m is bounded by the schools a
     # student belongs to).
-    roster = with_multiplicity(guid_roster(org, student_orgs, students, documents, p.district))
+    # It is written once: the lessons join it, and its Bloom filter meets both fact scans.
+    roster = materialize(with_multiplicity(guid_roster(org, student_orgs, students, documents, p.district)),
+                         "roster")
     b = lessons(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
     copies = F.lit(1) if dedupe_roster else F.col("m")
     out = (b.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))

@@ -31,7 +31,7 @@ from tessera.functions.dates import add_years, day_of_week, recent, year_end, ye
 from tessera.functions.numeric import typed_null
 from tessera.operators.aggs import mean_exact, revenue_to_pace
 from tessera.operators.joins import expand_dates
-from tessera.operators.sets import union_all, union_distinct
+from tessera.operators.sets import union_all
 from tessera.operators.windows import share_of_total
 from tessera.sources.sinks import materialize
 
@@ -65,16 +65,21 @@ def future_calendar(source: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def month_calendar(source: DataFrame, as_of: dt.date, full_year: bool = False) -> DataFrame:
-    """``SELECT DISTINCT * FROM (ytd UNION ALL future)`` (U3): only dates seen
-    in the source this year or last year, as the source builds it.
+    """The year's dates as seen in the source (U3): its dates of this year, and those of
+    last year moved forward one year (29 February lands on 28 February), each once,
+    with weekday and month. One scan: both years are one date range, which can prune
+    files, every date is moved or kept, and one DISTINCT runs over the result.
     ``full_year=True`` instead lists every day of the year with ``sequence``
     (the source's evident intent, independent of gaps in the data)."""
     if full_year:
         days = source.sparkSession.range(1).select(
             F.explode(F.sequence(F.lit(year_start(as_of)), F.lit(year_end(as_of)))).alias("future_date"))
-        return days.select("future_date", day_of_week("future_date").alias("dayofweek"),
-                           F.month("future_date").alias("month"))
-    return union_distinct(ytd_calendar(source, as_of), future_calendar(source, as_of))
+    else:
+        d, first = F.col("date"), F.lit(year_start(as_of))
+        days = (source.where(d.between(F.lit(_one_year_earlier(year_start(as_of))), F.lit(year_end(as_of))))
+                .select(F.when(d < first, add_years(d, 1)).otherwise(d).alias("future_date")).distinct())
+    return days.select("future_date", day_of_week("future_date").alias("dayofweek"),
+                       F.month("future_date").alias("month"))
 
 
 def days_in_month(calendar: DataFrame) -> DataFrame:
@@ -189,6 +194,22 @@ def dayofweek_budget(weights: DataFrame, budget_rows: DataFrame) -> DataFrame:
             .withColumn("reforecast_daily_target", w * F.col("current_reforecast")))
 
 
+def dated_targets(calendar: DataFrame, shares: DataFrame, targets: DataFrame) -> DataFrame:
+    """Every calendar date with the targets of its weekday and month, one row a brand
+    (J10): the calendar, at most 366 rows, is broadcast to the targets instead of a
+    LEFT join on 84 keys. A date without targets is one on whose weekday no brand
+    has a click (an anti join on seven values); it stays with NULL targets."""
+    cal = calendar.select("future_date", F.col("dayofweek").alias("__dow"), F.col("month").alias("__mon"))
+    wanted = ["Brand", "budget_daily_target", "reforecast_daily_target"]
+    dated = (targets.join(F.broadcast(cal), (F.col("dayofweek") == F.col("__dow")) & (F.col("month") == F.col("__mon")))
+             .select("future_date", "dayofweek", "month", *wanted))
+    seen = shares.select(F.col("dayofweek").alias("__seen")).distinct()
+    types = dict(targets.dtypes)
+    bare = (calendar.join(F.broadcast(seen), F.col("dayofweek") == F.col("__seen"), "left_anti")
+            .select("future_date", "dayofweek", "month", *[F.lit(None).cast(types[c]).alias(c) for c in wanted]))
+    return dated.unionByName(bare)
+
+
 def budget_forecast(calendar_source: DataFrame, revenue: DataFrame, clicks: DataFrame,
                     budget: DataFrame, as_of: dt.date, sort: bool = True,
                     full_year_calendar: bool = False, write_budget: bool = False) -> DataFrame:
@@ -207,24 +228,25 @@ def budget_forecast(calendar_source: DataFrame, revenue: DataFrame, clicks: Data
     budget_rows = monthly_budget(budget, as_of)
     if write_budget:
         budget_rows = materialize(budget_rows, "budget")
-    targets = dayofweek_budget(daily_weights(weekday_shares(clicks, as_of), days_in_month(cal)),
-                               budget_rows)
+    # at most seven rows a brand; read by the targets and by the dates without any
+    shares = materialize(weekday_shares(clicks, as_of), "shares")
+    targets = dayofweek_budget(daily_weights(shares, days_in_month(cal)), budget_rows)
     forecast = revenue_with_forecast(actual_revenue(revenue, cal, budget_rows, as_of), as_of)
 
-    a = cal.alias("a")
-    b = targets.alias("b")
-    c = budget_rows.alias("c")
-    d = forecast.alias("d")
-    out = (a.join(b, (F.col("a.dayofweek") == F.col("b.dayofweek")) & (F.col("a.month") == F.col("b.month")), "left")
-            .join(c, (F.col("b.Brand") == F.col("c.brand_domain")) & (F.col("a.month") == F.col("c.month")), "left")
-            .join(d, (F.col("d.event_date") == F.col("a.future_date")) & (F.col("b.Brand") == F.col("d.Brand")), "left")
-            .select(F.col("b.Brand").alias("Brand"),
-                    F.col("a.future_date").alias("event_date"),
-                    F.col("a.dayofweek").cast("bigint").alias("dayofweek"),
-                    F.col("b.budget_daily_target").alias("budget_daily_target"),
-                    F.col("c.budget").cast("double").alias("total_budget"),
-                    F.col("b.reforecast_daily_target").alias("reforecast_daily_target"),
-                    F.col("c.current_reforecast").cast("double").alias("total_reforecast"),
-                    F.col("d.actual_revenue").alias("actual_revenue"),
-                    F.col("d.actual_plus_forecast_revenue").alias("actual_plus_forecast_revenue")))
+    a = dated_targets(cal, shares, targets)
+    c = budget_rows.select(F.col("brand_domain").alias("__cb"), F.col("month").alias("__cm"),
+                           "budget", "current_reforecast")
+    d = forecast.select(F.col("event_date").alias("__de"), F.col("Brand").alias("__db"),
+                        "actual_revenue", "actual_plus_forecast_revenue")
+    out = (a.join(c, (F.col("Brand") == F.col("__cb")) & (F.col("month") == F.col("__cm")), "left")
+            .join(d, (F.col("__de") == F.col("future_date")) & (F.col("Brand") == F.col("__db")), "left")
+            .select("Brand",
+                    F.col("future_date").alias("event_date"),
+                    F.col("dayofweek").cast("bigint").alias("dayofweek"),
+                    "budget_daily_target",
+                    F.col("budget").cast("double").alias("total_budget"),
+                    "reforecast_daily_target",
+                    F.col("current_reforecast").cast("double").alias("total_reforecast"),
+                    "actual_revenue",
+                    "actual_plus_forecast_revenue"))
     return out.orderBy(F.col("Brand").asc_nulls_last(), F.col("event_date").asc_nulls_last()) if sort else out

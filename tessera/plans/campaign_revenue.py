@@ -11,11 +11,11 @@ source, day) and only the groups are joined to the name dimensions, then
 re-grouped on the names. Sums and counts compose over that (a name group is a
 union of id groups, and a duplicated dimension id multiplies a group's sums
 exactly as it would multiply its rows), so the result is the same as joining
-raw rows, while the dimension joins see groups instead of events. The affiliate's
-name is joined to the re-grouped result, so no aggregate runs on a hot affiliate's task. Clicks are
-pre-grouped on ``(id grain, transaction_id)`` so the distinct count stays
-exact. All aggregates are partial + final, so a hot affiliate is combined
-inside each task before any shuffle.
+raw rows, while the dimension joins see groups instead of events. Clicks are
+reduced to one row per (grain, transaction id), which counts 1 in the final sums,
+so the exact distinct count needs no grouping of its own. The report is grouped
+by affiliate id and named last: a hot affiliate is folded inside each task
+before the one shuffle of its groups, and no aggregate runs on a join's task.
 """
 
 from __future__ import annotations
@@ -153,6 +153,46 @@ def latest_campaigns(history: DataFrame) -> DataFrame:
     return campaign_lookup(history).where(F.col("rank") == 1).drop("rank")
 
 
+def events_by_id(conversions: DataFrame, clicks: DataFrame, advertisers: DataFrame, offers: DataFrame,
+                 from_date: dt.date | None = None) -> DataFrame:
+    """Both facts (U1) under their affiliate ids, as partial groups whose measures are
+    yet to be summed: conversions per id grain, clicks one row per transaction of a
+    name grain (a row without a transaction id counts 0). Advertisers and offers are
+    joined because names define which clicks are the same and ids that a
+    dimension repeats multiply sums."""
+    approved = _since(conversions, "conversion_time", from_date).where(F.col("status") == fx.W4_STATUS)
+    by_id = (raw_events(approved, "conversion_time", "cr_rev").groupBy(*ID_GRAIN)
+             .agg(F.count("transaction_id").alias("conversions"), F.sum("cr_rev").alias("revenue_cents")))
+    by_txn = (raw_events(_since(clicks, "click_time", from_date), "click_time", "cl_rev")
+              .groupBy(*ID_GRAIN, "transaction_id").agg(F.sum("cl_rev").alias("revenue_cents")))
+    names = [(advertisers, "advertiser_id", "id", {"company": "advertiser_name"}),
+             (offers, "offer_id", "id", {"name": "offer_name"})]
+    once = (with_names(by_txn, names).groupBy(*GROUP_GRAIN, "transaction_id")
+            .agg(F.sum("revenue_cents").alias("revenue_cents")))
+    keys = ["event_date", "affiliate_id", "affiliate_source", "affiliate_sub3", "affiliate_sub4"]
+    none = F.lit(0).cast("bigint")
+    return union_all(
+        with_names(by_id, names).select(*keys, none.alias("clicks"), "conversions", "revenue_cents"),
+        once.select(*keys, F.col("transaction_id").isNotNull().cast("bigint").alias("clicks"),
+                    none.alias("conversions"), "revenue_cents"))
+
+
+def report_by_id(events: DataFrame, affiliates: DataFrame) -> DataFrame:
+    """The report grain summed under affiliate ids, then named. An id that the dimension
+    holds m times under one name multiplies conversions and revenue by m, as a join
+    of rows would; clicks are distinct transactions and stay."""
+    by_id = (events.withColumn("campaign_id", campaign_id("affiliate_sub4", "affiliate_sub3"))
+             .groupBy("event_date", "affiliate_id", "affiliate_source", "campaign_id")
+             .agg(*[F.sum(c).alias(c) for c in ("clicks", "conversions", "revenue_cents")]))
+    names = (affiliates.groupBy(F.col("id").alias("__id"), F.col("company").alias("affiliate_name"))
+             .agg(F.count(F.lit(1)).alias("__m")))
+    named = by_id.join(names, F.col("affiliate_id") == F.col("__id"), "left")
+    times = F.coalesce("__m", F.lit(1))
+    return named.select(*FINAL_GRAIN, F.col("clicks").cast("bigint").alias("tune_clicks"),
+                        (F.col("conversions") * times).cast("bigint").alias("tune_conversions"),
+                        per_unit(F.col("revenue_cents") * times, fx.W4_CENTS_PER_UNIT).alias("tune_revenue"))
+
+
 def revenue_final(union: DataFrame) -> DataFrame:
     """Group on the parsed campaign id (A15). Revenue is the exact cent total
     divided once by 100 (the source sums ``cents / 100.0`` row by row; the
@@ -170,7 +210,7 @@ def campaign_revenue(conversions: DataFrame, clicks: DataFrame, advertisers: Dat
                      from_date: dt.date | None = dt.date(2023, 1, 1)) -> DataFrame:
     """The governed table: daily clicks, conversions and revenue per affiliate
     and campaign, with the campaign's newest name (NULL when unknown)."""
-    final = revenue_final(combined(conversions, clicks, advertisers, offers, affiliates, from_date))
+    final = report_by_id(events_by_id(conversions, clicks, advertisers, offers, from_date), affiliates)
     names = latest_campaigns(history)
     out = final.join(names, "campaign_id", "left")
     if from_date is not None:

@@ -9,8 +9,10 @@ the source uses that operator.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ from tessera.functions.dates import (between_dates, in_window, on_or_after, rece
 from tessera.functions.mapping import LESSON_STRANDS, grade_to_int, lesson_number, nz, subject_of
 from tessera.functions.numeric import as_double, per_unit
 from tessera.operators import quality, records
-from tessera.operators.joins import (anti, anti_null_aware, exists_flag, join_ci, left_join_filtered,
-                                     nested_in, semi, semi_chain)
+from tessera.operators.joins import (anti, anti_null_aware, exists_flag, join_ci, join_salted, left_join_filtered,
+                                     nested_in, semi, semi_chain, semi_filtered)
 from tessera.operators.windows import asc
 from tessera.plans import activity_scores as w1
 from tessera.plans import budget_forecast as w5
@@ -33,8 +35,9 @@ from tessera.plans.rosters import guid_roster, named_roster
 from tessera.sources import stand_ins as si
 from tessera.sources.params import (ACTIVITY_PARAMS, BUDGET_AS_OF, CAMPAIGN_FROM_DATE, LESSON_PARAMS,
                                     USAGE_PARAMS, as_date)
-from tessera.sources.sinks import create_table_as, register_view, unique_name, write_table
-from tessera.sources.tables import Tables, load
+from tessera.sources.sinks import (create_table_as, drop_table, materialize, read_table, register_view,
+                                   save_table, table_path, unique_name, write_table)
+from tessera.sources.tables import Tables, attach, load, load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -106,6 +109,13 @@ def _scan(t):
     return load(t.spark, t.sf_dir, "orders")
 
 
+@register("scan_catalog_table")
+def _scan_catalog(t):
+    """``SELECT *`` of a table by its two-part catalog name."""
+    database = f"tessera_{zlib.crc32(t.sf_dir.encode()):08x}"
+    return load_table(t.spark, attach(t.spark, t.sf_dir, "orders", database))
+
+
 @register("filter_month")
 def _filter_month(t):
     """``MONTH(order_date) = 5``."""
@@ -882,6 +892,63 @@ def _sink_overwrite(t):
                        name, mode="overwrite")
 
 
+@register("sink_refresh_in_place")
+def _sink_refresh(t):
+    """A stored table refreshed from itself: a delete whose input is the table it
+    replaces (S5, D5)."""
+    name = unique_name("authToken")
+    write_table(si.auth_tokens(t), name)
+    return write_table(records.delete_by_key(read_table(t.spark, name), si.delete_users(t), "userName"), name)
+
+
+@register("sink_drop")
+def _sink_drop(t):
+    """A published table before and after ``DROP TABLE IF EXISTS``, dropped twice."""
+    name = f"auth_token_{zlib.crc32(t.sf_dir.encode()):08x}"
+    drop_table(t.spark, name)
+    write_table(si.auth_tokens(t), name)
+    before = create_table_as(read_table(t.spark, name).groupBy("userName").agg(
+        F.count(F.lit(1)).alias("tokens")), unique_name("counts"))
+    drop_table(t.spark, name)
+    drop_table(t.spark, name)
+    try:
+        left = read_table(t.spark, name).count()
+    except AnalysisException:
+        left = 0
+    return before.withColumn("tokens_left", F.lit(left).cast("bigint"))
+
+
+@register("join_bloom_semi")
+def _join_bloom_semi(t):
+    """``IN`` with the subquery's Bloom filter on the fact scan, then the exact semi join (J13):
+    order lines of one market segment's customers."""
+    builders = t.customer.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    orders = semi_filtered(t.orders, builders, "o_custkey", "c_custkey").select("o_orderkey")
+    return (semi_filtered(t.lineitem, materialize(orders, "keys"), "l_orderkey", "o_orderkey")
+            .select("l_orderkey", "l_linenumber", "l_quantity"))
+
+
+@register("join_salted")
+def _join_salted(t):
+    """Join with counted salts on hot keys (J7): lines with their part, hot parts dealt
+    over several tasks."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    return join_salted(lines, t.part.select("p_partkey", "p_brand"), "l_partkey", "p_partkey", "left",
+                       rows_per_salt=20).select("l_orderkey", "l_linenumber", "p_brand")
+
+
+@register("join_bucketed")
+def _join_bucketed(t):
+    """Join and grouping of two tables bucketed on the order key, without an exchange."""
+    database = f"tessera_b{zlib.crc32(t.sf_dir.encode()):08x}"
+    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{table_path(t.spark, database)}'")
+    lines = save_table(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"),
+                       [database, "lines"], 8, ["o_orderkey"])
+    orders = save_table(t.orders.select("o_orderkey", "o_orderpriority"), [database, "orders"], 8, ["o_orderkey"])
+    return (orders.join(lines, "o_orderkey").groupBy("o_orderkey", "o_orderpriority")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_quantity").alias("max_quantity")))
+
+
 @register("sink_append")
 def _sink_append(t):
     """Append of the accepted batch rows, matched by column name."""

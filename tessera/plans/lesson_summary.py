@@ -14,11 +14,12 @@ from tessera import fixed as fx
 from tessera.functions.dates import in_window
 from tessera.functions.mapping import LESSON_STRANDS, lesson_number, subject_of
 from tessera.operators.aggs import activity_score, count_if, mean_exact
-from tessera.operators.joins import join_ci
+from tessera.operators.joins import join_ci, may_hold
 from tessera.operators.windows import desc, row_number_split
 from tessera.plans.activity_scores import completed_lessons
-from tessera.plans.rosters import guid_roster, with_multiplicity
+from tessera.plans.rosters import ROSTER_BITS, guid_roster, with_multiplicity
 from tessera.sources.params import Params
+from tessera.sources.sinks import materialize
 
 # Scores are kept to twelve decimal places.
 SCORE_TYPE = "decimal(18,12)"
@@ -45,17 +46,21 @@ def lesson_rows(roster: DataFrame, history: DataFrame, seq_nodes: DataFrame,
     accuracy)."""
     carried = [c for c in ("m",) if c in roster.columns]
     studs = roster.select("Student_GUID", "SqlStudentDocumentId", *carried)
-    ldata = completed_lessons(history, p, end_plus_days=1)
+    known = lambda table: table.where(  # noqa: E731 - rows of other districts stay out of the shuffles
+        may_hold(roster, "SqlStudentDocumentId", "SqlStudentDocumentId", ROSTER_BITS))
+    ldata = known(completed_lessons(history, p, end_plus_days=1))
     nodes = lesson_nodes.where(F.col("StrandID").isin(*LESSON_STRANDS))
     cat = seq_nodes.join(nodes, "NodeID").join(strands.select("StrandID"), "StrandID")
-    sc = activity_ratios(scores, p)
-    j = join_ci(studs.join(ldata, "SqlStudentDocumentId"), cat, "Lesson", "NodeGUID")
-    j = j.join(sc, ["SqlStudentDocumentId", "Lesson"], "left")
     # decimals: sums do not depend on row order, and exactly 70 % passes
     exact = F.col("Activity_Score").cast(SCORE_TYPE)
-    g = j.groupBy(*GROUP, *carried).agg(
+    sc = activity_ratios(known(scores), p).groupBy("SqlStudentDocumentId", "Lesson").agg(
         mean_exact(exact).alias("Lesson_Accuracy"),
         (F.sum(exact) >= F.lit(fx.W2_PASS_THRESHOLD).cast("decimal(3,2)") * F.count(exact)).alias("Lesson_Passed"))
+    j = join_ci(studs.join(ldata, "SqlStudentDocumentId"), cat, "Lesson", "NodeGUID")
+    # the mean is folded per (document, lesson) before the join; the grouping after it
+    # only removes repeated rows
+    g = (j.join(sc, ["SqlStudentDocumentId", "Lesson"], "left")
+         .select(*GROUP, *carried, "Lesson_Accuracy", "Lesson_Passed").distinct())
     return g.select(
         "Student_GUID", "SqlStudentDocumentId", "Lesson", "SatisfiedReason", "LessonState",
         lesson_number("StrandID", "OrderID").cast("bigint").alias("Lesson_Number"),
@@ -137,7 +142,8 @@ def lesson_summary(org: DataFrame, student_orgs: DataFrame, students: DataFrame,
                    documents: DataFrame, history: DataFrame, seq_nodes: DataFrame,
                    lesson_nodes: DataFrame, strands: DataFrame, scores: DataFrame,
                    p: Params, dedupe_roster: bool = False) -> DataFrame:
-    roster = with_multiplicity(guid_roster(org, student_orgs, students, documents, p.district,
-                                           lower_match=True))
+    # written once: the lessons join it, and its Bloom filter meets both fact scans
+    roster = materialize(with_multiplicity(guid_roster(org, student_orgs, students, documents, p.district,
+                                                       lower_match=True)), "roster")
     rows = lesson_rows(roster, history, seq_nodes, lesson_nodes, strands, scores, p)
     return student_summary(rows, dedupe_roster=dedupe_roster)
