@@ -69,3 +69,59 @@ def test_ranked_keys_never_window_rows_over_the_bare_key(plans):
         specs = re.findall(r"windowspecdefinition\(([^)]*)\)", plans[key])
         by_key = [w for w in specs if w.startswith(part)]
         assert by_key and all("__pid" in w.split("ASC")[0] for w in by_key), by_key
+
+
+# ------------------------------------------------------------ joins as on a large cluster
+@pytest.fixture(scope="module")
+def wide(spark):
+    """Plans of the pipelines when no side is small enough to be broadcast by size."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = ("campaign_revenue", "lesson_summary", "activity_scores", "budget_forecast", "token_lookup",
+                "persons_of_user", "retail_q2")
+        return {k: plan_of(QUERIES[k](spark, SF_SMALL)) for k in keys}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def lines_above(plan: str, node: str) -> list[str]:
+    """The operators of each ``node`` line's input, nearest first, down to the next scan."""
+    out = []
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if node in line:
+            out.append("\n".join(lines[i + 1:i + 6]))
+    return out
+
+
+def test_report_groups_are_dealt_anew_before_the_affiliate_join(wide):
+    # the aggregate ends before the join: an exchange on the affiliate id lies between
+    joins = [x for x in lines_above(wide["campaign_revenue"], "SortMergeJoin [affiliate_id")]
+    assert joins and all("Exchange hashpartitioning(affiliate_id" in j for j in joins)
+
+
+def test_other_districts_rows_stay_out_of_the_shuffles(wide):
+    plan = wide["lesson_summary"]
+    tests = [x for x in plan.split("\n") if "Filter" in x and "ubquery" in x and "xxhash64" in x]
+    assert len(tests) >= 2  # the scores' and the history's scan
+
+
+def test_lookups_fold_before_they_join(wide):
+    # hot keys: a partial and a final aggregate below the join, none above the raw rows' semi join
+    for key in ("token_lookup", "persons_of_user"):
+        assert "HashAggregate" in wide[key] or "SortAggregate" in wide[key]
+        assert wide[key].count("LeftSemi") <= 1
+
+
+def test_the_calendar_is_broadcast_not_merged(wide):
+    assert "SortMergeJoin [dayofweek" not in wide["budget_forecast"]
+    assert "BroadcastHashJoin [dayofweek" in wide["budget_forecast"]
+
+
+def test_not_in_has_no_nested_loop(wide):
+    assert "LeftAnti" in wide["retail_q2"] and "NestedLoop" not in wide["retail_q2"]
+
+
+def test_the_calendar_reads_its_source_once(plans):
+    assert plans["union_distinct"].count("Scan parquet") <= 2  # lines and parts of the stand-in, once
