@@ -11,6 +11,7 @@ most words of a corpus repeat.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from functools import lru_cache
@@ -18,9 +19,8 @@ from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tessera.llm.common import MEMO_ENTRIES, map_batches, tokenizer_path
+from tessera.llm.common import map_batches, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -330,6 +330,7 @@ class Model:
         return "".join(out)
 
 
+MEMO_BYTES = 128 << 20  # of a worker's memo
 _MARKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _LINES = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
@@ -342,11 +343,14 @@ def _model(path: str | None) -> tuple[Model, dict]:
 
 
 def _learn(model: Model, memo: dict, texts: list[list[str]]) -> None:
-    """Puts all parts of ``texts`` into the memo (started afresh when full)."""
+    """Puts all parts of ``texts`` into the memo, which starts afresh when it would
+    outgrow ``MEMO_BYTES`` (the parts of one group of texts always fit in)."""
     missing = set().union(*texts).difference(memo) if texts else set()
-    if len(memo) + len(missing) > MEMO_ENTRIES:
+    held = memo.pop(None, 0)
+    if held + _weight(missing) > MEMO_BYTES:
         memo.clear()
-        missing = set().union(*texts)
+        held, missing = 0, set().union(*texts)
+    memo[None] = held + _weight(missing)
     missing = list(missing)
     sizes = model.source_sizes
     for part, ids in zip(missing, model.merge_many(missing)):
@@ -364,6 +368,11 @@ def _learn(model: Model, memo: dict, texts: list[list[str]]) -> None:
         memo[part] = (np.array([ids, begins, ends], dtype="<i4").T.tobytes(), at)
 
 
+def _weight(parts) -> int:
+    """Bytes that remembered parts take at most, about: objects, text, 12 a piece."""
+    return sum(320 + 14 * len(p) for p in parts)
+
+
 def _groups(texts, limit: int = 1 << 21):
     """Consecutive texts of about ``limit`` characters (bounds what is listed at once)."""
     group, size = [], 0
@@ -377,18 +386,57 @@ def _groups(texts, limit: int = 1 << 21):
         yield group
 
 
+def encode_texts(texts: list[str], model_path: str | None = None):
+    """(ids, begins, ends) of each text, as in ``encode``, in a worker."""
+    model, memo = _model(model_path)
+    normal = [model.normalise(t) for t in texts]
+    cut = [model.parts(n) for n, _ in normal]
+    _learn(model, memo, cut)
+    for text, (normalised, source), parts in zip(texts, normal, cut):
+        found = [memo[p] for p in parts]
+        got = np.frombuffer(b"".join([f[0] for f in found]), "<i4").reshape(-1, 3)
+        if source is None and SPACE not in text:  # parts lie one after the other
+            sizes = np.array([f[1] for f in found], dtype=np.int64)
+            n_ids = np.array([len(f[0]) // 12 for f in found], dtype=np.int64)
+            at = np.repeat(np.cumsum(sizes) - sizes - model.prefix, n_ids)
+            begins, ends = np.maximum(got[:, 1] + at, 0), np.maximum(got[:, 2] + at, 0)
+        else:
+            begins, ends = model.spans(text, normalised, source, got[:, 0].tolist())
+        yield got[:, 0], begins, ends
+
+
 def encode_digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text, by ``encode``
-    and ``decode``.
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256 of every whole text, by
+    the encoding of ``encode`` and the decoding of its ids, in one worker a task.
 
     Ids equal the library's without begin and end ids; the digests are those of
-    the ids in decimal joined by commas and of the decoded text. Null and empty
-    texts have no ids. Repeated rows stay repeated; no shuffle.
+    the ids in decimal joined by commas, of the decoded text, and of the spans
+    (all begins, then all ends, as little-endian 64-bit numbers). Null and empty
+    texts have no ids. Repeated rows stay repeated; no shuffle. A task holds one model,
+    a memo of bounded size and the ids of about two million characters.
     """
-    return decode(encode(docs, model_path), model_path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+    def rows(batch):
+        model, _ = _model(model_path)
+        done = 0
+        for texts in _groups(t.as_py() or "" for t in batch.column(1)):
+            out = {"doc_id": batch.column(0).slice(done, len(texts)), "n_tokens": [], "ids_sha256": [],
+                   "decoded_sha256": [], "spans_sha256": []}
+            done += len(texts)
+            for ids, begins, ends in encode_texts(texts, model_path):
+                ids = ids.tolist()
+                out["n_tokens"].append(len(ids))
+                out["ids_sha256"].append(_sha256(",".join(map(str, ids)).encode()))
+                out["decoded_sha256"].append(_sha256(model.decode(ids).encode()))
+                out["spans_sha256"].append(_sha256(np.concatenate([begins, ends]).astype("<i8").tobytes()))
+            yield out
+
+    return map_batches(docs.select("doc_id", "text"), rows,
+                       "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
+
+
+def _sha256(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
 
 
 def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
@@ -396,28 +444,11 @@ def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
     (UTF-8) it stands for. Null and empty texts have no ids."""
 
     def rows(batch):
-        model, memo = _model(model_path)
         done = 0
         for texts in _groups(t.as_py() or "" for t in batch.column(1)):
-            out = {"doc_id": batch.column(0).slice(done, len(texts)), "ids": [], "begins": [], "ends": []}
+            ids, begins, ends = zip(*encode_texts(texts, model_path))
+            yield {"doc_id": batch.column(0).slice(done, len(texts)), "ids": ids, "begins": begins, "ends": ends}
             done += len(texts)
-            normal = [model.normalise(t) for t in texts]
-            cut = [model.parts(n) for n, _ in normal]
-            _learn(model, memo, cut)
-            for text, (normalised, source), parts in zip(texts, normal, cut):
-                found = [memo[p] for p in parts]
-                got = np.frombuffer(b"".join([f[0] for f in found]), "<i4").reshape(-1, 3)
-                if source is None and SPACE not in text:  # parts lie one after the other
-                    sizes = np.array([f[1] for f in found], dtype=np.int64)
-                    n_ids = np.array([len(f[0]) // 12 for f in found], dtype=np.int64)
-                    at = np.repeat(np.cumsum(sizes) - sizes - model.prefix, n_ids)
-                    begins, ends = np.maximum(got[:, 1] + at, 0), np.maximum(got[:, 2] + at, 0)
-                else:
-                    begins, ends = model.spans(text, normalised, source, got[:, 0].tolist())
-                out["ids"].append(got[:, 0])
-                out["begins"].append(begins)
-                out["ends"].append(ends)
-            yield out
 
     return map_batches(docs.select("doc_id", "text"), rows, SPAN_SCHEMA)
 

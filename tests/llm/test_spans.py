@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
 import public_tokenizers
 
 from tessera.llm.sentence_pieces import Model, decode, encode, encode_digests
@@ -29,16 +32,45 @@ def test_sentence_pieces_with_a_character_map(spark, tmp_path):
                 assert text.encode()[b:e].decode().strip() == p.surface.strip()
 
 
-def test_sentence_digests_come_from_spans_and_decoding(docs, texts, monkeypatch):
-    from tessera.llm import sentence_pieces
-
-    seen = []
-    for name in ("encode", "decode"):
-        f = getattr(sentence_pieces, name)
-        monkeypatch.setattr(sentence_pieces, name, lambda *a, f=f, name=name: seen.append(name) or f(*a))
-    assert encode_digests(docs).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert seen == ["encode", "decode"]
+def test_sentence_digests_are_those_of_ids_spans_and_decoding(docs, texts):  # noqa: F811
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    encoded = {r.doc_id: r for r in encode(docs).collect()}
+    decoded = {r.doc_id: r.text for r in decode(encode(docs)).collect()}
+    got = encode_digests(docs).collect()
+    assert len(got) == len(encoded)
+    for r in got:
+        e = encoded[r.doc_id]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.spans_sha256) == (
+            len(e.ids), sha(",".join(map(str, e.ids)).encode()), sha(decoded[r.doc_id].encode()),
+            sha(np.array([*e.begins, *e.ends], "<i8").tobytes()))
     model = Model(public_tokenizers.path("piece_bpe_32k.model"))
-    for r in encode(docs).collect():  # remembered parts give the spans of the whole text
-        text = texts[r.doc_id]
-        assert model.spans(text, *model.normalise(text), r.ids) == (r.begins, r.ends)
+    for i, e in encoded.items():  # remembered parts give the spans of the whole text
+        assert model.spans(texts[i], *model.normalise(texts[i]), e.ids) == (e.begins, e.ends)
+
+
+def test_the_memo_stays_within_its_bytes(monkeypatch):
+    from tessera.llm import sentence_pieces as sp
+
+    monkeypatch.setattr(sp, "MEMO_BYTES", 20_000)
+    sp._model.cache_clear()
+    wanted = [f"word{i} and other{i} words" for i in range(200)]
+    first = [a.tolist() for t in wanted for a, _, _ in sp.encode_texts([t])]
+    _, memo = sp._model(None)
+    assert 0 < memo[None] <= 20_000 and len(memo) < 60
+    sp._model.cache_clear()
+    monkeypatch.setattr(sp, "MEMO_BYTES", 1 << 30)
+    assert [a.tolist() for a, _, _ in sp.encode_texts(wanted)] == first
+    sp._model.cache_clear()
+
+
+def test_sentence_pieces_of_an_empty_table_and_a_long_text(spark):
+    import sentencepiece
+
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert encode_digests(empty).count() == 0 and encode(empty).count() == 0
+    long = "many words " * 300_000 + "x" * 5000
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = encode_digests(spark.createDataFrame([(1, long), (None, None)], "doc_id long, text string")).collect()
+    want = lib.encode(long)
+    assert {r.doc_id: r.n_tokens for r in got} == {1: len(want), None: 0}
+    assert [r.ids_sha256 for r in got if r.doc_id] == [hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()]
