@@ -13,14 +13,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.sources.sinks import materialize
+from tessera.sources.sinks import materialize, release
 
-__all__ = ["MEMO_ENTRIES", "Memo", "components", "documents", "map_batches", "materialize",
-           "number_rows", "tokenizer_path"]
+__all__ = ["MEMO_ENTRIES", "Memo", "components", "documents", "hash_filter", "map_batches", "materialize",
+           "may_hold_hashes", "number_rows", "release", "tokenizer_path"]
 
 # Entries a worker's word memo may hold before it starts afresh (memory bound).
 MEMO_ENTRIES = 1_000_000
@@ -72,6 +73,61 @@ def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[dict]],
     return df.mapInArrow(run, schema)
 
 
+FILTER_LIMIT = 1 << 29  # bits (64 MB) of a hash filter
+FILTER_BLOCK = 1 << 16  # bits that one task of its union holds at a time
+
+
+def _filter_slots(hashes: np.ndarray, bits: int):
+    for shift in (0, 20, 37):
+        yield ((hashes.view(np.uint64) >> np.uint64(shift)) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def hash_filter(hashes: DataFrame, count: int) -> np.ndarray:
+    """A Bloom filter of a table of ``count`` 64-bit hashes (one long column), for
+    scan workers: 16 bits a hash, ``FILTER_LIMIT`` bits at most, whatever the table
+    holds; beyond that it lets more through. Tasks set bits, Spark ORs them block by
+    block, and only the bits reach the driver, to be broadcast."""
+    bits = min(FILTER_LIMIT, 1 << max(16, (16 * max(count, 1) - 1).bit_length()))
+    schema = pa.schema([("block", pa.int64()), ("field", pa.binary())])
+
+    def place(batches):
+        for batch in batches:
+            if len(batch):
+                at = np.unique(np.concatenate(list(_filter_slots(batch.column(0).to_numpy(), bits))))
+                parts = np.split(at, np.flatnonzero(np.diff(at // FILTER_BLOCK)) + 1)
+                fields = []
+                for part in parts:
+                    field = np.zeros(FILTER_BLOCK, np.uint8)
+                    field[part % FILTER_BLOCK] = 1
+                    fields.append(np.packbits(field, bitorder="little").tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(p[0] // FILTER_BLOCK) for p in parts]), pa.array(fields, pa.binary())], schema=schema)
+
+    def union(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, field in zip(batch.column(0).to_pylist(), batch.column(1)):
+                mine = held.setdefault(block, np.zeros(FILTER_BLOCK // 8, np.uint8))
+                mine |= np.frombuffer(field.as_buffer(), np.uint8)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.int64()), pa.array([f.tobytes() for f in held.values()], pa.binary())], schema=schema)
+
+    ddl = "block long, field binary"
+    out = np.zeros(bits // 8, np.uint8)
+    for row in hashes.mapInArrow(place, ddl).repartition("block").mapInArrow(union, ddl).toLocalIterator():
+        at = row["block"] * FILTER_BLOCK // 8
+        out[at:at + FILTER_BLOCK // 8] = np.frombuffer(row["field"], np.uint8)
+    return out
+
+
+def may_hold_hashes(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes the filter may hold; never False for one it was built of."""
+    found = np.ones(len(hashes), bool)
+    for at in _filter_slots(hashes, 8 * len(field)):
+        found &= field[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+    return found
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str,
                 rows_per_bucket: int = 20_000) -> DataFrame:
     """Gapless numbers from 0 within ``keys``, in the order of ``order``'s hash bucket.
@@ -127,8 +183,9 @@ def components(edges: DataFrame) -> DataFrame:
                             .select(F.col("b").alias("a"), F.col("m").alias("b")), "large")
         # small star: u and its smaller neighbours move to u's minimum
         low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-        edges = materialize(large.join(low, large.a == low.u).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        spent, edges = edges, materialize(large.join(low, large.a == low.u).select(F.col("b").alias("a"), F.col("m").alias("b"))
                             .union(low.select("u", "m")).where("a <> b").distinct(), "edges")
+        release(spent, large)
     roots = edges.select("b").distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select("b", "b"))

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_batches, materialize
+from tessera.llm.common import hash_filter, map_batches, materialize, may_hold_hashes, release
 
 LENGTH = 50
 GRAM = 16
@@ -213,22 +213,42 @@ def repeated_starts(pieces: list[bytes], owners: list[int]) -> list[tuple[int, i
 # -- the Spark jobs ---------------------------------------------------------
 
 
-CONTEXTS = "h long, c long, c2 long, doc long, tag int, first int, width int"
+CONTEXTS = "h long, c long, c2 long, doc long, tag long, first int, width int"
 
 
-def _context_rows(docs: DataFrame) -> DataFrame:
-    """One row per context. Rows of a batch that are equal but for their document and
-    place are all there; aggregates fold them before the shuffle."""
+def _tag(data: bytes) -> int:
+    """Length and CRC of a text's bytes: tells the rows of one doc_id apart. Rows that
+    agree in it and in the doc_id are taken for the same text."""
+    return len(data) << 32 | zlib.crc32(data)
+
+
+def _tag_column(data):
+    return F.shiftleft(F.octet_length(data).cast("long"), 32).bitwiseOR(F.crc32(data))
+
+
+def _context_rows(docs: DataFrame, repeated=None) -> DataFrame:
+    """One row per context; with the filter of ``repeated`` anchors, of those that it may
+    hold only, so the others leave no scan worker. Without it only (h, doc) are told, each
+    pair once a batch."""
+    shared = None if repeated is None else docs.sparkSession.sparkContext.broadcast(repeated)
+    names = ("h", "c", "c2", "doc", "tag", "first", "width") if shared else ("h", "low", "high")
 
     def rows(batch):
         parts, size = [], 0
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = (text.as_py() or "").encode()
+            if doc is None or len(data) < LENGTH:
+                continue
             h, c, c2, first, last = contexts(data)
-            if doc is not None and len(h):
-                parts.append((h.view(np.int64), c.view(np.int64), c2.view(np.int64), np.full(len(h), doc, np.int64),
-                              np.full(len(h), zlib.crc32(data) & 0xFFFF), first, last - first))
-                size += len(data)
+            if shared is None:
+                h = np.unique(h.view(np.int64))
+                parts.append((h, np.full(len(h), doc, np.int64)))
+            else:
+                keep = np.flatnonzero(may_hold_hashes(shared.value, h))
+                parts.append((h[keep].view(np.int64), c[keep].view(np.int64), c2[keep].view(np.int64),
+                              np.full(len(keep), doc, np.int64), np.full(len(keep), _tag(data), np.int64),
+                              first[keep], (last - first)[keep]))
+            size += len(data)
             if size >= BATCH_BYTES:
                 yield columns(parts)
                 parts, size = [], 0
@@ -236,34 +256,58 @@ def _context_rows(docs: DataFrame) -> DataFrame:
             yield columns(parts)
 
     def columns(parts):
-        return dict(zip(("h", "c", "c2", "doc", "tag", "first", "width"), map(np.concatenate, zip(*parts))))
+        found = list(map(np.concatenate, zip(*parts)))
+        if shared is None:  # smallest and largest document of each anchor of the batch
+            order = np.lexsort([found[1], found[0]])
+            h, doc = found[0][order], found[1][order]
+            heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else order
+            found = [h[heads], doc[heads], doc[np.concatenate([heads[1:], [len(h)]]) - 1] if len(h) else doc]
+        return dict(zip(names, found))
+
+    schema = CONTEXTS if shared else "h long, low long, high long"
+    return map_batches(docs.select("doc_id", "text"), rows, schema)
+
+
+def repeated_anchors(docs: DataFrame) -> DataFrame:
+    """(h) of the anchors that at least two documents hold, written."""
+    anchors = _context_rows(docs).groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    return materialize(anchors.where("low < high").select("h"), "anchors")
+
 
-    return map_batches(docs.select("doc_id", "text"), rows, CONTEXTS)
+def kept_contexts(docs: DataFrame) -> DataFrame:
+    """The contexts whose anchor two documents hold, written. Contexts are made twice:
+    the first pass only counts anchors, the second keeps what the filter of repeated
+    anchors lets through; the few that it lets through wrongly settle nothing."""
+    anchors = repeated_anchors(docs)
+    rows = materialize(_context_rows(docs, hash_filter(anchors, anchors.count())), "contexts")
+    release(anchors)
+    return rows
 
 
 def _findings(rows: DataFrame) -> DataFrame:
-    """(doc, tag, begin, end, anchor): settled byte ranges (anchor null) and open
-    contexts (with their anchor) of context rows.
+    """(doc, tag, begin, end, anchor), written: settled byte ranges (anchor null) and open
+    contexts (with their anchor) of written context rows.
 
     A context that a smaller document holds, too, is settled; one that no smaller
     document holds stays open if its anchor has other contexts in other documents.
     """
-    anchors = rows.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-    anchors = materialize(anchors.select(F.col("h").alias("_h")), "anchors")
-    rows = materialize(rows.join(anchors, F.col("h") == F.col("_h"), "left_semi"), "contexts")
     least = materialize(rows.groupBy("h", "c", "c2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")),
                         "least")
-    # folded before the shuffle, a row per anchor: whether it has several contexts
-    several = least.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("_h"))
-    least = least.join(several, F.col("h") == F.col("_h"), "left").withColumn("several", F.col("_h").isNotNull())
+    # folded before the shuffle, a row per anchor: whether it has several contexts, in several documents
+    several = (least.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("low"),
+                                      F.max("most").alias("high"))
+               .where("n > 1 AND low < high").select(F.col("h").alias("_h")))
+    marked = least.join(several, F.col("h") == F.col("_h"), "left").withColumn("several", F.col("_h").isNotNull())
     # contexts of one document whose anchor has no other one say nothing
-    told = materialize(least.where("several OR least < most").select(
+    told = materialize(marked.where("several OR least < most").select(
         F.col("h").alias("_h"), F.col("c").alias("_c"), F.col("c2").alias("_c2"), "least", "several"), "told")
     joined = rows.join(told, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")) & (F.col("c2") == F.col("_c2")))
-    return (joined.where("doc > least OR several").select(
+    found = materialize(joined.where("doc > least OR several").select(
         "doc", "tag", F.col("first").cast("long").alias("begin"),
         (F.col("first") + F.col("width") + LENGTH).cast("long").alias("end"),
-        F.when(F.col("doc") == F.col("least"), F.col("h")).alias("anchor")))
+        F.when(F.col("doc") == F.col("least"), F.col("h")).alias("anchor")), "found")
+    release(least, told)
+    return found
 
 
 def _merged(spans) -> list[list[int]]:
@@ -288,12 +332,13 @@ def _suffix_block(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """(doc, tag, begin, end): byte ranges to remove, possibly overlapping. tag is the
-    low half of the text's CRC, which tells rows of one doc_id apart."""
+    """(doc, tag, begin, end): byte ranges to remove, possibly overlapping. ``tag``
+    tells rows of one doc_id apart."""
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    found = materialize(_findings(_context_rows(docs)), "found")
-    source = docs.select(F.col("doc_id").alias("_id"), data.alias("_data"),
-                         (F.crc32(data) % 65536).cast("int").alias("_tag"))
+    rows = kept_contexts(docs)
+    found = _findings(rows)
+    release(rows)
+    source = docs.select(F.col("doc_id").alias("_id"), data.alias("_data"), _tag_column(data).alias("_tag"))
     # one copy of a repeated row is enough to read a context from
     wanted = found.where("anchor IS NOT NULL").distinct()
     opened = materialize(
@@ -307,7 +352,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     size = opened.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     sorted_ = (many.where("_a IS NULL").withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
-               .groupBy("block").applyInPandas(_suffix_block, "doc long, tag int, begin long, end long"))
+               .groupBy("block").applyInPandas(_suffix_block, "doc long, tag long, begin long, end long"))
     windows = (many.where("_a IS NOT NULL")
                .select("doc", "tag", "begin", "piece",
                        F.explode(F.expr(f"sequence(0, octet_length(piece) - {LENGTH})")).alias("at"))
@@ -333,8 +378,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     ranges = repeated_ranges(docs).groupBy("doc", "tag").agg(
         F.collect_list(F.struct("begin", "end")).alias("ranges"))
-    source = docs.select("doc_id", "text", (F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")) % 65536)
-                         .cast("int").alias("_tag"))
+    source = docs.select("doc_id", "text", _tag_column(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("_tag"))
     joined = source.join(ranges, (F.col("doc_id") == F.col("doc")) & (F.col("_tag") == F.col("tag")), "left")
 
     def rows(batch):
