@@ -215,9 +215,10 @@ class Model:
                     a, b = s[r[ok], to[ok]], s[r[ok], to[ok] + 1]
                     new = self._lookup(np.where(b < 0, -2, (a << 20) | b))
                     rank[r[ok], to[ok]], made[r[ok], to[ok]] = new
-            for row, i in enumerate(places):
-                symbols = done[row].tolist()
-                out[i] = self._ids(symbols[:symbols.index(-1)] if -1 in symbols else symbols, parts[i])
+            lengths = (done >= 0).sum(axis=1).tolist()
+            plain = (done < len(self.pieces)).all(axis=1).tolist()  # pieces only
+            for row, (i, symbols) in enumerate(zip(places, done.tolist())):
+                out[i] = symbols[:lengths[row]] if plain[row] else self._ids(symbols[:lengths[row]], parts[i])
         return out
 
     # -- normalising ------------------------------------------------------
@@ -299,38 +300,47 @@ class Model:
         if None not in texts:  # pieces only
             text = "".join(texts)
             return text[1:] if self.prefix and text.startswith(" ") else text
-        out, raw = [], bytearray()
-
-        def flush():
-            data = bytes(raw)
-            while data:
-                try:
-                    out.append(data.decode())
-                    break
-                except UnicodeDecodeError as bad:
-                    out.append(data[:bad.start].decode() + "�")
-                    data = data[bad.start + 1:]
-            raw.clear()
-
-        first = True
-        for i in ids:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-                first = False
-                continue
-            flush()
-            if i in self.silent:
-                continue
-            piece = " ⁇ " if i == self.unknown else self.pieces[i]
-            if first and self.prefix and piece.startswith(SPACE):
-                piece = piece[1:]
-            first = False
-            out.append(piece.replace(SPACE, " "))
-        flush()
-        return "".join(out)
-
-
-MEMO_BYTES = 128 << 20  # of a worker's memo
+        out, at = [], 0
+        while True:
+            try:
+                special = texts.index(None, at)
+            except ValueError:
+                break
+            out.append("".join(texts[at:special]))
+            at, raw = special, bytearray()
+            while at < len(ids) and texts[at] is None:
+                if ids[at] in self.byte_of:
+                    raw.append(self.byte_of[ids[at]])
+                else:
+                    out.append(_characters(raw))
+                    raw = bytearray()
+                    if ids[at] == self.unknown:
+                        out.append(" ⁇ ")
+                    elif ids[at] not in self.silent:
+                        out.append(self.pieces[ids[at]].replace(SPACE, " "))
+                at += 1
+            out.append(_characters(raw))
+        text = "".join([*out, *texts[at:]])
+        first = next((i for i in ids if i not in self.silent), None)
+        if self.prefix and first not in (None, self.unknown) and first not in self.byte_of:
+            return text[1:] if self.pieces[first].startswith(SPACE) else text
+        return text
+
+
+def _characters(raw: bytearray) -> str:
+    """The bytes as UTF-8; those that make no character become U+FFFD, one by one."""
+    out, data = [], bytes(raw)
+    while data:
+        try:
+            out.append(data.decode())
+            break
+        except UnicodeDecodeError as bad:
+            out.append(data[:bad.start].decode() + "�")
+            data = data[bad.start + 1:]
+    return "".join(out)
+
+
+MEMO_BYTES = 256 << 20  # of a worker's memo
 _MARKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _LINES = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
@@ -370,7 +380,7 @@ def _learn(model: Model, memo: dict, texts: list[list[str]]) -> None:
 
 def _weight(parts) -> int:
     """Bytes that remembered parts take at most, about: objects, text, 12 a piece."""
-    return sum(320 + 14 * len(p) for p in parts)
+    return sum(280 + 13 * len(p) for p in parts)
 
 
 def _groups(texts, limit: int = 1 << 21):
