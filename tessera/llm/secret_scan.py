@@ -138,14 +138,17 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None,
 
 def mask_secrets(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """``docs`` with every secret of a text replaced by ``mask`` (longest first) and
-    ``n_chars`` counted anew. Rows, other columns and texts without secrets stay."""
+    ``n_chars``, where there is one, counted anew. Rows, other columns (whatever they are
+    called) and texts without secrets stay; rows that share a doc_id share secrets;
+    rows without one have their text scanned under no id and share those."""
     secrets = materialize(scan_secrets(docs).where("secret").select("doc_id", "value").distinct(), "secrets")
-    each = materialize(secrets.groupBy("doc_id").agg(F.collect_set("value").alias("_values"))
-                       .withColumnRenamed("doc_id", "_id"), "secrets")
-    longest = F.array_sort("_values", lambda a, b: F.length(b) - F.length(a))
-    text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(
-        F.aggregate(longest, F.col("text"), lambda acc, v: F.replace(acc, v, F.lit(mask))))
-    return (docs.join(each, F.col("doc_id").eqNullSafe(F.col("_id")), "left").withColumn("_new", text)
-            .select(*[F.length("_new").cast(docs.schema["n_chars"].dataType).alias("n_chars")
-                      if c == "n_chars" else F.col("_new").alias("text") if c == "text" else F.col(c)
-                      for c in docs.columns]))
+    each = secrets.groupBy("doc_id").agg(F.collect_set("value").alias("found"))
+    each = materialize(each.select(F.col("doc_id").alias("of"), "found"), "secrets")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    longest = F.array_sort("found", lambda a, b: F.length(b) - F.length(a))
+    text = F.when(F.col("found").isNull(), F.col("doc.text")).otherwise(
+        F.aggregate(longest, F.col("doc.text"), lambda acc, v: F.replace(acc, v, F.lit(mask))))
+    joined = rows.join(each, F.col("doc.doc_id").eqNullSafe(F.col("of")), "left").select("doc", text.alias("masked"))
+    return joined.select(*[F.length("masked").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+                           else F.col("masked").alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c)
+                           for c in docs.columns])
