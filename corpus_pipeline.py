@@ -18,60 +18,70 @@ from tessera.llm.packing import pack
 from tessera.llm.quality_rules import quality_rules
 from tessera.llm.secret_scan import mask_secrets
 from tessera.llm.suffix_dedup import remove_repeats
+from tessera.sources.sinks import Stages, release
 
 # Signatures, suffix arrays and packing are beyond SQL; tests hold the stages
 # against plain versions instead.
 ORACLE_SQL = None
 
 
-ROW = "_pipeline_row"
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` and a written row key in the order of doc_id, rows without one last."""
-    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text")]
-    return materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order)
-                       .withColumn(ROW, F.monotonically_increasing_id()), "rows")
+def numbered(docs: DataFrame, ordered: bool = True) -> DataFrame:
+    """(row, doc): a written row key and the document as a struct, so no column's name can
+    clash. ``ordered`` keys follow the doc_id, rows without one last; others cost no
+    shuffle."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    if ordered:
+        order = [F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.xxhash64("doc.text")]
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialize(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
 
 
 def by_row(rows: DataFrame) -> DataFrame:
-    """The numbered documents with the row key as their doc_id."""
-    return rows.withColumn("doc_id", F.col(ROW)).drop(ROW)
+    """The numbered documents' texts and sources with the row key as their doc_id."""
+    return rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"), F.col("doc.lang").alias("lang"),
+                       F.col("doc.source").alias("source"))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that a rule or their host's verdict rejects go, each
     row by its own text."""
-    rows = numbered(docs)
-    kept = materialize(quality_rules(by_row(rows)).where("kept").select(F.col("doc_id").alias(ROW)), "kept")
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    rows = numbered(docs, ordered=False)
+    kept = materialize(quality_rules(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")), "kept")
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: the row with the smallest id of each class stays (a class of
     rows without ids keeps one, too). Texts without words are in no class and stay."""
     rows = numbered(docs)
-    kept = materialize(near_duplicate_classes(by_row(rows)).where("kept").select(F.col("doc_id").alias(ROW)), "kept")
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    kept = materialize(near_duplicate_classes(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")), "kept")
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: repeated passages go; documents without a word left go as a whole."""
     rows = numbered(docs)
     left = remove_repeats(by_row(rows)).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("kept_text").alias("_text"))
+        F.col("doc_id").alias("cut_row"), F.col("kept_text").alias("cut"))
     left = materialize(left, "cut")
-    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("_text"))
-    joined = rows.join(left, F.col(ROW) == F.col("_id"), "left").withColumn("_new", text)
-    return joined.where("_id IS NULL OR _new RLIKE '[^\\\\s]'").select(*[
-        F.col("_new").alias("text") if c == "text"
-        else F.when(F.col("_id").isNull(), F.col(c)).otherwise(F.length("_new")).cast(
-            docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    joined = rows.join(left, F.col("row") == F.col("cut_row"), "left")
+    kept = joined.where("cut_row IS NULL OR cut RLIKE '[^\\\\s]'")
+    was = F.col("cut_row").isNull()
+    return kept.select(*[
+        F.when(was, F.col(f"doc.`{c}`")).otherwise(
+            F.col("cut") if c == "text" else F.length("cut").cast(docs.schema[c].dataType)).alias(c)
+        if c in ("text", "n_chars") else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scan: secrets are masked in the text, documents stay."""
-    return mask_secrets(docs)
+    rows = numbered(docs, ordered=False)
+    masked = mask_secrets(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"), "doc"))
+    same = F.col("text").eqNullSafe(F.col("doc.text"))
+    return masked.select(*[
+        F.col("text") if c == "text"
+        else F.when(same, F.col("doc.n_chars")).otherwise(F.length("text").cast(docs.schema[c].dataType)).alias(c)
+        if c == "n_chars" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,7 +99,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over ``documents``. Only they stay: what a stage writes for
+    itself, and its input, are removed once its output is written."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with Stages(spark) as stages:
+            before, docs = docs, stages.keep(stage(spark, docs, sf_dir), name)
+        release(before)
     return docs
