@@ -15,6 +15,7 @@ instead, bucketed if wanted. Intermediates (``materialize``) belong to the
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Sequence
 
@@ -182,7 +183,8 @@ class Stages:
     writes its result and leaves nothing else behind. ``release`` removes single
     stages as soon as what reads them is written. Scopes nest: the innermost owns
     a stage, and what it keeps belongs to the one around it. Files of a live stage
-    stay, so a lost executor re-reads them.
+    stay, so a lost executor re-reads them. At the end the JVM is asked to collect, as
+    Spark removes the shuffle files of plans that nothing refers to only then.
     """
 
     _open: list[Stages] = []
@@ -198,6 +200,8 @@ class Stages:
         Stages._open.remove(self)
         for path in self.paths:
             remove_folder(self.spark, path)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
     def keep(self, df: DataFrame, prefix: str = "kept") -> DataFrame:
         """``df`` written outside this scope."""
