@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 read again as the next stage's documents; all but the last return the columns
 of ``documents``. Stages that drop or cut rows number their input first and run
 on that row key, so rows that repeat a doc_id, or have none, are documents of
-their own.
+their own. What a stage's operator writes for itself is removed once its verdicts
+are written; the numbered rows and the verdicts stay for the stage's output.
 """
 
 from __future__ import annotations
@@ -46,7 +47,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Quality rules: documents that a rule or their host's verdict rejects go, each
     row by its own text."""
     rows = numbered(docs, ordered=False)
-    kept = materialize(quality_rules(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")), "kept")
+    with Stages(spark) as stages:
+        kept = stages.keep(quality_rules(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")))
     return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
@@ -54,16 +56,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """MinHash near-dedup: the row with the smallest id of each class stays (a class of
     rows without ids keeps one, too). Texts without words are in no class and stay."""
     rows = numbered(docs)
-    kept = materialize(near_duplicate_classes(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")), "kept")
+    with Stages(spark) as stages:
+        kept = stages.keep(near_duplicate_classes(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")))
     return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: repeated passages go; documents without a word left go as a whole."""
     rows = numbered(docs)
-    left = remove_repeats(by_row(rows)).where("n_removed > 0").select(
-        F.col("doc_id").alias("cut_row"), F.col("kept_text").alias("cut"))
-    left = materialize(left, "cut")
+    with Stages(spark) as stages:
+        left = stages.keep(remove_repeats(by_row(rows)).where("n_removed > 0").select(
+            F.col("doc_id").alias("cut_row"), F.col("kept_text").alias("cut")))
     joined = rows.join(left, F.col("row") == F.col("cut_row"), "left")
     kept = joined.where("cut_row IS NULL OR cut RLIKE '[^\\\\s]'")
     was = F.col("cut_row").isNull()
