@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import MEMO_ENTRIES, map_batches, materialize, tokenizer_path
+from tessera.llm.common import MEMO_ENTRIES, map_batches, materialize, release, tokenizer_path
+from tessera.sources.sinks import Stages
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
@@ -93,12 +94,17 @@ def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
 
 def tokenized(docs: DataFrame, tokenizer_file: str | None = None) -> DataFrame:
     """(node, doc_id, n, ids): a number for each row (fixed once written), and the ids
-    of its whole text, 16 bits each."""
+    of its whole text, 16 bits each. A tokenizer with larger ids is an error."""
+
+    def short(data: bytes) -> bytes:
+        wide = np.frombuffer(data, "<u4")
+        if wide.max(initial=0) > 0xFFFF:
+            raise ValueError("packing takes tokenizers of at most 65,536 ids")
+        return wide.astype("<u2").tobytes()
 
     def rows(batch):
         got = token_bytes([t.as_py() or "" for t in batch.column(1)], tokenizer_file)
-        yield {"doc_id": batch.column(0), "n": [len(x) // 4 for x in got],
-               "ids": [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in got]}
+        yield {"doc_id": batch.column(0), "n": [len(x) // 4 for x in got], "ids": [short(x) for x in got]}
 
     return map_batches(docs.select("doc_id", "text"), rows, "doc_id long, n long, ids binary").select(
         F.monotonically_increasing_id().alias("node"), "doc_id", "n", "ids")
@@ -312,47 +318,54 @@ def _placed(ids: DataFrame, idf, mean_length: float, window: int) -> DataFrame:
     pool = ids.where(F.col("n") % window > 0).select(
         "node", (F.col("n") - F.col("n") % window).alias("start"), (F.col("n") % window).alias("length"), "ids",
         (F.col("n") >= window).alias("rest"))
-    windows, tails, round_, n_open, room = None, [], 0, 0, 0
+    spark = ids.sparkSession
+    windows, tails, round_, n_open, room, spent = None, [], 0, 0, 0, []
     while (picked := _pick_seeds(pool, round_, n_open, room, window)) is not None:
         round_ += 1
-        seeds = materialize(picked.select((F.monotonically_increasing_id() + (round_ << 54)).alias("wid"),
-                                          "node", "start", "length", "ids"), "seeds")
-        pieces.append(seeds.select("node", "start", "length", F.col("wid").alias("sequence_id"),
-                                   F.lit(0).cast("long").alias("offset")))
-        opened = seeds.select("wid", F.col("length").alias("fill"), "ids", F.lit(0).alias("lost"))
-        windows = opened if windows is None else windows.union(opened)
-        left = materialize(pool.where("NOT rest").join(seeds.select("node"), "node", "left_anti"), "left")
-        found = search(windows, left, idf, mean_length)
-        # to the query that scores it highest
-        won = found.groupBy("node").agg(F.max(F.struct("score", F.xxhash64("node", "wid"), "wid")).alias("best")).select(
-            "node", "best.wid", "best.score")
-        best_first = Window.partitionBy("wid").orderBy(F.desc("score"), "node")
-        before = F.coalesce(F.sum("length").over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        taken = (won.join(left, "node").join(windows.select("wid", "fill"), "wid").withColumn("before", before)
-                 .withColumn("offset", F.col("fill") + F.col("before")).where(F.col("offset") < window)
-                 .withColumn("take", F.least("length", window - F.col("offset"))))
-        taken = materialize(taken.select("node", "wid", "length", "take", "offset", "ids"), "taken")
-        pieces.append(taken.select("node", F.lit(0).cast("long").alias("start"), F.col("take").alias("length"),
-                                   F.col("wid").alias("sequence_id"), "offset"))
-        rests = taken.where("take < length").select(
-            "node", F.col("take").alias("start"), (F.col("length") - F.col("take")).alias("length"), "ids",
-            F.lit(True).alias("rest"))
-        pool = materialize(left.join(taken.select("node"), "node", "left_anti").union(rests), "pool")
-        got = taken.groupBy("wid").agg(F.sum("take").alias("got"), F.max_by("ids", "offset").alias("latest"))
-        asked = found.select("wid").distinct().withColumn("asked", F.lit(True))
-        windows = materialize(
-            windows.join(got, "wid", "left").join(asked, "wid", "left").select(
-                "wid", (F.col("fill") + F.coalesce("got", F.lit(0))).alias("fill"),
-                F.coalesce("latest", "ids").alias("ids"),
-                F.when(F.col("got").isNull(), F.col("lost") + 1).otherwise(0).alias("lost"),
-                F.col("asked").isNull().alias("dry")).where(F.col("fill") < window), "windows")
-        tails.append(windows.where("dry").select("wid", "fill"))
-        windows = windows.where("NOT dry").drop("dry")
+        # what a round writes for itself goes at its end; pool, windows, pieces and tails stay
+        with Stages(spark) as stages:
+            seeds = materialize(picked.select((F.monotonically_increasing_id() + (round_ << 54)).alias("wid"),
+                                              "node", "start", "length", "ids"), "seeds")
+            opened = seeds.select("wid", F.col("length").alias("fill"), "ids", F.lit(0).alias("lost"))
+            windows = opened if windows is None else windows.union(opened)
+            left = materialize(pool.where("NOT rest").join(seeds.select("node"), "node", "left_anti"), "left")
+            found = search(windows, left, idf, mean_length)
+            # to the query that scores it highest
+            won = found.groupBy("node").agg(F.max(F.struct("score", F.xxhash64("node", "wid"), "wid")).alias("best")).select(
+                "node", "best.wid", "best.score")
+            best_first = Window.partitionBy("wid").orderBy(F.desc("score"), "node")
+            before = F.coalesce(F.sum("length").over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            taken = (won.join(left, "node").join(windows.select("wid", "fill"), "wid").withColumn("before", before)
+                     .withColumn("offset", F.col("fill") + F.col("before")).where(F.col("offset") < window)
+                     .withColumn("take", F.least("length", window - F.col("offset"))))
+            taken = materialize(taken.select("node", "wid", "length", "take", "offset", "ids"), "taken")
+            pieces.append(stages.keep(
+                seeds.select("node", "start", "length", F.col("wid").alias("sequence_id"),
+                             F.lit(0).cast("long").alias("offset"))
+                .union(taken.select("node", F.lit(0).cast("long").alias("start"), F.col("take").alias("length"),
+                                    F.col("wid").alias("sequence_id"), "offset")), "pieces"))
+            rests = taken.where("take < length").select(
+                "node", F.col("take").alias("start"), (F.col("length") - F.col("take")).alias("length"), "ids",
+                F.lit(True).alias("rest"))
+            pool = stages.keep(left.join(taken.select("node"), "node", "left_anti").union(rests), "pool")
+            got = taken.groupBy("wid").agg(F.sum("take").alias("got"), F.max_by("ids", "offset").alias("latest"))
+            asked = found.select("wid").distinct().withColumn("asked", F.lit(True))
+            written = stages.keep(
+                windows.join(got, "wid", "left").join(asked, "wid", "left").select(
+                    "wid", (F.col("fill") + F.coalesce("got", F.lit(0))).alias("fill"),
+                    F.coalesce("latest", "ids").alias("ids"),
+                    F.when(F.col("got").isNull(), F.col("lost") + 1).otherwise(0).alias("lost"),
+                    F.col("asked").isNull().alias("dry")).where(F.col("fill") < window), "windows")
+            tails.append(stages.keep(written.where("dry").select("wid", "fill"), "tails"))
+        release(*spent)
+        spent = [pool, written]
+        windows = written.where("NOT dry").drop("dry")
         n_open, room = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(window - F.col("fill")), F.lit(0))).first()
     pieces = reduce(DataFrame.union, pieces)
     if windows is None:
         return pieces
     tails = materialize(reduce(DataFrame.union, [*tails, windows.select("wid", "fill")]), "tails")
+    release(*spent)
     closed = pieces.join(tails, pieces.sequence_id == tails.wid, "left_anti")
     return closed.union(_stitched(pieces, tails, (round_ + 1) << 54, window))
 
