@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, map_batches, materialize
+from tessera.llm.common import components, hash_filter, map_batches, materialize, may_hold_hashes, release
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -209,6 +209,20 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return map_batches(joined, rows, "a long, b long")
 
 
+def _texts_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, text) of the documents in the written table ``reps``. A filter of their ids
+    drops most other texts in the scan workers, the exact join the few it lets through."""
+    field = docs.sparkSession.sparkContext.broadcast(hash_filter(reps.select(F.xxhash64("rep").alias("h")), reps.count()))
+
+    def rows(batch):
+        some = batch.filter(pa.array(may_hold_hashes(field.value, batch.column(2).to_numpy())))
+        yield {"rep": some.column(0), "text": some.column(1)}
+
+    held = map_batches(docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id").alias("h")), rows,
+                       "rep long, text string")
+    return held.join(reps.select("rep"), "rep", "left_semi")
+
+
 def _bags(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, bag, size): sorted shingle hashes of the texts of the documents in ``reps``."""
     memo: dict = {}
@@ -219,8 +233,7 @@ def _bags(docs: DataFrame, reps: DataFrame) -> DataFrame:
         yield {"rep": batch.column(0).take(pa.array(some, pa.int64())), "bag": [bags[k] for k in some],
                "size": [len(bags[k]) for k in some]}
 
-    wanted = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep", "left_semi")
-    return map_batches(wanted.distinct(), rows, "rep long, bag binary, size long")
+    return map_batches(_texts_of(docs, reps).distinct(), rows, "rep long, bag binary, size long")
 
 
 def _with_component(rows: DataFrame, comp: DataFrame, column: str = "rep") -> DataFrame:
@@ -251,13 +264,18 @@ def _leaders(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _blocks_of(rows: DataFrame, bags: DataFrame) -> DataFrame:
-    """(key, i, j, outside, rep, component, bag): the members outside their bucket's largest
-    component, in blocks i, meet all its members, in blocks j. A bucket in one
-    component has no rows."""
+    """(key, i, j, left, right, rep, component, bag): the members outside their bucket's
+    largest component, ``left`` in blocks i, meet all its members, ``right`` in blocks j; a
+    member on both sides of a pair of blocks is one row there. A bucket in one component
+    has no rows, and of buckets that hold the same members only one has."""
     sizes = rows.join(bags.select("rep", "size"), "rep")
-    by = sizes.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    names = [F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"h{i}") for i in range(2)]
+    by = sizes.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), *names)
     tops = by.groupBy("key").agg(F.max(F.struct("n", "component", "bytes")).alias("top"), F.sum("n").alias("n"),
-                                 F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("held")).where("held > 1")
+                                 F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("held"),
+                                 F.bit_xor("h0").alias("h0"), F.bit_xor("h1").alias("h1")).where("held > 1")
+    # equal members have equal components, so the other columns are equal too
+    tops = tops.groupBy("h0", "h1", "n", "bytes", "top").agg(F.min("key").alias("key"))
 
     def parts(n, size):
         return F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(size / BLOCK_BYTES))
@@ -268,11 +286,14 @@ def _blocks_of(rows: DataFrame, bags: DataFrame) -> DataFrame:
     met = rows.join(tops, F.col("key") == F.col("bucket"))
     mark = F.xxhash64("rep", F.lit(1))
     sides = [met.where(where).select(
-        "key", i.alias("i"), j.alias("j"), F.lit(outside).alias("outside"), "rep", "component")
+        "key", i.alias("i"), j.alias("j"), F.lit(outside).alias("left"), F.lit(not outside).alias("right"), "rep",
+        "component")
         for where, outside, i, j in (
             ("component <> top", True, F.pmod(mark, F.col("out")), F.explode(F.expr("sequence(0L, `all` - 1)"))),
             ("true", False, F.explode(F.expr("sequence(0L, out - 1)")), F.pmod(mark, F.col("all"))))]
-    return sides[0].union(sides[1]).join(bags.select("rep", "bag"), "rep")
+    placed = sides[0].union(sides[1]).groupBy("key", "i", "j", "rep", "component").agg(
+        F.max("left").alias("left"), F.max("right").alias("right"))
+    return placed.join(bags.select("rep", "bag"), "rep")
 
 
 def _elements(bag: bytes) -> np.ndarray:
@@ -287,8 +308,8 @@ def _block_links(frame: pd.DataFrame) -> pd.DataFrame:
     """(a, b): links between components that join members of the block, a forest of them."""
     sets = [_elements(b) for b in frame["bag"]]
     size = np.array([len(x) for x in sets])
-    outside, comp = frame["outside"].to_numpy(), frame["component"].to_numpy()
-    left, right = np.flatnonzero(outside), np.flatnonzero(~outside)
+    comp = frame["component"].to_numpy()
+    left, right = (np.flatnonzero(frame[side].to_numpy()) for side in ("left", "right"))
     names, place = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), size)
     times = np.bincount(place)
@@ -348,10 +369,12 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
              .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
     close = materialize(_agreement(pairs, texts), "close")
     comp = materialize(components(_verified(close, bags).union(copies)), "components")
+    release(sigs, texts, close)
     # what the leaders have not joined is compared exactly; components stand for the links found
     rows = materialize(_with_component(members, comp).select("rep", "component", F.explode("keys").alias("key")), "rows")
     more = materialize(_blocks_of(rows, bags).groupBy("key", "i", "j").applyInPandas(_block_links, "a long, b long")
                        .distinct(), "links")
+    release(members, rows, bags)
     if not more.isEmpty():
         comp = materialize(components(more.union(comp.select("node", "component"))), "components")
     return _with_component(docs.select("doc_id"), comp, "doc_id").select(
