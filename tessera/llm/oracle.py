@@ -96,3 +96,58 @@ SELECT k.lang, k.rank::BIGINT AS rank, k.phrase, k.a::BIGINT AS a, k.l::BIGINT A
   k.score::BIGINT AS score
 FROM ranked k JOIN totals t ON t.lang = k.lang WHERE k.rank <= 2000
 """
+
+OP3 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS t FROM documents
+), cut AS (
+  SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs
+), words AS (
+  SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM cut
+), windows AS (
+  SELECT rid, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS win
+  FROM words WINDOW o AS (PARTITION BY rid ORDER BY i)
+), repeated AS (
+  SELECT rid, i FROM windows WHERE win IS NOT NULL
+  QUALIFY count(*) OVER (PARTITION BY rid, win) > 1
+), covered AS (
+  SELECT rid, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM repeated) GROUP BY rid
+), lines AS (
+  SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid
+), counts AS (
+  SELECT rid, doc_id, host, len(w)::BIGINT AS n_words,
+         length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM docs JOIN cut USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN covered USING (rid)
+), judged AS (
+  SELECT *, n_words < 50 AS fails_short, 100 * n_repeat_words > 50 * n_words AS fails_repeats,
+         100 * n_symbols > 10 * n_words AS fails_symbols, 100 * n_dup_lines > 30 * n_lines AS fails_dup_lines,
+         word_chars < 2 * n_words OR word_chars > 20 * n_words AS fails_word_length
+  FROM counts
+), rules AS (
+  UNPIVOT (SELECT rid, host, COLUMNS('fails_.*') FROM judged WHERE host IS NOT NULL)
+  ON COLUMNS('fails_.*') INTO NAME rule VALUE failed
+), hosts AS (
+  SELECT host, rule, count(*)::DOUBLE AS n, (count(*) FILTER (WHERE failed))::DOUBLE AS f FROM rules GROUP BY ALL
+), sums AS (
+  SELECT rule, count(*) AS hosts, sum(n) AS docs, sum(f) / sum(n) AS mean, sum(f * f / n) AS squares
+  FROM hosts GROUP BY rule
+), spread AS (
+  SELECT rule, mean, (squares - docs * mean * mean - (hosts - 1) * mean * (1 - mean)) / docs AS between_hosts FROM sums
+), priors AS (
+  SELECT rule, mean, CASE WHEN between_hosts <= 0 THEN 1e6
+         ELSE least(greatest(mean * (1 - mean) / between_hosts - 1, 1.0), 1e6) END AS strength FROM spread
+), verdicts AS (
+  SELECT host, max((f + mean * strength) / (n + strength)) > 0.5 AS host_rejected
+  FROM hosts JOIN priors USING (rule) GROUP BY host
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       fails_short OR fails_repeats AS base_failed, coalesce(host_rejected, false) AS host_rejected,
+       NOT (fails_short OR fails_repeats OR fails_symbols OR fails_word_length OR coalesce(host_rejected, false)) AS kept
+FROM judged LEFT JOIN verdicts USING (host)
+"""

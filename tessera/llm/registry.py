@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import documents
 from tessera.llm.embedding_links import embedding_links
 from tessera.llm.near_duplicates import near_duplicate_classes
-from tessera.llm.oracle import OP11, OP12
+from tessera.llm.oracle import OP3, OP11, OP12
 from tessera.llm.packing import pack
 from tessera.llm.phrase_collocations import collocations
 from tessera.llm.quality_classifier import quality_scores
@@ -83,4 +83,5 @@ LLM_QUERIES = {f.__name__: f for f in (
     op9_embedding_links, op10_suffix_dedup, op11_spelling_variants,
     op12_phrase_collocations, op13_toxicity)}
 
-LLM_ORACLE_SQL: dict[str, str] = {"op11_spelling_variants": OP11, "op12_phrase_collocations": OP12}
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op3_quality_rules": OP3, "op11_spelling_variants": OP11, "op12_phrase_collocations": OP12}
