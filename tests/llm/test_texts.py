@@ -11,10 +11,12 @@ from collections import Counter, defaultdict
 import public_tokenizers
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import quality_scores
 from tessera.llm.quality_rules import quality_rules
-from tessera.llm.secret_scan import mask_secrets, scan_secrets
+from tessera.llm.secret_scan import _whole, candidates, features, mask_secrets, scan_secrets, word_counts
 from tessera.llm.sentence_pieces import encode, encode_digests
 from tessera.llm.token_counts import token_counts
 
@@ -140,3 +142,31 @@ def test_secrets_are_found_and_masked(spark):
     assert masked[200].text == "a [SECRET] b" and masked[200].n_chars == 12
     assert masked[201].text == "password=[SECRET]### b" and masked[0].text == rows[0][1]
     assert masked[202].text is None and len(masked) == len(rows)
+
+
+def test_short_and_digitless_secrets_and_url_passwords_are_candidates(spark):
+    rows = [(1, "password: hunter"), (2, "password = correct-horse-battery"), (3, "see postgres://bob:pw1x@db/x now"),
+            (4, "AUTH_TOKEN='short.one'; b"), (5, "the word extraordinarilylongish"), (6, "RandomLettersWithoutDigits"),
+            (7, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.value) for r in candidates(docs).collect()}
+    assert found == {(1, "hunter"), (2, "correct-horse-battery"), (3, "pw1x"), (4, "short.one"),
+                     (6, "RandomLettersWithoutDigits")}
+    assert scan_secrets(docs.limit(0)).count() == 0
+
+
+def test_features_of_values_follow_the_corpus(spark):
+    rows = [(i, "the common words stand in the corpus") for i in range(6)] + [
+        (10, "key common-words-stand1 and qzxjqvkzxjq77xzj")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.value: r for r in features(candidates(docs), word_counts(docs)).collect()}
+    plain, random = got["common-words-stand1"], got["qzxjqvkzxjq77xzj"]
+    assert plain.dictionary_share == 16 / 19 and random.dictionary_share == 0
+    assert plain.transition_odds > 0 > random.transition_odds
+
+
+def test_masks_leave_longer_words_alone(spark):
+    text = "bob:pw1\\Ex@db here pw1\\Ex and pw1\\Ex7"
+    row = spark.createDataFrame([(text, "pw1\\Ex")], "text string, value string")
+    masked = row.select(F.regexp_replace("text", _whole(F.col("value")), F.lit("[SECRET]"))).first()[0]
+    assert masked == "bob:[SECRET]@db here [SECRET] and pw1\\Ex7"
