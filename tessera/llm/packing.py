@@ -1,18 +1,18 @@
 """Lexical retrieval packing (operator 6).
 
-Windows are filled with documents about the same things: each window's latest
-document asks a BM25 index for its best unused neighbours, which are appended
-until the window is full; a document that does not fit is cut and its rest
-seeds the next window. The index is sharded by runs of documents, and blocks of
-queries go to all shards, so a neighbour may lie anywhere in the corpus. All
-windows of a round ask at once; a document that several want goes to the one
-that scores it highest, and the others ask again among what is left.
+Windows are filled with documents about the same things: a seed document asks a
+BM25 index for its unused neighbours, which are appended best first until the
+window is full; the document that does not fit is cut and its rest seeds the next
+window. The index is sharded by a key of the documents' words, so that like texts
+lie side by side in its order, and a seed asks the shard at hand: about a million
+ids around it in that order. Half of a shard goes on to the next one, so no edge
+separates neighbours, and work is in proportion to the corpus.
 """
 
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,18 +21,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import MEMO_ENTRIES, map_batches, materialize, release, tokenizer_path
-from tessera.sources.sinks import Stages
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
 K1, B = 1.2, 0.75
-SHARD_DOCS = 512  # documents of one index shard: its weights fit a task's memory
-BLOCK_BYTES = 16 << 20  # query terms that go to all shards together
-NEIGHBOURS = 16  # of a query in one round; it asks again while its window has room
+INDEX_IDS = 1 << 20  # ids of one index shard: its weights fit a task's memory
+INDEX_ROWS = 8192  # documents of one index shard, where they are short
+TASK_IDS = 1 << 22  # ids that a task fills windows with
+MAX_TASKS = 100_000
+FEATURES = 256  # commonest terms that the groups of the shard key look at
+GROUPS = 64  # of the shard key
+SAMPLE = 2048  # documents that the groups are fitted on
+FILLED, STITCHED = 1 << 60, 1 << 61  # first numbers of sequences that tasks fill, and of their stitched rests
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
-PLACED = "node long, start long, length long, sequence_id long, offset long"
 
 
 @lru_cache(maxsize=2)
@@ -149,7 +152,7 @@ class Index:
         term, doc = np.divmod(key, self.n)
         weight = idf[term] * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lengths / mean_length))[doc])
         held = np.bincount(term, minlength=len(idf))
-        common = np.flatnonzero(held > self.n // 16)
+        common = np.flatnonzero(held > self.n // 8)
         self.row = np.full(len(idf), -1)
         self.row[common] = np.arange(len(common))
         dense = self.row[term] >= 0
@@ -159,129 +162,199 @@ class Index:
         self.size = np.where(self.row >= 0, 0, held)
         self.begin = np.cumsum(self.size) - self.size
 
-    def scores(self, query: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
-        """BM25 of every document for ``n`` queries given as (query, term) pairs."""
+    def scores(self, ids: np.ndarray) -> np.ndarray:
+        """BM25 of every document of the shard for all terms of a query document."""
+        term = np.unique(ids)
         row = self.row[term]
-        asked = np.zeros((n, len(self.matrix)), dtype=np.float32)
-        asked[query[row >= 0], row[row >= 0]] = 1
+        asked = np.zeros(len(self.matrix), dtype=np.float32)
+        asked[row[row >= 0]] = 1
         size = self.size[term]
         at = np.repeat(self.begin[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        rare = np.bincount(np.repeat(query, size) * self.n + self.doc[at], weights=self.weight[at],
-                           minlength=n * self.n)
-        return (asked @ self.matrix) + rare.reshape(n, self.n)
+        return asked @ self.matrix + np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
+
+
+class Router:
+    """Which documents lie near each other in the index: a group by the commonest terms,
+    then two terms that consistent weighted sampling draws, so that two documents share
+    a drawn term with the probability of their weighted Jaccard similarity."""
+
+    def __init__(self, df: np.ndarray, idf: np.ndarray):
+        self.weight = np.where(df > 1, idf, 0)  # a term of one document links it with nothing
+        at = np.argsort(-np.where(self.weight > 0, df, 0), kind="stable")[:FEATURES]
+        self.column = np.full(len(df), -1)
+        self.column[at] = np.arange(len(at))
+        self.draws = -np.log(np.random.default_rng(0).uniform(1e-12, 1, (2, len(df))))
+        self.centres = np.zeros((1, FEATURES), dtype=np.float32)
+
+    def read(self, ids: np.ndarray) -> tuple[np.ndarray, int, int]:
+        """(features of the commonest terms, two drawn terms); -1 where no term counts."""
+        term, tf = np.unique(ids, return_counts=True)
+        weight = self.weight[term] * tf / (tf + K1)
+        term, weight = term[weight > 0], weight[weight > 0]
+        features = np.zeros(FEATURES, dtype=np.float32)
+        if not len(term):
+            return features, -1, -1
+        column = self.column[term]
+        features[column[column >= 0]] = weight[column >= 0]
+        first, second = (int(term[np.argmin(d[term] / weight)]) for d in self.draws)
+        return features / max(float(np.linalg.norm(features)), 1e-9), first, second
+
+    def fit(self, sample: np.ndarray) -> None:
+        """Spherical k-means of a bounded sample's features."""
+        if not len(sample):
+            return
+        self.centres = sample[np.linspace(0, len(sample) - 1, min(GROUPS, len(sample))).astype(int)].copy()
+        for _ in range(10):
+            group = self.group(sample)
+            sums = np.zeros_like(self.centres)
+            np.add.at(sums, group, sample)
+            norms = np.linalg.norm(sums, axis=1, keepdims=True)
+            self.centres = np.where(norms > 0, sums / np.maximum(norms, 1e-9), self.centres)
+
+    def group(self, features: np.ndarray) -> np.ndarray:
+        return np.argmax(features @ self.centres.T, axis=1)
+
+
+def _rest(data, n: int, window: int) -> np.ndarray:
+    """The ids of a document after its whole windows."""
+    return np.frombuffer(data.as_buffer(), "<u2")[n // window * window:]
+
+
+def fitted_router(ids: DataFrame, df: np.ndarray, idf: np.ndarray, window: int) -> Router:
+    """The router, its groups fitted on the ``SAMPLE`` documents whose number hashes lowest."""
+    router = Router(df, idf)
+    order = F.xxhash64("node")
+    chosen = [r["node"] for r in ids.select("node").orderBy(order, "node").limit(SAMPLE).collect()]
+
+    def features(batch):
+        yield {"features": [router.read(_rest(x, n, window))[0].astype("<f2").tobytes()
+                            for n, x in zip(batch.column(0).to_pylist(), batch.column(1))]}
+
+    rows = map_batches(ids.where(F.col("node").isin(chosen)).select("n", "ids"), features, "features binary").collect()
+    router.fit(np.array([np.frombuffer(r["features"], "<f2") for r in rows], dtype=np.float32).reshape(-1, FEATURES))
+    return router
+
+
+def _routed(ids: DataFrame, router, window: int) -> DataFrame:
+    """What documents leave after their whole windows, with the key that the index is
+    sharded by."""
+
+    def rows(batch):
+        node, doc, n, data = batch.columns
+        rests = [_rest(x, k, window) for k, x in zip(n.to_pylist(), data)]
+        read = [router.value.read(x) for x in rests]
+        group = router.value.group(np.array([f for f, _, _ in read]).reshape(-1, FEATURES))
+        yield {"near": group, "first": [a for _, a, _ in read], "second": [b for _, _, b in read], "node": node,
+               "doc_id": doc, "n": n, "ids": [x.tobytes() for x in rests]}
+
+    return map_batches(ids.where(F.col("n") % window > 0), rows,
+                       "near long, first long, second long, node long, doc_id long, n long, ids binary")
+
+
+def _crc(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def _spread(wids: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """A number in [0, 1) for each (query, document)."""
-    x = (wids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None] ^ (
-        nodes.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))[None]
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-    return (x >> np.uint64(40)).astype(np.float64) / (1 << 24)
+def _batch(rows, ddl: str) -> pa.RecordBatch:
+    """Rows as a batch of the columns "name type, ..."."""
+    types = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    schema = pa.schema([(name, types[kind]) for name, kind in map(str.split, ddl.split(", "))])
+    columns = list(zip(*rows)) or [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _search_block(block: list, corpus: DataFrame, idf, mean_length: float, k: int) -> DataFrame:
-    spark = corpus.sparkSession
-    terms = [np.unique(np.frombuffer(x, "<u2")) for _, x, _ in block]
-    queries = spark.sparkContext.broadcast((
-        np.array([w for w, *_ in block], dtype=np.int64), np.concatenate(terms),
-        np.cumsum([0, *map(len, terms)]),
-        np.array([1e-6 if not lost else min(0.01 * 2 ** (lost - 1), 1.0) for *_, lost in block])))
+class Filler:
+    """Fills a task's windows from the shard of the index at hand.
+
+    ``rows`` are (doc_id, tokens of the document, ids before the first one here, ids) in
+    the order of their key. A seed is the first unused row, or the rest of the one that
+    the last window cut.
+    """
+
+    def __init__(self, idf: np.ndarray, mean_length: float, window: int, base: int):
+        self.idf, self.mean_length, self.window, self.sequence = idf, mean_length, window, base
+        self.rows: list = []
+
+    def fill(self, ids_left: int, rows_left: int):
+        """Pieces of full windows, until no more ids and rows than these are unused, or too
+        few for a window; they stay for the next shard."""
+        rows, window = self.rows, self.window
+        index = Index([r[3] for r in rows], self.idf, self.mean_length)
+        left = np.array([len(r[3]) for r in rows], dtype=np.int64)
+        total, unused, first, seed = int(left.sum()), len(rows), 0, -1
+        while total >= window and (total > ids_left or unused > rows_left):
+            while not left[first]:
+                first += 1
+            seed = first if seed < 0 else seed
+            scores = index.scores(rows[seed][3])
+            scores[left == 0] = -np.inf
+            scores[seed] = np.inf
+            best = np.argsort(-scores, kind="stable")
+            ends = np.cumsum(left[best])
+            last = int(np.searchsorted(ends, window))
+            offset, cut = 0, -1
+            for at in best[:last + 1].tolist():
+                doc_id, tokens, start, ids = rows[at]
+                begin, take = len(ids) - int(left[at]), min(int(left[at]), window - offset)
+                yield doc_id, start + begin, take, _crc(ids[begin:begin + take]), tokens, self.sequence, offset, False, None
+                left[at] -= take
+                offset, cut = offset + take, at if left[at] else -1
+                unused -= not left[at]
+            total, seed, self.sequence = total - window, cut, self.sequence + 1
+        order = np.flatnonzero(left)
+        if seed >= 0:  # its rest seeds the next window
+            order = np.concatenate([[seed], order[order != seed]])
+        self.rows = [(d, t, s + len(x) - k, x[len(x) - k:]) for (d, t, s, x), k in (
+            (rows[at], int(left[at])) for at in order.tolist())]
+
+    def rest(self):
+        """The last window, not full: its pieces with their ids."""
+        offset = 0
+        for doc_id, tokens, start, ids in self.rows:
+            yield doc_id, start, len(ids), 0, tokens, self.sequence, offset, True, ids.tobytes()
+            offset += len(ids)
+
+
+def _filled(routed: DataFrame, idf, mean_length: float, window: int, tokens: int) -> DataFrame:
+    """Pieces of all windows; those of a task's last one (``tail``) carry their ids."""
+    ddl = f"{PIECES}, tail boolean, ids binary"
+    most_ids, most_rows = max(INDEX_IDS, 2 * window), max(INDEX_ROWS, 2 * window)
 
     def run(batches):
-        wids, term, ends, amplitude = queries.value
-        best = np.full((len(wids), k), -np.inf)
-        who = np.full((len(wids), k), -1, dtype=np.int64)
-
-        def search(nodes, docs):
-            index = Index(docs, idf.value, mean_length)
-            nodes = np.array(nodes, dtype=np.int64)
-            for a in range(0, len(wids), 1024):
-                b = min(a + 1024, len(wids))
-                cut = slice(ends[a], ends[b])
-                query = np.repeat(np.arange(b - a), np.diff(ends[a:b + 1]))
-                found = index.scores(query, term[cut], b - a)
-                found *= 1 - amplitude[a:b, None] * _spread(wids[a:b], nodes)
-                found[found <= 0] = -np.inf
-                found = np.concatenate([best[a:b], found], axis=1)
-                names = np.concatenate([who[a:b], np.broadcast_to(nodes, (b - a, len(nodes)))], axis=1)
-                top = np.argpartition(-found, k - 1, axis=1)[:, :k]
-                best[a:b] = np.take_along_axis(found, top, axis=1)
-                who[a:b] = np.take_along_axis(names, top, axis=1)
-
-        nodes, docs = [], []
+        filler = Filler(idf.value, mean_length, window, FILLED + (TaskContext.get().partitionId() << 36))
+        size = 0
         for batch in batches:
-            for node, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                nodes.append(node)
-                docs.append(np.frombuffer(x.as_py(), "<u2"))
-                if len(docs) >= SHARD_DOCS:
-                    search(nodes, docs)
-                    nodes, docs = [], []
-        if docs:
-            search(nodes, docs)
-        for a in range(0, len(wids), 4096):
-            q, at = np.nonzero(np.isfinite(best[a:a + 4096]))
-            yield pa.RecordBatch.from_arrays([pa.array(wids[a + q]), pa.array(who[a + q, at]),
-                                              pa.array(best[a + q, at])], names=["wid", "node", "score"])
-
-    found = corpus.select("node", "ids").mapInArrow(run, "wid long, node long, score double")
-    rank = F.row_number().over(Window.partitionBy("wid").orderBy(F.desc("score"), "node"))
-    found = materialize(found.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank"), "neighbours")
-    queries.unpersist()
-    return found
-
-
-def search(queries: DataFrame, corpus: DataFrame, idf, mean_length: float, k: int = NEIGHBOURS) -> DataFrame:
-    """(wid, node, score): the ``k`` documents of ``corpus`` (node, ids) with the best
-    BM25 for all terms of each query (wid, ids, lost); none that shares no term.
-
-    Every query meets every document of every shard, so the result is that of one
-    index over all rows; work is queries times documents. Queries travel in blocks
-    of bounded size. Scores of a query that ``lost`` all it asked for are spread by a
-    hash, by one per cent and twice as much each time, so that many queries with the
-    same best neighbours do not meet there again; otherwise only ties are.
-    """
-    found, block, size = [], [], 0
-    for r in queries.select("wid", "ids", "lost").toLocalIterator():
-        block.append((r["wid"], r["ids"], r["lost"]))
-        size += len(r["ids"])
-        if size >= BLOCK_BYTES:
-            found.append(_search_block(block, corpus, idf, mean_length, k))
-            block, size = [], 0
-    if block or not found:
-        found.append(_search_block(block, corpus, idf, mean_length, k) if block else
-                     corpus.sparkSession.createDataFrame([], "wid long, node long, score double"))
-    return reduce(DataFrame.union, found)
-
-
-def _pick_seeds(pool: DataFrame, round_: int, windows: int, open_room: int, window: int):
-    """Rests, and as many other documents as further windows are needed for all tokens
-    left; None when the pool is empty."""
-    n, rests, tokens = pool.agg(F.count(F.lit(1)), F.count(F.when(F.col("rest"), 1)),
-                                F.coalesce(F.sum("length"), F.lit(0))).first()
-    if not n:
-        return None
-    more = min(n - rests, max(-(-(tokens - open_room) // window) - rests, 0 if rests + windows else 1))
-    free, order = pool.where("NOT rest"), F.xxhash64("node", F.lit(round_))
-    if more <= 1000:
-        picked = free.orderBy(order, "node").limit(more)
-    else:
-        picked = free.where(F.pmod(order, F.lit(1 << 30)) < int(more / (n - rests) * (1 << 30)))
-    return pool.where("rest").union(picked)
-
-
-def _stitched(pieces: DataFrame, tails: DataFrame, base: int, window: int) -> DataFrame:
-    """Windows that found no further neighbour, one after the other: cut into full
-    windows, and what is left at the end into powers of two, which need no padding."""
+            for doc_id, n, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                ids = np.frombuffer(x.as_py(), "<u2")
+                filler.rows.append((doc_id, n, n - len(ids), ids))
+                size += len(ids)
+                if size >= most_ids or len(filler.rows) >= most_rows:
+                    yield _batch(filler.fill(most_ids // 2, most_rows // 2), ddl)
+                    size = sum(len(r[3]) for r in filler.rows)
+        if filler.rows:
+            yield _batch(filler.fill(0, 0), ddl)
+            yield _batch(filler.rest(), ddl)
+
+    key = ["near", "first", "second", "node"]
+    tasks = min(max(-(-tokens // TASK_IDS), 1), MAX_TASKS)
+    return routed.repartitionByRange(tasks, *key).sortWithinPartitions(*key).select(
+        "doc_id", "n", "ids").mapInArrow(run, ddl)
+
+
+def _stitched(pieces: DataFrame, window: int) -> DataFrame:
+    """The tasks' last windows one after the other: cut into full windows, and what is
+    left at the end into powers of two, which need no padding."""
+    tails = pieces.groupBy("sequence_id").agg(F.sum("length").alias("fill"))
     n, total = tails.agg(F.count(F.lit(1)), F.coalesce(F.sum("fill"), F.lit(0))).first()
     buckets = max(1, -(-n // 20_000))
-    tails = materialize(tails.select(F.col("wid").alias("tail"), "fill",
-                                     F.pmod(F.xxhash64("wid"), F.lit(buckets)).alias("bucket")), "tails")
+    tails = materialize(tails.select(F.col("sequence_id").alias("tail_id"), "fill",
+                                     F.pmod(F.xxhash64("sequence_id"), F.lit(buckets)).alias("bucket")), "tails")
     ahead = Window.rowsBetween(Window.unboundedPreceding, -1)
     sums = tails.groupBy("bucket").agg(F.sum("fill").alias("sum")).select(
         F.col("bucket").alias("b"), F.coalesce(F.sum("sum").over(ahead.orderBy("bucket")), F.lit(0)).alias("before"))
-    within = F.coalesce(F.sum("fill").over(ahead.partitionBy("bucket").orderBy("tail")), F.lit(0))
+    within = F.coalesce(F.sum("fill").over(ahead.partitionBy("bucket").orderBy("tail_id")), F.lit(0))
     tails = tails.withColumn("within", within).join(sums, F.col("bucket") == F.col("b")).select(
-        "tail", (F.col("before") + F.col("within")).alias("at"))
+        "tail_id", (F.col("before") + F.col("within")).alias("at"))
     full = total // window
     ends = [full * window]
     for bit in range(window.bit_length(), -1, -1):
@@ -289,85 +362,39 @@ def _stitched(pieces: DataFrame, tails: DataFrame, base: int, window: int) -> Da
             ends.append(ends[-1] + (1 << bit))
 
     def rows(batch):
-        out = {"node": [], "start": [], "length": [], "sequence_id": [], "offset": []}
-        for node, start, length, at in zip(*(c.to_pylist() for c in batch.columns)):
-            while length:
+        out = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": [], "sequence_id": [], "offset": []}
+        for doc_id, start, tokens, data, at in zip(*(c.to_pylist() for c in batch.columns)):
+            ids = np.frombuffer(data, "<u2")
+            while len(ids):
                 if at < ends[0]:
                     q, begin, end = at // window, at // window * window, (at // window + 1) * window
                 else:
                     k = int(np.searchsorted(ends, at, side="right"))
                     q, begin, end = full + k - 1, ends[k - 1], ends[k]
-                take = min(length, end - at)
-                for c, v in zip(out, (node, start, take, base + q, at - begin)):
+                take = min(len(ids), end - at)
+                for c, v in zip(out, (doc_id, start, take, _crc(ids[:take]), tokens, STITCHED + q, at - begin)):
                     out[c].append(v)
-                start, length, at = start + take, length - take, at + take
+                start, at, ids = start + take, at + take, ids[take:]
         yield out
 
-    placed = pieces.join(tails, F.col("sequence_id") == F.col("tail")).select(
-        "node", "start", "length", (F.col("at") + F.col("offset")).alias("at"))
-    return map_batches(placed, rows, PLACED)
-
-
-def _placed(ids: DataFrame, idf, mean_length: float, window: int) -> DataFrame:
-    """(node, start, length, sequence_id, offset) of all pieces."""
-    # whole windows of long documents; what they leave over seeds windows
-    pieces = [materialize(ids.where(F.col("n") >= window).select(
-        "node", "n", F.explode(F.expr(f"sequence(0, n div {window} - 1)")).alias("k")).select(
-        "node", (F.col("k") * window).alias("start"), F.lit(window).cast("long").alias("length"),
-        F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset")), "pieces")]
-    pool = ids.where(F.col("n") % window > 0).select(
-        "node", (F.col("n") - F.col("n") % window).alias("start"), (F.col("n") % window).alias("length"), "ids",
-        (F.col("n") >= window).alias("rest"))
-    spark = ids.sparkSession
-    windows, tails, round_, n_open, room, spent = None, [], 0, 0, 0, []
-    while (picked := _pick_seeds(pool, round_, n_open, room, window)) is not None:
-        round_ += 1
-        # what a round writes for itself goes at its end; pool, windows, pieces and tails stay
-        with Stages(spark) as stages:
-            seeds = materialize(picked.select((F.monotonically_increasing_id() + (round_ << 54)).alias("wid"),
-                                              "node", "start", "length", "ids"), "seeds")
-            opened = seeds.select("wid", F.col("length").alias("fill"), "ids", F.lit(0).alias("lost"))
-            windows = opened if windows is None else windows.union(opened)
-            left = materialize(pool.where("NOT rest").join(seeds.select("node"), "node", "left_anti"), "left")
-            found = search(windows, left, idf, mean_length)
-            # to the query that scores it highest
-            won = found.groupBy("node").agg(F.max(F.struct("score", F.xxhash64("node", "wid"), "wid")).alias("best")).select(
-                "node", "best.wid", "best.score")
-            best_first = Window.partitionBy("wid").orderBy(F.desc("score"), "node")
-            before = F.coalesce(F.sum("length").over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            taken = (won.join(left, "node").join(windows.select("wid", "fill"), "wid").withColumn("before", before)
-                     .withColumn("offset", F.col("fill") + F.col("before")).where(F.col("offset") < window)
-                     .withColumn("take", F.least("length", window - F.col("offset"))))
-            taken = materialize(taken.select("node", "wid", "length", "take", "offset", "ids"), "taken")
-            pieces.append(stages.keep(
-                seeds.select("node", "start", "length", F.col("wid").alias("sequence_id"),
-                             F.lit(0).cast("long").alias("offset"))
-                .union(taken.select("node", F.lit(0).cast("long").alias("start"), F.col("take").alias("length"),
-                                    F.col("wid").alias("sequence_id"), "offset")), "pieces"))
-            rests = taken.where("take < length").select(
-                "node", F.col("take").alias("start"), (F.col("length") - F.col("take")).alias("length"), "ids",
-                F.lit(True).alias("rest"))
-            pool = stages.keep(left.join(taken.select("node"), "node", "left_anti").union(rests), "pool")
-            got = taken.groupBy("wid").agg(F.sum("take").alias("got"), F.max_by("ids", "offset").alias("latest"))
-            asked = found.select("wid").distinct().withColumn("asked", F.lit(True))
-            written = stages.keep(
-                windows.join(got, "wid", "left").join(asked, "wid", "left").select(
-                    "wid", (F.col("fill") + F.coalesce("got", F.lit(0))).alias("fill"),
-                    F.coalesce("latest", "ids").alias("ids"),
-                    F.when(F.col("got").isNull(), F.col("lost") + 1).otherwise(0).alias("lost"),
-                    F.col("asked").isNull().alias("dry")).where(F.col("fill") < window), "windows")
-            tails.append(stages.keep(written.where("dry").select("wid", "fill"), "tails"))
-        release(*spent)
-        spent = [pool, written]
-        windows = written.where("NOT dry").drop("dry")
-        n_open, room = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(window - F.col("fill")), F.lit(0))).first()
-    pieces = reduce(DataFrame.union, pieces)
-    if windows is None:
-        return pieces
-    tails = materialize(reduce(DataFrame.union, [*tails, windows.select("wid", "fill")]), "tails")
-    release(*spent)
-    closed = pieces.join(tails, pieces.sequence_id == tails.wid, "left_anti")
-    return closed.union(_stitched(pieces, tails, (round_ + 1) << 54, window))
+    placed = pieces.join(tails, F.col("sequence_id") == F.col("tail_id")).select(
+        "doc_id", "start", "doc_tokens", "ids", (F.col("at") + F.col("offset")).alias("at"))
+    return map_batches(placed, rows, PIECES)
+
+
+def _whole_windows(ids: DataFrame, window: int) -> DataFrame:
+    """Windows that a long document fills by itself."""
+
+    def run(batches):
+        sequence = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for doc_id, n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                x, k = np.frombuffer(data.as_buffer(), "<u2"), n // window
+                yield _batch(((doc_id, at * window, window, _crc(x[at * window:(at + 1) * window]), n, sequence + at, 0)
+                              for at in range(k)), PIECES)
+                sequence += k
+
+    return ids.where(F.col("n") >= window).select("doc_id", "n", "ids").mapInArrow(run, PIECES)
 
 
 def pack(docs: DataFrame, tokenizer_file: str | None = None, window: int = WINDOW) -> DataFrame:
@@ -376,24 +403,23 @@ def pack(docs: DataFrame, tokenizer_file: str | None = None, window: int = WINDO
     Every id of every document (its own end id included, so a null or empty text
     is one id) lies in exactly one piece. Sequences hold at most ``window`` ids;
     those that hold fewer hold a power of two, so none is padded. Repeated rows
-    are packed as often as they occur; an empty table gives an empty one.
+    are packed as often as they occur; an empty table gives an empty one. A very
+    long text fills windows by itself, and its rest is packed with its neighbours.
 
     Ids are written once (16 bits each) and document frequencies are counted over
-    all of them. The end id, which all documents hold, is no term.
+    all of them. The end id, which all documents hold, is no term. Neighbours that
+    share no term with the seed come last, in the order of the shard key.
     """
+    spark = docs.sparkSession
     ids = materialize(tokenized(docs, tokenizer_file), "ids")
     df, n, mean_length = document_frequencies(ids)
     idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
     idf[END_ID] = 0
-    shared = docs.sparkSession.sparkContext.broadcast(idf)  # one number per vocabulary term
-    placed = materialize(_placed(ids, shared, mean_length, window), "placed")
-
-    def rows(batch):
-        out = {f.name: c for f, c in zip(batch.schema, batch.columns)}
-        out["ids_crc32"] = [zlib.crc32(np.frombuffer(x.as_buffer(), "<u2").astype("<u4")) for x in out.pop("ids")]
-        yield out
-
-    pieces = placed.join(ids, "node").select(
-        "doc_id", "start", "length", F.col("n").alias("doc_tokens"), "sequence_id", "offset",
-        F.expr("substring(ids, cast(2 * start + 1 as int), cast(2 * length as int))").alias("ids"))
-    return map_batches(pieces, rows, PIECES)
+    # one number a vocabulary term, and a group's centre for each of GROUPS
+    shared = spark.sparkContext.broadcast(idf)
+    router = spark.sparkContext.broadcast(fitted_router(ids, df, idf, window))
+    filled = materialize(_filled(_routed(ids, router, window), shared, mean_length, window, round(n * mean_length)), "filled")
+    whole = materialize(_whole_windows(ids, window), "whole")
+    release(ids)
+    pieces = filled.where("NOT tail").drop("tail", "ids")
+    return whole.union(pieces).union(_stitched(filled.where("tail"), window))

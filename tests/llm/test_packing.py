@@ -1,9 +1,10 @@
-"""Retrieval packing against brute-force BM25 over all documents."""
+"""Retrieval packing against brute-force BM25 and a plain greedy."""
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,25 +13,89 @@ from tessera.llm.packing import pack
 from tests.llm.test_texts import docs  # noqa: F401
 
 
-def test_packing_asks_the_whole_corpus(spark, docs):
-    import numpy as np
+def _bm25(query, documents, idf, mean):
+    """Scores of plain BM25 (k1 1.2, b 0.75) of all documents for a query's distinct terms."""
+    terms = [Counter(d.tolist()) for d in documents]
+    return [sum(idf[t] * tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in set(query.tolist()) if t in tf)
+            for d, tf in zip(documents, terms)]
 
+
+def test_index_scores_equal_brute_force(spark, docs):
     ids = packing.materialize(packing.tokenized(docs.repartition(5)), "ids")
     df, n, mean = packing.document_frequencies(ids)
+    rows = [np.frombuffer(r.ids, "<u2") for r in ids.collect()]
+    seen = Counter(t for x in rows for t in set(x.tolist()))
+    assert (n, mean) == (len(rows), pytest.approx(sum(map(len, rows)) / len(rows)))
+    assert {t: k for t, k in enumerate(df.tolist()) if k} == seen
+    idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+    index = packing.Index(rows, idf, mean)
+    for query in rows:
+        assert index.scores(query) == pytest.approx(_bm25(query, rows, idf, mean), rel=1e-4, abs=1e-4)
+
+
+@pytest.mark.parametrize("most", [400, 10_000])
+def test_a_seed_takes_its_best_unused_neighbours(most):
+    """Windows against a plain greedy: the seed first, then by score among the unused, a
+    cut document seeds the next window; with and without refills of the shard."""
+    random = np.random.default_rng(3)
+    rows = [(k, 0, 0, np.append(random.integers(10 + 40 * (k % 5), 70 + 40 * (k % 5), random.integers(0, 60)), 2).astype("<u2"))
+            for k in range(60)]
+    idf, mean, window = random.uniform(1, 3, 1 << 16).astype(np.float32), 30.0, 100
+    idf[2] = 0
+    filler, got = packing.Filler(idf, mean, window, 0), []
+    for row in rows:
+        filler.rows.append(row)
+        if sum(len(r[3]) for r in filler.rows) >= most:
+            got += filler.fill(most // 2, most // 2)
+    got += [*filler.fill(0, 0), *filler.rest()]
+
+    pool, expected, sequence, seed = [], [], 0, None
+
+    def fill(left):
+        nonlocal sequence, seed
+        shard = list(pool)
+        texts = [x for _, _, x in shard]  # what was unused when the shard was indexed
+        at = {d: 0 for d, _, _ in shard}
+        while (total := sum(len(x) - at[d] for d, _, x in shard)) >= window and total > left:
+            unused = [i for i, (d, _, x) in enumerate(shard) if at[d] < len(x)]
+            first = next((i for i in unused if shard[i][0] == seed), unused[0])
+            score = _bm25(texts[first], texts, idf, mean)
+            order, offset, seed = [first, *sorted((i for i in unused if i != first), key=lambda i: -round(score[i], 3))], 0, None
+            for i in order:
+                doc, start, x = shard[i]
+                take = min(len(x) - at[doc], window - offset)
+                expected.append((doc, start + at[doc], take, sequence, offset))
+                at[doc], offset = at[doc] + take, offset + take
+                if offset == window:
+                    seed = doc if at[doc] < len(x) else None
+                    break
+            sequence += 1
+        pool[:] = sorted(((d, s + at[d], x[at[d]:]) for d, s, x in shard if at[d] < len(x)), key=lambda r: r[0] != seed)
+
+    for doc, _, start, x in rows:
+        pool.append((doc, start, x))
+        if sum(len(x) for _, _, x in pool) >= most:
+            fill(most // 2)
+    fill(0)
+    offset = 0
+    for doc, start, x in pool:
+        expected.append((doc, start, len(x), sequence, offset))
+        offset += len(x)
+    assert [(r[0], r[1], r[2], r[5], r[6]) for r in got] == expected
+
+
+def test_equal_texts_share_the_shard_key(spark):
+    """Copies from different partitions get one key, and rows without a counting term the last resort."""
+    rows = [(k, f"alpha{k % 7} beta gamma{k % 7} delta") for k in range(70)] + [(100, None), (101, "")]
+    ids = packing.materialize(packing.tokenized(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)), "ids")
+    df, n, _ = packing.document_frequencies(ids)
     idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
-    terms = {r.node: Counter(np.frombuffer(r.ids, "<u2").tolist()) for r in ids.collect()}
-    queries = ids.select(F.col("node").alias("wid"), "ids", F.lit(0).alias("lost"))
-    got = defaultdict(list)
-    for r in packing.search(queries, ids, spark.sparkContext.broadcast(idf), mean).collect():
-        got[r.wid].append((r.node, r.score))
-    hits = 0
-    for q in terms:
-        score = {d: sum(idf[t] * tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * sum(tf.values()) / mean))
-                        for t in terms[q] if t in tf) for d, tf in terms.items()}
-        least = sorted(score.values())[-16]
-        assert len(got[q]) == 16 and all(s == pytest.approx(score[d], rel=1e-4) for d, s in got[q])
-        hits += sum(score[d] >= least * (1 - 1e-4) for d, _ in got[q])
-    assert hits >= 0.99 * 16 * len(terms)
+    idf[packing.END_ID] = 0
+    router = spark.sparkContext.broadcast(packing.fitted_router(ids, df, idf, 4096))
+    keys = defaultdict(set)
+    for r in packing._routed(ids, router, 4096).collect():
+        keys[r.doc_id % 7 if r.doc_id < 100 else -1].add((r.near, r.first, r.second))
+    assert all(len(k) == 1 for k in keys.values()) and next(iter(keys[-1]))[1:] == (-1, -1)
 
 
 def test_packing_brings_far_documents_together(spark):
