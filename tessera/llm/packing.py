@@ -11,6 +11,7 @@ separates neighbours, and work is in proportion to the corpus.
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
 
@@ -40,10 +41,13 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str | None):
-    """A worker's tokenizer and memo: space-free chunk -> its ids' bytes."""
+    """A worker's tokenizer, its memo (space-free chunk -> its ids' bytes), and which ids end a word."""
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path or tokenizer_path(TOKENIZER)), {}
+    tokenizer = Tokenizer.from_file(path or tokenizer_path(TOKENIZER))
+    closes = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+    closes[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+    return tokenizer, {}, closes
 
 
 def _learn(tokenizer, memo: dict, missing: list[str]) -> None:
@@ -65,33 +69,76 @@ def _learn(tokenizer, memo: dict, missing: list[str]) -> None:
             begin = end
 
 
-def _base(chunk: str) -> str:
-    """The letters before one closing comma or full stop, which is a word by itself."""
-    base = chunk[:-1]
-    return base if chunk[-1:] in (",", ".") and base.isalpha() and max(base) < "\u0250" else ""
+def _learn_words(tokenizer, memo: dict, closes: np.ndarray, missing: list[str]) -> None:
+    """Ids of words of Latin letters, each one pretoken: where a tokenizer marks the ends
+    of words, texts of many words are cut at these marks."""
+    for at in range(0, len(missing), 2000):
+        words = missing[at:at + 2000]
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(closes[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            _learn(tokenizer, memo, words)
+            continue
+        data, begin = ids.tobytes(), 0
+        for word, end in zip(words, (4 * ends).tolist()):
+            memo[word] = data[begin:end]
+            begin = end
+
+
+# Latin letters that lower-case one to one, then ASCII signs without an apostrophe: two
+# pretokens, whatever the signs are.
+_WORD = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def _learn_chunks(tokenizer, memo: dict, closes: np.ndarray, missing: set) -> None:
+    """Ids of space-free chunks: those of a lower-cased word and of the signs after it, or
+    of the chunk as it is."""
+    split, words, others = [], set(), set()
+    for chunk in missing:
+        found = _WORD.fullmatch(chunk)
+        if not found:
+            others.add(chunk)
+            continue
+        word, signs = found[1].lower(), found[2]
+        words.add(word)
+        if signs:
+            others.add(signs)
+        if signs or word != chunk:
+            split.append((chunk, word, signs))
+    _learn_words(tokenizer, memo, closes, [w for w in words if w not in memo])
+    _learn(tokenizer, memo, [c for c in others if c not in memo])
+    for chunk, word, signs in split:
+        memo[chunk] = memo[word] + memo[signs] if signs else memo[word]
+
+
+BATCH_CHARS = 1 << 22  # texts whose unknown chunks are learnt together
 
 
 def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
     """Little-endian 32-bit ids of each text, the end id last. Pieces never reach
     across white space, so a text's ids are those of its chunks in a row."""
-    tokenizer, memo = _tokenizer(path)
+    tokenizer, memo, closes = _tokenizer(path)
     end = END_ID.to_bytes(4, "little")
-    out = []
+    out, waiting, size = [], [], 0
+
+    def flush():
+        missing = set().union(*waiting).difference(memo)
+        if len(memo) + 3 * len(missing) > MEMO_ENTRIES:
+            memo.clear()
+            missing = set().union(*waiting)
+        _learn_chunks(tokenizer, memo, closes, missing)
+        out.extend(b"".join(map(memo.__getitem__, chunks)) + end for chunks in waiting)
+        waiting.clear()
+
     for text in texts:
         if text.isascii() and "<|" not in text:
             text = text.lower()  # as the tokenizer does; ASCII letters have one form
-        chunks = text.replace("\n", " ").split(" ")
-        missing = set(chunks).difference(memo)
-        if missing:
-            if len(memo) + 2 * len(missing) > MEMO_ENTRIES:
-                memo.clear()
-                missing = set(chunks)
-            closed = {c: b for c in missing if (b := _base(c))}
-            plain = ({*missing, *closed.values(), ",", "."}).difference(closed).difference(memo)
-            _learn(tokenizer, memo, list(plain))
-            for chunk, base in closed.items():
-                memo[chunk] = memo[base] + memo[chunk[-1]]
-        out.append(b"".join(map(memo.__getitem__, chunks)) + end)
+        waiting.append(text.replace("\n", " ").split(" "))
+        size += len(text)
+        if size >= BATCH_CHARS:
+            flush()
+            size = 0
+    flush()
     return out
 
 
@@ -113,6 +160,13 @@ def tokenized(docs: DataFrame, tokenizer_file: str | None = None) -> DataFrame:
         F.monotonically_increasing_id().alias("node"), "doc_id", "n", "ids")
 
 
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct terms in order, how often each occurs)."""
+    ordered = np.sort(ids)
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[:len(ids)]
+    return ordered[at], np.diff(np.append(at, len(ids)))
+
+
 def document_frequencies(ids: DataFrame) -> tuple[np.ndarray, int, float]:
     """(documents per term, documents, mean length) over the whole corpus. A task
     sums its partition and emits one row per term it saw; the result has a row per
@@ -124,7 +178,7 @@ def document_frequencies(ids: DataFrame) -> tuple[np.ndarray, int, float]:
             for x in batch.column(0):
                 terms = np.frombuffer(x.as_buffer(), "<u2")
                 n, tokens = n + 1, tokens + len(terms)
-                df[np.unique(terms)] += 1
+                df[_distinct(terms)[0]] += 1
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict(
             {"term": [*seen.tolist(), -1, -2], "n": [*df[seen].tolist(), n, tokens]},
@@ -164,7 +218,7 @@ class Index:
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
         """BM25 of every document of the shard for all terms of a query document."""
-        term = np.unique(ids)
+        term = _distinct(ids)[0]
         row = self.row[term]
         asked = np.zeros(len(self.matrix), dtype=np.float32)
         asked[row[row >= 0]] = 1
@@ -188,7 +242,7 @@ class Router:
 
     def read(self, ids: np.ndarray) -> tuple[np.ndarray, int, int]:
         """(features of the commonest terms, two drawn terms); -1 where no term counts."""
-        term, tf = np.unique(ids, return_counts=True)
+        term, tf = _distinct(ids)
         weight = self.weight[term] * tf / (tf + K1)
         term, weight = term[weight > 0], weight[weight > 0]
         features = np.zeros(FEATURES, dtype=np.float32)
