@@ -11,17 +11,17 @@ separates neighbours, and work is in proportion to the corpus.
 
 from __future__ import annotations
 
-import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import MEMO_ENTRIES, map_batches, materialize, release, tokenizer_path
+from tessera.llm.common import map_batches, materialize, release, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
@@ -41,7 +41,7 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str | None):
-    """A worker's tokenizer, its memo (space-free chunk -> its ids' bytes), and which ids end a word."""
+    """A worker's tokenizer, its memo (word or signs -> their ids' bytes), and which ids end a word."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path or tokenizer_path(TOKENIZER))
@@ -72,8 +72,8 @@ def _learn(tokenizer, memo: dict, missing: list[str]) -> None:
 def _learn_words(tokenizer, memo: dict, closes: np.ndarray, missing: list[str]) -> None:
     """Ids of words of Latin letters, each one pretoken: where a tokenizer marks the ends
     of words, texts of many words are cut at these marks."""
-    for at in range(0, len(missing), 2000):
-        words = missing[at:at + 2000]
+    for at in range(0, len(missing), 20_000):
+        words = missing[at:at + 20_000]
         ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(closes[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):
@@ -87,58 +87,76 @@ def _learn_words(tokenizer, memo: dict, closes: np.ndarray, missing: list[str])
 
 # Latin letters that lower-case one to one, then ASCII signs without an apostrophe: two
 # pretokens, whatever the signs are.
-_WORD = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\\[-`{-~]*)")
+_LETTERS = "".join(filter(str.isalpha, map(chr, [*range(65, 123), *range(0xC0, 0x100)])))
+_WORD = f"^[{_LETTERS}]+$"
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _learn_chunks(tokenizer, memo: dict, closes: np.ndarray, missing: set) -> None:
-    """Ids of space-free chunks: those of a lower-cased word and of the signs after it, or
-    of the chunk as it is."""
-    split, words, others = [], set(), set()
-    for chunk in missing:
-        found = _WORD.fullmatch(chunk)
-        if not found:
-            others.add(chunk)
-            continue
-        word, signs = found[1].lower(), found[2]
-        words.add(word)
-        if signs:
-            others.add(signs)
-        if signs or word != chunk:
-            split.append((chunk, word, signs))
-    _learn_words(tokenizer, memo, closes, [w for w in words if w not in memo])
-    _learn(tokenizer, memo, [c for c in others if c not in memo])
-    for chunk, word, signs in split:
-        memo[chunk] = memo[word] + memo[signs] if signs else memo[word]
+def _parts(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Space-free chunks as a lower-cased word and the signs after it, or as they are and nothing."""
+    stem = pc.ascii_rtrim(chunks, characters=_SIGNS)
+    word = pc.match_substring_regex(stem, _WORD)
+    signs = pc.utf8_ltrim(chunks, characters=_LETTERS)
+    return pc.if_else(word, pc.utf8_lower(stem), chunks), pc.if_else(word, signs, "")
+
+
+def _gather(data: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows ``codes`` of a ragged table one after the other, and where each ends."""
+    size = np.diff(ends, prepend=0)
+    n = size[codes]
+    to = np.cumsum(n)
+    return data[np.repeat((ends - size)[codes] - (to - n), n) + np.arange(to[-1] if len(to) else 0)], to
 
 
-BATCH_CHARS = 1 << 22  # texts whose unknown chunks are learnt together
+MEMO_WORDS = 600_000  # words and groups of signs that a worker remembers
+BATCH_CHARS = 1 << 22  # texts whose chunks are looked up together
+
+
+def _chunk_ids(chunks: pa.Array, path: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct chunks one after the other, and where each ends."""
+    tokenizer, memo, closes = _tokenizer(path)
+    stems, signs = _parts(chunks)
+    both = pa.concat_arrays([stems, signs]).dictionary_encode()
+    known = both.dictionary.to_numpy(zero_copy_only=False).tolist()
+    missing = [c for c in known if c not in memo]
+    if len(memo) + len(missing) > MEMO_WORDS:
+        memo.clear()
+        missing = known
+    words = pc.match_substring_regex(pa.array(missing, pa.string()), _WORD).to_numpy(zero_copy_only=False).tolist()
+    _learn_words(tokenizer, memo, closes, [c for c, w in zip(missing, words) if w])
+    _learn(tokenizer, memo, [c for c, w in zip(missing, words) if not w])
+    ids = [memo[c] for c in known]
+    ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4
+    codes = both.indices.to_numpy().reshape(2, -1).T.ravel()
+    data, to = _gather(np.frombuffer(b"".join(ids), "<u4"), ends, codes)
+    return data, to[1::2]
 
 
 def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
     """Little-endian 32-bit ids of each text, the end id last. Pieces never reach
     across white space, so a text's ids are those of its chunks in a row."""
-    tokenizer, memo, closes = _tokenizer(path)
     end = END_ID.to_bytes(4, "little")
     out, waiting, size = [], [], 0
 
     def flush():
-        missing = set().union(*waiting).difference(memo)
-        if len(memo) + 3 * len(missing) > MEMO_ENTRIES:
-            memo.clear()
-            missing = set().union(*waiting)
-        _learn_chunks(tokenizer, memo, closes, missing)
-        out.extend(b"".join(map(memo.__getitem__, chunks)) + end for chunks in waiting)
+        split = pc.split_pattern(pa.array(waiting, pa.large_string()), " ")
+        chunks = split.flatten().dictionary_encode()
+        data, to = _chunk_ids(chunks.dictionary.cast(pa.string()), path)
+        data, to = _gather(data, to, chunks.indices.to_numpy())
+        ends = to[split.offsets.to_numpy()[1:] - 1].tolist()
+        out.extend(data[a:b].tobytes() + end for a, b in zip([0, *ends], ends))
         waiting.clear()
 
     for text in texts:
         if text.isascii() and "<|" not in text:
             text = text.lower()  # as the tokenizer does; ASCII letters have one form
-        waiting.append(text.replace("\n", " ").split(" "))
+        waiting.append(text.replace("\n", " "))
         size += len(text)
         if size >= BATCH_CHARS:
             flush()
             size = 0
-    flush()
+    if waiting:
+        flush()
     return out
 
 
@@ -167,6 +185,29 @@ def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[at], np.diff(np.append(at, len(ids)))
 
 
+SORTED_IDS = 1 << 20  # ids whose documents' distinct terms are found together
+
+
+def _groups(docs: list[np.ndarray]):
+    """(begin, end) of runs of documents of about ``SORTED_IDS`` ids, at most 65,536 documents."""
+    begin = size = 0
+    for at, ids in enumerate(docs):
+        if at > begin and (size + len(ids) > SORTED_IDS or at - begin >= 1 << 16):
+            yield begin, at
+            begin = at
+            size = 0
+        size += len(ids)
+    if docs:
+        yield begin, len(docs)
+
+
+def _distinct_of(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, how often) of the distinct terms of at most 65,536 documents, in order."""
+    owner = np.repeat(np.arange(len(docs), dtype=np.uint32), [len(d) for d in docs])
+    key, times = _distinct(owner << np.uint32(16) | np.concatenate(docs))
+    return (key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64), times
+
+
 def document_frequencies(ids: DataFrame) -> tuple[np.ndarray, int, float]:
     """(documents per term, documents, mean length) over the whole corpus. A task
     sums its partition and emits one row per term it saw; the result has a row per
@@ -175,10 +216,10 @@ def document_frequencies(ids: DataFrame) -> tuple[np.ndarray, int, float]:
     def counts(batches):
         df, n, tokens = np.zeros(1 << 16, dtype=np.int64), 0, 0
         for batch in batches:
-            for x in batch.column(0):
-                terms = np.frombuffer(x.as_buffer(), "<u2")
-                n, tokens = n + 1, tokens + len(terms)
-                df[_distinct(terms)[0]] += 1
+            docs = [np.frombuffer(x.as_buffer(), "<u2") for x in batch.column(0)]
+            n, tokens = n + len(docs), tokens + sum(map(len, docs))
+            for begin, end in _groups(docs):
+                df += np.bincount(_distinct_of(docs[begin:end])[1], minlength=len(df))
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict(
             {"term": [*seen.tolist(), -1, -2], "n": [*df[seen].tolist(), n, tokens]},
@@ -240,18 +281,28 @@ class Router:
         self.draws = -np.log(np.random.default_rng(0).uniform(1e-12, 1, (2, len(df))))
         self.centres = np.zeros((1, FEATURES), dtype=np.float32)
 
-    def read(self, ids: np.ndarray) -> tuple[np.ndarray, int, int]:
-        """(features of the commonest terms, two drawn terms); -1 where no term counts."""
-        term, tf = _distinct(ids)
-        weight = self.weight[term] * tf / (tf + K1)
-        term, weight = term[weight > 0], weight[weight > 0]
-        features = np.zeros(FEATURES, dtype=np.float32)
-        if not len(term):
-            return features, -1, -1
-        column = self.column[term]
-        features[column[column >= 0]] = weight[column >= 0]
-        first, second = (int(term[np.argmin(d[term] / weight)]) for d in self.draws)
-        return features / max(float(np.linalg.norm(features)), 1e-9), first, second
+    def read(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(features of the commonest terms, two drawn terms) of each document; -1 where no
+        term counts."""
+        features = np.zeros((len(docs), FEATURES), dtype=np.float32)
+        drawn = np.full((2, len(docs)), -1)
+        for begin, end in _groups(docs):
+            doc, term, tf = _distinct_of(docs[begin:end])
+            weight = self.weight[term] * tf / (tf + K1)
+            on = weight > 0
+            doc, term, weight = doc[on] + begin, term[on], weight[on]
+            column = self.column[term]
+            common = column >= 0
+            features[doc[common], column[common]] = weight[common]
+            if not len(doc):
+                continue
+            heads = np.flatnonzero(np.diff(doc, prepend=-1))
+            for drawn_, draws in zip(drawn, self.draws):
+                value = draws[term] / weight
+                least = np.repeat(np.minimum.reduceat(value, heads), np.diff(np.append(heads, len(doc))))
+                at = np.flatnonzero(value == least)[::-1]  # the first of equal ones is written last
+                drawn_[doc[at]] = term[at]
+        return features / np.maximum(np.linalg.norm(features, axis=1, keepdims=True), 1e-9), *drawn
 
     def fit(self, sample: np.ndarray) -> None:
         """Spherical k-means of a bounded sample's features."""
@@ -281,8 +332,8 @@ def fitted_router(ids: DataFrame, df: np.ndarray, idf: np.ndarray, window: int)
     chosen = [r["node"] for r in ids.select("node").orderBy(order, "node").limit(SAMPLE).collect()]
 
     def features(batch):
-        yield {"features": [router.read(_rest(x, n, window))[0].astype("<f2").tobytes()
-                            for n, x in zip(batch.column(0).to_pylist(), batch.column(1))]}
+        found = router.read([_rest(x, n, window) for n, x in zip(batch.column(0).to_pylist(), batch.column(1))])[0]
+        yield {"features": [x.astype("<f2").tobytes() for x in found]}
 
     rows = map_batches(ids.where(F.col("node").isin(chosen)).select("n", "ids"), features, "features binary").collect()
     router.fit(np.array([np.frombuffer(r["features"], "<f2") for r in rows], dtype=np.float32).reshape(-1, FEATURES))
@@ -296,10 +347,9 @@ def _routed(ids: DataFrame, router, window: int) -> DataFrame:
     def rows(batch):
         node, doc, n, data = batch.columns
         rests = [_rest(x, k, window) for k, x in zip(n.to_pylist(), data)]
-        read = [router.value.read(x) for x in rests]
-        group = router.value.group(np.array([f for f, _, _ in read]).reshape(-1, FEATURES))
-        yield {"near": group, "first": [a for _, a, _ in read], "second": [b for _, _, b in read], "node": node,
-               "doc_id": doc, "n": n, "ids": [x.tobytes() for x in rests]}
+        features, first, second = router.value.read(rests)
+        yield {"near": router.value.group(features), "first": first, "second": second, "node": node, "doc_id": doc,
+               "n": n, "ids": [x.tobytes() for x in rests]}
 
     return map_batches(ids.where(F.col("n") % window > 0), rows,
                        "near long, first long, second long, node long, doc_id long, n long, ids binary")

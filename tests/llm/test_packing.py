@@ -110,3 +110,39 @@ def test_packing_brings_far_documents_together(spark):
     met = {d for ids in together.values() for d in ids if any(x % 100 == d % 100 and x != d for x in ids)}
     assert len(met) >= len(rows) // 2
     assert pack(docs.limit(0)).collect() == []
+
+
+def test_words_are_looked_up_without_their_signs():
+    """Ids are the library's, and one entry a word serves whatever signs follow it."""
+    from tokenizers import Tokenizer
+
+    tokenizer, memo, _ = packing._tokenizer(None)
+    whole = Tokenizer.from_file(packing.tokenizer_path(packing.TOKENIZER))
+    texts = ["", " ", "\n\n", "Qzarvo, qzarvo. QZARVO!? (qzarvo) qzarvo's  Été, été-là étéß", "a\tb c", "é, 日本!",
+             "<|endoftext|>x y<|startoftext|>, İstanbul ſ", "x" * 5000]
+    memo.clear()
+    got = packing.token_bytes(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+        [*whole.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    assert "qzarvo" in memo and not {"qzarvo,", "qzarvo.", "qzarvo!?"} & set(memo)
+
+
+def test_a_batch_is_read_as_its_documents_are(monkeypatch):
+    """Distinct terms, features and drawn terms of many documents at once."""
+    random = np.random.default_rng(5)
+    docs = [random.integers(0, 300, random.integers(1, 80)).astype("<u2") for _ in range(50)]
+    df = np.zeros(1 << 16, np.int64)
+    for d in docs:
+        df[np.unique(d)] += 1
+    router = packing.Router(df, np.log1p(60 / (df + 0.5)).astype(np.float32))
+    monkeypatch.setattr(packing, "SORTED_IDS", 200)
+    assert [b - a for a, b in packing._groups(docs)] != [len(docs)]
+    many = router.read(docs)
+    for k, d in enumerate(docs):
+        one = router.read([d])
+        assert one[0][0] == pytest.approx(many[0][k]) and (one[1][0], one[2][0]) == (many[1][k], many[2][k])
+        term, tf = np.unique(d, return_counts=True)
+        weight = router.weight[term] * tf / (tf + packing.K1)
+        term, weight = term[weight > 0], weight[weight > 0]
+        for drawn, draws in zip(one[1:], router.draws):
+            assert drawn[0] == (term[np.argmin(draws[term] / weight)] if len(term) else -1)
