@@ -18,6 +18,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,8 @@ MIN_TOXIC = 3  # toxic documents that must hold a sign
 PRIOR_WEIGHT = 4.0
 THRESHOLD = 0.5
 N_STATISTICS = 7
-MEMO_TOKENS = 300_000
+MEMO_TOKENS = 600_000
+BATCH_BYTES = 1 << 23  # texts whose tokens are looked up together
 MEMO_LENGTH = 48  # longer tokens are not remembered
 LM_SMOOTHING = 0.5
 # The letters a sign may stand for.
@@ -41,6 +43,10 @@ SEPARATORS = " .-_*"
 REPLACED, SEPARATED, REPEATED = 1.5, 0.5, 0.5  # costs of the channel, in nats
 LETTER = "a-zà-öø-ÿ"
 SPACED = re.compile(rf"(?<!\S)[{LETTER}0-9@$!|+](?:[ .\-_*][{LETTER}0-9@$!|+]){{2,}}(?![^\s.,;:!?])")
+# ``SPACED`` for a quick look at whole columns; finds a little more, as all signs beyond ASCII may end a word
+_EDGE = r"[\s\x0b\x1c-\x1f\x{80}-\x{10ffff}"
+MAY_BE_SPACED = (rf"(?:^|{_EDGE}])[{LETTER}0-9@$!|+](?:[ .\-_*][{LETTER}0-9@$!|+]){{2,}}"
+                 rf"(?:$|{_EDGE}.,;:!?])")
 MIXED = re.compile(rf"[{LETTER}][0-9@$!|+]+[{LETTER}]|^[0-9@$|+]+[{LETTER}]{{2}}|[{LETTER}]{{2}}[0-9@$|+]{{1,2}}$")
 STRETCHED = re.compile(rf"([{LETTER}])\1\1")
 CLASSES = 32  # of the language model: blank, a-z, digit, other letter, other sign
@@ -189,6 +195,33 @@ def tokens_of(text: str | None, costs: np.ndarray) -> Counter:
     return Counter(joined(text or "", costs).split())
 
 
+def slices(batch: pa.RecordBatch):
+    """The batch in runs of rows of about ``BATCH_BYTES`` of text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.unique(np.searchsorted(size, np.arange(0, size[-1], BATCH_BYTES))) if len(size) else size
+    for begin, end in zip(cuts.tolist(), [*cuts.tolist()[1:], len(size)]):
+        yield batch.slice(begin, end - begin)
+
+
+def column_tokens(texts: pa.Array, costs: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct tokens, token of each occurrence, its row) of a column: the tokens of
+    ``tokens_of`` for many texts at once."""
+    texts = pc.ascii_lower(pc.fill_null(texts, ""))
+    spaced = pc.match_substring_regex(texts, MAY_BE_SPACED)
+    if pc.any(spaced).as_py():
+        told = [joined(t, costs) for t in texts.filter(spaced).to_pylist()]
+        texts = pc.replace_with_mask(texts, spaced, pa.array(told, texts.type))
+    words = pc.utf8_split_whitespace(texts)
+    tokens = words.flatten().dictionary_encode()
+    code = tokens.indices.to_numpy()
+    row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
+    known = tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
+    if "" in known:  # before or after white space at an end
+        on = code != known.index("")
+        code, row = code[on], row[on]
+    return known, code, row
+
+
 def sign_counts(train: DataFrame, costs: np.ndarray) -> DataFrame:
     """(sign, toxic, clean): labelled documents of each kind that hold the sign."""
 
@@ -238,18 +271,31 @@ def statistics(docs: DataFrame, costs: np.ndarray, lexicon: dict, share: float,
 
         memo = Tokens(weights)
         for batch in batches:
-            out = []
-            for text, y in zip(batch.column("text"), batch.column("y")):
-                pick = 0 if label is None else 1 + y.as_py()
-                words = tokens_of(text.as_py(), costs)
-                found = [(w[pick], n) for w, n in ((memo[t], n) for t, n in words.items()) if w]
-                top = sorted((w for w, _ in found), reverse=True)[:3]
-                strong = [n for w, n in found if w >= 2]
-                out.append([*top, *[0.0] * (3 - len(top)), math.log1p(len(strong)), math.log1p(sum(strong)),
-                            math.log1p(sum(words.values())), sum(strong) / max(1, sum(words.values()))])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("y"), pa.array(out, pa.list_(pa.float64()))],
-                ["doc_id", "y", "x"])
+            for part in slices(batch):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("y"), strongest(part, memo)], ["doc_id", "y", "x"])
+
+    def strongest(part, memo):
+        known, code, row = column_tokens(part.column("text"), costs)
+        found = [memo[t] for t in known]
+        held = np.array([w is not None for w in found], dtype=bool)
+        values = np.array([w or (0.0, 0.0, 0.0) for w in found]).reshape(-1, 3)
+        total = np.bincount(row, minlength=len(part)).tolist()
+        on = held[code] if len(code) else np.zeros(0, dtype=bool)
+        key, n = np.unique(row[on] * max(len(known), 1) + code[on], return_counts=True)
+        row, code = np.divmod(key, max(len(known), 1))
+        pick = 0 if label is None else 1 + part.column("y").to_numpy()[row]
+        w = values[code, pick]
+        order = np.lexsort([-w, row])
+        row, w, n = row[order], w[order], n[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        x = np.zeros((len(part), N_STATISTICS))
+        x[row[place < 3], place[place < 3]] = w[place < 3]
+        strong = w >= 2
+        words = np.bincount(row[strong], minlength=len(part)).tolist()
+        times = np.bincount(row[strong], weights=n[strong], minlength=len(part)).tolist()
+        x[:, 3:] = [(math.log1p(a), math.log1p(b), math.log1p(c), b / max(1, c)) for a, b, c in zip(words, times, total)]
+        return pa.ListArray.from_arrays(np.arange(0, x.size + 1, N_STATISTICS, dtype=np.int32), x.ravel())
 
     y = F.col(label).cast("int") if label else F.lit(0)
     return docs.select("doc_id", "text", y.alias("y")).mapInArrow(describe, "doc_id long, y int, x array<double>")

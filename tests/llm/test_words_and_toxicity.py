@@ -209,3 +209,23 @@ def test_empty_tables(spark):
     assert tx.toxicity(docs, marks).count() == 0 and tx.restored_texts(docs).count() == 0
     some = frame(spark, [(1, "a text", "en")])
     assert [r.score for r in tx.toxicity(some, marks).collect()] == [0.5]
+
+
+def test_columns_of_texts_have_the_tokens_of_single_texts():
+    """Spaced-out words, white space of every kind, null, slices of a column."""
+    import pyarrow as pa
+
+    rng, signs = random.Random(4), list("ab1@$! .-_* é\n\x0b\x85 \x1c,;xAÉ")
+    texts = [None, "", " ", "k i l l them all", "a b-c.d e f g", *(
+        "".join(rng.choices(signs, k=rng.randint(0, 25))) for _ in range(3000))]
+    costs = tx.character_costs(np.ones(tx.CLASSES ** 3))
+    for part in (pa.array(texts), pa.array(texts).slice(1000, 700), pa.array([], pa.string())):
+        known, code, row = tx.column_tokens(part, costs)
+        got = [Counter() for _ in range(len(part))]
+        for r, c in zip(row.tolist(), code.tolist()):
+            got[r][known[c]] += 1
+        assert got == [tx.tokens_of(t, costs) for t in part.to_pylist()]
+    batch = pa.record_batch([pa.array(["x" * n for n in (5, 0, tx.BATCH_BYTES, 3, 9)] + [None])], ["text"])
+    parts = list(tx.slices(batch))
+    assert len(parts) > 1 and pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert not list(tx.slices(batch.slice(0, 0)))
