@@ -35,8 +35,8 @@ from tessera.plans.rosters import guid_roster, named_roster
 from tessera.sources import stand_ins as si
 from tessera.sources.params import (ACTIVITY_PARAMS, BUDGET_AS_OF, CAMPAIGN_FROM_DATE, LESSON_PARAMS,
                                     USAGE_PARAMS, as_date)
-from tessera.sources.sinks import (create_table_as, drop_table, materialize, read_table, register_view,
-                                   save_table, table_path, unique_name, write_table)
+from tessera.sources.sinks import (buckets_for, create_table_as, drop_table, materialize, read_table,
+                                   register_view, save_table, table_path, unique_name, write_table)
 from tessera.sources.tables import Tables, attach, load, load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -939,12 +939,14 @@ def _join_salted(t):
 
 @register("join_bucketed")
 def _join_bucketed(t):
-    """Join and grouping of two tables bucketed on the order key, without an exchange."""
+    """Join and grouping of two tables bucketed on the order key, without an exchange.
+    Both have as many buckets, in proportion to the lines, so a task's rows stay bounded."""
     database = f"tessera_b{zlib.crc32(t.sf_dir.encode()):08x}"
     t.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{table_path(t.spark, database)}'")
+    buckets = buckets_for(t.lineitem.count())
     lines = save_table(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"),
-                       [database, "lines"], 8, ["o_orderkey"])
-    orders = save_table(t.orders.select("o_orderkey", "o_orderpriority"), [database, "orders"], 8, ["o_orderkey"])
+                       [database, "lines"], buckets, ["o_orderkey"])
+    orders = save_table(t.orders.select("o_orderkey", "o_orderpriority"), [database, "orders"], buckets, ["o_orderkey"])
     return (orders.join(lines, "o_orderkey").groupBy("o_orderkey", "o_orderpriority")
             .agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_quantity").alias("max_quantity")))
 

@@ -28,6 +28,8 @@ from tessera.sources.tables import name_parts, quoted_name
 
 POINTER = "_current"
 VERSIONS_KEPT = 2  # the current one and the one a reader may still be on
+BUCKET_ROWS = 1_000_000  # rows that a task sorts, writes or joins, where keys are spread
+MIN_BUCKETS, MAX_BUCKETS = 8, 100_000  # the latter is Spark's own limit
 
 
 def table_path(spark: SparkSession, name: str) -> str:
@@ -120,6 +122,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(current_version(spark, name) or table_path(spark, name))
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets of a table of ``rows`` rows: as many more as the table grows."""
+    return min(max(-(-rows // BUCKET_ROWS), MIN_BUCKETS), MAX_BUCKETS)
+
+
 def save_table(df: DataFrame, name: str | Sequence[str], buckets: int | None = None,
                bucket_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> DataFrame:
     """Publish ``df`` as the catalog table ``name`` (one to three parts) and return it.

@@ -205,3 +205,21 @@ def test_a_scope_cleans_up_after_an_error(spark):
             assert os.path.isdir(path)
             1 / 0
     assert not os.path.isdir(path) and not sinks.Stages._open
+
+
+def test_buckets_follow_the_rows(monkeypatch):
+    """A task's share stays bounded however many rows there are."""
+    assert sinks.buckets_for(0) == sinks.buckets_for(600_000) == sinks.MIN_BUCKETS
+    assert sinks.buckets_for(216_000_000) == 216 and sinks.buckets_for(10 ** 15) == sinks.MAX_BUCKETS
+
+
+def test_the_bucketed_join_deals_more_lines_over_more_buckets(spark, monkeypatch):
+    from tessera.plans.catalog import QUERIES
+
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 300)
+    got = QUERIES["join_bucketed"](spark, SF_SMALL)
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    buckets = -(-lines.count() // 300)
+    assert buckets > sinks.MIN_BUCKETS and plan_of(got).count("Bucketed: true") == 2
+    assert f"SelectedBucketsCount: {buckets} out of {buckets}" in plan_of(got) and "Exchange hash" not in plan_of(got)
+    assert got.agg(F.sum("n_lines")).first()[0] == lines.count()
