@@ -207,8 +207,7 @@ class Stages:
         Stages._open.remove(self)
         for path in self.paths:
             remove_folder(self.spark, path)
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        collect_spent(self.spark)
 
     def keep(self, df: DataFrame, prefix: str = "kept") -> DataFrame:
         """``df`` written outside this scope."""
@@ -220,6 +219,12 @@ class Stages:
             Stages._open[at:] = within
 
 
+def collect_spent(spark: SparkSession) -> None:
+    """Ask the JVM to collect, so Spark removes the shuffle files of plans that nothing refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(*frames: DataFrame) -> None:
     """Remove the folders of materialised frames whose last reader is done. Plans that
     were built on them and have not run can run no more."""
