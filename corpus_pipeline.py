@@ -5,7 +5,8 @@ read again as the next stage's documents; all but the last return the columns
 of ``documents``. Stages that drop or cut rows number their input first and run
 on that row key, so rows that repeat a doc_id, or have none, are documents of
 their own. What a stage's operator writes for itself is removed once its verdicts
-are written; the numbered rows and the verdicts stay for the stage's output.
+are written. Stages that join the verdicts to the texts write their output, too, so
+the numbered rows and the join's shuffle files are gone when the next stage begins.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from tessera.llm.packing import pack
 from tessera.llm.quality_rules import quality_rules
 from tessera.llm.secret_scan import mask_secrets
 from tessera.llm.suffix_dedup import remove_repeats
-from tessera.sources.sinks import Stages, release
+from tessera.sources.sinks import Stages, collect_spent, release
 
 # Signatures, suffix arrays and packing are beyond SQL; tests hold the stages
 # against plain versions instead.
@@ -34,7 +35,9 @@ def numbered(docs: DataFrame, ordered: bool = True) -> DataFrame:
     if ordered:
         order = [F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.xxhash64("doc.text")]
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    collect_spent(rows.sparkSession)
+    return rows
 
 
 def by_row(rows: DataFrame) -> DataFrame:
@@ -46,34 +49,37 @@ def by_row(rows: DataFrame) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that a rule or their host's verdict rejects go, each
     row by its own text."""
-    rows = numbered(docs, ordered=False)
     with Stages(spark) as stages:
-        kept = stages.keep(quality_rules(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")))
-    return rows.join(kept, "row", "left_semi").select("doc.*")
+        rows = numbered(docs, ordered=False)
+        with Stages(spark) as inner:
+            kept = inner.keep(quality_rules(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")))
+        return stages.keep(rows.join(kept, "row", "left_semi").select("doc.*"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: the row with the smallest id of each class stays (a class of
     rows without ids keeps one, too). Texts without words are in no class and stay."""
-    rows = numbered(docs)
     with Stages(spark) as stages:
-        kept = stages.keep(near_duplicate_classes(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")))
-    return rows.join(kept, "row", "left_semi").select("doc.*")
+        rows = numbered(docs)
+        with Stages(spark) as inner:
+            kept = inner.keep(near_duplicate_classes(by_row(rows)).where("kept").select(F.col("doc_id").alias("row")))
+        return stages.keep(rows.join(kept, "row", "left_semi").select("doc.*"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup: repeated passages go; documents without a word left go as a whole."""
-    rows = numbered(docs)
     with Stages(spark) as stages:
-        left = stages.keep(remove_repeats(by_row(rows)).where("n_removed > 0").select(
-            F.col("doc_id").alias("cut_row"), F.col("kept_text").alias("cut")))
-    joined = rows.join(left, F.col("row") == F.col("cut_row"), "left")
-    kept = joined.where("cut_row IS NULL OR cut RLIKE '[^\\\\s]'")
-    was = F.col("cut_row").isNull()
-    return kept.select(*[
-        F.when(was, F.col(f"doc.`{c}`")).otherwise(
-            F.col("cut") if c == "text" else F.length("cut").cast(docs.schema[c].dataType)).alias(c)
-        if c in ("text", "n_chars") else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+        rows = numbered(docs)
+        with Stages(spark) as inner:
+            left = inner.keep(remove_repeats(by_row(rows)).where("n_removed > 0").select(
+                F.col("doc_id").alias("cut_row"), F.col("kept_text").alias("cut")))
+        joined = rows.join(left, F.col("row") == F.col("cut_row"), "left")
+        kept = joined.where("cut_row IS NULL OR cut RLIKE '[^\\\\s]'")
+        was = F.col("cut_row").isNull()
+        return stages.keep(kept.select(*[
+            F.when(was, F.col(f"doc.`{c}`")).otherwise(
+                F.col("cut") if c == "text" else F.length("cut").cast(docs.schema[c].dataType)).alias(c)
+            if c in ("text", "n_chars") else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

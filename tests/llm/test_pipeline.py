@@ -82,3 +82,18 @@ def test_a_run_leaves_its_result_only(spark, tmp_path):
     kept = {r.doc_id for r in out.collect()}
     assert kept == set(range(12))  # a copy, a near copy and a short text are gone
     assert len(set(os.listdir(folder)) - before) == 1
+
+
+@pytest.mark.parametrize("name,f", STAGES[:3])
+def test_a_stage_that_joins_leaves_its_output_only(spark, name, f):
+    import os
+    from urllib.parse import urlparse
+
+    from tessera.session import checkpoint_dir
+
+    folder = urlparse(checkpoint_dir(spark)).path.rstrip("/") + "/tables"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    rng = random.Random(9)
+    out = f(spark, frame(spark, [(i, " ".join(words(rng, 70))) for i in range(8)]), "")
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and out.count() == 8 and all(next(iter(left)) in x for x in out.inputFiles())
