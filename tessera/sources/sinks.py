@@ -209,12 +209,12 @@ class Stages:
             remove_folder(self.spark, path)
         collect_spent(self.spark)
 
-    def keep(self, df: DataFrame, prefix: str = "kept") -> DataFrame:
+    def keep(self, df: DataFrame, prefix: str = "kept", compression: str | None = None) -> DataFrame:
         """``df`` written outside this scope."""
         at = Stages._open.index(self)
         within, Stages._open[at:] = Stages._open[at:], []
         try:
-            return materialize(df, prefix)
+            return materialize(df, prefix, compression)
         finally:
             Stages._open[at:] = within
 
@@ -237,7 +237,7 @@ def release(*frames: DataFrame) -> None:
                     scope.paths.remove(path)
 
 
-def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, prefix: str = "stage", compression: str | None = None) -> DataFrame:
     """Compute ``df`` once and return it re-read from the shared folder.
 
     For intermediates that a pipeline reads several times (a calendar, a
@@ -247,12 +247,13 @@ def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
     parquet costs one job; ``DataFrame.checkpoint()`` would run the plan twice
     (once for its count, once to write) unless it were also persisted. The
     folder lives until the ``Stages`` scope around it ends or ``release`` is called.
+    ``compression`` is the session's unless given.
     """
     spark = df.sparkSession
     path = table_path(spark, unique_name(prefix))
     if Stages._open:
         Stages._open[-1].paths.append(path)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     written = spark.read.parquet(path)
     written._stage_path = path
     return written

@@ -97,3 +97,32 @@ def test_a_stage_that_joins_leaves_its_output_only(spark, name, f):
     out = f(spark, frame(spark, [(i, " ".join(words(rng, 70))) for i in range(8)]), "")
     left = set(os.listdir(folder)) - before
     assert len(left) == 1 and out.count() == 8 and all(next(iter(left)) in x for x in out.inputFiles())
+
+
+def test_quality_rules_leave_no_texts(spark):
+    """What a stage leaves lies there until the last one is done: the rejected hosts only."""
+    import os
+    from urllib.parse import urlparse
+
+    from tessera.session import checkpoint_dir
+
+    folder = urlparse(checkpoint_dir(spark)).path.rstrip("/") + "/tables"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    rng = random.Random(10)
+    rows = [(i, " ".join(words(rng, 70))) for i in range(8)] + [(8, "short"), (None, "x"), (None, None)]
+    out = keep_quality(spark, frame(spark, rows), "")
+    left = set(os.listdir(folder)) - before
+    assert out.count() == 8
+    assert all("text" not in str(spark.read.parquet(f"{folder}/{x}").schema) for x in left)
+
+
+@pytest.mark.parametrize("f", [drop_near_duplicates, cut_repeats])
+def test_written_texts_are_packed_tightly(spark, f):
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(11)
+    out = f(spark, frame(spark, [(i, " ".join(words(rng, 70))) for i in range(8)]), "")
+    kept = [pq.ParquetFile(urlparse(x).path).metadata for x in out.inputFiles()]
+    assert {m.row_group(0).column(1).compression for m in kept if m.num_rows} == {"ZSTD"}
