@@ -8,12 +8,16 @@ frequencies, and phrases are counted inside the distinct chunks, weighted.
 
 Lengths are counted one after the other: a phrase is made only if the two
 phrases one word shorter inside it may be frequent, which a Bloom filter of
-bounded size answers; a wrong yes costs a row, never a count.
+bounded size answers; a wrong yes costs a row, never a count. Most pairs of frequent
+words are rare, so pairs are first counted by a 64-bit hash, and only those whose
+hash is frequent are made: two that share a hash can but let each other through.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable, Sequence
+from functools import cached_property
 from zlib import crc32
 
 import numpy as np
@@ -23,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import hash_filter, materialize, may_hold_hashes, release
 
 LONGEST = 4
 MIN_COUNT = 30
@@ -148,83 +152,160 @@ def bloom_of(phrases: DataFrame, count: int) -> Bloom:
     return Bloom(out)
 
 
-def count_phrases(table: pa.Table, size: int, shorter: Bloom) -> pa.RecordBatch:
-    """(lang, phrase, n) of the phrases of ``size`` words that start in own words of the chunks."""
-    tokens = pc.split_pattern(table.column("chunk").cast(pa.string()).combine_chunks(), " ")
-    offsets = tokens.offsets.to_numpy()
-    lengths = np.diff(offsets)
-    flat = tokens.flatten().dictionary_encode()
-    words, ids = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    langs = table.column("lang").combine_chunks().dictionary_encode()
-    lang_ids = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), lengths)
-    times = np.repeat(table.column("times").to_numpy(), lengths)
-    first = np.repeat(offsets[:-1], lengths)
-    at = np.arange(len(ids)) + int(offsets[0])
-    own = at - first < np.repeat(table.column("own").to_numpy(), lengths)
-    breaks = pc.index(words, pa.scalar("\n")).as_py()
-    is_break = ids == breaks
-    # the next break or chunk end at or after each token
-    ends = np.repeat(offsets[1:], lengths)
-    nearest = np.where(is_break, at, np.iinfo(np.int64).max)
-    stop = np.minimum(ends, np.minimum.accumulate(nearest[::-1])[::-1]) if len(ids) else ends
-    start = np.flatnonzero(own & (at + size <= stop))
-    if size > 1 and len(start):
-        hashed = word_hashes(words.to_pylist())
-        prefix = word_hashes(langs.dictionary.to_pylist())[lang_ids[start]]
-        suffix = prefix
-        for k in range(size - 1):
-            prefix = continued(prefix, hashed[ids[start + k]])
-            suffix = continued(suffix, hashed[ids[start + k + 1]])
-        start = start[shorter(prefix) & shorter(suffix)]
-    code = lang_ids[start]
-    for k in range(size):  # exact codes: each step numbers the distinct pairs (code so far, next word)
-        code, distinct = pd.factorize(code * np.int64(len(words)) + ids[start + k])
-    counts = np.zeros(len(distinct) if len(start) else 0, dtype=np.int64)
-    np.add.at(counts, code, times[start])
-    sample = np.zeros(len(counts), dtype=np.int64)
-    sample[code] = start
-    parts = [words.take(pa.array(ids[sample + k])) for k in range(size)]
-    phrase = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
-    return pa.RecordBatch.from_arrays(
-        [langs.dictionary.take(pa.array(lang_ids[sample])), phrase.cast(pa.string()), pa.array(counts)],
-        ["lang", "phrase", "n"])
-
-
-def phrase_counts(chunks: DataFrame, size: int, shorter: Bloom) -> DataFrame:
-    """(lang, phrase, n) over the dictionary, not yet limited to frequent phrases."""
-    context = chunks.sparkSession.sparkContext
-    shared = context.broadcast(shorter.bits)
-
-    def count(batches):
+class Tokens:
+    """The words of a table of chunks one after the other: ``ids`` of ``words``, whether the
+    place is one of its chunk's ``own``, and where its piece ends (``stop``)."""
+
+    def __init__(self, table: pa.Table):
+        tokens = pc.split_pattern(table.column("chunk").cast(pa.string()).combine_chunks(), " ")
+        offsets = tokens.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        lengths = np.diff(offsets)
+        flat = tokens.flatten().dictionary_encode()
+        self.words, self.ids = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False)
+        langs = table.column("lang").combine_chunks().dictionary_encode()
+        self.langs = langs.dictionary
+        self.lang_ids = np.repeat(langs.indices.to_numpy(zero_copy_only=False), lengths)
+        self.times = np.repeat(table.column("times").to_numpy(), lengths)
+        self.at = np.arange(len(self.ids))
+        self.own = self.at < np.repeat(offsets[:-1] + table.column("own").to_numpy(), lengths)
+        # the next break or chunk end at or after each token
+        ends = np.repeat(offsets[1:], lengths)
+        is_break = self.ids == pc.index(self.words, pa.scalar("\n")).as_py()
+        nearest = np.where(is_break, self.at, np.iinfo(np.int64).max)
+        self.stop = np.minimum(ends, np.minimum.accumulate(nearest[::-1])[::-1]) if len(self.ids) else ends
+
+    @cached_property
+    def word_hashes(self) -> np.ndarray:
+        return word_hashes(self.words.to_pylist())[self.ids]
+
+    @cached_property
+    def lang_hashes(self) -> np.ndarray:
+        return word_hashes(self.langs.to_pylist())
+
+    def hashes(self, start: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the phrases of ``size`` words that start there."""
+        out = self.lang_hashes[self.lang_ids[start]]
+        for k in range(size):
+            out = continued(out, self.word_hashes[start + k])
+        return out
+
+    def starts(self, size: int, shorter: Callable | None = None) -> np.ndarray:
+        """Own places where phrases of ``size`` words start of which both shorter ones pass."""
+        start = np.flatnonzero(self.own & (self.at + size <= self.stop))
+        if shorter is None or size == 1:
+            return start
+        inner = np.flatnonzero(self.at + size - 1 <= self.stop)
+        passed = np.zeros(len(self.ids) + 1, dtype=bool)
+        passed[inner] = shorter(self.hashes(inner, size - 1))
+        return start[passed[start] & passed[start + 1]]
+
+    def counted(self, start: np.ndarray, size: int) -> pa.RecordBatch:
+        """(lang, phrase, size, n) of the phrases of ``size`` words that start there."""
+        code = self.lang_ids[start].astype(np.int64)
+        distinct = code[:0]
+        for k in range(size):  # exact codes: each step numbers the distinct pairs (code so far, next word)
+            code, distinct = pd.factorize(code * np.int64(len(self.words)) + self.ids[start + k])
+        counts = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(counts, code, self.times[start])
+        sample = np.zeros(len(counts), dtype=np.int64)
+        sample[code] = start
+        parts = [self.words.take(pa.array(self.ids[sample + k])) for k in range(size)]
+        phrase = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
+        return pa.RecordBatch.from_arrays(
+            [self.langs.take(pa.array(self.lang_ids[sample])), phrase.cast(pa.string()),
+             pa.array(np.full(len(counts), size, np.int32)), pa.array(counts)], ["lang", "phrase", "size", "n"])
+
+    def counted_hashes(self, start: np.ndarray, size: int) -> pa.RecordBatch:
+        """(h, n) of the phrases of ``size`` words that start there, by their hash."""
+        code, distinct = pd.factorize(self.hashes(start, size).view(np.int64))
+        counts = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(counts, code, self.times[start])
+        return pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(counts)], ["h", "n"])
+
+
+def count_phrases(table: pa.Table, size: int, shorter: Callable) -> pa.RecordBatch:
+    """(lang, phrase, size, n) of the phrases of ``size`` words that start in own words of the chunks."""
+    tokens = Tokens(table)
+    return tokens.counted(tokens.starts(size, shorter), size)
+
+
+def over_chunks(chunks: DataFrame, counted: Callable, schema: str) -> DataFrame:
+    """The batches that ``counted`` gives for the ``Tokens`` of a part of the dictionary at a time."""
+
+    def run(batches):
         held, tokens = [], 0
-        bloom = Bloom(shared.value)
         for batch in batches:
             held.append(batch)
             tokens += batch.column("chunk").nbytes // 6
             if tokens >= HELD_TOKENS:
-                yield count_phrases(pa.Table.from_batches(held), size, bloom)
+                yield from counted(Tokens(pa.Table.from_batches(held)))
                 held, tokens = [], 0
         if held:
-            yield count_phrases(pa.Table.from_batches(held), size, bloom)
+            yield from counted(Tokens(pa.Table.from_batches(held)))
 
-    return (chunks.select("lang", "chunk", "own", "times").mapInArrow(count, "lang string, phrase string, n long")
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
+    return chunks.select("lang", "chunk", "own", "times").mapInArrow(run, schema)
+
+
+def phrase_counts(chunks: DataFrame, sizes: Sequence[int], known: int = 0, bits: np.ndarray | None = None,
+                  passes: Callable | None = None) -> DataFrame:
+    """(lang, phrase, size, n) over the dictionary, not yet limited to frequent phrases.
+
+    ``passes(bits, hashes)`` tells which phrases of ``known`` words may be frequent: those
+    of that size, and of one word more, are made only where it lets theirs through.
+    """
+    shared = chunks.sparkSession.sparkContext.broadcast(bits)
+
+    def counted(tokens):
+        shorter = lambda hashes: passes(shared.value, hashes)
+        for size in sizes:
+            start = tokens.starts(size, shorter if size == known + 1 else None)
+            if size == known:
+                start = start[shorter(tokens.hashes(start, size))]
+            yield tokens.counted(start, size)
+
+    return (over_chunks(chunks, counted, "lang string, phrase string, size int, n long")
+            .groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")))
+
+
+def in_bloom(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
+    return Bloom(bits)(hashes)
+
+
+def frequent_pairs(chunks: DataFrame, words: Bloom, min_count: int) -> DataFrame:
+    """(h), written: hashes of pairs of words that occur ``min_count`` times, those of all
+    frequent pairs among them."""
+    shared = chunks.sparkSession.sparkContext.broadcast(words.bits)
+
+    def counted(tokens):
+        yield tokens.counted_hashes(tokens.starts(2, Bloom(shared.value)), 2)
+
+    pairs = over_chunks(chunks, counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return materialize(pairs.where(F.col("n") >= min_count).select("h"), "pairs")
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, size, f) with f >= ``min_count`` and up to ``longest`` words; (lang, n) of all words)."""
+
+    def kept(counts):
+        return counts.where(F.col("n") >= min_count).select("lang", "phrase", "size", F.col("n").alias("f"))
+
     chunks = materialize(parse(docs), "chunks")
-    words = materialize(phrase_counts(chunks, 1, Bloom(None)), "word-counts")
+    words = materialize(phrase_counts(chunks, [1]), "word-counts")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = shorter = None
-    for size in range(1, longest + 1):
-        if size == 1:
-            found = words.where(F.col("n") >= min_count)
-        else:
-            found = phrase_counts(chunks, size, bloom_of(shorter, shorter.count())).where(F.col("n") >= min_count)
-        shorter = materialize(found.select("lang", "phrase", F.lit(size).alias("size"), F.col("n").alias("f")),
-                              "phrases")
-        frequent = shorter if frequent is None else frequent.union(shorter)
+    frequent = shorter = materialize(kept(words), "phrases")
+    if longest > 1:
+        # pairs by their hash, then those whose hash is frequent in the pass that counts triples, too
+        pairs = frequent_pairs(chunks, bloom_of(shorter, shorter.count()), min_count)
+        field = hash_filter(pairs, pairs.count())
+        release(pairs)
+        found = phrase_counts(chunks, range(2, min(longest, 3) + 1), 2, field, may_hold_hashes)
+        found = materialize(kept(found), "phrases")
+        frequent, shorter = frequent.union(found), found.where("size = 3")
+    for size in range(4, longest + 1):
+        bits = bloom_of(shorter, shorter.count()).bits
+        shorter = materialize(kept(phrase_counts(chunks, [size], size - 1, bits, in_bloom)), "phrases")
+        frequent = frequent.union(shorter)
     return frequent, totals
 
 

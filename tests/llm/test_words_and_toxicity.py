@@ -9,6 +9,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import phrase_collocations as pcs
@@ -129,6 +130,35 @@ def test_bloom_filter_has_no_false_no(spark):
     assert bloom(hashes([("de", p) for _, p in phrases])).mean() < 0.02
 
 
+def test_pairs_counted_by_hash_are_those_counted_by_name():
+    rng = random.Random(12)
+    rows = [(rng.choice(["en", "de"]), chunk, own, rng.randint(1, 3)) for _ in range(40) for chunk, own in pcs.chunks_of(
+        " ".join(rng.choice(["a", "b", "c.", "d", "word"]) for _ in range(60)))]
+    table = pa.table(dict(zip(("lang", "chunk", "own", "times"), map(list, zip(*rows)))))
+    for size in (1, 2, 3):
+        named = pcs.count_phrases(table, size, pcs.Bloom(None)).to_pylist()
+        tokens = pcs.Tokens(table)
+        hashed = tokens.counted_hashes(tokens.starts(size), size).to_pylist()
+        want = {}
+        for r in named:
+            h = pcs.word_hashes([r["lang"]])
+            for w in r["phrase"].split(" "):
+                h = pcs.continued(h, pcs.word_hashes([w]))
+            want[int(h.view("int64")[0])] = r["n"]
+        assert {r["h"]: r["n"] for r in hashed} == want and len(want) == len(named) == len(hashed)
+
+
+@pytest.mark.parametrize("longest", [1, 2, 3, 5])
+def test_frequent_phrases_of_any_length(spark, longest):
+    rng = random.Random(13)
+    texts = [" ".join(rng.choice("abcd") for _ in range(80)) for _ in range(6)]
+    found, totals = pcs.frequent_phrases(frame(spark, [(i, t, "en") for i, t in enumerate(texts)]), longest, 4)
+    want = Counter(" ".join(t.split()[i:i + k]) for t in texts for k in range(1, longest + 1) for i in range(81 - k))
+    assert {r.phrase: (r.size, r.f) for r in found.collect()} == {
+        p: (len(p.split()), n) for p, n in want.items() if n >= 4}
+    assert totals.first().n == 480
+
+
 def test_chunks_cover_every_word_once_and_agree_on_copies():
     rng = random.Random(9)
     text = " ".join(f"w{rng.randrange(500)}" for _ in range(3000))
