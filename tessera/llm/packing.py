@@ -11,6 +11,7 @@ separates neighbours, and work is in proportion to the corpus.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from functools import lru_cache
 
@@ -50,6 +51,15 @@ def _tokenizer(path: str | None):
     return tokenizer, {}, closes
 
 
+def _forget_words() -> None:
+    """Frees a worker's tokenizer and memo, which later stages have no use for: reused
+    workers would hold them beside a shard's index."""
+    if _tokenizer.cache_info().currsize:
+        _tokenizer.cache_clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def _learn(tokenizer, memo: dict, missing: list[str]) -> None:
     """Ids of chunks, many in one call: each chunk is normalised, split and merged
     by the tokenizer itself."""
@@ -214,6 +224,7 @@ def document_frequencies(ids: DataFrame) -> tuple[np.ndarray, int, float]:
     term of the vocabulary at most."""
 
     def counts(batches):
+        _forget_words()
         df, n, tokens = np.zeros(1 << 16, dtype=np.int64), 0, 0
         for batch in batches:
             docs = [np.frombuffer(x.as_buffer(), "<u2") for x in batch.column(0)]
@@ -345,6 +356,7 @@ def _routed(ids: DataFrame, router, window: int) -> DataFrame:
     sharded by."""
 
     def rows(batch):
+        _forget_words()
         node, doc, n, data = batch.columns
         rests = [_rest(x, k, window) for k, x in zip(n.to_pylist(), data)]
         features, first, second = router.value.read(rests)
@@ -425,6 +437,7 @@ def _filled(routed: DataFrame, idf, mean_length: float, window: int, tokens: int
     most_ids, most_rows = max(INDEX_IDS, 2 * window), max(INDEX_ROWS, 2 * window)
 
     def run(batches):
+        _forget_words()
         filler = Filler(idf.value, mean_length, window, FILLED + (TaskContext.get().partitionId() << 36))
         size = 0
         for batch in batches:

@@ -146,3 +146,15 @@ def test_a_batch_is_read_as_its_documents_are(monkeypatch):
         term, weight = term[weight > 0], weight[weight > 0]
         for drawn, draws in zip(one[1:], router.draws):
             assert drawn[0] == (term[np.argmin(draws[term] / weight)] if len(term) else -1)
+
+
+def test_workers_forget_their_words_after_tokenizing():
+    from tessera.llm import packing
+
+    texts = ["Some words, and some more words."] * 3
+    ids = packing.token_bytes(texts)
+    assert packing._tokenizer.cache_info().currsize
+    packing._forget_words()
+    assert not packing._tokenizer.cache_info().currsize
+    packing._forget_words()
+    assert packing.token_bytes(texts) == ids
