@@ -14,6 +14,7 @@ from __future__ import annotations
 import gc
 import zlib
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +41,53 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 
+class _Ids(dict):
+    """A worker's memo: word or signs -> row of a ragged table of ids."""
+
+    def __init__(self):
+        super().__init__()
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.data, self.ends = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64)
+        self.used = 0
+
+    def add(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """New words, their ids one after the other and where each ends."""
+        rows = len(self)
+        self.data = _room(self.data, self.used + len(ids))
+        self.ends = _room(self.ends, rows + len(words))
+        self.data[self.used:self.used + len(ids)] = ids
+        self.ends[rows:rows + len(words)] = ends + self.used
+        self.used += len(ids)
+        self.update(zip(words, range(rows, rows + len(words))))
+
+
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    """The array, or a longer copy if it has fewer than ``n`` places."""
+    if n <= len(array):
+        return array
+    out = np.empty(max(n, len(array) + (len(array) >> 1)), array.dtype)
+    out[:len(array)] = array
+    return out
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str | None):
-    """A worker's tokenizer, its memo (word or signs -> their ids' bytes), and which ids end a word."""
-    from tokenizers import Tokenizer
+    """A worker's tokenizer, its memo, and how its model spells Latin letters beyond ASCII;
+    None if it does not take lower-cased words of Latin letters as they are."""
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path or tokenizer_path(TOKENIZER))
-    closes = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
-    closes[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-    return tokenizer, {}, closes
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    spelling = {ord(c): level.pre_tokenize_str(c)[0][0] for c in _LETTERS if not c.isascii()}
+    letters = _LETTERS.lower()
+    plain = not any(t.content.isalpha() for t in tokenizer.get_added_tokens_decoder().values())
+    if not plain or any([t.id for t in tokenizer.model.tokenize(word.translate(spelling))]
+                        != tokenizer.encode(word, add_special_tokens=False).ids for word in (letters, *letters)):
+        spelling = None
+    return tokenizer, _Ids(), spelling
 
 
 def _forget_words() -> None:
@@ -60,7 +99,7 @@ def _forget_words() -> None:
         pa.default_memory_pool().release_unused()
 
 
-def _learn(tokenizer, memo: dict, missing: list[str]) -> None:
+def _learn(tokenizer, memo: _Ids, missing: list[str]) -> None:
     """Ids of chunks, many in one call: each chunk is normalised, split and merged
     by the tokenizer itself."""
     for at in range(0, len(missing), 20_000):
@@ -69,30 +108,24 @@ def _learn(tokenizer, memo: dict, missing: list[str]) -> None:
         ids = np.array(got.ids, dtype="<u4")
         words = np.array([-1 if w is None else w for w in got.word_ids], dtype=np.int64)
         if len(words) and (words < 0).any():  # special tokens in the text have no word
-            for chunk in chunks:
-                memo[chunk] = np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-            continue
-        data, ends = ids.tobytes(), (4 * np.searchsorted(words, np.arange(1, len(chunks) + 1))).tolist()
-        begin = 0
-        for chunk, end in zip(chunks, ends):
-            memo[chunk] = data[begin:end]
-            begin = end
-
-
-def _learn_words(tokenizer, memo: dict, closes: np.ndarray, missing: list[str]) -> None:
-    """Ids of words of Latin letters, each one pretoken: where a tokenizer marks the ends
-    of words, texts of many words are cut at these marks."""
+            alone = [tokenizer.encode(chunk, add_special_tokens=False).ids for chunk in chunks]
+            memo.add(chunks, np.fromiter(chain.from_iterable(alone), "<u4"), np.cumsum([len(x) for x in alone]))
+        else:
+            memo.add(chunks, ids, np.searchsorted(words, np.arange(1, len(chunks) + 1)))
+
+
+def _learn_words(tokenizer, memo: _Ids, spelling: dict | None, missing: list[str]) -> None:
+    """Ids of lower-cased words of Latin letters. Each is one pretoken that the normalizer
+    leaves as it is, so the tokenizer's model merges it without either."""
+    if spelling is None:
+        _learn(tokenizer, memo, missing)
+        return
+    merge = tokenizer.model.tokenize
     for at in range(0, len(missing), 20_000):
         words = missing[at:at + 20_000]
-        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.flatnonzero(closes[ids]) + 1
-        if len(ends) != len(words) or ends[-1] != len(ids):
-            _learn(tokenizer, memo, words)
-            continue
-        data, begin = ids.tobytes(), 0
-        for word, end in zip(words, (4 * ends).tolist()):
-            memo[word] = data[begin:end]
-            begin = end
+        got = [[t.id for t in merge(w if w.isascii() else w.translate(spelling))] for w in words]
+        memo.add(words, np.fromiter(chain.from_iterable(got), "<u4"),
+                 np.cumsum(np.fromiter(map(len, got), np.int64, len(got))))
 
 
 # Latin letters that lower-case one to one, then ASCII signs without an apostrophe: two
@@ -110,36 +143,43 @@ def _parts(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
     return pc.if_else(word, pc.utf8_lower(stem), chunks), pc.if_else(word, signs, "")
 
 
-def _gather(data: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rows ``codes`` of a ragged table one after the other, and where each ends."""
-    size = np.diff(ends, prepend=0)
-    n = size[codes]
-    to = np.cumsum(n)
-    return data[np.repeat((ends - size)[codes] - (to - n), n) + np.arange(to[-1] if len(to) else 0)], to
+def _ragged(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Rows of ids, their bytes one after the other."""
+    offsets = np.zeros(len(ends) + 1, np.int64)
+    np.multiply(ends, ids.itemsize, out=offsets[1:])
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def _run(rows: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of taken rows one after the other, and where each begins, the end last."""
+    _, offsets, data = rows.buffers()
+    return data or pa.py_buffer(b""), np.frombuffer(offsets, np.int64)[:len(rows) + 1]
 
 
 MEMO_WORDS = 600_000  # words and groups of signs that a worker remembers
 BATCH_CHARS = 1 << 22  # texts whose chunks are looked up together
 
 
-def _chunk_ids(chunks: pa.Array, path: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of distinct chunks one after the other, and where each ends."""
-    tokenizer, memo, closes = _tokenizer(path)
+def _chunk_ids(chunks: pa.Array, path: str | None) -> pa.Array:
+    """Ids of distinct chunks."""
+    tokenizer, memo, spelling = _tokenizer(path)
     stems, signs = _parts(chunks)
     both = pa.concat_arrays([stems, signs]).dictionary_encode()
     known = both.dictionary.to_numpy(zero_copy_only=False).tolist()
-    missing = [c for c in known if c not in memo]
-    if len(memo) + len(missing) > MEMO_WORDS:
+    rows = np.fromiter(map(memo.get, known, repeat(-1)), np.int64, len(known))
+    if len(memo) + np.count_nonzero(rows < 0) > MEMO_WORDS:
         memo.clear()
-        missing = known
-    words = pc.match_substring_regex(pa.array(missing, pa.string()), _WORD).to_numpy(zero_copy_only=False).tolist()
-    _learn_words(tokenizer, memo, closes, [c for c, w in zip(missing, words) if w])
-    _learn(tokenizer, memo, [c for c, w in zip(missing, words) if not w])
-    ids = [memo[c] for c in known]
-    ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4
-    codes = both.indices.to_numpy().reshape(2, -1).T.ravel()
-    data, to = _gather(np.frombuffer(b"".join(ids), "<u4"), ends, codes)
-    return data, to[1::2]
+        rows[:] = -1
+    at = np.flatnonzero(rows < 0)
+    new = both.dictionary.take(pa.array(at))
+    word = pc.match_substring_regex(new, _WORD).to_numpy(zero_copy_only=False)
+    before = len(memo)
+    _learn_words(tokenizer, memo, spelling, new.filter(pa.array(word)).to_numpy(zero_copy_only=False).tolist())
+    _learn(tokenizer, memo, new.filter(pa.array(~word)).to_numpy(zero_copy_only=False).tolist())
+    rows[np.concatenate([at[word], at[~word]])] = np.arange(before, len(memo))
+    codes = rows[both.indices.to_numpy()].reshape(2, -1).T.ravel()
+    data, begin = _run(_ragged(memo.data[:memo.used], memo.ends[:len(memo)]).take(pa.array(codes)))
+    return pa.Array.from_buffers(pa.large_binary(), len(chunks), [None, pa.py_buffer(begin[::2].copy()), data])
 
 
 def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
@@ -151,10 +191,10 @@ def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
     def flush():
         split = pc.split_pattern(pa.array(waiting, pa.large_string()), " ")
         chunks = split.flatten().dictionary_encode()
-        data, to = _chunk_ids(chunks.dictionary.cast(pa.string()), path)
-        data, to = _gather(data, to, chunks.indices.to_numpy())
-        ends = to[split.offsets.to_numpy()[1:] - 1].tolist()
-        out.extend(data[a:b].tobytes() + end for a, b in zip([0, *ends], ends))
+        data, begin = _run(_chunk_ids(chunks.dictionary.cast(pa.string()), path).take(chunks.indices))
+        cuts = begin[split.offsets.to_numpy()].tolist()
+        data = memoryview(data)
+        out.extend(b"".join((data[a:b], end)) for a, b in zip(cuts, cuts[1:]))
         waiting.clear()
 
     for text in texts:

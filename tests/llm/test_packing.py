@@ -158,3 +158,49 @@ def test_workers_forget_their_words_after_tokenizing():
     assert not packing._tokenizer.cache_info().currsize
     packing._forget_words()
     assert packing.token_bytes(texts) == ids
+
+
+def test_plain_words_are_merged_by_the_model_alone():
+    """Lower-cased words of Latin letters need no normalizer and no search for pretokens."""
+    from types import SimpleNamespace
+
+    tokenizer, _, spelling = packing._tokenizer(None)
+    words = ["qzarvo", "été", "straße", "ÿþð", "a", "é", "the", "àçéèêëîïôûù", "x" * 300]
+    memo = packing._Ids()
+    packing._learn_words(SimpleNamespace(model=tokenizer.model), memo, spelling, words[:4])
+    packing._learn_words(SimpleNamespace(model=tokenizer.model), memo, spelling, words[4:])
+    begin = [0, *memo.ends[:len(words)].tolist()]
+    assert [memo.data[begin[memo[w]]:begin[memo[w] + 1]].tolist() for w in words] == [
+        tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_a_full_memo_starts_afresh(monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(packing.tokenizer_path(packing.TOKENIZER))
+    texts = [f"word{k} Wört{chr(97 + k % 26)}{chr(97 + k // 26)}, other, {k}!" for k in range(90)]
+    expected = [[*whole.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    monkeypatch.setattr(packing, "MEMO_WORDS", 70)
+    monkeypatch.setattr(packing, "BATCH_CHARS", 300)
+    packing._tokenizer(None)[1].clear()
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in packing.token_bytes(texts)] == expected
+    assert 0 < len(packing._tokenizer(None)[1]) <= 70
+    assert packing.token_bytes([""]) == [packing.END_ID.to_bytes(4, "little")] and packing.token_bytes([]) == []
+
+
+@pytest.mark.parametrize("kind", ["added", "unmarked"])
+def test_another_tokenizer_reads_its_words_itself(kind, tmp_path):
+    """An added token of letters, or a pretokenizer that changes words."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    whole = Tokenizer.from_file(packing.tokenizer_path(packing.TOKENIZER))
+    if kind == "added":
+        whole.add_tokens(["arv"])
+    else:
+        whole.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(
+            add_prefix_space=True, use_regex=False)])
+    whole.save(path := str(tmp_path / "tokenizer.json"))
+    texts = ["qzarvo the été", "the", "qzarvo qzarvo straße"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.token_bytes(texts, path)] == [
+        [*whole.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
