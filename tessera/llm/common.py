@@ -74,56 +74,97 @@ def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[dict]],
 
 
 FILTER_LIMIT = 1 << 29  # bits (64 MB) of a hash filter
-FILTER_BLOCK = 1 << 16  # bits that one task of its union holds at a time
-
-
-def _filter_slots(hashes: np.ndarray, bits: int):
-    for shift in (0, 20, 37):
-        yield ((hashes.view(np.uint64) >> np.uint64(shift)) & np.uint64(bits - 1)).astype(np.int64)
+FILTER_BLOCK = 1 << 16  # bits among which a hash has its places
+FILTER_PART = 1 << 23  # bits that one task of its union holds at a time
+FILTER_DEALT = 1 << 20  # hashes that a task deals to the parts at a time
+
+
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    """The hashes with every bit mixed: some callers' ones are the least of many."""
+    x = hashes.view(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _filter_places(spread: np.ndarray, bits: int):
+    """Three bits of the filter for each spread hash, all in one block."""
+    wide = (bits // FILTER_BLOCK).bit_length() - 1
+    block = spread >> np.uint64(1) >> np.uint64(63 - wide) << np.uint64(16)
+    for shift in (0, 16, 32):
+        yield (block | spread >> np.uint64(shift) & np.uint64(FILTER_BLOCK - 1)).view(np.int64)
+
+
+def _dealt(batches, bits: int):
+    """(part, spread) of batches of hashes: the spread hashes of each part of the filter, as
+    bytes. Each hash is in one part, so no more than the hashes themselves is shuffled."""
+    parts = max(1, bits // FILTER_PART)
+
+    def deal(held):
+        spread = np.sort(_spread(np.concatenate(held)))  # parts are ranges of spread hashes
+        part = next(_filter_places(spread, bits)) // FILTER_PART
+        cuts = np.searchsorted(part, np.arange(parts + 1)).tolist()
+        return [(k, spread[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch.column(0).to_numpy())
+        n += len(held[-1])
+        if n >= FILTER_DEALT:
+            yield from deal(held)
+            held, n = [], 0
+    if n:
+        yield from deal(held)
+
+
+def _united(dealt, bits: int):
+    """(part, field): the bits of each part, of rows of ``_dealt`` in the order of the parts."""
+    size, at, field = min(bits, FILTER_PART), None, None
+    for part, spread in dealt:
+        if part != at:
+            if at is not None:
+                yield at, np.packbits(field, bitorder="little").tobytes()
+            at, field = part, np.zeros(size, np.uint8)
+        for places in _filter_places(np.frombuffer(spread, np.uint64), bits):
+            field[places - part * size] = 1
+    if at is not None:
+        yield at, np.packbits(field, bitorder="little").tobytes()
 
 
 def hash_filter(hashes: DataFrame, count: int) -> np.ndarray:
     """A Bloom filter of a table of ``count`` 64-bit hashes (one long column), for
     scan workers: 16 bits a hash, ``FILTER_LIMIT`` bits at most, whatever the table
-    holds; beyond that it lets more through. Tasks set bits, Spark ORs them block by
-    block, and only the bits reach the driver, to be broadcast."""
+    holds; beyond that it lets more through. Each hash is shuffled once, to the task that
+    sets the bits of its part; the parts are written and read by the driver, to be broadcast."""
     bits = min(FILTER_LIMIT, 1 << max(16, (16 * max(count, 1) - 1).bit_length()))
-    schema = pa.schema([("block", pa.int64()), ("field", pa.binary())])
+    names = ("part", "field")
 
-    def place(batches):
-        for batch in batches:
-            if len(batch):
-                at = np.unique(np.concatenate(list(_filter_slots(batch.column(0).to_numpy(), bits))))
-                parts = np.split(at, np.flatnonzero(np.diff(at // FILTER_BLOCK)) + 1)
-                fields = []
-                for part in parts:
-                    field = np.zeros(FILTER_BLOCK, np.uint8)
-                    field[part % FILTER_BLOCK] = 1
-                    fields.append(np.packbits(field, bitorder="little").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(p[0] // FILTER_BLOCK) for p in parts]), pa.array(fields, pa.binary())], schema=schema)
+    def records(rows):
+        for part, field in rows:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([field], pa.binary())], names)
 
-    def union(batches):
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, field in zip(batch.column(0).to_pylist(), batch.column(1)):
-                mine = held.setdefault(block, np.zeros(FILTER_BLOCK // 8, np.uint8))
-                mine |= np.frombuffer(field.as_buffer(), np.uint8)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int64()), pa.array([f.tobytes() for f in held.values()], pa.binary())], schema=schema)
+    def deal(batches):
+        yield from records(_dealt(batches, bits))
+
+    def unite(batches):
+        yield from records(_united(((part, field.as_buffer()) for batch in batches
+                                    for part, field in zip(batch.column(0).to_pylist(), batch.column(1))), bits))
 
-    ddl = "block long, field binary"
+    ddl = "part int, field binary"
+    parts = hashes.mapInArrow(deal, ddl).repartition("part").sortWithinPartitions("part").mapInArrow(unite, ddl)
+    parts = materialize(parts, "filter")
     out = np.zeros(bits // 8, np.uint8)
-    for row in hashes.mapInArrow(place, ddl).repartition("block").mapInArrow(union, ddl).toLocalIterator():
-        at = row["block"] * FILTER_BLOCK // 8
-        out[at:at + FILTER_BLOCK // 8] = np.frombuffer(row["field"], np.uint8)
+    for row in parts.toLocalIterator():
+        field = np.frombuffer(row["field"], np.uint8)
+        out[row["part"] * len(field):][:len(field)] = field
+    release(parts)
     return out
 
 
 def may_hold_hashes(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which 64-bit hashes the filter may hold; never False for one it was built of."""
     found = np.ones(len(hashes), bool)
-    for at in _filter_slots(hashes, 8 * len(field)):
+    for at in _filter_places(_spread(hashes), 8 * len(field)):
         found &= field[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
     return found
 

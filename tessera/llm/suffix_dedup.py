@@ -6,8 +6,8 @@ with a smaller id. Three steps find all such strings:
 1. Anchors. Every ``LENGTH``-byte window has one anchor, the smallest hash among
    its ``GRAM``-byte substrings; equal windows have equal anchors. A run of
    windows with the same anchor is a *context*, its bytes known by two
-   independent 64-bit hashes. Anchors and
-   contexts are grouped over the corpus by Spark aggregates, folded before the
+   independent 64-bit hashes. Anchors are counted over the corpus in buckets of
+   their hashes, contexts grouped by Spark aggregates, either folded before the
    shuffle, so no anchor has to fit one task; an anchor met in one document only
    can repeat nowhere.
 2. A context met in several documents as a whole settles its windows by the
@@ -29,6 +29,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +38,13 @@ from tessera.llm.common import hash_filter, map_batches, materialize, may_hold_h
 from tessera.sources.sinks import collect_spent
 
 LENGTH = 50
-GRAM = 16
+GRAM = 19  # longer ones are shared by chance in fewer documents, but make more contexts
 LONG_GRAM = 32  # of the anchors that cut crowded contexts anew
 CHUNK_BYTES = 1 << 18  # text bytes whose anchors are looked for at once
 BLOCK_BYTES = 1 << 18  # context bytes sorted together
 SUFFIX_CONTEXTS = 2_000  # contexts of one anchor that one suffix array takes
 BATCH_BYTES = 8 << 20  # text bytes whose contexts a task holds at once
+BUCKETS = 12  # bits of an anchor that tell the bucket in which it is counted
 
 _P = np.uint64(0x100000001B3 | 1 << 44)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -249,12 +251,45 @@ def _tag_column(data):
     return F.shiftleft(F.octet_length(data).cast("long"), 32).bitwiseOR(F.crc32(data))
 
 
+def _rotated(h: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes with their last ``bits`` bits in front; the first ones of least hashes say little."""
+    return h << np.uint64(64 - bits) | h >> np.uint64(bits)
+
+
+def _folded(turned: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each anchor once, ascending, with its smallest and largest document."""
+    order = np.argsort(turned)
+    turned = turned[order]
+    heads = np.flatnonzero(np.concatenate([[True], turned[1:] != turned[:-1]]))
+    return turned[heads], np.minimum.reduceat(low[order], heads), np.maximum.reduceat(high[order], heads)
+
+
+def anchor_buckets(h: np.ndarray, doc: np.ndarray) -> dict:
+    """{bucket, held}: for each bucket its rotated anchors, each once, with the smallest
+    document and how far the largest is from it, as bytes of equal rank side by side."""
+    turned, low, high = _folded(_rotated(h, BUCKETS), doc, doc)
+    planes = np.stack([turned, low.view(np.uint64), (high - low).view(np.uint64)]).view(np.uint8)
+    planes = np.ascontiguousarray(planes.reshape(3, -1, 8).transpose(0, 2, 1)).reshape(24, -1)
+    bucket = (turned >> np.uint64(64 - BUCKETS)).astype(np.int32)
+    heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    return {"bucket": bucket[heads],
+            "held": [planes[:, a:b].tobytes() for a, b in zip(heads.tolist(), [*heads.tolist()[1:], len(bucket)])]}
+
+
+def shared_anchors(held: list[bytes]) -> np.ndarray:
+    """The anchors that several documents hold, of all ``held`` of one bucket."""
+    planes = np.concatenate([np.frombuffer(b, np.uint8).reshape(24, -1) for b in held], axis=1)
+    turned, low, far = np.ascontiguousarray(planes.reshape(3, 8, -1).transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
+    turned, low, high = _folded(turned, low.view(np.int64), (low + far).view(np.int64))
+    return _rotated(turned[low < high], 64 - BUCKETS)
+
+
 def _context_rows(docs: DataFrame, repeated=None) -> DataFrame:
     """One row per context; with the filter of ``repeated`` anchors, of those that it may
-    hold only, so the others leave no scan worker. Without it only (h, doc) are told, each
-    pair once a batch."""
+    hold only, so the others leave no scan worker. Without it only anchors and documents are
+    told, each anchor once a batch, as one row per bucket of anchors."""
     shared = None if repeated is None else docs.sparkSession.sparkContext.broadcast(repeated)
-    names = ("h", "c", "c2", "doc", "tag", "first", "width") if shared else ("h", "low", "high")
+    names = ("h", "c", "c2", "doc", "tag", "first", "width")
 
     def rows(batch):
         parts, size = [], 0
@@ -262,7 +297,7 @@ def _context_rows(docs: DataFrame, repeated=None) -> DataFrame:
             raw, begins, text, h, first, last = context_runs(texts)
             docs = np.array(docs)
             if shared is None:
-                parts.append((h.view(np.int64), docs[text]))
+                parts.append((h, docs[text]))
             else:
                 keep = may_hold_hashes(shared.value, h)
                 h, text, first, last = h[keep], text[keep], first[keep], last[keep]
@@ -294,21 +329,33 @@ def _context_rows(docs: DataFrame, repeated=None) -> DataFrame:
 
     def columns(parts):
         found = list(map(np.concatenate, zip(*parts)))
-        if shared is None:  # smallest and largest document of each anchor of the batch
-            order = np.argsort(found[0])
-            h, doc = found[0][order], found[1][order]
-            heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            found = [h[heads], np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)]
-        return dict(zip(names, found))
-
-    schema = CONTEXTS if shared else "h long, low long, high long"
+        return anchor_buckets(*found) if shared is None else dict(zip(names, found))
+
+    schema = CONTEXTS if shared else "bucket int, held binary"
     return map_batches(docs.select("doc_id", "text"), rows, schema)
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """(h) of the anchors that at least two documents hold, written."""
-    anchors = _context_rows(docs).groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    return materialize(anchors.where("low < high").select("h"), "anchors")
+    """(h) of the anchors that at least two documents hold, written. A batch tells an
+    anchor once, and a task holds one bucket at a time."""
+
+    def rows(batches):
+        at, held = None, []
+        for batch in batches:
+            for bucket, some in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != at and held:
+                    yield out(held)
+                    held = []
+                at = bucket
+                held.append(some.as_py())
+        if held:
+            yield out(held)
+
+    def out(held):
+        return pa.RecordBatch.from_arrays([pa.array(shared_anchors(held).view(np.int64), pa.int64())], ["h"])
+
+    buckets = _context_rows(docs).repartition("bucket").sortWithinPartitions("bucket")
+    return materialize(buckets.mapInArrow(rows, "h long"), "anchors")
 
 
 def kept_contexts(docs: DataFrame) -> DataFrame:
